@@ -55,3 +55,37 @@ class Context:
     @cached_property
     def stg_teams(self) -> DataFrame:
         return staging.stg_teams(self.raw.teams)
+
+    # --- derived models, shared by the queries of one run ----------------------
+
+    @cached_property
+    def team_form(self) -> DataFrame:
+        from . import intermediate
+        return intermediate.team_form(self.stg_fixtures, strategy=self.strategy)
+
+    @cached_property
+    def match_features(self) -> DataFrame:
+        from . import intermediate
+        return intermediate.match_features(self.stg_fixtures, self.stg_odds, form=self.team_form)
+
+    @cached_property
+    def dim_league(self) -> DataFrame:
+        from . import marts
+        return marts.dim_league(self.stg_fixtures, self.stg_standings)
+
+    @cached_property
+    def dim_team_football(self) -> DataFrame:
+        from . import marts
+        return marts.dim_team_football(self.stg_teams_football, self.stg_fixtures)
+
+    @cached_property
+    def fct_match_features(self) -> DataFrame:
+        from . import marts
+        return marts.fct_match_features(self.match_features, self.dim_team_football,
+                                        self.dim_league)
+
+    @cached_property
+    def team_performance(self) -> DataFrame:
+        from . import intermediate
+        return intermediate.team_performance(self.stg_matches, self.stg_teams,
+                                             strategy=self.strategy, keep_side=True)

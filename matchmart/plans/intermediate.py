@@ -175,26 +175,28 @@ def match_features(stg_fixtures: DataFrame, stg_odds: DataFrame,
 
 
 def team_performance(stg_matches: DataFrame, stg_teams: DataFrame,
-                     strategy: str = "chunked") -> DataFrame:
+                     strategy: str = "chunked", keep_side: bool = False) -> DataFrame:
     """W06 (legacy): rolling 5-match points and goals per team over all
-    competitions and seasons, plus the team name."""
+    competitions and seasons, plus the team name.  ``keep_side`` keeps the
+    HOME/AWAY perspective column for the match-level pivot."""
     r = F.col("match_result")
 
-    def side(team, scored, conceded, win_value):
+    def side(team, scored, conceded, win_value, label):
         return F.struct(F.col(team).alias("team_id"), F.col(scored).alias("goals_scored"),
                         F.col(conceded).alias("goals_conceded"),
-                        C.points(r, win_value).alias("points"))
+                        C.points(r, win_value).alias("points"),
+                        F.lit(label).alias("perspective"))
 
     app = stg_matches.select("match_date", "match_id", F.explode(F.array(
-        side("home_team_id", "home_goals", "away_goals", C.HOME_WIN),
-        side("away_team_id", "away_goals", "home_goals", C.AWAY_WIN))).alias("a"))
+        side("home_team_id", "home_goals", "away_goals", C.HOME_WIN, "HOME"),
+        side("away_team_id", "away_goals", "home_goals", C.AWAY_WIN, "AWAY"))).alias("a"))
     app = app.select("a.team_id", "match_id", "match_date", "a.goals_scored",
-                     "a.goals_conceded", "a.points")
+                     "a.goals_conceded", "a.points", "a.perspective")
     app = app.withColumn("goal_diff", F.col("goals_scored") - F.col("goals_conceded"))
     app = rolling_avg(app, {"rolling_points_avg": ("points", 5),
                             "rolling_goals_avg": ("goals_scored", 5)},
                       ["team_id"], ["match_date", "match_id"], strategy=strategy)
     teams = stg_teams.select("team_id", "team_name")
-    return app.join(teams, "team_id", "left").select(
-        "team_id", "match_id", "match_date", "goals_scored", "goals_conceded", "goal_diff",
-        "points", "rolling_points_avg", "rolling_goals_avg", "team_name")
+    out = ["team_id", "match_id", "match_date", "goals_scored", "goals_conceded", "goal_diff",
+           "points", "rolling_points_avg", "rolling_goals_avg", "team_name"]
+    return app.join(teams, "team_id", "left").select(*out, *(["perspective"] if keep_side else []))

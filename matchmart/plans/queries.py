@@ -122,3 +122,273 @@ def q_match_features(c: Context) -> DataFrame:
 def q_team_performance(c: Context) -> DataFrame:
     """Legacy rolling form per team across all competitions."""
     return I.team_performance(c.stg_matches, c.stg_teams)
+
+
+# --- marts ---------------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..functions import columns as C  # noqa: E402
+from . import marts as M  # noqa: E402
+
+
+@query("union_distinct")
+def q_union_distinct(c: Context) -> DataFrame:
+    """Leagues from fixtures UNION leagues from standings."""
+    return M.all_leagues(c.stg_fixtures, c.stg_standings)
+
+
+@query("league_seasons")
+def q_league_seasons(c: Context) -> DataFrame:
+    """Season range, count and sorted distinct list per league."""
+    return M.league_seasons(c.stg_fixtures)
+
+
+@query("league_stats")
+def q_league_stats(c: Context) -> DataFrame:
+    """Per-league match count, goals and result rates."""
+    return M.league_stats(c.stg_fixtures)
+
+
+@query("dim_league")
+def q_dim_league(c: Context) -> DataFrame:
+    """The league dimension (with P11 league_type)."""
+    return c.dim_league
+
+
+@query("union_all_aggs")
+def q_union_all_aggs(c: Context) -> DataFrame:
+    """UNION ALL of home-side and away-side aggregates."""
+    return M.side_participation(c.stg_fixtures)
+
+
+@query("team_participation")
+def q_team_participation(c: Context) -> DataFrame:
+    """Two-level participation aggregate per team."""
+    return M.team_participation(c.stg_fixtures)
+
+
+@query("dim_enrich")
+def q_dim_enrich(c: Context) -> DataFrame:
+    """Team rows left-joined to aggregates, zero defaults."""
+    return M.team_enrich(c.stg_teams_football, c.stg_fixtures)
+
+
+@query("dim_team_football")
+def q_dim_team_football(c: Context) -> DataFrame:
+    """Team dimension with surrogate key and participation."""
+    return c.dim_team_football
+
+
+@query("dim_team")
+def q_dim_team(c: Context) -> DataFrame:
+    """Legacy team dimension."""
+    return M.dim_team(c.stg_teams)
+
+
+@query("latest_per_key")
+def q_latest_per_key(c: Context) -> DataFrame:
+    """Latest standings snapshot per (team, league, season)."""
+    return M.latest_standings(c.stg_standings)
+
+
+@query("fct_standings")
+def q_fct_standings(c: Context) -> DataFrame:
+    """Current standings with ratios, movement and dimensions."""
+    return M.fct_standings(c.stg_standings, c.dim_team_football, c.dim_league)
+
+
+@query("role_playing_dim")
+def q_role_playing_dim(c: Context) -> DataFrame:
+    """Team dimension joined twice plus the league dimension."""
+    j = M.role_playing_dims(c.match_features, c.dim_team_football, c.dim_league)
+    return j.select("fixture_id", "home_team_id", "away_team_id", "league_id",
+                    "home_team_sk", "away_team_sk", "league_type")
+
+
+@query("fct_match_features")
+def q_fct_match_features(c: Context) -> DataFrame:
+    """The feature fact table."""
+    return c.fct_match_features
+
+
+@query("season_stats")
+def q_season_stats(c: Context) -> DataFrame:
+    """Legacy per-team per-year statistics."""
+    return M.season_stats(c.team_performance.drop("perspective"))
+
+
+@query("match_facts_legacy")
+def q_match_facts_legacy(c: Context) -> DataFrame:
+    """Legacy match fact with form indices."""
+    return M.match_facts_legacy(c.stg_matches, c.team_performance)
+
+
+@query("left_join_2key")
+def q_left_join_2key(c: Context) -> DataFrame:
+    """Fixtures left-joined to the form of each side on (fixture, team)."""
+    return c.match_features.select(
+        "fixture_id", "home_team_id", "away_team_id",
+        "home_avg_points_l5", "home_win_rate_l10", "away_avg_points_l5", "away_win_rate_l10")
+
+
+@query("join_normalized_pair")
+def q_join_normalized_pair(c: Context) -> DataFrame:
+    """Fixtures joined to pair statistics on least/greatest team ids."""
+    from . import intermediate as I2
+    h = I2.head_to_head(c.stg_fixtures)
+    f = c.stg_fixtures.withColumns({"team_a_id": C.pair_low("home_team_id", "away_team_id"),
+                                    "team_b_id": C.pair_high("home_team_id", "away_team_id")})
+    return f.join(h, ["team_a_id", "team_b_id"], "left").select(
+        "fixture_id", "team_a_id", "team_b_id", "h2h_total_matches", "h2h_avg_goals")
+
+
+@query("join_agg_lookup")
+def q_join_agg_lookup(c: Context) -> DataFrame:
+    """Fixtures left-joined to pre-aggregated odds and venue tables."""
+    return c.match_features.select(
+        "fixture_id", "odds_implied_prob_home", "bookmaker_count",
+        "venue_total_matches", "venue_home_win_rate")
+
+
+@query("inner_join_facts")
+def q_inner_join_facts(c: Context) -> DataFrame:
+    """Predictions inner-joined to finished fixtures."""
+    p = c.raw.predictions.select("fixture_id", "hybrid_home_prob", "model_version")
+    f = c.stg_fixtures.select("fixture_id", "league_id", "match_result")
+    return p.join(f, "fixture_id", "inner")
+
+
+# --- predicates and scalar functions ------------------------------------------------------
+
+@query("not_null_filter")
+def q_not_null_filter(c: Context) -> DataFrame:
+    """Conjunction of IS NOT NULL predicates."""
+    return c.raw.fixtures.filter(F.col("venue_name").isNotNull() & F.col("home_goals").isNotNull()
+                                 & F.col("away_goals").isNotNull()).select(
+        "fixture_id", "venue_name", "home_goals", "away_goals")
+
+
+@query("membership")
+def q_membership(c: Context) -> DataFrame:
+    """Status NOT IN the terminal list (literal list)."""
+    return c.raw.fixtures.filter(~F.col("status").isin(*C.TERMINAL_STATUSES)).select(
+        "fixture_id", "status", "match_date")
+
+
+@query("range_predicate")
+def q_range_predicate(c: Context) -> DataFrame:
+    """Strict and inclusive range predicates on odds."""
+    o = c.raw.odds
+    return o.filter((F.col("odd_home") > 1) & F.col("odd_draw").between(3, 4)
+                    & (F.col("odd_away") <= 5)).select("odds_id", "odd_home", "odd_draw", "odd_away")
+
+
+@query("points_case")
+def q_points_case(c: Context) -> DataFrame:
+    """P10: perspective-dependent points and win flag."""
+    from . import intermediate as I2
+    return I2.appearances(c.stg_fixtures).select("fixture_id", "team_id", "perspective",
+                                                 "points", "is_win")
+
+
+@query("league_type")
+def q_league_type(c: Context) -> DataFrame:
+    """Ordered keyword classification of league names."""
+    return c.stg_fixtures.select("league_id", "league_name").distinct().withColumn(
+        "league_type", C.league_type("league_name"))
+
+
+@query("rank_movement")
+def q_rank_movement(c: Context) -> DataFrame:
+    """Rank change sign as UP/DOWN/SAME, null change -> 0 / SAME."""
+    s = c.stg_standings
+    return s.select("standing_id", "team_id", "league_id", "season", "updated_at",
+                    F.coalesce("rank_change", F.lit(0)).alias("rank_change"),
+                    C.rank_movement("rank_change").alias("rank_movement"))
+
+
+@query("encode_target")
+def q_encode_target(c: Context) -> DataFrame:
+    """Result -> 0/1/2 and back."""
+    f = c.stg_fixtures.select("fixture_id", "match_result",
+                              C.encode_target("match_result").alias("match_result_encoded"))
+    return f.withColumn("match_result_decoded", C.decode_target("match_result_encoded"))
+
+
+@query("has_odds")
+def q_has_odds(c: Context) -> DataFrame:
+    """Bookmaker count > 0 as a boolean, null -> false."""
+    return c.match_features.select("fixture_id", "bookmaker_count",
+                                   C.has_odds("bookmaker_count").alias("has_odds"))
+
+
+@query("predicted_result")
+def q_predicted_result(c: Context) -> DataFrame:
+    """SQL tie rule over rounded hybrid probabilities."""
+    p = c.raw.predictions.select(
+        "fixture_id", *[F.col(f"hybrid_{s}_prob").cast("decimal(6,4)").alias(f"hybrid_{s}_prob")
+                        for s in ("home", "draw", "away")])
+    return p.withColumn("predicted_result", C.predicted_result_sql(
+        "hybrid_home_prob", "hybrid_draw_prob", "hybrid_away_prob"))
+
+
+@query("is_correct")
+def q_is_correct(c: Context) -> DataFrame:
+    """Three-valued correctness; NULL while the actual result is unknown."""
+    p = c.raw.predictions.select(
+        "fixture_id", *[F.col(f"hybrid_{s}_prob").cast("decimal(6,4)").alias(f"hybrid_{s}_prob")
+                        for s in ("home", "draw", "away")])
+    p = p.withColumn("predicted_result", C.predicted_result_sql(
+        "hybrid_home_prob", "hybrid_draw_prob", "hybrid_away_prob"))
+    f = c.stg_fixtures.select("fixture_id", F.col("match_result").alias("actual_result"))
+    j = p.join(f, "fixture_id", "left")
+    return j.select("fixture_id", "predicted_result", "actual_result",
+                    C.is_correct("predicted_result", "actual_result").alias("is_correct"))
+
+
+@query("feature_diffs")
+def q_feature_diffs(c: Context) -> DataFrame:
+    """Form differentials and attack-vs-defence features."""
+    return c.fct_match_features.select(
+        "fixture_id", "form_diff_points_l5", "form_diff_points_l10",
+        "home_attack_vs_away_defense_l5", "away_attack_vs_home_defense_l5")
+
+
+@query("null_default")
+def q_null_default(c: Context) -> DataFrame:
+    """coalesce(x, 0) on left-joined features; odds stay null."""
+    return c.match_features.select(
+        "fixture_id", "h2h_total_matches", "venue_total_matches", "venue_home_win_rate",
+        "home_avg_points_l10", "odds_implied_prob_home")
+
+
+@query("fn_dow")
+def q_fn_dow(c: Context) -> DataFrame:
+    """day of week with Sunday = 0."""
+    return c.raw.fixtures.select("fixture_id", "match_date",
+                                 C.dow_sunday0("match_date").alias("day_of_week"))
+
+
+@query("fn_safe_div")
+def q_fn_safe_div(c: Context) -> DataFrame:
+    """division guarded by nullif (denominator often 0)."""
+    s = c.stg_standings
+    return s.select("standing_id", "team_id", "updated_at", "goals_for", "lose",
+                    F.round(C.safe_div("goals_for", "lose"), 3).alias("goals_per_loss"))
+
+
+@query("fn_pair")
+def q_fn_pair(c: Context) -> DataFrame:
+    """least/greatest pair normalisation."""
+    return c.raw.fixtures.select("fixture_id",
+                                 C.pair_low("home_team_id", "away_team_id").alias("team_a_id"),
+                                 C.pair_high("home_team_id", "away_team_id").alias("team_b_id"))
+
+
+@query("surrogate_key")
+def q_surrogate_key(c: Context) -> DataFrame:
+    """md5 surrogate key over several columns, with null placeholder."""
+    t = c.raw.teams_football
+    return t.select("team_id", "team_code", "founded",
+                    C.surrogate_key("team_id", "team_code", "founded").alias("sk"))

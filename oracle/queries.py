@@ -2,9 +2,10 @@
 
 from .adapters import with_raw
 from .intermediate import ALL_INTERMEDIATE
+from .marts import ALL_MARTS, LEAGUE_TYPE, sk
 from .staging import ALL_STAGING
 
-_BASE = ALL_STAGING + ALL_INTERMEDIATE
+_BASE = ALL_STAGING + ALL_INTERMEDIATE + ALL_MARTS
 _SQL: dict[str, str] = {}
 
 
@@ -38,3 +39,73 @@ sql("odds_consensus", "SELECT * FROM odds_consensus")
 sql("venue_advantage", "SELECT * FROM venue_advantage")
 sql("match_features", "SELECT * FROM match_features")
 sql("team_performance", "SELECT * FROM team_performance")
+
+sql("union_distinct", "SELECT * FROM all_leagues")
+sql("league_seasons", "SELECT * FROM league_seasons")
+sql("league_stats", "SELECT * FROM league_stats")
+sql("dim_league", "SELECT * FROM dim_league")
+sql("union_all_aggs", "SELECT * FROM side_participation")
+sql("team_participation", "SELECT * FROM team_participation")
+sql("dim_enrich", "SELECT * FROM team_enrich")
+sql("dim_team_football", "SELECT * FROM dim_team_football")
+sql("dim_team", "SELECT * FROM dim_team")
+sql("latest_per_key", "SELECT * FROM latest_standings")
+sql("fct_standings", "SELECT * FROM fct_standings")
+sql("role_playing_dim", """SELECT fixture_id, home_team_id, away_team_id, league_id,
+  home_team_sk, away_team_sk, league_type FROM fct_match_features""")
+sql("fct_match_features", "SELECT * FROM fct_match_features")
+sql("season_stats", "SELECT * FROM season_stats")
+sql("match_facts_legacy", "SELECT * FROM match_facts_legacy")
+sql("left_join_2key", """SELECT fixture_id, home_team_id, away_team_id, home_avg_points_l5,
+  home_win_rate_l10, away_avg_points_l5, away_win_rate_l10 FROM match_features""")
+sql("join_normalized_pair", """SELECT f.fixture_id, least(f.home_team_id, f.away_team_id) AS team_a_id,
+  greatest(f.home_team_id, f.away_team_id) AS team_b_id, h.h2h_total_matches, h.h2h_avg_goals
+  FROM stg_fixtures f LEFT JOIN head_to_head h
+  ON least(f.home_team_id, f.away_team_id) = h.team_a_id
+ AND greatest(f.home_team_id, f.away_team_id) = h.team_b_id""")
+sql("join_agg_lookup", """SELECT fixture_id, odds_implied_prob_home, bookmaker_count,
+  venue_total_matches, venue_home_win_rate FROM match_features""")
+sql("inner_join_facts", """SELECT p.fixture_id, p.hybrid_home_prob, p.model_version, f.league_id,
+  f.match_result FROM raw_predictions p JOIN stg_fixtures f ON p.fixture_id = f.fixture_id""")
+sql("not_null_filter", """SELECT fixture_id, venue_name, home_goals, away_goals FROM raw_fixtures
+  WHERE venue_name IS NOT NULL AND home_goals IS NOT NULL AND away_goals IS NOT NULL""")
+sql("membership", """SELECT fixture_id, status, match_date FROM raw_fixtures
+  WHERE status NOT IN ('FT', 'AET', 'PEN', 'CANC', 'AWD', 'WO', 'ABD', 'PST')""")
+sql("range_predicate", """SELECT odds_id, odd_home::DOUBLE AS odd_home, odd_draw::DOUBLE AS odd_draw,
+  odd_away::DOUBLE AS odd_away FROM raw_odds
+  WHERE odd_home > 1 AND odd_draw BETWEEN 3 AND 4 AND odd_away <= 5""")
+sql("points_case", "SELECT fixture_id, team_id, perspective, points::BIGINT AS points, is_win::BIGINT AS is_win FROM appearances")
+sql("league_type", f"""SELECT league_id, league_name, {LEAGUE_TYPE.format(c='league_name')} AS league_type
+  FROM (SELECT DISTINCT league_id, league_name FROM stg_fixtures)""")
+sql("rank_movement", """SELECT standing_id, team_id, league_id, season, updated_at,
+  coalesce(rank_change, 0) AS rank_change,
+  CASE WHEN rank_change < 0 THEN 'UP' WHEN rank_change > 0 THEN 'DOWN' ELSE 'SAME' END AS rank_movement
+  FROM stg_standings""")
+sql("encode_target", """SELECT fixture_id, match_result, match_result_encoded,
+  CASE match_result_encoded WHEN 0 THEN 'HOME_WIN' WHEN 1 THEN 'DRAW' WHEN 2 THEN 'AWAY_WIN' END AS match_result_decoded
+  FROM (SELECT fixture_id, match_result,
+    CASE WHEN match_result = 'HOME_WIN' THEN 0 WHEN match_result = 'DRAW' THEN 1
+         WHEN match_result = 'AWAY_WIN' THEN 2 END::BIGINT AS match_result_encoded FROM stg_fixtures)""")
+sql("has_odds", """SELECT fixture_id, bookmaker_count,
+  coalesce(bookmaker_count > 0, false) AS has_odds FROM match_features""")
+PRED_SQL = """(SELECT fixture_id, hybrid_home_prob::DECIMAL(6,4) AS hh, hybrid_draw_prob::DECIMAL(6,4) AS hd,
+    hybrid_away_prob::DECIMAL(6,4) AS ha FROM raw_predictions)"""
+PRED_RULE = """CASE WHEN hh >= hd AND hh >= ha THEN 'HOME_WIN'
+  WHEN ha >= hd AND ha > hh THEN 'AWAY_WIN' ELSE 'DRAW' END"""
+sql("predicted_result", f"""SELECT fixture_id, hh::DOUBLE AS hybrid_home_prob, hd::DOUBLE AS hybrid_draw_prob,
+  ha::DOUBLE AS hybrid_away_prob, {PRED_RULE} AS predicted_result FROM {PRED_SQL}""")
+sql("is_correct", f"""SELECT p.fixture_id, {PRED_RULE} AS predicted_result, f.match_result AS actual_result,
+  CASE WHEN f.match_result IS NOT NULL AND {PRED_RULE} = f.match_result THEN true
+       WHEN f.match_result IS NOT NULL THEN false ELSE NULL END AS is_correct
+  FROM {PRED_SQL} p LEFT JOIN stg_fixtures f ON p.fixture_id = f.fixture_id""")
+sql("feature_diffs", """SELECT fixture_id, form_diff_points_l5, form_diff_points_l10,
+  home_attack_vs_away_defense_l5, away_attack_vs_home_defense_l5 FROM fct_match_features""")
+sql("null_default", """SELECT fixture_id, h2h_total_matches, venue_total_matches, venue_home_win_rate,
+  home_avg_points_l10, odds_implied_prob_home FROM match_features""")
+sql("fn_dow", "SELECT fixture_id, match_date, dayofweek(match_date)::BIGINT AS day_of_week FROM raw_fixtures")
+sql("fn_safe_div", """SELECT standing_id, team_id, updated_at, goals_for, lose,
+  round(goals_for::DOUBLE / nullif(lose, 0), 3) AS goals_per_loss FROM stg_standings""")
+sql("fn_pair", """SELECT fixture_id, least(home_team_id, away_team_id) AS team_a_id,
+  greatest(home_team_id, away_team_id) AS team_b_id FROM raw_fixtures""")
+sql("surrogate_key", f"""SELECT team_id, team_code, founded, {sk('team_id', 'team_code', 'founded')} AS sk
+  FROM raw_teams_football""")
