@@ -392,3 +392,114 @@ def q_surrogate_key(c: Context) -> DataFrame:
     t = c.raw.teams_football
     return t.select("team_id", "team_code", "founded",
                     C.surrogate_key("team_id", "team_code", "founded").alias("sk"))
+
+
+# --- data quality ------------------------------------------------------------------------
+
+from ..operators import quality as Q  # noqa: E402
+
+# The clock used by the freshness query (a parameter, not now()).
+FRESHNESS_NOW = "2001-08-02 20:00:00"
+
+
+@query("dq_not_null")
+def q_dq_not_null(c: Context) -> DataFrame:
+    """Q01: not_null checks on the fixture staging model (one scan)."""
+    checks = [Q.not_null(x) for x in ("fixture_id", "league_id", "season", "match_date",
+                                      "status", "home_team_id", "away_team_id",
+                                      "match_result", "total_goals")]
+    return Q.row_level_failures(c.stg_fixtures, "stg_fixtures", "fixture_id", checks)
+
+
+@query("dq_unique")
+def q_dq_unique(c: Context) -> DataFrame:
+    """Q02: unique keys of staging and mart models (nulls ignored)."""
+    from functools import reduce
+    parts = [Q.unique_failures(c.stg_fixtures, "stg_fixtures", "fixture_id"),
+             Q.unique_failures(c.dim_team_football, "dim_team_football", "team_id"),
+             Q.unique_failures(c.dim_league, "dim_league", "league_id"),
+             Q.unique_failures(c.stg_fixtures.select("venue_name"), "stg_fixtures", "venue_name")]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("dq_accepted_values")
+def q_dq_accepted_values(c: Context) -> DataFrame:
+    """Q03: accepted values (null passes) on fixtures, leagues and standings."""
+    from functools import reduce
+    parts = [
+        Q.row_level_failures(c.stg_fixtures, "stg_fixtures", "fixture_id", [
+            Q.accepted_values("status", ["FT", "AET", "PEN"]),
+            Q.accepted_values("match_result", ["HOME_WIN", "AWAY_WIN", "DRAW"])]),
+        Q.row_level_failures(c.dim_league, "dim_league", "league_id", [
+            Q.accepted_values("league_type", ["DOMESTIC_LEAGUE", "CUP", "INTERNATIONAL"])]),
+        Q.row_level_failures(c.stg_standings, "stg_standings", "standing_id", [
+            Q.accepted_values("form", ["", "M1", "M3", "M5", "M7", "M9"])]),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("dq_relationships")
+def q_dq_relationships(c: Context) -> DataFrame:
+    """Q04: foreign keys of the feature fact and standings (left-anti joins)."""
+    from functools import reduce
+    f = c.match_features
+    parts = [
+        Q.relationship_failures(f, "match_features", "home_team_id", c.stg_teams_football,
+                                "team_id", "fixture_id"),
+        Q.relationship_failures(f, "match_features", "away_team_id", c.stg_teams_football,
+                                "team_id", "fixture_id"),
+        Q.relationship_failures(f, "match_features", "league_id", c.dim_league,
+                                "league_id", "fixture_id"),
+        Q.relationship_failures(c.stg_standings, "stg_standings", "team_id",
+                                c.dim_team_football, "team_id", "standing_id"),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("dq_between")
+def q_dq_between(c: Context) -> DataFrame:
+    """Q05: inclusive range checks; rank 1..30 fails by design on this data."""
+    from functools import reduce
+    parts = [
+        Q.row_level_failures(c.stg_standings, "stg_standings", "standing_id", [
+            Q.between("rank", 1, 30), Q.between("points", 0, None),
+            Q.between("played", 0, 60)]),
+        Q.row_level_failures(c.team_form, "team_form", "fixture_id", [
+            Q.between("win_rate_l5", 0, 1), Q.between("avg_points_l10", 0, 3)]),
+        Q.row_level_failures(c.stg_fixtures, "stg_fixtures", "fixture_id", [
+            Q.between("total_goals", 0, 8)]),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("source_freshness")
+def q_source_freshness(c: Context) -> DataFrame:
+    """Q06: age of the newest load per source: pass / warn > 12 h / error > 24 h."""
+    from functools import reduce
+    parts = [Q.source_freshness(c.raw.fixtures, "fixtures", "loaded_at", FRESHNESS_NOW),
+             Q.source_freshness(c.raw.odds, "odds", "loaded_at", FRESHNESS_NOW),
+             Q.source_freshness(c.raw.standings, "standings", "loaded_at", FRESHNESS_NOW),
+             Q.source_freshness(c.raw.teams_football, "teams_football", "updated_at",
+                                FRESHNESS_NOW)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("assert_goals_non_negative")
+def q_assert_goals_non_negative(c: Context) -> DataFrame:
+    """Q07: legacy match facts with negative goals (expected empty)."""
+    m = M.match_facts_legacy(c.stg_matches, c.team_performance)
+    return m.filter((F.col("home_goals") < 0) | (F.col("away_goals") < 0)).select(
+        "match_id", "home_goals", "away_goals")
+
+
+@query("assert_win_rate_0_1")
+def q_assert_win_rate_0_1(c: Context) -> DataFrame:
+    """Q08: season stats with a win rate outside [0, 1] (expected empty)."""
+    s = M.season_stats(c.team_performance.drop("perspective"))
+    return s.filter((F.col("win_rate") < 0) | (F.col("win_rate") > 1)).select("team_id", "win_rate")
+
+
+@query("row_count_deviation")
+def q_row_count_deviation(c: Context) -> DataFrame:
+    """Q09: roster row count of the new load vs the previous one (20 % rule)."""
+    return Q.row_count_deviation(c.raw.roster(2), c.raw.roster(1), "team_roster")

@@ -109,3 +109,80 @@ sql("fn_pair", """SELECT fixture_id, least(home_team_id, away_team_id) AS team_a
   greatest(home_team_id, away_team_id) AS team_b_id FROM raw_fixtures""")
 sql("surrogate_key", f"""SELECT team_id, team_code, founded, {sk('team_id', 'team_code', 'founded')} AS sk
   FROM raw_teams_football""")
+
+
+def _fail(check, model, column, key, value):
+    return (f"SELECT '{check}' AS \"check\", '{model}' AS model, '{column}' AS \"column\", "
+            f"{key}::VARCHAR AS key, {value}::VARCHAR AS value")
+
+
+_NN = ["fixture_id", "league_id", "season", "match_date", "status", "home_team_id",
+       "away_team_id", "match_result", "total_goals"]
+sql("dq_not_null", " UNION ALL ".join(
+    _fail("not_null", "stg_fixtures", c, "fixture_id", c) + f" FROM stg_fixtures WHERE {c} IS NULL"
+    for c in _NN))
+sql("dq_unique", " UNION ALL ".join([
+    _fail("unique", "stg_fixtures", "fixture_id", "fixture_id", "n")
+    + " FROM (SELECT fixture_id, count(*) AS n FROM stg_fixtures WHERE fixture_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1)",
+    _fail("unique", "dim_team_football", "team_id", "team_id", "n")
+    + " FROM (SELECT team_id, count(*) AS n FROM dim_team_football WHERE team_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1)",
+    _fail("unique", "dim_league", "league_id", "league_id", "n")
+    + " FROM (SELECT league_id, count(*) AS n FROM dim_league WHERE league_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1)",
+    _fail("unique", "stg_fixtures", "venue_name", "venue_name", "n")
+    + " FROM (SELECT venue_name, count(*) AS n FROM stg_fixtures WHERE venue_name IS NOT NULL GROUP BY 1 HAVING count(*) > 1)",
+]))
+sql("dq_accepted_values", " UNION ALL ".join([
+    _fail("accepted_values", "stg_fixtures", "status", "fixture_id", "status")
+    + " FROM stg_fixtures WHERE status IS NOT NULL AND status NOT IN ('FT','AET','PEN')",
+    _fail("accepted_values", "stg_fixtures", "match_result", "fixture_id", "match_result")
+    + " FROM stg_fixtures WHERE match_result IS NOT NULL AND match_result NOT IN ('HOME_WIN','AWAY_WIN','DRAW')",
+    _fail("accepted_values", "dim_league", "league_type", "league_id", "league_type")
+    + " FROM dim_league WHERE league_type IS NOT NULL AND league_type NOT IN ('DOMESTIC_LEAGUE','CUP','INTERNATIONAL')",
+    _fail("accepted_values", "stg_standings", "form", "standing_id", "form")
+    + " FROM stg_standings WHERE form IS NOT NULL AND form NOT IN ('','M1','M3','M5','M7','M9')",
+]))
+sql("dq_relationships", " UNION ALL ".join([
+    _fail("relationships", "match_features", "home_team_id", "fixture_id", "home_team_id")
+    + " FROM match_features WHERE home_team_id IS NOT NULL AND home_team_id NOT IN (SELECT team_id FROM stg_teams_football WHERE team_id IS NOT NULL)",
+    _fail("relationships", "match_features", "away_team_id", "fixture_id", "away_team_id")
+    + " FROM match_features WHERE away_team_id IS NOT NULL AND away_team_id NOT IN (SELECT team_id FROM stg_teams_football WHERE team_id IS NOT NULL)",
+    _fail("relationships", "match_features", "league_id", "fixture_id", "league_id")
+    + " FROM match_features WHERE league_id IS NOT NULL AND league_id NOT IN (SELECT league_id FROM dim_league WHERE league_id IS NOT NULL)",
+    _fail("relationships", "stg_standings", "team_id", "standing_id", "team_id")
+    + " FROM stg_standings WHERE team_id IS NOT NULL AND team_id NOT IN (SELECT team_id FROM dim_team_football WHERE team_id IS NOT NULL)",
+]))
+sql("dq_between", " UNION ALL ".join([
+    _fail("between", "stg_standings", "rank", "standing_id", "rank")
+    + " FROM stg_standings WHERE rank IS NOT NULL AND (rank < 1 OR rank > 30)",
+    _fail("between", "stg_standings", "points", "standing_id", "points")
+    + " FROM stg_standings WHERE points IS NOT NULL AND points < 0",
+    _fail("between", "stg_standings", "played", "standing_id", "played")
+    + " FROM stg_standings WHERE played IS NOT NULL AND (played < 0 OR played > 60)",
+    _fail("between", "team_form", "win_rate_l5", "fixture_id", "win_rate_l5")
+    + " FROM team_form WHERE win_rate_l5 IS NOT NULL AND (win_rate_l5 < 0 OR win_rate_l5 > 1)",
+    _fail("between", "team_form", "avg_points_l10", "fixture_id", "avg_points_l10")
+    + " FROM team_form WHERE avg_points_l10 IS NOT NULL AND (avg_points_l10 < 0 OR avg_points_l10 > 3)",
+    _fail("between", "stg_fixtures", "total_goals", "fixture_id", "total_goals")
+    + " FROM stg_fixtures WHERE total_goals IS NOT NULL AND (total_goals < 0 OR total_goals > 8)",
+]))
+_NOW = "TIMESTAMP '2001-08-02 20:00:00'"
+
+
+def _fresh(src, table, col):
+    return (f"SELECT '{src}' AS source, max_loaded_at, age_hours, CASE WHEN max_loaded_at IS NULL THEN 'error' "
+            f"WHEN age_hours > 24 THEN 'error' WHEN age_hours > 12 THEN 'warn' ELSE 'pass' END AS status "
+            f"FROM (SELECT max_loaded_at, round((epoch({_NOW}) - epoch(max_loaded_at)) / 3600.0, 3) AS age_hours "
+            f"FROM (SELECT max({col})::TIMESTAMP AS max_loaded_at FROM {table}))")
+
+
+sql("source_freshness", " UNION ALL ".join([
+    _fresh("fixtures", "raw_fixtures", "loaded_at"), _fresh("odds", "raw_odds", "loaded_at"),
+    _fresh("standings", "raw_standings", "loaded_at"),
+    _fresh("teams_football", "raw_teams_football", "updated_at")]))
+sql("assert_goals_non_negative", """SELECT match_id, home_goals, away_goals FROM match_facts_legacy
+  WHERE home_goals < 0 OR away_goals < 0""")
+sql("assert_win_rate_0_1", "SELECT team_id, win_rate FROM season_stats WHERE win_rate < 0 OR win_rate > 1")
+sql("row_count_deviation", """SELECT 'team_roster' AS model, p AS previous_rows, c AS current_rows,
+  round(abs(c - p)::DOUBLE / nullif(p, 0), 6) AS deviation,
+  CASE WHEN p = 0 OR abs(c - p)::DOUBLE / nullif(p, 0) > 0.2 THEN 'fail' ELSE 'pass' END AS status
+  FROM (SELECT (SELECT count(*) FROM roster_v2)::BIGINT AS c, (SELECT count(*) FROM roster_v1)::BIGINT AS p)""")
