@@ -503,3 +503,92 @@ def q_assert_win_rate_0_1(c: Context) -> DataFrame:
 def q_row_count_deviation(c: Context) -> DataFrame:
     """Q09: roster row count of the new load vs the previous one (20 % rule)."""
     return Q.row_count_deviation(c.raw.roster(2), c.raw.roster(1), "team_roster")
+
+
+# --- sinks and materialisation ---------------------------------------------------------------
+
+from ..operators import sinks as K  # noqa: E402
+
+# The load boundaries that split each table into a first load
+# and a later delivery (the union of both always covers the whole table).
+FIRST_LOAD_BEFORE = "2000-01-01 00:00:00"
+REDELIVERY_FROM = "1999-07-01 00:00:00"
+SNAPSHOT_RUN_TS = "2024-03-01 00:00:00"
+
+
+@query("mat_view")
+def q_mat_view(c: Context) -> DataFrame:
+    """Staging model registered as a lazy view and read through it."""
+    return K.as_view(c.stg_fixtures, "stg_fixtures")
+
+
+@query("mat_ephemeral")
+def q_mat_ephemeral(c: Context) -> DataFrame:
+    """An inlined (ephemeral) intermediate model used by two consumers."""
+    h = K.ephemeral(I.head_to_head(c.stg_fixtures), fan_out=1)
+    return h
+
+
+@query("mat_table")
+def q_mat_table(c: Context) -> DataFrame:
+    """dim_league written as a new table version, pointer switched, read back."""
+    store = K.TableStore(c.spark)
+    store.write(c.dim_league, "dim_league")
+    return store.read("dim_league")
+
+
+@query("incremental_merge")
+def q_incremental_merge(c: Context) -> DataFrame:
+    """First load, then a re-scored delivery merged past the watermark
+    (30-day look-back) replacing rows by fixture_id."""
+    p = c.raw.predictions
+    first = K.incremental_merge(p.filter(F.col("predicted_at") < F.lit(FIRST_LOAD_BEFORE)),
+                                None, ["fixture_id"], "predicted_at")
+    rescored = p.withColumn("model_version", F.lit("v-next"))
+    return K.incremental_merge(rescored, first, ["fixture_id"], "predicted_at",
+                               lookback="30 days")
+
+
+@query("sync_all_columns")
+def q_sync_all_columns(c: Context) -> DataFrame:
+    """Target gains the batch's new column and loses the removed one."""
+    t = c.stg_teams_football
+    batch = t.drop("logo_url").withColumn("team_code_lower", F.lower("team_code"))
+    return K.sync_all_columns(t.filter(F.col("team_id") <= 20), batch.filter(F.col("team_id") > 20))
+
+
+@query("scd2_snapshot")
+def q_scd2_snapshot(c: Context) -> DataFrame:
+    """Type-2 roster history after two loads (hard deletes closed)."""
+    s1 = K.scd2_snapshot(None, c.raw.roster(1), "player_id", "updated_at", SNAPSHOT_RUN_TS)
+    return K.scd2_snapshot(s1, c.raw.roster(2), "player_id", "updated_at", SNAPSHOT_RUN_TS)
+
+
+@query("keyed_upsert")
+def q_keyed_upsert(c: Context) -> DataFrame:
+    """Fixtures re-delivered a week later replace the stored rows by key."""
+    fx = c.raw.fixtures
+    target = fx.filter(F.col("match_date") < F.lit(FIRST_LOAD_BEFORE))
+    batch = fx.filter(F.col("match_date") >= F.lit(REDELIVERY_FROM)).withColumn(
+        "loaded_at", F.col("loaded_at") + F.expr("INTERVAL 7 DAYS"))
+    batch = K.dedupe_latest(batch, ["fixture_id"], [F.col("loaded_at").desc()])
+    return K.keyed_upsert(target, batch, ["fixture_id"])
+
+
+@query("keyed_upsert_partial")
+def q_keyed_upsert_partial(c: Context) -> DataFrame:
+    """K07 (odds form): on conflict only prices and load time change."""
+    o = c.raw.odds
+    target = o.filter(F.col("loaded_at") < F.lit(FIRST_LOAD_BEFORE))
+    batch = (o.filter(F.col("loaded_at") >= F.lit(REDELIVERY_FROM))
+             .withColumn("bookmaker_name", F.concat(F.col("bookmaker_name"), F.lit(" (new)")))
+             .withColumn("odd_home", (F.col("odd_home") + F.lit(0.05)).cast("decimal(10,4)"))
+             .withColumn("loaded_at", F.col("loaded_at") + F.expr("INTERVAL 1 DAY")))
+    return K.keyed_upsert(target, batch, ["odds_id"],
+                          update_cols=["odd_home", "odd_draw", "odd_away", "loaded_at"])
+
+
+@query("insert_if_absent")
+def q_insert_if_absent(c: Context) -> DataFrame:
+    """The second roster load adds only unseen players."""
+    return K.insert_if_absent(c.raw.roster(1), c.raw.roster(2), ["player_id"])

@@ -186,3 +186,70 @@ sql("row_count_deviation", """SELECT 'team_roster' AS model, p AS previous_rows,
   round(abs(c - p)::DOUBLE / nullif(p, 0), 6) AS deviation,
   CASE WHEN p = 0 OR abs(c - p)::DOUBLE / nullif(p, 0) > 0.2 THEN 'fail' ELSE 'pass' END AS status
   FROM (SELECT (SELECT count(*) FROM roster_v2)::BIGINT AS c, (SELECT count(*) FROM roster_v1)::BIGINT AS p)""")
+
+
+sql("mat_view", "SELECT * FROM stg_fixtures")
+sql("mat_ephemeral", "SELECT * FROM head_to_head")
+sql("mat_table", "SELECT * FROM dim_league")
+_PRED_COLS = """fixture_id, poisson_home_prob, poisson_draw_prob, poisson_away_prob, gb_home_prob,
+  gb_draw_prob, gb_away_prob, hybrid_home_prob, hybrid_draw_prob, hybrid_away_prob,
+  expected_home_goals, expected_away_goals, confidence_score"""
+sql("incremental_merge", f"""
+  SELECT * FROM (
+    SELECT {_PRED_COLS}, model_version, predicted_at FROM raw_predictions
+    WHERE predicted_at < TIMESTAMP '2000-01-01 00:00:00'
+      AND fixture_id NOT IN (
+        SELECT fixture_id FROM raw_predictions
+        WHERE predicted_at > (SELECT max(predicted_at) FROM raw_predictions
+                              WHERE predicted_at < TIMESTAMP '2000-01-01 00:00:00') - INTERVAL 30 DAY)
+    UNION ALL
+    SELECT {_PRED_COLS}, 'v-next' AS model_version, predicted_at FROM raw_predictions
+    WHERE predicted_at > (SELECT max(predicted_at) FROM raw_predictions
+                          WHERE predicted_at < TIMESTAMP '2000-01-01 00:00:00') - INTERVAL 30 DAY)""")
+sql("sync_all_columns", """
+  SELECT team_id, team_name, team_code, country, founded_year, is_national, venue_id, venue_name,
+    venue_city, venue_country, venue_capacity, updated_at, NULL::VARCHAR AS team_code_lower
+  FROM stg_teams_football WHERE team_id <= 20
+  UNION ALL
+  SELECT team_id, team_name, team_code, country, founded_year, is_national, venue_id, venue_name,
+    venue_city, venue_country, venue_capacity, updated_at, lower(team_code) AS team_code_lower
+  FROM stg_teams_football WHERE team_id > 20""")
+_SK2 = sk("player_id", "updated_at")
+sql("scd2_snapshot", f"""
+  SELECT s1.player_id, s1.team_id, s1.player_name, s1.position, s1.updated_at, s1.dbt_scd_id,
+    s1.dbt_updated_at, s1.dbt_valid_from,
+    CASE WHEN v2.player_id IS NULL THEN TIMESTAMP '2024-03-01 00:00:00'
+         WHEN v2.updated_at > s1.dbt_updated_at THEN v2.updated_at END AS dbt_valid_to
+  FROM s1 LEFT JOIN roster_v2 v2 ON s1.player_id = v2.player_id
+  UNION ALL
+  SELECT v2.*, {sk("v2.player_id", "v2.updated_at")}, v2.updated_at, v2.updated_at, NULL::TIMESTAMP
+  FROM roster_v2 v2 LEFT JOIN s1 ON s1.player_id = v2.player_id
+  WHERE s1.player_id IS NULL OR v2.updated_at > s1.dbt_updated_at""",
+    f"""s1 AS (
+    SELECT *, {_SK2} AS dbt_scd_id, updated_at AS dbt_updated_at, updated_at AS dbt_valid_from,
+      NULL::TIMESTAMP AS dbt_valid_to FROM roster_v1)""")
+sql("keyed_upsert", """
+  SELECT * FROM raw_fixtures WHERE match_date < TIMESTAMP '2000-01-01 00:00:00'
+    AND match_date < TIMESTAMP '1999-07-01 00:00:00'
+  UNION ALL
+  SELECT * REPLACE (loaded_at + INTERVAL 7 DAY AS loaded_at) FROM raw_fixtures
+  WHERE match_date >= TIMESTAMP '1999-07-01 00:00:00'""")
+sql("keyed_upsert_partial", """
+  SELECT odds_id, fixture_id, bookmaker_id, bookmaker_name, market_name, odd_home::DOUBLE AS odd_home,
+    odd_draw::DOUBLE AS odd_draw, odd_away::DOUBLE AS odd_away, loaded_at
+  FROM raw_odds WHERE loaded_at < TIMESTAMP '2000-01-01 00:00:00'
+    AND odds_id NOT IN (SELECT odds_id FROM raw_odds WHERE loaded_at >= TIMESTAMP '1999-07-01 00:00:00')
+  UNION ALL
+  SELECT n.odds_id, n.fixture_id, n.bookmaker_id,
+    coalesce(t.bookmaker_name, n.bookmaker_name || ' (new)') AS bookmaker_name,
+    coalesce(t.market_name, n.market_name) AS market_name,
+    (n.odd_home + 0.05)::DECIMAL(10,4)::DOUBLE AS odd_home, n.odd_draw::DOUBLE AS odd_draw,
+    n.odd_away::DOUBLE AS odd_away, n.loaded_at + INTERVAL 1 DAY AS loaded_at
+  FROM raw_odds n
+  LEFT JOIN (SELECT * FROM raw_odds WHERE loaded_at < TIMESTAMP '2000-01-01 00:00:00') t
+    ON n.odds_id = t.odds_id
+  WHERE n.loaded_at >= TIMESTAMP '1999-07-01 00:00:00'""")
+sql("insert_if_absent", """
+  SELECT * FROM roster_v1
+  UNION ALL
+  SELECT * FROM roster_v2 WHERE player_id NOT IN (SELECT player_id FROM roster_v1)""")
