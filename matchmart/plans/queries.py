@@ -592,3 +592,93 @@ def q_keyed_upsert_partial(c: Context) -> DataFrame:
 def q_insert_if_absent(c: Context) -> DataFrame:
     """The second roster load adds only unseen players."""
     return K.insert_if_absent(c.raw.roster(1), c.raw.roster(2), ["player_id"])
+
+
+# --- sources ---------------------------------------------------------------------------------
+
+from ..sources import payloads as PL  # noqa: E402
+from ..sources import scan as SC  # noqa: E402
+
+# Clocks used as parameters by the upcoming-fixture queries.
+UPCOMING_NOW = "2001-06-01 00:00:00"
+
+
+@query("scan_raw")
+def q_scan_raw(c: Context) -> DataFrame:
+    """Raw fixtures written once, then read back with the declared schema,
+    a pushed-down filter and a pruned projection."""
+    store = K.TableStore(c.spark)
+    path = store.write(c.raw.fixtures, "raw_fixtures")
+    return SC.scan_raw(c.spark, path, "fixtures",
+                       filters=[F.col("status").isin(*C.FINISHED_STATUSES)],
+                       columns=["fixture_id", "league_id", "season", "match_date", "status",
+                                "home_team_id", "away_team_id", "home_goals", "away_goals"])
+
+
+@query("seed_competitions")
+def q_seed_competitions(c: Context) -> DataFrame:
+    """CSV seed (4 rows, broadcast) joined to legacy matches."""
+    seed = SC.read_seed(c.spark)
+    m = c.stg_matches.groupBy("competition_id").agg(F.count(F.lit(1)).alias("matches"))
+    return m.join(F.broadcast(seed), "competition_id", "left").select(
+        "competition_id", "competition_name", "country", "tier", "matches")
+
+
+@query("load_features")
+def q_load_features(c: Context) -> DataFrame:
+    """Feature rows of one league and season, nulls dropped."""
+    f = SC.load_features(c.fct_match_features, league_id=2, season=1997)
+    return f.select("fixture_id", "league_id", "season", "match_date", "match_result",
+                    *SC.FEATURE_COLUMNS)
+
+
+@query("upcoming_fixtures")
+def q_upcoming_fixtures(c: Context) -> DataFrame:
+    """Non-terminal fixtures within 7 days of a given clock (inclusive)."""
+    u = SC.upcoming_fixtures(c.raw.fixtures, UPCOMING_NOW, days=7)
+    return u.select("fixture_id", "match_date", "status", "home_team_id", "away_team_id")
+
+
+@query("flatten_fixtures")
+def q_flatten_fixtures(c: Context) -> DataFrame:
+    """Fixture JSON documents -> flat raw fixture rows."""
+    return PL.flatten_fixtures(PL.build_fixture_payloads(c.raw.fixtures))
+
+
+@query("flatten_standings")
+def q_flatten_standings(c: Context) -> DataFrame:
+    """Standings documents (array of groups) -> one row per entry."""
+    return PL.flatten_standings(PL.build_standings_payloads(c.raw.standings))
+
+
+@query("flatten_teams")
+def q_flatten_teams(c: Context) -> DataFrame:
+    """Team documents per league -> one row per team (first league wins)."""
+    return PL.flatten_teams(PL.build_team_payloads(c.raw.teams_football, c.raw.fixtures))
+
+
+@query("flatten_odds")
+def q_flatten_odds(c: Context) -> DataFrame:
+    """bookmaker/bet documents -> 1X2 rows (market matched case-insensitively)."""
+    return PL.flatten_odds(PL.build_odds_payloads(c.raw.odds))
+
+
+@query("surrogate_int")
+def q_surrogate_int(c: Context) -> DataFrame:
+    """Deterministic integer ids for standings and odds in LONG."""
+    s = c.raw.standings.select(F.lit("standing").alias("kind"),
+                               PL.standing_id("league_id", "season", "rank").alias("id"),
+                               F.col("team_id").alias("ref"))
+    o = c.raw.odds.select(F.lit("odds").alias("kind"), PL.odds_id("fixture_id", "bookmaker_id").alias("id"),
+                          F.col("fixture_id").alias("ref"))
+    return s.unionByName(o)
+
+
+@query("league_filter")
+def q_league_filter(c: Context) -> DataFrame:
+    """League names seen in the data resolved against the fixed mapping;
+    unresolved names are reported with a null id."""
+    requested = c.stg_fixtures.select("league_name").distinct().unionByName(
+        c.spark.createDataFrame([("Premier League",), ("UEFA Champions League",)], "league_name string"))
+    resolved, unknown = SC.league_filter(c.spark, requested)
+    return resolved.unionByName(unknown.withColumn("api_league_id", F.lit(None).cast("long")))

@@ -233,7 +233,8 @@ def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
         _str("t", F.col("home_team_id")).alias("home_team_id"),
         _str("t", F.col("away_team_id")).alias("away_team_id"),
         "home_goals", "away_goals",
-        F.when(f % 13 != 0, _str("c", F.col("league_id"))).alias("competition_id"),
+        F.when(f % 13 != 0, F.concat(F.lit("c"), F.lpad(F.col("league_id").cast("string"), 3, "0")))
+        .alias("competition_id"),
         "loaded_at",
     )
 

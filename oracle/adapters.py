@@ -143,7 +143,7 @@ raw_matches AS (
     't' || home_team_id::VARCHAR AS home_team_id,
     't' || away_team_id::VARCHAR AS away_team_id,
     home_goals, away_goals,
-    CASE WHEN fixture_id % 13 <> 0 THEN 'c' || league_id::VARCHAR END AS competition_id,
+    CASE WHEN fixture_id % 13 <> 0 THEN 'c' || lpad(league_id::VARCHAR, 3, '0') END AS competition_id,
     loaded_at
   FROM raw_fixtures WHERE status IN ('FT','AET','PEN')
 )"""

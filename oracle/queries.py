@@ -253,3 +253,51 @@ sql("insert_if_absent", """
   SELECT * FROM roster_v1
   UNION ALL
   SELECT * FROM roster_v2 WHERE player_id NOT IN (SELECT player_id FROM roster_v1)""")
+
+
+sql("scan_raw", """SELECT fixture_id, league_id, season, match_date, status, home_team_id, away_team_id,
+  home_goals, away_goals FROM raw_fixtures WHERE status IN ('FT', 'AET', 'PEN')""")
+sql("seed_competitions", """
+  SELECT m.competition_id, s.competition_name, s.country, s.tier, m.matches
+  FROM (SELECT competition_id, count(*)::BIGINT AS matches FROM stg_matches GROUP BY 1) m
+  LEFT JOIN (VALUES ('c001', 'Brasileirão Série A', 'Brazil', '1'),
+                    ('c002', 'Copa do Brasil', 'Brazil', 'Cup'),
+                    ('c003', 'Libertadores', 'South America', 'Continental'),
+                    ('c004', 'Sul-Americana', 'South America', 'Continental'))
+    s(competition_id, competition_name, country, tier) ON m.competition_id = s.competition_id""")
+_FEATS = ["home_avg_points_l5", "home_avg_goals_scored_l5", "home_avg_goals_conceded_l5",
+          "home_win_rate_l5", "home_avg_points_l10", "away_avg_points_l5", "away_avg_goals_scored_l5",
+          "away_avg_goals_conceded_l5", "away_win_rate_l5", "away_avg_points_l10", "h2h_home_wins",
+          "h2h_draws", "h2h_avg_goals", "odds_implied_prob_home", "odds_implied_prob_draw",
+          "odds_implied_prob_away"]
+sql("load_features", f"""SELECT fixture_id, league_id, season, match_date, match_result, {", ".join(_FEATS)}
+  FROM fct_match_features WHERE match_result IS NOT NULL AND league_id = 2 AND season = 1997
+  AND {" AND ".join(c + " IS NOT NULL" for c in _FEATS)}""")
+sql("upcoming_fixtures", """SELECT fixture_id, match_date, status, home_team_id, away_team_id FROM raw_fixtures
+  WHERE match_date >= TIMESTAMP '2001-06-01 00:00:00' AND match_date <= TIMESTAMP '2001-06-08 00:00:00'
+  AND status NOT IN ('FT', 'AET', 'PEN', 'CANC', 'AWD', 'WO', 'ABD', 'PST')""")
+sql("flatten_fixtures", """SELECT * REPLACE (max(loaded_at) OVER (PARTITION BY league_id, season,
+  floor(fixture_id / 50)) AS loaded_at) FROM raw_fixtures""")
+sql("flatten_standings", """SELECT league_id * 10000000 + season * 1000 + rank AS standing_id, league_id,
+  league_name, season, team_id, team_name, rank, points, played, win, draw, lose, goals_for, goals_against,
+  goals_for - goals_against AS goal_diff, form, updated_at, updated_at AS loaded_at FROM raw_standings""")
+sql("flatten_teams", """SELECT t.team_id, t.team_name, t.team_code, t.country, t.founded,
+  coalesce(t.is_national AND t.is_national, false) AS is_national, t.logo_url, t.venue_name, t.venue_capacity,
+  TIMESTAMP '2024-01-01 00:00:00' AS updated_at
+  FROM raw_teams_football t
+  WHERE t.team_id IN (SELECT home_team_id FROM raw_fixtures UNION SELECT away_team_id FROM raw_fixtures)""")
+sql("flatten_odds", """SELECT odds_id, fixture_id, bookmaker_id, bookmaker_name, 'Match Winner' AS market_name,
+  odd_home::DOUBLE AS odd_home, odd_draw::DOUBLE AS odd_draw, odd_away::DOUBLE AS odd_away, loaded_at
+  FROM raw_odds WHERE market_name = 'Match Winner'""")
+sql("surrogate_int", """SELECT 'standing' AS kind, league_id * 10000000 + season * 1000 + rank AS id, team_id AS ref
+  FROM raw_standings UNION ALL
+  SELECT 'odds', fixture_id * 1000 + bookmaker_id, fixture_id FROM raw_odds""")
+sql("league_filter", """SELECT req.league_name, m.api_league_id::BIGINT AS api_league_id
+  FROM req LEFT JOIN lmap m ON req.league_name = m.league_name""",
+    """req AS (SELECT DISTINCT league_name FROM stg_fixtures
+               UNION ALL SELECT 'Premier League' UNION ALL SELECT 'UEFA Champions League')""",
+    """lmap AS (SELECT * FROM (VALUES ('Brasileirao Serie A', 71), ('Premier League', 39), ('La Liga', 140),
+    ('Serie A Italy', 135), ('Bundesliga', 78), ('Ligue 1', 61), ('Eredivisie', 88), ('Primeira Liga', 94),
+    ('Liga Profesional Argentina', 128), ('Liga MX', 262), ('MLS', 253), ('UEFA Champions League', 2),
+    ('UEFA Europa League', 3), ('Copa Libertadores', 13), ('Copa Sulamericana', 11), ('FIFA World Cup', 1),
+    ('Copa America', 9), ('UEFA Euro', 4)) v(league_name, api_league_id))""")
