@@ -682,3 +682,236 @@ def q_league_filter(c: Context) -> DataFrame:
         c.spark.createDataFrame([("Premier League",), ("UEFA Champions League",)], "league_name string"))
     resolved, unknown = SC.league_filter(c.spark, requested)
     return resolved.unionByName(unknown.withColumn("api_league_id", F.lit(None).cast("long")))
+
+
+# --- machine learning ------------------------------------------------------------------------
+
+from ..ml import boosting as MB  # noqa: E402
+from ..ml import features as MF  # noqa: E402
+from ..ml import hybrid as MH  # noqa: E402
+from ..ml import metrics as MM  # noqa: E402
+from ..ml import poisson as MP  # noqa: E402
+from ..ml import train as MT  # noqa: E402
+
+# Output precision of floating-point model outputs compared with
+# the oracle (exp/log differ in the last bit between engines).
+ML_DIGITS = 10
+# Trees per class in the registered queries (library default: 300, the
+# reference's setting; lowered here only to keep the local query set fast).
+QUERY_TREES = 20
+PREDICTED_AT = "2001-08-02 00:00:00"
+
+_TRAINED: dict = {}
+
+
+def _trained(c: Context) -> MT.TrainResult:
+    key = (c.spark.sparkContext.applicationId, c.sf_dir)
+    if key not in _TRAINED:
+        _TRAINED[key] = MT.train(c.fct_match_features, n_trees=QUERY_TREES)
+    return _TRAINED[key]
+
+
+def _round(df: DataFrame, cols) -> DataFrame:
+    return df.withColumns({x: F.round(F.col(x), ML_DIGITS) for x in cols})
+
+
+@query("feature_matrix")
+def q_feature_matrix(c: Context) -> DataFrame:
+    """The 16 model features with nulls dropped and the encoded target."""
+    return MF.feature_matrix(c.fct_match_features)
+
+
+@query("temporal_split")
+def q_temporal_split(c: Context) -> DataFrame:
+    """First 80 % of feature rows in (date, fixture) order are training rows."""
+    fm = MF.feature_matrix(SC.load_features(c.fct_match_features))
+    return MF.temporal_split(fm).select("fixture_id", "match_date", "is_train")
+
+
+@query("poisson_fallback")
+def q_poisson_fallback(c: Context) -> DataFrame:
+    """Closed-form attack/defence parameters per team."""
+    p = MP.fit_fallback(c.stg_fixtures)
+    t = p.teams.withColumns({"home_advantage": F.lit(p.home_advantage),
+                             "intercept": F.lit(p.intercept)})
+    return _round(t, ["attack", "defence", "home_advantage", "intercept"])
+
+
+@query("expected_goals")
+def q_expected_goals(c: Context) -> DataFrame:
+    """Expected goals per finished fixture from the closed-form parameters."""
+    p = MP.fit_fallback(c.stg_fixtures)
+    f = c.stg_fixtures.select("fixture_id", "home_team_id", "away_team_id")
+    return _round(MP.expected_goals(f, p), ["expected_home_goals", "expected_away_goals"])
+
+
+@query("outcome_probs")
+def q_outcome_probs(c: Context) -> DataFrame:
+    """home/draw/away probabilities from the 7x7 Poisson score grid."""
+    p = MP.fit_fallback(c.stg_fixtures)
+    f = c.stg_fixtures.select("fixture_id", "home_team_id", "away_team_id")
+    out = MP.outcome_probs(MP.expected_goals(f, p)).drop("expected_home_goals", "expected_away_goals")
+    return _round(out, ["poisson_home_prob", "poisson_draw_prob", "poisson_away_prob"])
+
+
+@query("hybrid_blend")
+def q_hybrid_blend(c: Context) -> DataFrame:
+    """0.3 * Poisson + 0.7 * booster, row-normalised, class by argmax."""
+    p = c.raw.predictions.select("fixture_id", *[f"{m}_{s}_prob" for m in ("poisson", "gb")
+                                                 for s in MH.SIDES])
+    out = MH.decide(MH.blend(p))
+    return out.select("fixture_id", "hybrid_home_prob", "hybrid_draw_prob", "hybrid_away_prob",
+                      "predicted_result", "confidence_score")
+
+
+@query("fct_predictions")
+def q_fct_predictions(c: Context) -> DataFrame:
+    """Prediction fact (SQL tie rule, three-valued correctness)."""
+    return MH.fct_predictions(c.raw.predictions, c.stg_fixtures)
+
+
+def _eval_rows(c: Context) -> DataFrame:
+    fp = MH.fct_predictions(c.raw.predictions, c.stg_fixtures)
+    return MM.evaluation_rows(fp.drop("match_date", "actual_result"), c.stg_fixtures)
+
+
+@query("classification_metrics")
+def q_classification_metrics(c: Context) -> DataFrame:
+    """Accuracy, log loss, Brier score and counts of the stored predictions."""
+    return MM.classification_metrics(_eval_rows(c))
+
+
+@query("flat_bet_roi")
+def q_flat_bet_roi(c: Context) -> DataFrame:
+    """(correct - wrong) / n."""
+    return MM.classification_metrics(_eval_rows(c)).select("n_matches", "n_correct", "n_wrong",
+                                                           "flat_bet_roi")
+
+
+@query("confusion_matrix")
+def q_confusion_matrix(c: Context) -> DataFrame:
+    """3x3 actual x predicted counts."""
+    return MM.confusion_matrix(_eval_rows(c))
+
+
+@query("champion_gate")
+def q_champion_gate(c: Context) -> DataFrame:
+    """Register the model when accuracy beats 0.50."""
+    return MM.champion_gate(MM.classification_metrics(_eval_rows(c)), "stored-predictions")
+
+
+@query("distinct_versions")
+def q_distinct_versions(c: Context) -> DataFrame:
+    """Distinct non-null model versions."""
+    return MM.distinct_versions(c.raw.predictions)
+
+
+@query("metrics_by_group")
+def q_metrics_by_group(c: Context) -> DataFrame:
+    """A10: per-league and overall metrics from one rollup."""
+    return MM.metrics_by_group(_eval_rows(c))
+
+
+@query("eval_report")
+def q_eval_report(c: Context) -> DataFrame:
+    """Evaluation report rows (overall + per league, versions, filters)."""
+    return MM.eval_report(_eval_rows(c))
+
+
+@query("conditional_count")
+def q_conditional_count(c: Context) -> DataFrame:
+    """Conditional sums per league and season."""
+    r = F.col("match_result")
+    return c.stg_fixtures.groupBy("league_id", "season").agg(
+        F.sum(F.when(r == C.HOME_WIN, 1).otherwise(0)).cast("long").alias("home_wins"),
+        F.sum(F.when(r == C.DRAW, 1).otherwise(0)).cast("long").alias("draws"),
+        F.count_if(r == C.AWAY_WIN).cast("long").alias("away_wins"))
+
+
+# --- R-checked ML queries (iterative / library models) ------------------------------------
+
+@query("poisson_fit")
+def q_poisson_fit(c: Context) -> DataFrame:
+    """Maximum-likelihood attack/defence per team (+ globals as columns)."""
+    p = MP.fit_mle(c.stg_fixtures)
+    return p.teams.withColumns({"home_advantage": F.lit(p.home_advantage),
+                                "intercept": F.lit(p.intercept), "method": F.lit(p.method)})
+
+
+@query("model_params_io")
+def q_model_params_io(c: Context) -> DataFrame:
+    """Fitted parameters written as a table version and read back."""
+    p = MP.fit_fallback(c.stg_fixtures)
+    store = K.TableStore(c.spark)
+    t = p.teams.withColumns({"home_advantage": F.lit(p.home_advantage),
+                             "intercept": F.lit(p.intercept)})
+    store.write(t, "poisson_params")
+    return store.read("poisson_params")
+
+
+@query("boosted_classifier")
+def q_boosted_classifier(c: Context) -> DataFrame:
+    """Test-set probabilities of the one-vs-rest boosted model and hybrid."""
+    r = _trained(c)
+    return r.test_scored.select("fixture_id", "gb_home_prob", "gb_draw_prob", "gb_away_prob",
+                                "hybrid_home_prob", "hybrid_draw_prob", "hybrid_away_prob",
+                                "predicted_result", "actual_result")
+
+
+@query("isotonic_calibration")
+def q_isotonic_calibration(c: Context) -> DataFrame:
+    """Test-period booster probabilities before and after the per-class
+    isotonic calibration (fitted on the last slice of the training period)."""
+    r = _trained(c)
+    raw = MB.OvRBooster(r.booster.models, r.booster.features, None)
+    test = r.test_scored.select("fixture_id", *r.booster.features, "label")
+    before = MB.predict_booster(raw, test, prefix="raw").select(
+        "fixture_id", "raw_home_prob", "raw_draw_prob", "raw_away_prob")
+    after = r.test_scored.select("fixture_id", "gb_home_prob", "gb_draw_prob", "gb_away_prob")
+    return before.join(after, "fixture_id")
+
+
+@query("kfold_accuracy")
+def q_kfold_accuracy(c: Context) -> DataFrame:
+    """Stratified 5-fold (no shuffle) accuracy, mean and population std."""
+    fm = MF.feature_matrix(SC.load_features(c.fct_match_features))
+    folded = MF.stratified_folds(fm).checkpoint()
+    accs = []
+    for f in range(5):
+        tr, te = folded.filter(F.col("fold") != f), folded.filter(F.col("fold") == f)
+        model = MB.fit_booster(tr, n_trees=QUERY_TREES)
+        pred = MH.decide(MB.predict_booster(model, te), prefix="gb")
+        acc = pred.agg(F.avg((C.encode_target("predicted_result") == F.col("label")).cast("double"))
+                       .alias("accuracy")).withColumn("fold", F.lit(f))
+        accs.append(acc)
+    from functools import reduce
+    allf = reduce(DataFrame.unionByName, accs)
+    return allf.agg(F.avg("accuracy").alias("cv_accuracy_mean"),
+                    F.stddev_pop("accuracy").alias("cv_accuracy_std"),
+                    F.count(F.lit(1)).alias("folds"))
+
+
+@query("feature_importance")
+def q_feature_importance(c: Context) -> DataFrame:
+    """Mean importance of each feature over the class models."""
+    return MB.feature_importance(_trained(c).booster, c.spark)
+
+
+@query("feature_ranking")
+def q_feature_ranking(c: Context) -> DataFrame:
+    """Importances ranked descending."""
+    imp = MB.feature_importance(_trained(c).booster, c.spark)
+    from pyspark.sql import Window
+    return imp.withColumn("rank", F.row_number().over(
+        Window.orderBy(F.col("importance").desc(), F.col("feature"))))  # 16 rows
+
+
+@query("predict_batch")
+def q_predict_batch(c: Context) -> DataFrame:
+    """Predictions for every not-yet-played fixture, upserted by fixture."""
+    r = _trained(c)
+    feats = MT.upcoming_features(c.raw.fixtures, c.team_form, c.stg_fixtures, c.stg_odds)
+    batch = MT.predict_batch(feats, r.poisson, r.booster, r.model_version, PREDICTED_AT)
+    store = K.TableStore(c.spark)
+    store.upsert(batch, "predictions", ["fixture_id"])
+    return store.read("predictions")

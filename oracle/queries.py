@@ -3,9 +3,10 @@
 from .adapters import with_raw
 from .intermediate import ALL_INTERMEDIATE
 from .marts import ALL_MARTS, LEAGUE_TYPE, sk
+from .ml import ALL_ML, D as ML_D, METRIC_COLS
 from .staging import ALL_STAGING
 
-_BASE = ALL_STAGING + ALL_INTERMEDIATE + ALL_MARTS
+_BASE = ALL_STAGING + ALL_INTERMEDIATE + ALL_MARTS + ALL_ML
 _SQL: dict[str, str] = {}
 
 
@@ -301,3 +302,42 @@ sql("league_filter", """SELECT req.league_name, m.api_league_id::BIGINT AS api_l
     ('Liga Profesional Argentina', 128), ('Liga MX', 262), ('MLS', 253), ('UEFA Champions League', 2),
     ('UEFA Europa League', 3), ('Copa Libertadores', 13), ('Copa Sulamericana', 11), ('FIFA World Cup', 1),
     ('Copa America', 9), ('UEFA Euro', 4)) v(league_name, api_league_id))""")
+
+
+sql("feature_matrix", "SELECT * FROM feature_matrix")
+sql("temporal_split", """SELECT fixture_id, match_date, rn <= floor(n * 0.8::DOUBLE) AS is_train FROM (
+  SELECT fixture_id, match_date, row_number() OVER (ORDER BY match_date::DATE, fixture_id) AS rn,
+    count(*) OVER () AS n FROM feature_matrix)""")
+sql("poisson_fallback", f"""SELECT team_id, round(attack, {ML_D}) AS attack, round(defence, {ML_D}) AS defence,
+  round(home_advantage, {ML_D}) AS home_advantage, round(intercept, {ML_D}) AS intercept FROM pf_teams""")
+sql("expected_goals", f"""SELECT fixture_id, home_team_id, away_team_id,
+  round(mu_h, {ML_D}) AS expected_home_goals, round(mu_a, {ML_D}) AS expected_away_goals FROM pf_eg""")
+sql("outcome_probs", "SELECT * FROM pf_probs")
+sql("hybrid_blend", """SELECT fixture_id, hybrid_home_prob, hybrid_draw_prob, hybrid_away_prob,
+  CASE WHEN hybrid_home_prob >= hybrid_draw_prob AND hybrid_home_prob >= hybrid_away_prob THEN 'HOME_WIN'
+       WHEN hybrid_draw_prob >= hybrid_away_prob THEN 'DRAW' ELSE 'AWAY_WIN' END AS predicted_result,
+  greatest(hybrid_home_prob, hybrid_draw_prob, hybrid_away_prob) AS confidence_score FROM hb""")
+sql("fct_predictions", "SELECT * FROM fct_predictions")
+sql("classification_metrics", f"SELECT {METRIC_COLS} FROM ev")
+sql("flat_bet_roi", f"SELECT n_matches, n_correct, n_wrong, flat_bet_roi FROM (SELECT {METRIC_COLS} FROM ev)")
+sql("confusion_matrix", """SELECT actual_result,
+  count(*) FILTER (WHERE predicted_result = 'HOME_WIN')::BIGINT AS HOME_WIN,
+  count(*) FILTER (WHERE predicted_result = 'DRAW')::BIGINT AS DRAW,
+  count(*) FILTER (WHERE predicted_result = 'AWAY_WIN')::BIGINT AS AWAY_WIN
+  FROM ev GROUP BY actual_result""")
+sql("champion_gate", f"""SELECT 'stored-predictions' AS model_version, accuracy, 0.5::DOUBLE AS baseline_accuracy,
+  accuracy > 0.5 AS registered FROM (SELECT {METRIC_COLS} FROM ev)""")
+sql("distinct_versions", "SELECT DISTINCT model_version FROM raw_predictions WHERE model_version IS NOT NULL")
+sql("metrics_by_group", f"""SELECT league_id, {METRIC_COLS},
+  CASE WHEN grouping(league_id) = 1 THEN 'overall' ELSE 'league' END AS scope
+  FROM ev GROUP BY ROLLUP (league_id)""")
+sql("eval_report", f"""SELECT league_id, {METRIC_COLS},
+  list(DISTINCT model_version ORDER BY model_version) FILTER (WHERE model_version IS NOT NULL) AS model_versions,
+  CASE WHEN grouping(league_id) = 1 THEN 'overall' ELSE 'league' END AS scope,
+  NULL::BIGINT AS filter_league, NULL::VARCHAR AS filter_since
+  FROM ev GROUP BY ROLLUP (league_id)""")
+sql("conditional_count", """SELECT league_id, season,
+  sum(CASE WHEN match_result = 'HOME_WIN' THEN 1 ELSE 0 END)::BIGINT AS home_wins,
+  sum(CASE WHEN match_result = 'DRAW' THEN 1 ELSE 0 END)::BIGINT AS draws,
+  count(*) FILTER (WHERE match_result = 'AWAY_WIN')::BIGINT AS away_wins
+  FROM stg_fixtures GROUP BY league_id, season""")
