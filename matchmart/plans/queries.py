@@ -915,3 +915,57 @@ def q_predict_batch(c: Context) -> DataFrame:
     store = K.TableStore(c.spark)
     store.upsert(batch, "predictions", ["fixture_id"])
     return store.read("predictions")
+
+
+# --- remaining inventory keys --------------------------------------------------------------
+
+@query("dropna_features")
+def q_dropna_features(c: Context) -> DataFrame:
+    """Feature rows with a null in any feature or the target removed."""
+    f = SC.load_features(c.fct_match_features)
+    return f.select("fixture_id", "league_id", "season", "match_result", *SC.FEATURE_COLUMNS)
+
+
+@query("lag_rank")
+def q_lag_rank(c: Context) -> DataFrame:
+    """Previous rank and rank change per (team, league, season) snapshot."""
+    return c.stg_standings.select("standing_id", "team_id", "league_id", "season", "updated_at",
+                                  "rank", "prev_rank", "rank_change")
+
+
+@query("order_by_date")
+def q_order_by_date(c: Context) -> DataFrame:
+    """Feature rows in chronological order (range-partitioned global sort)."""
+    f = SC.load_features(c.fct_match_features, ordered=True)
+    return f.select("fixture_id", "match_date", "league_id", "match_result")
+
+
+@query("top_n_per_group")
+def q_top_n_per_group(c: Context) -> DataFrame:
+    """Top three of every current league table (points, goal difference)."""
+    from ..operators.windows import top_n
+    cur = M.latest_standings(c.stg_standings)
+    return top_n(cur, ["league_id", "season", "updated_at"],
+                 [F.col("points").desc(), F.col("goal_difference").desc(), F.col("team_id").asc()],
+                 3, rank_col="position").select("league_id", "season", "team_id", "points",
+                                                "goal_difference", "position")
+
+
+@query("incremental_stream")
+def q_incremental_stream(c: Context) -> DataFrame:
+    """ST1: prediction files arriving in two deliveries merged by a streaming
+    job (availableNow trigger, watermark de-duplication, keyed upsert)."""
+    from pyspark.sql import types as T
+
+    from ..session import scratch_dir
+    from ..streaming.incremental import run_incremental_stream
+    base = scratch_dir(c.spark, "stream")
+    src, ckpt = f"{base}/incoming", f"{base}/_checkpoint"
+    p = c.raw.predictions
+    p.filter(F.col("predicted_at") < F.lit(FIRST_LOAD_BEFORE)).write.parquet(f"{src}/part=1")
+    p.filter(F.col("predicted_at") >= F.lit(FIRST_LOAD_BEFORE)).write.parquet(f"{src}/part=2")
+    store = K.TableStore(c.spark, root=f"{base}/tables")
+    schema = T.StructType(p.schema.fields + [T.StructField("part", T.IntegerType())])
+    run_incremental_stream(c.spark, src, schema, store, "predictions",
+                           ["fixture_id"], "predicted_at", ckpt)
+    return store.read("predictions").drop("part")
