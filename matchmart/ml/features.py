@@ -31,11 +31,15 @@ def feature_matrix(df: DataFrame, features: list[str] | None = None,
     return out
 
 
-def _kth_in_order(df: DataFrame, k: int, day_col: str, id_col: str):
-    """(day, id) of the k-th row (1-based) in (day, id) order, or None."""
+def _kth_in_order(df: DataFrame, k: int, day_col: str, id_col: str, daily: DataFrame | None = None):
+    """(day, id) of the k-th row (1-based) in (day, id) order, or None.
+
+    ``df`` should be a narrow (day, id) frame; it is scanned once per level.
+    """
     if k <= 0:
         return None
-    daily = df.groupBy(F.to_date(day_col).alias("_d")).count()
+    if daily is None:
+        daily = df.groupBy(F.to_date(day_col).alias("_d")).count()
     w = Window.orderBy("_d").rowsBetween(Window.unboundedPreceding, 0)  # one row per day
     daily = daily.withColumn("_cum", F.sum("count").over(w))
     cut = daily.filter(F.col("_cum") >= k).orderBy("_d").select("_d", "_cum", "count").first()
@@ -58,10 +62,20 @@ def _kth_in_order(df: DataFrame, k: int, day_col: str, id_col: str):
 def temporal_split(df: DataFrame, train_fraction: float = 0.8, day_col: str = "match_date",
                    id_col: str = "fixture_id") -> DataFrame:
     """Add ``is_train``: the first ``int(n * fraction)`` rows in (date, id)
-    order are training rows, the rest test rows."""
-    n = df.count()
+    order are training rows, the rest test rows.
+
+    Only the narrow (day, id) projection is materialised (persisted, 16 bytes
+    a row) for the histogram passes; the upstream plan runs once for them and
+    the flag itself is a lazy column expression on ``df``.
+    """
+    from pyspark import StorageLevel
+    keys = df.select(F.col(day_col), F.col(id_col)).persist(StorageLevel.MEMORY_AND_DISK)
+    daily = keys.groupBy(F.to_date(day_col).alias("_d")).count().persist()
+    n = daily.agg(F.sum("count")).first()[0] or 0
     k = int(n * train_fraction)
-    cut = _kth_in_order(df, k, day_col, id_col)
+    cut = _kth_in_order(keys, k, day_col, id_col, daily)
+    keys.unpersist()
+    daily.unpersist()
     if cut is None:
         return df.withColumn("is_train", F.lit(False))
     day, last_id = cut

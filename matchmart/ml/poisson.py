@@ -164,10 +164,10 @@ def fit_mle(matches: DataFrame, max_iter: int = 50, tol: float = 1e-10) -> Poiss
 def fit_iterative(matches: DataFrame, max_iter: int = 500, tol: float = 1e-8) -> PoissonParams:
     """Multiplicative score-equation updates (any number of teams).
 
-    One pass over the pair table per iteration computes, for every team, its
-    expected goals scored and conceded per unit of its own parameter plus the
-    two global sums; parameters are then updated simultaneously, re-centred
-    and checkpointed (reliable checkpoint) to keep the lineage flat.
+    Each iteration runs three small passes over the pair table: attack given
+    defence, defence given the new attack, then home advantage and intercept in
+    closed form; parameters are re-centred and the team table checkpointed
+    (reliable checkpoint) to keep the lineage flat.
     """
     pairs = pair_table(matches).checkpoint()
     totals = pairs.agg(F.sum("hg").alias("hg"), F.sum("ag").alias("ag"),
@@ -183,37 +183,46 @@ def fit_iterative(matches: DataFrame, max_iter: int = 500, tol: float = 1e-8) ->
              .withColumns({"A": F.lit(1.0), "D": F.lit(1.0)}).checkpoint())
     n_teams = teams.count()
     H, K = math.exp(0.25), (hg_tot + ag_tot) / (2.0 * float(totals["n"]))
+    n = F.col("n")
+
+    def attach(t: DataFrame) -> DataFrame:
+        tb = _maybe_broadcast(t.select("team_id", "A", "D"), n_teams)
+        return (pairs.join(tb.select(F.col("team_id").alias("home_team_id"), F.col("A").alias("Ah"),
+                                     F.col("D").alias("Dh")), "home_team_id")
+                .join(tb.select(F.col("team_id").alias("away_team_id"), F.col("A").alias("Aa"),
+                                F.col("D").alias("Da")), "away_team_id"))
+
+    def exposure(t: DataFrame, home_expr, away_expr, name) -> DataFrame:
+        x = attach(t).select(F.explode(F.array(
+            F.struct(F.col("home_team_id").alias("team_id"), home_expr.alias("e")),
+            F.struct(F.col("away_team_id").alias("team_id"), away_expr.alias("e")))).alias("x"))
+        return x.select("x.*").groupBy("team_id").agg(F.sum("e").alias(name))
+
     converged, it = False, 0
     for it in range(1, max_iter + 1):
-        tb = _maybe_broadcast(teams.select("team_id", "A", "D"), n_teams)
-        p = (pairs.join(tb.select(F.col("team_id").alias("home_team_id"), F.col("A").alias("Ah"),
-                                  F.col("D").alias("Dh")), "home_team_id")
-             .join(tb.select(F.col("team_id").alias("away_team_id"), F.col("A").alias("Aa"),
-                             F.col("D").alias("Da")), "away_team_id"))
-        n = F.col("n")
-        contrib = p.select(F.explode(F.array(
-            F.struct(F.col("home_team_id").alias("team_id"), (n * H * F.col("Da")).alias("ea"),
-                     (n * F.col("Aa")).alias("ed"), F.lit(0.0).alias("hd"), F.lit(0.0).alias("ad")),
-            F.struct(F.col("away_team_id").alias("team_id"), (n * F.col("Dh")).alias("ea"),
-                     (n * H * F.col("Ah")).alias("ed"), F.lit(0.0).alias("hd"), F.lit(0.0).alias("ad")),
-            F.struct(F.lit(None).cast("long").alias("team_id"), F.lit(0.0).alias("ea"), F.lit(0.0).alias("ed"),
-                     (n * F.col("Ah") * F.col("Da")).alias("hd"), (n * F.col("Aa") * F.col("Dh")).alias("ad"))
-        )).alias("x")).select("x.*")
-        sums = contrib.groupBy("team_id").agg(*[F.sum(c).alias(c) for c in ("ea", "ed", "hd", "ad")]).checkpoint()
-        g = sums.filter(F.col("team_id").isNull()).first()
-        new = (teams.join(sums.filter(F.col("team_id").isNotNull()).select("team_id", "ea", "ed"), "team_id")
-               .withColumns({"A1": F.greatest(F.col("gf") / (F.col("ea") * K), F.lit(EPS)),
-                             "D1": F.greatest(F.col("ga") / (F.col("ed") * K), F.lit(EPS))}))
-        stats = new.agg(F.avg(F.log("A1")).alias("la"), F.avg(F.log("D1")).alias("ld"),
-                        F.max(F.greatest(F.abs(F.log(F.col("A1") / F.col("A"))),
-                                         F.abs(F.log(F.col("D1") / F.col("D"))))).alias("m")).first()
-        H_new = hg_tot / (K * g["hd"])
-        K_new = (hg_tot + ag_tot) / (H * g["hd"] + g["ad"])
-        delta = max(stats["m"] or 0.0, abs(math.log(H_new / H)), abs(math.log(K_new / K)))
-        teams = new.select("team_id", "gf", "ga",
-                           (F.col("A1") / math.exp(stats["la"])).alias("A"),
-                           (F.col("D1") / math.exp(stats["ld"])).alias("D")).checkpoint()
-        H, K = H_new, K_new * math.exp(stats["la"] + stats["ld"])
+        kk, hh = F.lit(K), F.lit(H)
+        # attack of i: home vs j -> K H D_j, away vs j -> K D_j
+        ea = exposure(teams, n * kk * hh * F.col("Da"), n * kk * F.col("Dh"), "ea")
+        t1 = (teams.join(ea, "team_id").withColumn("A0", F.col("A"))
+              .withColumn("A", F.greatest(F.col("gf") / F.col("ea"), F.lit(EPS))).drop("ea")
+              .checkpoint())
+        # defence of j: home vs i (i away) -> K A_i, away vs i (i home) -> K H A_i
+        ed = exposure(t1, n * kk * F.col("Aa"), n * kk * hh * F.col("Ah"), "ed")
+        t2 = (t1.join(ed, "team_id").withColumn("D0", F.col("D"))
+              .withColumn("D", F.greatest(F.col("ga") / F.col("ed"), F.lit(EPS))).drop("ed"))
+        g = t2.agg(F.avg(F.log("A")).alias("la"), F.avg(F.log("D")).alias("ld"),
+                   F.max(F.greatest(F.abs(F.log(F.col("A") / F.col("A0"))),
+                                    F.abs(F.log(F.col("D") / F.col("D0"))))).alias("m")).first()
+        t2 = t2.select("team_id", "gf", "ga", (F.col("A") / F.lit(math.exp(g["la"]))).alias("A"),
+                       (F.col("D") / F.lit(math.exp(g["ld"]))).alias("D")).checkpoint()
+        K = K * math.exp(g["la"] + g["ld"])
+        s = attach(t2).agg(F.sum(n * F.col("Ah") * F.col("Da")).alias("hd"),
+                           F.sum(n * F.col("Aa") * F.col("Dh")).alias("ad")).first()
+        # closed form given A, D: home goals fix K*H, away goals fix K
+        K_new = ag_tot / s["ad"]
+        H_new = hg_tot / (K_new * s["hd"])
+        delta = max(g["m"] or 0.0, abs(math.log(H_new / H)), abs(math.log(K_new / K)))
+        teams, H, K = t2, H_new, K_new
         if delta < tol:
             converged = True
             break
