@@ -4,14 +4,14 @@
 row and the previous ``n - 1`` rows of the same partition, ordered by the order
 columns (a ROWS frame, not a time range).
 
-Two strategies compute the same rows:
+Three strategies compute the same rows:
 
 ``window``
     one ``Window.partitionBy(partition).orderBy(order).rowsBetween(-(n-1), 0)``.
     Every partition key is processed by exactly one task, so a key holding a
     third of the data puts a third of the data into one task.
 
-``chunked`` (default)
+``chunked``
     the ordered sequence of each partition key is cut into chunks by a column
     that is monotone in the order (by default the calendar day of the first
     order column).  The window runs per ``(partition, chunk)`` and every chunk
@@ -23,6 +23,13 @@ Two strategies compute the same rows:
     result is exact for ROWS frames: a chunk with fewer than ``H`` rows is
     handled because the halo is taken across as many earlier chunks as needed.
 
+``auto`` (default)
+    one cheap aggregate counts rows per key and keeps the keys above
+    ``hot_key_rows`` (at most ``total / hot_key_rows`` keys, so the list is
+    bounded and broadcast safely).  Without hot keys the plain window runs;
+    otherwise hot keys take the chunked path and all other keys the plain
+    window, and the two results are unioned.
+
 Both strategies order ties by every order column given; callers always pass a
 unique last key (fixture id) so results are deterministic.
 """
@@ -36,6 +43,35 @@ from pyspark.sql import functions as F
 
 _HALO = "_mm_halo"
 _REV = "_mm_rev"
+# Rows per key above which a key counts as hot (one task handles fewer rows
+# comfortably).  Session conf ``spark.matchmart.hotKeyRows`` overrides it.
+HOT_KEY_ROWS = 2_000_000
+
+
+def hot_keys(df: DataFrame, partition_by: Sequence[str], hot_key_rows: int | None = None) -> DataFrame | None:
+    """Keys with more than ``hot_key_rows`` rows, or None when there are none.
+
+    The result has at most ``rows / hot_key_rows`` entries (a proven bound), is
+    collected once and returned as a small literal DataFrame for broadcasting.
+    """
+    limit = hot_key_rows
+    if limit is None:
+        limit = int(df.sparkSession.conf.get("spark.matchmart.hotKeyRows", str(HOT_KEY_ROWS)))
+    hot = (df.groupBy(*partition_by).count().filter(F.col("count") > limit)
+           .select(*partition_by).collect())
+    if not hot:
+        return None
+    schema = df.select(*partition_by).schema
+    return df.sparkSession.createDataFrame([tuple(r) for r in hot], schema)
+
+
+def _auto(df: DataFrame, partition_by, hot_key_rows, plain, chunked) -> DataFrame:
+    hot = hot_keys(df, partition_by, hot_key_rows)
+    if hot is None:
+        return plain(df)
+    hot_b = F.broadcast(hot)
+    return plain(df.join(hot_b, list(partition_by), "left_anti")).unionByName(
+        chunked(df.join(hot_b, list(partition_by), "left_semi")))
 
 
 def _cols(xs) -> list[Column]:
@@ -105,9 +141,10 @@ def rolling_avg(
     specs: dict[str, tuple[str, int]],
     partition_by: Sequence[str],
     order_by: Sequence[str],
-    strategy: str = "chunked",
+    strategy: str = "auto",
     include_current: bool = True,
     chunk_by: Sequence[Column] | None = None,
+    hot_key_rows: int | None = None,
 ) -> DataFrame:
     """Add ``avg(col)`` over the last ``n`` rows for each ``out: (col, n)``.
 
@@ -121,12 +158,20 @@ def rolling_avg(
         return {out: F.avg(F.col(c)).over(frame(spec, n)) for out, (c, n) in specs.items()}
 
     look_back = max(n for _, n in specs.values()) - (1 if include_current else 0)
+
+    def plain(d: DataFrame) -> DataFrame:
+        return d.withColumns(compute(Window.partitionBy(*partition_by).orderBy(*order_by)))
+
+    def chunked(d: DataFrame) -> DataFrame:
+        return chunked_window(d, partition_by, order_by, look_back, compute, chunk_by)
+
     if strategy == "window":
-        spec = Window.partitionBy(*partition_by).orderBy(*order_by)
-        return df.withColumns(compute(spec))
-    if strategy != "chunked":
-        raise ValueError(f"unknown strategy {strategy!r}")
-    return chunked_window(df, partition_by, order_by, look_back, compute, chunk_by)
+        return plain(df)
+    if strategy == "chunked":
+        return chunked(df)
+    if strategy == "auto":
+        return _auto(df, partition_by, hot_key_rows, plain, chunked)
+    raise ValueError(f"unknown strategy {strategy!r}")
 
 
 def lag_by(
@@ -134,16 +179,25 @@ def lag_by(
     specs: dict[str, str],
     partition_by: Sequence[str],
     order_by: Sequence[str],
-    strategy: str = "chunked",
+    strategy: str = "auto",
     chunk_by: Sequence[Column] | None = None,
+    hot_key_rows: int | None = None,
 ) -> DataFrame:
     """Add ``lag(col, 1)`` per partition for each ``out: col``."""
     def compute(spec: WindowSpec) -> dict[str, Column]:
         return {out: F.lag(F.col(c), 1).over(spec) for out, c in specs.items()}
 
+    def plain(d: DataFrame) -> DataFrame:
+        return d.withColumns(compute(Window.partitionBy(*partition_by).orderBy(*order_by)))
+
+    def chunked(d: DataFrame) -> DataFrame:
+        return chunked_window(d, partition_by, order_by, 1, compute, chunk_by)
+
     if strategy == "window":
-        return df.withColumns(compute(Window.partitionBy(*partition_by).orderBy(*order_by)))
-    return chunked_window(df, partition_by, order_by, 1, compute, chunk_by)
+        return plain(df)
+    if strategy == "chunked":
+        return chunked(df)
+    return _auto(df, partition_by, hot_key_rows, plain, chunked)
 
 
 def top_n(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column],

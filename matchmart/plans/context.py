@@ -28,7 +28,7 @@ def normalize(df: DataFrame) -> DataFrame:
 
 
 class Context:
-    def __init__(self, spark: SparkSession, sf_dir: str, strategy: str = "chunked"):
+    def __init__(self, spark: SparkSession, sf_dir: str, strategy: str = "auto"):
         self.spark, self.sf_dir, self.strategy = spark, sf_dir, strategy
         self.raw = Raw(spark, sf_dir)
 

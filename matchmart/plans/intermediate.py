@@ -5,8 +5,9 @@ A03, A04, A05, J01-J03, J07).
 Plan notes
 * Appearances are an unpivot of one fixture scan (``explode`` of a two-element
   array), never a union of two scans.
-* Team form runs the chunked rolling window (see ``operators.windows``): the
-  only full shuffle is the one on (team, league, season, day).
+* Team form runs the rolling window with the ``auto`` strategy (see
+  ``operators.windows``): keys above the hot-key threshold take the chunked
+  window, whose only full shuffle is on (team, league, season, day).
 * The feature join pivots the two form rows of a fixture back into one row
   with a ``groupBy(fixture_id)`` instead of joining the form table twice; the
   pivot, the odds consensus and the fixtures then meet on ``fixture_id`` with
@@ -50,7 +51,7 @@ def appearances(stg_fixtures: DataFrame) -> DataFrame:
                     "a.points", "a.is_win", "a.perspective"))
 
 
-def team_form(stg_fixtures: DataFrame, strategy: str = "chunked",
+def team_form(stg_fixtures: DataFrame, strategy: str = "auto",
               include_current: bool = True) -> DataFrame:
     """Rolling 5- and 10-match form per (team, league, season)."""
     app = appearances(stg_fixtures)
@@ -99,7 +100,8 @@ def odds_consensus(stg_odds: DataFrame, market: str = "Match Winner") -> DataFra
           for s in ("home", "draw", "away")],
         *[F.round(F.avg(f"odd_{s}"), 4).cast("double").alias(f"avg_odd_{s}")
           for s in ("home", "draw", "away")],
-        F.countDistinct("bookmaker_name").alias("bookmaker_count"))
+        # bounded by bookmakers per fixture; one aggregation level, no Expand
+        F.size(F.collect_set("bookmaker_name")).cast("long").alias("bookmaker_count"))
 
 
 def venue_advantage(stg_fixtures: DataFrame) -> DataFrame:
@@ -124,7 +126,7 @@ def form_by_fixture(form: DataFrame) -> DataFrame:
 
 
 def match_features(stg_fixtures: DataFrame, stg_odds: DataFrame,
-                   form: DataFrame | None = None, strategy: str = "chunked") -> DataFrame:
+                   form: DataFrame | None = None, strategy: str = "auto") -> DataFrame:
     """One feature row per finished fixture."""
     form = form if form is not None else team_form(stg_fixtures, strategy=strategy)
     fb = form_by_fixture(form)
@@ -175,7 +177,7 @@ def match_features(stg_fixtures: DataFrame, stg_odds: DataFrame,
 
 
 def team_performance(stg_matches: DataFrame, stg_teams: DataFrame,
-                     strategy: str = "chunked", keep_side: bool = False) -> DataFrame:
+                     strategy: str = "auto", keep_side: bool = False) -> DataFrame:
     """W06 (legacy): rolling 5-match points and goals per team over all
     competitions and seasons, plus the team name.  ``keep_side`` keeps the
     HOME/AWAY perspective column for the match-level pivot."""

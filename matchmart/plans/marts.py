@@ -43,10 +43,12 @@ def all_leagues(stg_fixtures: DataFrame, stg_standings: DataFrame) -> DataFrame:
 def league_seasons(stg_fixtures: DataFrame) -> DataFrame:
     """first/last/count of seasons and the sorted distinct season list."""
     s = F.col("season")
-    return stg_fixtures.groupBy("league_id").agg(
+    # the season set per league is bounded by the calendar
+    out = stg_fixtures.groupBy("league_id").agg(
         F.min(s).alias("first_season"), F.max(s).alias("last_season"),
-        F.countDistinct(s).alias("total_seasons"),
         F.sort_array(F.collect_set(s)).alias("available_seasons"))
+    return out.withColumn("total_seasons", F.size("available_seasons").cast("long")).select(
+        "league_id", "first_season", "last_season", "total_seasons", "available_seasons")
 
 
 def league_stats(stg_fixtures: DataFrame) -> DataFrame:
@@ -81,9 +83,10 @@ def dim_league(stg_fixtures: DataFrame, stg_standings: DataFrame) -> DataFrame:
 def side_participation(stg_fixtures: DataFrame) -> DataFrame:
     """UNION ALL of the home-side and away-side aggregates."""
     def per_side(team_col):
+        # league and season sets per team are small and bounded
         return stg_fixtures.groupBy(F.col(team_col).alias("team_id")).agg(
-            F.countDistinct("league_id").alias("leagues_played"),
-            F.countDistinct("season").alias("seasons_played"),
+            F.size(F.collect_set("league_id")).cast("long").alias("leagues_played"),
+            F.size(F.collect_set("season")).cast("long").alias("seasons_played"),
             F.count(F.lit(1)).alias("total_home_matches"))
     return per_side("home_team_id").unionByName(per_side("away_team_id"))
 

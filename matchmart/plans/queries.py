@@ -78,7 +78,14 @@ def q_appearances(c: Context) -> DataFrame:
 
 @query("team_form")
 def q_team_form(c: Context) -> DataFrame:
-    """Rolling 5/10-match form per (team, league, season), chunked window."""
+    """Rolling 5/10-match form per (team, league, season); hot keys (if
+    any) take the chunked window, the rest the plain window."""
+    return I.team_form(c.stg_fixtures, strategy="auto")
+
+
+@query("team_form_chunked")
+def q_team_form_chunked(c: Context) -> DataFrame:
+    """W02 with every key on the chunked (halo) window path."""
     return I.team_form(c.stg_fixtures, strategy="chunked")
 
 
@@ -124,6 +131,12 @@ def q_team_performance(c: Context) -> DataFrame:
     return I.team_performance(c.stg_matches, c.stg_teams)
 
 
+@query("team_performance_chunked")
+def q_team_performance_chunked(c: Context) -> DataFrame:
+    """W06 with every team on the chunked (halo) window path."""
+    return I.team_performance(c.stg_matches, c.stg_teams, strategy="chunked")
+
+
 # --- marts ---------------------------------------------------------------------
 
 from pyspark.sql import functions as F  # noqa: E402

@@ -61,11 +61,11 @@ def stg_odds(raw: DataFrame) -> DataFrame:
         "implied_prob_away", "loaded_at")
 
 
-def stg_standings(raw: DataFrame, strategy: str = "chunked") -> DataFrame:
+def stg_standings(raw: DataFrame, strategy: str = "auto") -> DataFrame:
     """Typed standings snapshots plus previous rank and rank change.
 
-    The lag runs per (team, league, season) ordered by ``updated_at``; it uses
-    the chunked strategy so a hot key is split by snapshot day.
+    The lag runs per (team, league, season) ordered by ``updated_at``; keys
+    above the hot-key threshold are split by snapshot day (chunked window).
     """
     src = raw.filter(F.col("team_id").isNotNull() & F.col("league_id").isNotNull()
                      & F.col("season").isNotNull())

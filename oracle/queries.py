@@ -33,6 +33,7 @@ sql("stg_matches", "SELECT * FROM stg_matches")
 sql("stg_teams", "SELECT * FROM stg_teams")
 sql("appearances", "SELECT * FROM appearances")
 sql("team_form", "SELECT * FROM team_form")
+sql("team_form_chunked", "SELECT * FROM team_form")
 sql("rolling_avg", "SELECT * FROM team_form")
 sql("last_n_per_pair", "SELECT * FROM h2h_last5")
 sql("h2h_stats", "SELECT * FROM head_to_head")
@@ -40,6 +41,7 @@ sql("odds_consensus", "SELECT * FROM odds_consensus")
 sql("venue_advantage", "SELECT * FROM venue_advantage")
 sql("match_features", "SELECT * FROM match_features")
 sql("team_performance", "SELECT * FROM team_performance")
+sql("team_performance_chunked", "SELECT * FROM team_performance")
 
 sql("union_distinct", "SELECT * FROM all_leagues")
 sql("league_seasons", "SELECT * FROM league_seasons")

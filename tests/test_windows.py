@@ -75,3 +75,13 @@ def test_top_n_keeps_first_n(spark):
     exp = pdf.groupby("k").head(5)
     assert sorted(out["id"]) == sorted(exp["id"])
     assert out.groupby("k")["r"].max().max() <= 5
+
+
+def test_auto_strategy_splits_hot_keys(spark):
+    rows = _rows(6, 10, 2000, 0.6, 50)
+    df = _frame(spark, rows)
+    specs = {"a": ("v", 10)}
+    w = rolling_avg(df, specs, ["k"], ["ts", "id"], strategy="window").orderBy("k", "id").toPandas()
+    a = rolling_avg(df, specs, ["k"], ["ts", "id"], strategy="auto", hot_key_rows=500) \
+        .orderBy("k", "id").toPandas()
+    assert w["a"].fillna(-1).round(12).tolist() == a["a"].fillna(-1).round(12).tolist()
