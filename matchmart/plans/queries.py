@@ -738,7 +738,10 @@ def q_feature_matrix(c: Context) -> DataFrame:
 def q_temporal_split(c: Context) -> DataFrame:
     """First 80 % of feature rows in (date, fixture) order are training rows."""
     fm = MF.feature_matrix(SC.load_features(c.fct_match_features))
-    return MF.temporal_split(fm).select("fixture_id", "match_date", "is_train")
+    # the split only needs (date, id): cut the lineage on that narrow frame so
+    # the feature plan runs once for the histogram passes and the result
+    keys = fm.select("fixture_id", "match_date").checkpoint()
+    return MF.temporal_split(keys)
 
 
 @query("poisson_fallback")

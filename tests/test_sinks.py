@@ -86,3 +86,14 @@ def test_sync_all_columns(spark):
     out = K.sync_all_columns(t, b)
     assert out.columns == ["k", "keep", "new"]
     assert {r.k: r.new for r in out.collect()} == {1: None, 2: 1.5}
+
+
+def test_materialize_all_writes_every_model(spark):
+    from matchmart.plans.build import materialize_all
+    store_root = K.TableStore(spark).root + f"/build-{dt.datetime.now().strftime('%H%M%S%f')}"
+    paths = materialize_all(spark, "/root/testdata/sf0.001", root=store_root)
+    assert {"stg_fixtures", "int_team_form", "fct_match_features", "dq_failures"} <= set(paths)
+    fct = spark.read.parquet(paths["fct_match_features"])
+    stg = spark.read.parquet(paths["stg_fixtures"])
+    assert fct.count() == stg.count() > 0
+    assert spark.read.parquet(paths["dq_failures"]).count() == 0
