@@ -42,7 +42,7 @@ class Context:
 
     @cached_property
     def stg_standings(self) -> DataFrame:
-        return staging.stg_standings(self.raw.standings, strategy=self.strategy)
+        return staging.stg_standings(self.raw.standings)
 
     @cached_property
     def stg_teams_football(self) -> DataFrame:

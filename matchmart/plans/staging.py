@@ -51,8 +51,11 @@ def stg_odds(raw: DataFrame) -> DataFrame:
     src = src.withColumns({
         "raw_prob_home": probs["raw"][0], "raw_prob_draw": probs["raw"][1],
         "raw_prob_away": probs["raw"][2], "overround": probs["overround"]})
+    # probabilities < 1 and the overround (~1.1) fit decimal(12,6): the compact
+    # (long-backed) representation keeps later aggregates off BigDecimal
+    src = src.withColumn("overround", F.col("overround").cast("decimal(12,6)"))
     src = src.withColumns({
-        f"implied_prob_{s}": F.round(F.col(f"raw_prob_{s}") / F.col("overround"), 6)
+        f"implied_prob_{s}": F.round(F.col(f"raw_prob_{s}") / F.col("overround"), 6).cast("decimal(12,6)")
         for s in ("home", "draw", "away")})
     return src.select(
         "odds_id", "fixture_id", "bookmaker_id", "bookmaker_name", "market_name",
@@ -61,11 +64,13 @@ def stg_odds(raw: DataFrame) -> DataFrame:
         "implied_prob_away", "loaded_at")
 
 
-def stg_standings(raw: DataFrame, strategy: str = "auto") -> DataFrame:
+def stg_standings(raw: DataFrame, strategy: str = "window") -> DataFrame:
     """Typed standings snapshots plus previous rank and rank change.
 
-    The lag runs per (team, league, season) ordered by ``updated_at``; keys
-    above the hot-key threshold are split by snapshot day (chunked window).
+    The lag runs per (team, league, season) ordered by ``updated_at``.  A key
+    holds one row per snapshot of one season -- at most one per day, so at most
+    366 rows whatever the data volume -- hence the plain window is safe here
+    (``strategy="auto"``/``"chunked"`` remain available).
     """
     src = raw.filter(F.col("team_id").isNotNull() & F.col("league_id").isNotNull()
                      & F.col("season").isNotNull())
