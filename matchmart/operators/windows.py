@@ -40,6 +40,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _HALO = "_mm_halo"
 _REV = "_mm_rev"
@@ -48,30 +49,78 @@ _REV = "_mm_rev"
 HOT_KEY_ROWS = 2_000_000
 
 
-def hot_keys(df: DataFrame, partition_by: Sequence[str], hot_key_rows: int | None = None) -> DataFrame | None:
+def _hot_limit(df: DataFrame, hot_key_rows: int | None) -> int:
+    if hot_key_rows is not None:
+        return hot_key_rows
+    return int(df.sparkSession.conf.get("spark.matchmart.hotKeyRows", str(HOT_KEY_ROWS)))
+
+
+def hot_keys(df: DataFrame, partition_by: Sequence[str], hot_key_rows: int | None = None,
+             day: Column | None = None):
     """Keys with more than ``hot_key_rows`` rows, or None when there are none.
 
     The result has at most ``rows / hot_key_rows`` entries (a proven bound), is
     collected once and returned as a small literal DataFrame for broadcasting.
+    With ``day`` the same aggregate also returns the largest number of rows a
+    hot key has on one day (``(keys_df, max_day_rows)``).
     """
-    limit = hot_key_rows
-    if limit is None:
-        limit = int(df.sparkSession.conf.get("spark.matchmart.hotKeyRows", str(HOT_KEY_ROWS)))
-    hot = (df.groupBy(*partition_by).count().filter(F.col("count") > limit)
-           .select(*partition_by).collect())
+    limit = _hot_limit(df, hot_key_rows)
+    part = list(partition_by)
+    if day is None:
+        per_key = df.groupBy(*part).agg(F.count(F.lit(1)).alias("n"), F.lit(0).alias("d"))
+    else:
+        per_day = df.groupBy(*part, day.alias("_mm_day")).count()
+        per_key = per_day.groupBy(*part).agg(F.sum("count").alias("n"), F.max("count").alias("d"))
+    hot = per_key.filter(F.col("n") > limit).select(*part, "d").collect()
     if not hot:
         return None
-    schema = df.select(*partition_by).schema
-    return df.sparkSession.createDataFrame([tuple(r) for r in hot], schema)
+    schema = df.select(*part).schema
+    keys = df.sparkSession.createDataFrame([tuple(r)[:-1] for r in hot], schema)
+    if day is None:
+        return keys
+    return keys, max(r["d"] for r in hot)
+
 
+def _refined_chunks(df: DataFrame, order_by: Sequence[str], max_day_rows: int, limit: int):
+    """Finer chunks when one day of a hot key exceeds ``limit`` rows.
 
-def _auto(df: DataFrame, partition_by, hot_key_rows, plain, chunked) -> DataFrame:
-    hot = hot_keys(df, partition_by, hot_key_rows)
-    if hot is None:
+    The chunk must stay non-decreasing along ``order_by``:
+
+    * all timestamps at midnight (date-only data) and a numeric last order
+      column: (day, floor(id / width)) -- inside a day the order is by id;
+    * otherwise: (floor(epoch micros / width)) time buckets shorter than a day.
+
+    Widths assume uniform spread and aim at ``limit`` rows per chunk; only the
+    performance, never the result, depends on that assumption.
+    """
+    if max_day_rows <= limit:
+        return None
+    first, last = order_by[0], order_by[-1]
+    ts = F.col(first).cast("timestamp_ntz")
+    numeric_id = isinstance(df.schema[last].dataType, (T.LongType, T.IntegerType, T.ShortType))
+    r = df.agg(F.min(last).alias("lo") if numeric_id else F.lit(0).alias("lo"),
+               F.max(last).alias("hi") if numeric_id else F.lit(0).alias("hi"),
+               F.max((ts != F.date_trunc("day", ts).cast("timestamp_ntz")).cast("int")).alias("t")).first()
+    pieces = max(2, -(-max_day_rows // limit))
+    if not r["t"] and numeric_id:
+        width = max(1, (int(r["hi"]) - int(r["lo"]) + 1) // pieces)
+        return [F.to_date(ts), F.floor(F.col(last) / F.lit(width))]
+    micros = F.unix_micros(ts.cast("timestamp"))
+    width = max(1, 86_400_000_000 // pieces)
+    return [F.floor(micros / F.lit(width))]
+
+
+def _auto(df: DataFrame, partition_by, hot_key_rows, plain, chunked, order_by=None) -> DataFrame:
+    day = F.to_date(F.col(order_by[0])) if order_by else None
+    found = hot_keys(df, partition_by, hot_key_rows, day=day)
+    if found is None:
         return plain(df)
+    hot, max_day = found if isinstance(found, tuple) else (found, 0)
     hot_b = F.broadcast(hot)
+    hot_df = df.join(hot_b, list(partition_by), "left_semi")
+    chunks = _refined_chunks(hot_df, order_by, max_day, _hot_limit(df, hot_key_rows)) if order_by else None
     return plain(df.join(hot_b, list(partition_by), "left_anti")).unionByName(
-        chunked(df.join(hot_b, list(partition_by), "left_semi")))
+        chunked(hot_df, chunks))
 
 
 def _cols(xs) -> list[Column]:
@@ -162,15 +211,16 @@ def rolling_avg(
     def plain(d: DataFrame) -> DataFrame:
         return d.withColumns(compute(Window.partitionBy(*partition_by).orderBy(*order_by)))
 
-    def chunked(d: DataFrame) -> DataFrame:
-        return chunked_window(d, partition_by, order_by, look_back, compute, chunk_by)
+    def chunked(d: DataFrame, chunks=None) -> DataFrame:
+        return chunked_window(d, partition_by, order_by, look_back, compute, chunks or chunk_by)
 
     if strategy == "window":
         return plain(df)
     if strategy == "chunked":
         return chunked(df)
     if strategy == "auto":
-        return _auto(df, partition_by, hot_key_rows, plain, chunked)
+        return _auto(df, partition_by, hot_key_rows, plain, chunked,
+                     order_by=None if chunk_by else order_by)
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
@@ -190,14 +240,15 @@ def lag_by(
     def plain(d: DataFrame) -> DataFrame:
         return d.withColumns(compute(Window.partitionBy(*partition_by).orderBy(*order_by)))
 
-    def chunked(d: DataFrame) -> DataFrame:
-        return chunked_window(d, partition_by, order_by, 1, compute, chunk_by)
+    def chunked(d: DataFrame, chunks=None) -> DataFrame:
+        return chunked_window(d, partition_by, order_by, 1, compute, chunks or chunk_by)
 
     if strategy == "window":
         return plain(df)
     if strategy == "chunked":
         return chunked(df)
-    return _auto(df, partition_by, hot_key_rows, plain, chunked)
+    return _auto(df, partition_by, hot_key_rows, plain, chunked,
+                 order_by=None if chunk_by else order_by)
 
 
 def top_n(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column],

@@ -85,3 +85,31 @@ def test_auto_strategy_splits_hot_keys(spark):
     a = rolling_avg(df, specs, ["k"], ["ts", "id"], strategy="auto", hot_key_rows=500) \
         .orderBy("k", "id").toPandas()
     assert w["a"].fillna(-1).round(12).tolist() == a["a"].fillna(-1).round(12).tolist()
+
+
+def test_auto_refines_chunks_for_huge_days(spark):
+    # 3 days only, so each day of the hot key exceeds the (tiny) threshold and
+    # the chunks are refined to (day, id bucket)
+    rows = _rows(8, 5, 1500, 0.7, 3)
+    df = _frame(spark, rows)
+    specs = {"a": ("v", 10), "b": ("v", 3)}
+    w = rolling_avg(df, specs, ["k"], ["ts", "id"], strategy="window").orderBy("k", "id").toPandas()
+    a = rolling_avg(df, specs, ["k"], ["ts", "id"], strategy="auto", hot_key_rows=100) \
+        .orderBy("k", "id").toPandas()
+    for col in ("a", "b"):
+        assert w[col].fillna(-1).round(12).tolist() == a[col].fillna(-1).round(12).tolist()
+    lw = lag_by(df, {"p": "v"}, ["k"], ["ts", "id"], strategy="window").orderBy("k", "id").toPandas()
+    la = lag_by(df, {"p": "v"}, ["k"], ["ts", "id"], strategy="auto", hot_key_rows=100) \
+        .orderBy("k", "id").toPandas()
+    assert lw["p"].fillna(-1).tolist() == la["p"].fillna(-1).tolist()
+
+
+def test_auto_refines_date_only_with_id_buckets(spark):
+    rows = [(k, dt.datetime(2024, 1, 1) + dt.timedelta(days=d), i, v)
+            for (k, _, i, v), d in zip(_rows(9, 4, 1200, 0.7, 2), [i % 2 for i in range(1200)])]
+    df = _frame(spark, rows)
+    specs = {"a": ("v", 10)}
+    w = rolling_avg(df, specs, ["k"], ["ts", "id"], strategy="window").orderBy("k", "id").toPandas()
+    a = rolling_avg(df, specs, ["k"], ["ts", "id"], strategy="auto", hot_key_rows=50) \
+        .orderBy("k", "id").toPandas()
+    assert w["a"].fillna(-1).round(12).tolist() == a["a"].fillna(-1).round(12).tolist()
