@@ -193,11 +193,19 @@ class TableStore:
         path = self.current(name)
         return self.spark.read.parquet(path) if path else None
 
-    def write(self, df: DataFrame, name: str, analyze: bool = False) -> str:
-        """Materialise a new version and switch the pointer to it."""
+    def write(self, df: DataFrame, name: str, analyze: bool = False,
+              partition_by: list[str] | None = None) -> str:
+        """Materialise a new version and switch the pointer to it.
+
+        ``partition_by`` lays the files out by those columns (e.g. ``season``)
+        so readers filtering on them prune whole directories.
+        """
         version = f"v{time.time_ns()}-{uuid.uuid4().hex[:8]}"
         path = f"{self.root}/{name}/{version}"
-        df.write.mode("errorifexists").parquet(path)
+        writer = df.write.mode("errorifexists")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(path)
         tmp = self._Path(f"{self.root}/{name}/_CURRENT.{version}.tmp")
         fs = self._fs(tmp)
         out = fs.create(tmp, True)

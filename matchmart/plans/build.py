@@ -31,27 +31,29 @@ def materialize_all(spark: SparkSession, sf_dir: str, root: str | None = None,
     raw = Raw(spark, sf_dir)
     paths: dict[str, str] = {}
 
-    def put(name: str, df: DataFrame) -> DataFrame:
-        paths[name] = store.write(df, name)
+    def put(name: str, df: DataFrame, by_season: bool = False) -> DataFrame:
+        paths[name] = store.write(df, name, partition_by=["season"] if by_season else None)
         return store.read(name)
 
-    fixtures = put("raw_fixtures", raw.fixtures)
+    fixtures = put("raw_fixtures", raw.fixtures, by_season=True)
     odds = put("raw_odds", raw.odds)
-    standings = put("raw_standings", raw.standings)
+    standings = put("raw_standings", raw.standings, by_season=True)
     teams_fb = put("raw_teams_football", raw.teams_football)
 
-    stg_fixtures = put("stg_fixtures", S.stg_fixtures(fixtures))
+    stg_fixtures = put("stg_fixtures", S.stg_fixtures(fixtures), by_season=True)
     stg_odds = put("stg_odds", S.stg_odds(odds))
-    stg_standings = put("stg_standings", S.stg_standings(standings))
+    stg_standings = put("stg_standings", S.stg_standings(standings), by_season=True)
     stg_teams_fb = put("stg_teams_football", S.stg_teams_football(teams_fb))
 
-    form = put("int_team_form", I.team_form(stg_fixtures))
-    features = put("int_match_features", I.match_features(stg_fixtures, stg_odds, form=form))
+    form = put("int_team_form", I.team_form(stg_fixtures), by_season=True)
+    features = put("int_match_features", I.match_features(stg_fixtures, stg_odds, form=form),
+                   by_season=True)
 
     dim_league = put("dim_league", M.dim_league(stg_fixtures, stg_standings))
     dim_team = put("dim_team_football", M.dim_team_football(stg_teams_fb, stg_fixtures, run_ts))
-    put("fct_standings", M.fct_standings(stg_standings, dim_team, dim_league))
-    fct = put("fct_match_features", M.fct_match_features(features, dim_team, dim_league, run_ts))
+    put("fct_standings", M.fct_standings(stg_standings, dim_team, dim_league), by_season=True)
+    fct = put("fct_match_features", M.fct_match_features(features, dim_team, dim_league, run_ts),
+              by_season=True)
 
     failures = Q.run_checks(fct, "fct_match_features", "fixture_id", [
         Q.not_null("fixture_id"), Q.unique("fixture_id"),

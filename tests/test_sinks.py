@@ -97,3 +97,13 @@ def test_materialize_all_writes_every_model(spark):
     stg = spark.read.parquet(paths["stg_fixtures"])
     assert fct.count() == stg.count() > 0
     assert spark.read.parquet(paths["dq_failures"]).count() == 0
+
+
+def test_partitioned_table_prunes_by_season(spark):
+    from matchmart.plans.build import materialize_all
+    root = K.TableStore(spark).root + f"/build-p-{dt.datetime.now().strftime('%H%M%S%f')}"
+    paths = materialize_all(spark, "/root/testdata/sf0.001", root=root)
+    fct = spark.read.parquet(paths["fct_match_features"]).filter(F.col("season") == 1997)
+    plan = fct._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(season" in plan and "(season" in plan
+    assert fct.count() > 0
