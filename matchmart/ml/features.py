@@ -87,16 +87,23 @@ def class_positions(df: DataFrame, label: str = "label", day_col: str = "match_d
                     id_col: str = "fixture_id") -> DataFrame:
     """0-based position of each row inside its class in (date, id) order.
 
-    Counts per (class, day) (small table) give the offset of each day; a
-    ``row_number`` per (class, day) gives the rank inside the day.
+    Two histogram levels give exact offsets: counts per (class, day) -- one
+    row per class and day -- and counts per (class, day, id bucket); the final
+    ``row_number`` runs inside one (class, day, id bucket), which holds at most
+    ``ID_BUCKET`` rows because ids are unique.  No window sees a whole class.
     """
-    d = F.to_date(day_col)
-    x = df.withColumn("_d", d)
-    daily = x.groupBy(label, "_d").count()
-    w = Window.partitionBy(label).orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
-    daily = daily.withColumn("_off", F.coalesce(F.sum("count").over(w), F.lit(0))).drop("count")
-    rn = F.row_number().over(Window.partitionBy(label, "_d").orderBy(id_col)) - 1
-    return x.join(daily, [label, "_d"]).withColumn("_pos", F.col("_off") + rn).drop("_off", "_d")
+    x = df.withColumns({"_d": F.to_date(day_col), "_b": F.floor(F.col(id_col) / ID_BUCKET)})
+    cells = x.groupBy(label, "_d", "_b").count()
+    days = cells.groupBy(label, "_d").agg(F.sum("count").alias("n_day"))
+    w_day = Window.partitionBy(label).orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
+    days = days.withColumn("_off_d", F.coalesce(F.sum("n_day").over(w_day), F.lit(0))).drop("n_day")
+    w_b = Window.partitionBy(label, "_d").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("_off_b", F.coalesce(F.sum("count").over(w_b), F.lit(0))).drop("count")
+    offsets = cells.join(days, [label, "_d"]).select(
+        label, "_d", "_b", (F.col("_off_d") + F.col("_off_b")).alias("_off"))
+    rn = F.row_number().over(Window.partitionBy(label, "_d", "_b").orderBy(id_col)) - 1
+    return (x.join(offsets, [label, "_d", "_b"]).withColumn("_pos", F.col("_off") + rn)
+            .drop("_off", "_d", "_b"))
 
 
 def stratified_folds(df: DataFrame, n_splits: int = 5, label: str = "label") -> DataFrame:

@@ -6,7 +6,9 @@ days.  (1) Per (key, day) the last data row of the day (``max_by``, partial
 aggregation).  (2) On that small per-day table -- one row per key and day --
 the last data row of any *earlier* day is a running ``last(ignorenulls)``.
 (3) Inside the probe's own day, the last earlier data row comes from a window
-over (key, day), whose size is bounded by one day of data.  The answer is the
+over (key, day).  The data side is first reduced to the last row per (key,
+timestamp), so that window holds at most one data row per distinct timestamp
+of the day plus the day's probes.  The answer is the
 same-day hit, else the earlier-days hit.
 """
 
@@ -29,8 +31,14 @@ def asof_join(probes: DataFrame, data: DataFrame, by: Sequence[str], probe_ts: s
     pk = [c for c in probe_key if c not in by]
     tie = [F.col(tie_col)] if tie_col else []
     payload = F.struct(F.col(data_ts).alias("_ts"), *tie, *[F.col(c) for c in value_cols])
-    d = data.select(*by, F.col(data_ts).alias("_t"), F.to_date(F.col(data_ts)).alias("_day"),
-                    payload.alias("_v"), F.lit(0).alias("_side"))
+    # only the last data row of each (key, timestamp) can ever be returned:
+    # reduce the data side to it first (partial aggregation, map-side)
+    d = data.select(*by, F.col(data_ts).alias("_t"), payload.alias("_v"))
+    if tie_col:
+        d = d.groupBy(*by, "_t").agg(F.max_by("_v", F.col(f"_v.{tie_col}")).alias("_v"))
+    else:
+        d = d.groupBy(*by, "_t").agg(F.max("_v").alias("_v"))
+    d = d.select(*by, "_t", F.to_date("_t").alias("_day"), "_v", F.lit(0).alias("_side"))
     p = probes
     p_keys = p.select(*by, *pk, F.col(probe_ts).alias("_t"), F.to_date(F.col(probe_ts)).alias("_day"),
                       F.lit(None).cast(d.schema["_v"].dataType).alias("_v"), F.lit(1).alias("_side"))
