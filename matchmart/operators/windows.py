@@ -61,24 +61,23 @@ def hot_keys(df: DataFrame, partition_by: Sequence[str], hot_key_rows: int | Non
 
     The result has at most ``rows / hot_key_rows`` entries (a proven bound), is
     collected once and returned as a small literal DataFrame for broadcasting.
-    With ``day`` the same aggregate also returns the largest number of rows a
-    hot key has on one day (``(keys_df, max_day_rows)``).
+    With ``day``, the largest number of rows one hot key has on one day is
+    measured too (a second aggregate over the hot keys only) and
+    ``(keys_df, max_day_rows)`` is returned.
     """
     limit = _hot_limit(df, hot_key_rows)
     part = list(partition_by)
-    if day is None:
-        per_key = df.groupBy(*part).agg(F.count(F.lit(1)).alias("n"), F.lit(0).alias("d"))
-    else:
-        per_day = df.groupBy(*part, day.alias("_mm_day")).count()
-        per_key = per_day.groupBy(*part).agg(F.sum("count").alias("n"), F.max("count").alias("d"))
-    hot = per_key.filter(F.col("n") > limit).select(*part, "d").collect()
+    hot = (df.groupBy(*part).count().filter(F.col("count") > limit)
+           .select(*part).collect())
     if not hot:
         return None
     schema = df.select(*part).schema
-    keys = df.sparkSession.createDataFrame([tuple(r)[:-1] for r in hot], schema)
+    keys = df.sparkSession.createDataFrame([tuple(r) for r in hot], schema)
     if day is None:
         return keys
-    return keys, max(r["d"] for r in hot)
+    per_day = (df.join(F.broadcast(keys), part, "left_semi")
+               .groupBy(*part, day.alias("_mm_day")).count())
+    return keys, int(per_day.agg(F.max("count")).first()[0] or 0)
 
 
 def _refined_chunks(df: DataFrame, order_by: Sequence[str], max_day_rows: int, limit: int):
