@@ -98,9 +98,13 @@ def pair_table(matches: DataFrame) -> DataFrame:
         F.sum("away_goals").cast("double").alias("ag"))
 
 
-def _team_index(pairs: DataFrame) -> DataFrame:
-    """Dense 0-based index per team (the team table is small: one row per team)."""
-    teams = pairs.select(F.explode(F.array("home_team_id", "away_team_id")).alias("team_id")).distinct()
+def _teams(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("home_team_id", "away_team_id")).alias("team_id")).distinct()
+
+
+def _team_index(teams: DataFrame) -> DataFrame:
+    """Dense 0-based index per team.  Only called for at most GLR_MAX_TEAMS
+    teams, so the single ordered window sees a bounded table."""
     return teams.withColumn("i", (F.dense_rank().over(Window.orderBy("team_id")) - 1).cast("double"))
 
 
@@ -116,12 +120,12 @@ def fit_mle(matches: DataFrame, max_iter: int = 50, tol: float = 1e-10) -> Poiss
     Falls back to M04 when the fit does not converge.
     """
     pairs = pair_table(matches).checkpoint()
-    idx = _team_index(pairs).checkpoint()
-    n_teams = idx.count()
+    n_teams = _teams(pairs).count()
     if n_teams < 2:
         return fit_fallback(matches)
     if n_teams > GLR_MAX_TEAMS:
         return fit_iterative(matches, max_iter=max(max_iter, 200))
+    idx = _team_index(_teams(pairs)).checkpoint()
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import OneHotEncoder, VectorAssembler
     from pyspark.ml.regression import GeneralizedLinearRegression

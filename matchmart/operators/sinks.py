@@ -193,8 +193,7 @@ class TableStore:
         path = self.current(name)
         return self.spark.read.parquet(path) if path else None
 
-    def write(self, df: DataFrame, name: str, analyze: bool = False,
-              partition_by: list[str] | None = None) -> str:
+    def write(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> str:
         """Materialise a new version and switch the pointer to it.
 
         ``partition_by`` lays the files out by those columns (e.g. ``season``)
@@ -217,8 +216,6 @@ class TableStore:
         if fs.exists(dst):
             fs.delete(dst, False)
         fs.rename(tmp, dst)
-        if analyze:
-            self.spark.read.parquet(path).createOrReplaceTempView(f"_mm_{name}")
         return path
 
     # K04 / K07 in persistent form -----------------------------------------------------

@@ -537,9 +537,9 @@ def q_mat_view(c: Context) -> DataFrame:
 
 @query("mat_ephemeral")
 def q_mat_ephemeral(c: Context) -> DataFrame:
-    """An inlined (ephemeral) intermediate model used by two consumers."""
-    h = K.ephemeral(I.head_to_head(c.stg_fixtures), fan_out=1)
-    return h
+    """An inlined (ephemeral) intermediate model: no materialisation, its
+    plan is inlined into the consumer (cached only when fan-out > 1)."""
+    return K.ephemeral(I.head_to_head(c.stg_fixtures), fan_out=1)
 
 
 @query("mat_table")

@@ -3,7 +3,8 @@
 from .adapters import with_raw
 from .intermediate import ALL_INTERMEDIATE
 from .marts import ALL_MARTS, LEAGUE_TYPE, sk
-from .ml import ALL_ML, D as ML_D, METRIC_COLS
+from .ml import ALL_ML, FEATS, METRIC_COLS
+from .ml import D as ML_D
 from .staging import ALL_STAGING
 
 _BASE = ALL_STAGING + ALL_INTERMEDIATE + ALL_MARTS + ALL_ML
@@ -345,15 +346,15 @@ sql("conditional_count", """SELECT league_id, season,
   FROM stg_fixtures GROUP BY league_id, season""")
 
 sql("dropna_features", f"""SELECT fixture_id, league_id, season, match_result,
-  {", ".join(c for c in __import__("oracle.ml", fromlist=["FEATS"]).FEATS)}
+  {", ".join(FEATS)}
   FROM fct_match_features WHERE match_result IS NOT NULL AND
-  {" AND ".join(c + " IS NOT NULL" for c in __import__("oracle.ml", fromlist=["FEATS"]).FEATS)}""")
+  {" AND ".join(c + " IS NOT NULL" for c in FEATS)}""")
 sql("lag_rank", """SELECT standing_id, team_id, league_id, season, updated_at, rank, prev_rank, rank_change
   FROM stg_standings""")
 sql("order_by_date", """SELECT fixture_id, match_date, league_id, match_result FROM feature_matrix_full
   ORDER BY match_date, fixture_id""", f"""feature_matrix_full AS (SELECT * FROM fct_match_features
   WHERE match_result IS NOT NULL AND
-  {" AND ".join(c + " IS NOT NULL" for c in __import__("oracle.ml", fromlist=["FEATS"]).FEATS)})""")
+  {" AND ".join(c + " IS NOT NULL" for c in FEATS)})""")
 sql("top_n_per_group", """SELECT league_id, season, team_id, points, goal_difference, position FROM (
   SELECT *, row_number() OVER (PARTITION BY league_id, season, updated_at
     ORDER BY points DESC, goal_difference DESC, team_id ASC)::BIGINT AS position FROM latest_standings)
