@@ -20,6 +20,14 @@ SURROGATE_NULL = "_dbt_utils_surrogate_key_null_"
 # ---------------------------------------------------------------------------
 
 
+def ts_lit(v) -> Column:
+    """TIMESTAMP_NTZ literal from text or a datetime, built from its text so the
+    session time zone never shifts it."""
+    if hasattr(v, "isoformat"):
+        v = v.isoformat(sep=" ") if hasattr(v, "hour") else v.isoformat()
+    return F.lit(None if v is None else str(v)).cast("timestamp_ntz")
+
+
 def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

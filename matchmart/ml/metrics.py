@@ -53,7 +53,7 @@ def evaluation_rows(predictions: DataFrame, features: DataFrame, league_id=None,
     if league_id is not None:
         j = j.filter(F.col("league_id") == F.lit(league_id))
     if since is not None:
-        j = j.filter(F.col("match_date") >= F.lit(since).cast("timestamp_ntz"))
+        j = j.filter(F.col("match_date") >= C.ts_lit(since))
     return j
 
 

@@ -78,7 +78,7 @@ def upcoming_features(raw_fixtures: DataFrame, team_form: DataFrame, stg_fixture
     bookmaker consensus."""
     fx = raw_fixtures.filter(~F.col("status").isin(*C.TERMINAL_STATUSES))
     if now is not None:
-        start = F.lit(now).cast("timestamp_ntz")
+        start = C.ts_lit(now)
         fx = fx.filter(F.col("match_date") >= start)
         if days is not None:
             fx = fx.filter(F.col("match_date") < start + F.expr(f"INTERVAL {int(days)} DAYS"))
@@ -118,4 +118,4 @@ def predict_batch(features: DataFrame, poisson: PO.PoissonParams, booster: B.OvR
         *[f"{m}_{x}_prob" for m in ("poisson", "gb", "hybrid") for x in HY.SIDES],
         "predicted_result", "confidence_score", "expected_home_goals", "expected_away_goals",
         F.lit(model_version).alias("model_version"),
-        F.lit(predicted_at).cast("timestamp_ntz").alias("predicted_at"))
+        C.ts_lit(predicted_at).alias("predicted_at"))

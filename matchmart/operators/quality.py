@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import columns as C
+
 FAILURE_SCHEMA = T.StructType([
     T.StructField("check", T.StringType()), T.StructField("model", T.StringType()),
     T.StructField("column", T.StringType()), T.StructField("key", T.StringType()),
@@ -142,7 +144,7 @@ def source_freshness(df: DataFrame, source: str, loaded_at: str, now,
                      warn_hours: float = 12, error_hours: float = 24) -> DataFrame:
     """Q06: one row per source: newest load, its age in hours and
     pass / warn (> warn_hours) / error (> error_hours)."""
-    now_c = F.lit(now).cast("timestamp_ntz")
+    now_c = C.ts_lit(now)
     agg = df.agg(F.max(F.col(loaded_at).cast("timestamp_ntz")).alias("max_loaded_at"))
     age = (F.unix_timestamp(now_c) - F.unix_timestamp(F.col("max_loaded_at"))) / 3600.0
     agg = agg.withColumn("age_hours", F.round(age, 3))

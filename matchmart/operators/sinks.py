@@ -94,7 +94,9 @@ def incremental_batch(src: DataFrame, target: DataFrame | None, watermark: str,
     wm = target.agg(F.max(watermark).alias("wm")).first()["wm"]
     if wm is None:
         return src
-    bound = F.lit(wm)
+    # a text literal cast to the column's type: no time-zone conversion
+    bound = F.lit(wm.isoformat(sep=" ") if hasattr(wm, "isoformat") else wm).cast(
+        target.schema[watermark].dataType)
     if lookback:
         bound = bound - F.expr(f"INTERVAL {lookback}")
     return src.filter(F.col(watermark) > bound)
@@ -140,7 +142,7 @@ def scd2_snapshot(prev: DataFrame | None, src: DataFrame, key: str, updated_at:
     in_cur, in_src = F.col("dbt_scd_id").isNotNull(), F.col("_mm_k").isNotNull()
     changed = in_cur & in_src & (F.col("_mm_src_upd") > F.col("dbt_updated_at"))
     deleted = in_cur & ~in_src
-    run = F.lit(run_ts).cast("timestamp_ntz")
+    run = C.ts_lit(run_ts)
     valid_to = (F.when(changed, F.col("_mm_src_upd"))
                 .when(deleted & F.lit(invalidate_hard_deletes), run))
     cur_out = (j.filter(in_cur)

@@ -16,6 +16,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import columns as C
 from ..operators import quality as Q
 from ..operators import sinks as K
 from ..sources.adapters import Raw
@@ -61,5 +62,5 @@ def materialize_all(spark: SparkSession, sf_dir: str, root: str | None = None,
         Q.relationships("home_team_id", "dim_team_football", "team_id"),
         Q.relationships("league_id", "dim_league", "league_id")],
         {"dim_team_football": dim_team, "dim_league": dim_league})
-    put("dq_failures", failures.withColumn("run_ts", F.lit(run_ts or M.DEFAULT_RUN_TS)))
+    put("dq_failures", failures.withColumn("run_ts", C.ts_lit(run_ts or M.DEFAULT_RUN_TS)))
     return paths

@@ -24,7 +24,9 @@ DEFAULT_RUN_TS = _dt.datetime(2024, 6, 1, 0, 0, 0)
 
 
 def _ts(run_ts) -> F.Column:
-    return F.lit(run_ts or DEFAULT_RUN_TS).cast("timestamp_ntz")
+    """Audit timestamp literal, built from text so the session time zone
+    cannot shift it."""
+    return C.ts_lit(run_ts or DEFAULT_RUN_TS)
 
 
 def _rate(c) -> F.Column:

@@ -74,7 +74,7 @@ def upcoming_fixtures(raw_fixtures: DataFrame, now, days: int = 7,
     ``half_open=True`` is the ML variant ``[now, now + days)``.  ``now`` is a
     parameter, never the wall clock.
     """
-    start = F.lit(now).cast("timestamp_ntz")
+    start = C.ts_lit(now)
     end = start + F.expr(f"INTERVAL {int(days)} DAYS")
     d = F.col("match_date")
     in_range = (d >= start) & ((d < end) if half_open else (d <= end))
