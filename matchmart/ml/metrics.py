@@ -100,3 +100,10 @@ def eval_report(rows: DataFrame, league_filter=None, since=None) -> DataFrame:
     blocks = metrics_by_group(rows, extra=[versions])
     return (blocks.withColumn("filter_league", F.lit(league_filter).cast("long"))
             .withColumn("filter_since", F.lit(since).cast("string")))
+
+
+def save_report(report: DataFrame, store, name: str = "eval_report") -> DataFrame:
+    """K10 sink: the report rows written as a JSON table version (one small
+    file per block group) and read back with the same schema."""
+    store.write(report, name, fmt="json")
+    return store.read(name, schema=report.schema)

@@ -168,6 +168,7 @@ class TableStore:
         self.spark = spark
         self.root = (root or ensure_checkpoint_dir(spark).rstrip("/") + "/tables").rstrip("/")
         jvm = spark.sparkContext._jvm
+        self._formats: dict[str, str] = {}
         self._Path = jvm.org.apache.hadoop.fs.Path
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
 
@@ -191,22 +192,29 @@ class TableStore:
             stream.close()
         return f"{self.root}/{name}/{line.strip()}" if line else None
 
-    def read(self, name: str) -> DataFrame | None:
+    def read(self, name: str, schema=None) -> DataFrame | None:
         path = self.current(name)
-        return self.spark.read.parquet(path) if path else None
+        if not path:
+            return None
+        fmt = self._formats.get(path) or ("json" if path.rsplit("/", 1)[-1].startswith("j") else "parquet")
+        reader = self.spark.read.schema(schema) if schema is not None else self.spark.read
+        return reader.json(path) if fmt == "json" else reader.parquet(path)
 
-    def write(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> str:
+    def write(self, df: DataFrame, name: str, partition_by: list[str] | None = None,
+              fmt: str = "parquet") -> str:
         """Materialise a new version and switch the pointer to it.
 
         ``partition_by`` lays the files out by those columns (e.g. ``season``)
-        so readers filtering on them prune whole directories.
+        so readers filtering on them prune whole directories.  ``fmt="json"``
+        writes JSON lines (reports); the version name records the format.
         """
-        version = f"v{time.time_ns()}-{uuid.uuid4().hex[:8]}"
+        version = f"{'j' if fmt == 'json' else 'v'}{time.time_ns()}-{uuid.uuid4().hex[:8]}"
         path = f"{self.root}/{name}/{version}"
         writer = df.write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(path)
+        writer.json(path) if fmt == "json" else writer.parquet(path)
+        self._formats[path] = fmt
         tmp = self._Path(f"{self.root}/{name}/_CURRENT.{version}.tmp")
         fs = self._fs(tmp)
         out = fs.create(tmp, True)

@@ -830,8 +830,9 @@ def q_metrics_by_group(c: Context) -> DataFrame:
 
 @query("eval_report")
 def q_eval_report(c: Context) -> DataFrame:
-    """Evaluation report rows (overall + per league, versions, filters)."""
-    return MM.eval_report(_eval_rows(c))
+    """Evaluation report (overall + per league blocks, model versions,
+    filters) written as a JSON table version and read back."""
+    return MM.save_report(MM.eval_report(_eval_rows(c)), K.TableStore(c.spark))
 
 
 @query("conditional_count")
