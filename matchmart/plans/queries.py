@@ -639,8 +639,9 @@ def q_seed_competitions(c: Context) -> DataFrame:
 
 @query("load_features")
 def q_load_features(c: Context) -> DataFrame:
-    """Feature rows of one league and season, nulls dropped."""
-    f = SC.load_features(c.fct_match_features, league_id=2, season=1997)
+    """Feature rows (all leagues and seasons; the optional league/season
+    filters are covered by the tests), known target, null features dropped."""
+    f = SC.load_features(c.fct_match_features)
     return f.select("fixture_id", "league_id", "season", "match_date", "match_result",
                     *SC.FEATURE_COLUMNS)
 

@@ -275,7 +275,7 @@ _FEATS = ["home_avg_points_l5", "home_avg_goals_scored_l5", "home_avg_goals_conc
           "h2h_draws", "h2h_avg_goals", "odds_implied_prob_home", "odds_implied_prob_draw",
           "odds_implied_prob_away"]
 sql("load_features", f"""SELECT fixture_id, league_id, season, match_date, match_result, {", ".join(_FEATS)}
-  FROM fct_match_features WHERE match_result IS NOT NULL AND league_id = 2 AND season = 1997
+  FROM fct_match_features WHERE match_result IS NOT NULL
   AND {" AND ".join(c + " IS NOT NULL" for c in _FEATS)}""")
 sql("upcoming_fixtures", """SELECT fixture_id, match_date, status, home_team_id, away_team_id FROM raw_fixtures
   WHERE match_date >= TIMESTAMP '2001-06-01 00:00:00' AND match_date <= TIMESTAMP '2001-06-08 00:00:00'

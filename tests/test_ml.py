@@ -114,3 +114,15 @@ def test_metrics_small_example(spark):
     assert g == {"overall": 3}
     cm = {r.actual_result: (r.HOME_WIN, r.DRAW, r.AWAY_WIN) for r in MM.confusion_matrix(df).collect()}
     assert cm["DRAW"] == (1, 0, 0)
+
+
+def test_load_features_filters(spark):
+    from matchmart.sources import scan as SC
+    c = Context(spark, "/root/testdata/sf0.001")
+    allf = SC.load_features(c.fct_match_features)
+    one = SC.load_features(c.fct_match_features, league_id=2, season=1997)
+    exp = allf.filter((F.col("league_id") == 2) & (F.col("season") == 1997))
+    assert sorted(r.fixture_id for r in one.collect()) == sorted(r.fixture_id for r in exp.collect())
+    assert one.filter(F.col("odds_implied_prob_home").isNull()).count() == 0
+    ordered = SC.load_features(c.fct_match_features, ordered=True).select("match_date", "fixture_id").collect()
+    assert ordered == sorted(ordered, key=lambda r: (r.match_date, r.fixture_id))
