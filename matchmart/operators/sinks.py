@@ -45,8 +45,13 @@ def sync_all_columns(target: DataFrame, batch: DataFrame) -> DataFrame:
 # --- K07 / K08: keyed writes as DataFrame algebra -----------------------------------------
 
 def dedupe_latest(df: DataFrame, key: list[str], order: list) -> DataFrame:
-    """Keep one row per key: the first by ``order`` (e.g. newest load)."""
-    w = Window.partitionBy(*key).orderBy(*order)
+    """Keep one row per key: the first by ``order`` (e.g. newest load).
+
+    A hash of the whole row breaks remaining ties, so a recomputed task (after
+    an executor loss) keeps the same row.
+    """
+    tie = F.xxhash64(*[F.col(c) for c in df.columns])
+    w = Window.partitionBy(*key).orderBy(*order, tie)
     return df.withColumn("_mm_rn", F.row_number().over(w)).filter("_mm_rn = 1").drop("_mm_rn")
 
 
