@@ -113,3 +113,31 @@ def test_auto_refines_date_only_with_id_buckets(spark):
     a = rolling_avg(df, specs, ["k"], ["ts", "id"], strategy="auto", hot_key_rows=50) \
         .orderBy("k", "id").toPandas()
     assert w["a"].fillna(-1).round(12).tolist() == a["a"].fillna(-1).round(12).tolist()
+
+
+def test_chunked_spreads_a_hot_key_over_tasks(spark):
+    """The plain window puts a hot key into one task; the chunked window
+    spreads it over the shuffle partitions (one chunk per day)."""
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # keep 8 visible partitions
+    try:
+        rows = _rows(11, 10, 4000, 0.8, 60)
+        df = _frame(spark, rows)
+        specs = {"a": ("v", 5)}
+
+        def share_of_busiest(out):
+            # tag first: a filter is not pushed below a nondeterministic projection
+            hot = out.withColumn("p", F.spark_partition_id()).filter(F.col("k") == 0)
+            # aggregate the window column too, else pruning removes the window
+            counts = [r["n"] for r in hot.groupBy("p").agg(F.count("a").alias("n"),
+                                                           F.sum("a").alias("s")).collect()]
+            return max(counts) / sum(counts), len(counts)
+
+        plain_share, plain_parts = share_of_busiest(
+            rolling_avg(df, specs, ["k"], ["ts", "id"], strategy="window"))
+        chunk_share, chunk_parts = share_of_busiest(
+            rolling_avg(df, specs, ["k"], ["ts", "id"], strategy="chunked"))
+        assert plain_parts == 1 and plain_share == 1.0
+        assert chunk_parts >= 6 and chunk_share < 0.35
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)
