@@ -107,3 +107,14 @@ def save_report(report: DataFrame, store, name: str = "eval_report") -> DataFram
     file per block group) and read back with the same schema."""
     store.write(report, name, fmt="json")
     return store.read(name, schema=report.schema)
+
+
+def register_champion(gate: DataFrame, store, registered_at, name: str = "model_registry") -> DataFrame:
+    """M17 sink: append the gate row of an accepted model to the registry table
+    (insert-if-absent by model version, so re-running the gate is a no-op)."""
+    from ..operators.sinks import insert_if_absent
+    row = gate.filter(F.col("registered")).withColumn("registered_at", C.ts_lit(registered_at))
+    current = store.read(name)
+    merged = row if current is None else insert_if_absent(current, row, ["model_version"])
+    store.write(merged, name)
+    return store.read(name)

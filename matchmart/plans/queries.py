@@ -987,3 +987,16 @@ def q_incremental_stream(c: Context) -> DataFrame:
     run_incremental_stream(c.spark, src, schema, store, "predictions",
                            ["fixture_id"], "predicted_at", ckpt)
     return store.read("predictions").drop("part")
+
+
+@query("model_registry")
+def q_model_registry(c: Context) -> DataFrame:
+    """M17 (trained model): gate the hybrid's test accuracy against 0.50 and
+    append accepted versions to the registry table (idempotent)."""
+    r = _trained(c)
+    hybrid = r.metrics.filter(F.col("model") == "hybrid")
+    gate = MM.champion_gate(hybrid, r.model_version)
+    store = K.TableStore(c.spark)
+    MM.register_champion(gate, store, PREDICTED_AT)
+    reg = MM.register_champion(gate, store, PREDICTED_AT)  # second run: no new row
+    return gate.join(reg.select("model_version", "registered_at"), "model_version", "left")
