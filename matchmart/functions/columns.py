@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 # Fixed values --------------------------------------------------------------
 HOME_WIN, DRAW, AWAY_WIN = "HOME_WIN", "DRAW", "AWAY_WIN"
-# Target encoding (fixed order, not data-dependent).
-RESULT_CODES = {HOME_WIN: 0, DRAW: 1, AWAY_WIN: 2}
+# Target encoding (fixed order, not data-dependent): HOME_WIN 0, DRAW 1, AWAY_WIN 2.
 FINISHED_STATUSES = ["FT", "AET", "PEN"]
 TERMINAL_STATUSES = ["FT", "AET", "PEN", "CANC", "AWD", "WO", "ABD", "PST"]
 # League classification keywords, checked in this order.

@@ -112,9 +112,15 @@ def save_report(report: DataFrame, store, name: str = "eval_report") -> DataFram
 def register_champion(gate: DataFrame, store, registered_at, name: str = "model_registry") -> DataFrame:
     """M17 sink: append the gate row of an accepted model to the registry table
     (insert-if-absent by model version, so re-running the gate is a no-op)."""
-    from ..operators.sinks import insert_if_absent
     row = gate.filter(F.col("registered")).withColumn("registered_at", C.ts_lit(registered_at))
     current = store.read(name)
-    merged = row if current is None else insert_if_absent(current, row, ["model_version"])
+    if current is None:
+        merged = row
+    else:
+        # the gate is one row: test the key with a filter instead of a join on
+        # a constant (which would plan as a nested-loop join)
+        versions = [r["model_version"] for r in row.select("model_version").collect()]
+        known = versions and current.filter(F.col("model_version").isin(*versions)).limit(1).count() > 0
+        merged = current if (not versions or known) else current.unionByName(row)
     store.write(merged, name)
     return store.read(name)

@@ -55,9 +55,6 @@ class PoissonParams:
     iterations: int = 0
     method: str = "mle"
 
-    def globals_row(self):
-        return (self.home_advantage, self.intercept, self.converged, self.iterations, self.method)
-
 
 def _matches(df: DataFrame) -> DataFrame:
     return df.select("home_team_id", "away_team_id", "home_goals", "away_goals").dropna()

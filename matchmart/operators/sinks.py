@@ -118,9 +118,6 @@ def incremental_merge(src: DataFrame, target: DataFrame | None, key: list[str],
 
 # --- K06: type-2 snapshot ------------------------------------------------------------------
 
-SCD_COLS = ["dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"]
-
-
 def scd2_snapshot(prev: DataFrame | None, src: DataFrame, key: str, updated_at: str,
                   run_ts, invalidate_hard_deletes: bool = True) -> DataFrame:
     """Timestamp-strategy snapshot.

@@ -122,10 +122,6 @@ def _auto(df: DataFrame, partition_by, hot_key_rows, plain, chunked, order_by=No
         chunked(hot_df, chunks))
 
 
-def _cols(xs) -> list[Column]:
-    return [F.col(x) if isinstance(x, str) else x for x in xs]
-
-
 def chunked_window(
     df: DataFrame,
     partition_by: Sequence[str],

@@ -11,8 +11,6 @@ All integer columns are LONG (ids at 100 TB scale do not fit INT).
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -275,6 +273,3 @@ class Raw:
     def roster(self, version: int) -> DataFrame:
         return raw_team_roster(self.spark, self.sf_dir, version)
 
-
-def union_all(dfs: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), dfs)

@@ -72,9 +72,6 @@ _BET = _st(("name", S), ("values", T.ArrayType(ODDS_VALUE)))
 _BOOKMAKER = _st(("id", L), ("name", S), ("bets", T.ArrayType(_BET)))
 ODDS_ITEM = _st(("bookmakers", T.ArrayType(_BOOKMAKER)))
 
-PAYLOAD_ITEMS = {"fixtures": FIXTURE_ITEM, "standings": STANDINGS_ITEM, "teams": TEAM_ITEM,
-                 "odds": ODDS_ITEM}
-
 # One API response: its items as JSON text plus the call context.
 PAYLOAD = _st(("payload_seq", L), ("league_id", L), ("league_name", S), ("season", L),
               ("fixture_id", L), ("loaded_at", TS), ("body", S))

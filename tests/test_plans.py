@@ -7,7 +7,7 @@ import __spark_entry__ as E
 SMALL = "/root/testdata/sf0.001"
 SKIP = {"boosted_classifier", "isotonic_calibration", "kfold_accuracy", "feature_importance",
         "feature_ranking", "predict_batch", "incremental_stream", "mat_table", "scan_raw",
-        "model_params_io", "poisson_fit", "temporal_split"}
+        "model_params_io", "poisson_fit", "temporal_split", "model_registry"}
 KEYS = [k for k in E.queries() if k not in SKIP]
 
 
