@@ -230,6 +230,20 @@ class TableStore:
         fs.rename(tmp, dst)
         return path
 
+    def register(self, name: str, analyze: bool = True) -> DataFrame:
+        """Expose the current version as catalog table ``name`` (external,
+        no data copied) and compute its statistics (row count and size) so
+        the optimizer and AQE plan joins with real sizes."""
+        path = self.current(name)
+        if path is None:
+            raise ValueError(f"no table {name!r}")
+        fmt = "json" if path.rsplit("/", 1)[-1].startswith("j") else "parquet"
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{path}'")
+        if analyze:
+            self.spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
+        return self.spark.table(name)
+
     # K04 / K07 in persistent form -----------------------------------------------------
 
     def merge_incremental(self, src: DataFrame, name: str, key: list[str], watermark: str,

@@ -107,3 +107,13 @@ def test_partitioned_table_prunes_by_season(spark):
     plan = fct._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(season" in plan and "(season" in plan
     assert fct.count() > 0
+
+
+def test_register_computes_statistics(spark):
+    store = K.TableStore(spark)
+    name = f"stats_{dt.datetime.now().strftime('%H%M%S%f')}"
+    store.write(spark.range(123).withColumnRenamed("id", "k"), name)
+    t = store.register(name)
+    assert t.count() == 123
+    desc = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    assert "123 rows" in desc.get("Statistics", "")
