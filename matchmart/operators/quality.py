@@ -146,7 +146,8 @@ def source_freshness(df: DataFrame, source: str, loaded_at: str, now,
     pass / warn (> warn_hours) / error (> error_hours)."""
     now_c = C.ts_lit(now)
     agg = df.agg(F.max(F.col(loaded_at).cast("timestamp_ntz")).alias("max_loaded_at"))
-    age = (F.unix_timestamp(now_c) - F.unix_timestamp(F.col("max_loaded_at"))) / 3600.0
+    # difference of wall times, independent of the session time zone (DST)
+    age = F.timestamp_diff("SECOND", F.col("max_loaded_at"), now_c) / 3600.0
     agg = agg.withColumn("age_hours", F.round(age, 3))
     status = (F.when(F.col("max_loaded_at").isNull(), "error")
               .when(F.col("age_hours") > error_hours, "error")

@@ -104,9 +104,12 @@ def _refined_chunks(df: DataFrame, order_by: Sequence[str], max_day_rows: int, l
     if not r["t"] and numeric_id:
         width = max(1, (int(r["hi"]) - int(r["lo"]) + 1) // pieces)
         return [F.to_date(ts), F.floor(F.col(last) / F.lit(width))]
-    micros = F.unix_micros(ts.cast("timestamp"))
-    width = max(1, 86_400_000_000 // pieces)
-    return [F.floor(micros / F.lit(width))]
+    # seconds on a zone-free wall-clock axis (day number and time-of-day
+    # fields of the NTZ value): monotone in the order whatever the session zone
+    secs = (F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("long") * 86_400
+            + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.floor(F.second(ts)))
+    width = max(1, 86_400 // pieces)
+    return [F.floor(secs / F.lit(width))]
 
 
 def _auto(df: DataFrame, partition_by, hot_key_rows, plain, chunked, order_by=None) -> DataFrame:

@@ -59,7 +59,8 @@ def build_fixture_payloads(raw_fixtures: DataFrame) -> DataFrame:
     f = raw_fixtures
     item = F.struct(
         F.struct(F.col("fixture_id").alias("id"),
-                 F.date_format("match_date", "yyyy-MM-dd'T'HH:mm:ss").alias("date"),
+                 F.regexp_replace(F.col("match_date").cast("timestamp_ntz").cast("string"), " ", "T")
+                 .alias("date"),  # zone-free text of the wall time
                  F.col("referee").alias("referee"),
                  F.struct(F.col("status").alias("long"), F.col("status").alias("short")).alias("status"),
                  F.struct(F.col("venue_name").alias("name")).alias("venue")).alias("fixture"),
