@@ -187,7 +187,9 @@ def remove_repeats(docs: DataFrame, target: int = TARGET_WORDS, with_text: bool
     Returns doc_id, n_words, n_removed, kept_sha256 and, on request, kept_text.
     """
     docs = docs.select("doc_id", "text")
+    # Both joins below shuffle exactly these rows, so Spark shuffles the texts once.
     known = docs.where("doc_id is not null and text is not null")
+    others = F.coalesce("others", F.array().cast("array<long>"))
     group = Window.partitionBy("h")
     last = F.coalesce(F.array_max("others"), "doc")
     anchors = (
@@ -195,7 +197,7 @@ def remove_repeats(docs: DataFrame, target: int = TARGET_WORDS, with_text: bool
         .select("h", "doc", "others", F.min("doc").over(group).alias("lo"), F.max(last).over(group).alias("hi"),
                 (F.min("ctx").over(group) == F.max("ctx").over(group)).alias("alike"))
         .where("lo < hi")
-        .select("h", "lo", "alike", F.explode(F.concat(F.array("doc"), F.col("others"))).alias("doc_id"))
+        .select("h", "lo", "alike", F.explode(F.concat(F.array("doc"), others)).alias("doc_id"))
         .where("not alike or doc_id > lo")
         .groupBy("doc_id").agg(F.collect_list(F.when(F.col("alike"), F.col("h"))).alias("pure"),
                                F.collect_list(F.when(~F.col("alike"), F.col("h"))).alias("mixed"))
@@ -205,13 +207,15 @@ def remove_repeats(docs: DataFrame, target: int = TARGET_WORDS, with_text: bool
         known.join(anchors.where("size(mixed) > 0").select("doc_id", "mixed"), "doc_id")
         .mapInArrow(_window_rows(target), _ROWS)
         .select("h", F.min("doc").over(both).alias("lo"),
-                F.explode(F.concat(F.array("doc"), F.col("others"))).alias("doc_id"))
+                F.explode(F.concat(F.array("doc"), others)).alias("doc_id"))
         .where("doc_id > lo")
         .groupBy("doc_id").agg(F.collect_list("h").alias("repeated"))
     )
     found = anchors.select("doc_id", "pure").join(windows, "doc_id", "full_outer")
+    none = F.lit(None).cast("array<long>")
+    rest = docs.where("doc_id is null or text is null").select("*", none.alias("pure"), none.alias("repeated"))
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
-    return docs.join(found, "doc_id", "left").mapInArrow(_kept_rows(target, with_text), schema)
+    return known.join(found, "doc_id", "left").unionByName(rest).mapInArrow(_kept_rows(target, with_text), schema)
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -140,6 +140,16 @@ def sliding(x: np.ndarray, n: int, op: np.ufunc) -> np.ndarray:
     return out
 
 
+def code_points(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of the rows (white space as a space), and the rows' offsets in them."""
+    d = data[off[0]:off[-1]]
+    before = np.zeros(len(d) + 1, np.int64)
+    np.cumsum((d & 0xC0) != 0x80, out=before[1:])
+    points = np.frombuffer(d.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32).copy()
+    points[(points >= 9) & (points <= 13)] = 32
+    return points, before[off - off[0]]
+
+
 def group_starts(sorted_keys: np.ndarray) -> np.ndarray:
     """Where a new value begins in a sorted array."""
     if not len(sorted_keys):
@@ -152,10 +162,10 @@ def signed(x: np.ndarray) -> pa.Array:
 
 
 def lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
-    """A list column from flat values and the length of each row's list."""
+    """A list column from flat values and the length of each row's list; null where it is empty."""
     off = np.zeros(len(counts) + 1, np.int32)
     np.cumsum(counts, out=off[1:])
-    return pa.ListArray.from_arrays(pa.array(off), pa.array(values))
+    return pa.ListArray.from_arrays(pa.array(off), pa.array(values), mask=pa.array(counts == 0))
 
 
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
