@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchmart.llm import substrings
+from matchmart.llm import quality, substrings, urls
 
 _SHIPPED: set[str] = set()
 
@@ -39,10 +39,13 @@ def ship(spark: SparkSession) -> None:
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_substring_dedup": substrings.op2_substring_dedup,
+        "op7_url_filter": urls.op7_url_filter,
+        "op9_quality_rules": quality.op9_quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_substring_dedup": substrings.OP2_SQL,
+        "op9_quality_rules": quality.OP9_SQL,
     }
