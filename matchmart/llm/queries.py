@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchmart.llm import quality, substrings, urls
+from matchmart.llm import decontaminate, languages, near, quality, substrings, toxicity, urls
 
 _SHIPPED: set[str] = set()
 
@@ -39,8 +39,12 @@ def ship(spark: SparkSession) -> None:
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_substring_dedup": substrings.op2_substring_dedup,
+        "op4_toxicity": toxicity.op4_toxicity,
+        "op6_language_id": languages.op6_language_id,
         "op7_url_filter": urls.op7_url_filter,
+        "op8_decontamination": decontaminate.op8_decontamination,
         "op9_quality_rules": quality.op9_quality_rules,
+        "op10_near_dedup": near.op10_near_dedup,
     }
 
 
