@@ -155,8 +155,12 @@ def ablation(entries: DataFrame, policies: Sequence[Policy] = POLICIES) -> DataF
 
 
 def kept_documents(docs: DataFrame, policy: Policy = PRODUCTION) -> DataFrame:
-    """The rows of ``docs`` that the policy keeps, with their own columns."""
-    return ledger(docs).where(~rejected(policy)).select("doc.*")
+    """The rows of ``docs`` that the policy keeps, with their own columns.
+
+    A filter would be pushed below the ledger's projections and repeat all of
+    them in its condition; a generator that yields one row or none is not.
+    """
+    return ledger(docs).select(F.inline(F.when(~rejected(policy), F.array("doc"))))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,8 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchmart.llm import (decontaminate, languages, near, packing, quality, substrings, token_counts, toxicity,
-                            urls)
+from matchmart.llm import (decontaminate, languages, near, packing, pii, quality, substrings, token_counts,
+                            toxicity, urls)
 
 _SHIPPED: set[str] = set()
 
@@ -41,6 +41,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": token_counts.op1_token_counts,
         "op2_substring_dedup": substrings.op2_substring_dedup,
+        "op3_pii": pii.op3_pii,
         "op4_toxicity": toxicity.op4_toxicity,
         "op5_best_fit_packing": packing.op5_best_fit_packing,
         "op6_language_id": languages.op6_language_id,
