@@ -41,6 +41,7 @@ KINDS = ("email", "ip", "card", "phone")
 MAX_DOCS = 400
 CONTEXT = 6
 STEPS = 120
+LONGEST = 64  # tokens of a training chain
 
 _LOCAL = string.ascii_letters + string.digits + "._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -116,9 +117,12 @@ def _number(digits: str) -> int:
 
 
 class Chains:
-    """Chains of tokens of some texts: spans, and feature numbers of each token."""
+    """Chains of tokens of some texts: spans, and feature numbers of each token.
 
-    def __init__(self, texts: Sequence[tuple[int, str]]):
+    With ``longest``, longer chains are cut (for training only).
+    """
+
+    def __init__(self, texts: Sequence[tuple[int, str]], longest: int | None = None):
         rows, starts, ends, features, lengths = [], [], [], [], []
         for row, text in texts:
             spans = [(m.start(), m.end()) for m in _TOKEN.finditer(text)]
@@ -139,7 +143,8 @@ class Chains:
                           320 + 4 * shape + 2 * spaced[:-1] + spaced[1:],
                           576 + 64 * prev + shape, 576 + 4096 + 64 * shape + nxt, 576 + 8192 + number], axis=1)
             edge = np.diff(np.concatenate([[0], near.astype(np.int8), [0]]))
-            for i, j in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)):
+            runs = zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist())
+            for i, j in ((k, min(j, k + (longest or j))) for i, j in runs for k in range(i, j, longest or j - i)):
                 lengths.append(j - i)
                 rows.append(np.full(j - i, row))
                 starts.append(a[i:j])
@@ -252,7 +257,7 @@ def gold_labels(chains: Chains, spans: dict[int, list[Span]]) -> np.ndarray:
 def train(rows: Sequence[tuple[str, list[Span]]], ridge: float = 0.01, rate: float = 0.2) -> Field:
     """A field from labelled texts (text, spans), by Adam on the penalised likelihood."""
     field = Field(np.zeros((_SIZE, _LABELS)), np.zeros((_LABELS, _LABELS)))
-    chains = Chains([(i, text) for i, (text, _) in enumerate(rows)])
+    chains = Chains([(i, text) for i, (text, _) in enumerate(rows)], LONGEST)
     if not len(chains.row) or not any(spans for _, spans in rows):
         field.emit[:, 0] = 1.0
         return field
@@ -402,10 +407,12 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(
             ":", F.element_at(names, s["kind"] + 1), s["start"], s["end"])))
 
+    def number(kind: int):
+        return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long")
+
     base = F.filter("spans", lambda s: s["base"])
     return found.select(
         F.col("doc.doc_id").alias("doc_id"),
-        *[F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
-          for k, name in enumerate(KINDS)],
+        *[number(k).alias(f"n_{name}") for k, name in enumerate(KINDS)],
         F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
         F.size(F.filter("spans", lambda s: ~s["base"])).cast("long").alias("n_added"))

@@ -75,7 +75,11 @@ def _removed(text: Column, pattern: str) -> Column:
 
 
 def ledger(docs: DataFrame) -> DataFrame:
-    """One row per document: struct ``doc``, the measures, and ``failed`` (a bit per rule)."""
+    """One row per document: struct ``doc``, the measures, and ``failed`` (a bit per rule).
+
+    The row leaves through a generator, because Spark would push a filter on it
+    below all the projections and repeat them in the filter's condition.
+    """
     t = F.col("t")
     counted = (
         docs.select(F.struct("*").alias("doc"), F.coalesce("text", F.lit("")).alias("t"))
@@ -122,7 +126,7 @@ def ledger(docs: DataFrame) -> DataFrame:
     failed = bits[0]
     for bit in bits[1:]:
         failed = failed.bitwiseOR(bit)
-    return measured.select("doc", *MEASURES, failed.alias("failed"))
+    return measured.select(F.inline(F.array(F.struct("doc", *MEASURES, failed.alias("failed")))))
 
 
 def rejected(policy: Policy, failed: str = "failed") -> Column:
@@ -155,12 +159,8 @@ def ablation(entries: DataFrame, policies: Sequence[Policy] = POLICIES) -> DataF
 
 
 def kept_documents(docs: DataFrame, policy: Policy = PRODUCTION) -> DataFrame:
-    """The rows of ``docs`` that the policy keeps, with their own columns.
-
-    A filter would be pushed below the ledger's projections and repeat all of
-    them in its condition; a generator that yields one row or none is not.
-    """
-    return ledger(docs).select(F.inline(F.when(~rejected(policy), F.array("doc"))))
+    """The rows of ``docs`` that the policy keeps, with their own columns."""
+    return ledger(docs).where(~rejected(policy)).select("doc.*")
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
