@@ -1,4 +1,4 @@
-"""matchmart: sports-match analytics as Spark DataFrame jobs.
+"""matchmart: football match data as Spark DataFrame jobs.
 
 Subpackages: ``sources`` (scans, adapters, payloads), ``functions`` (Column
 helpers), ``operators`` (windows, as-of join, quality checks, sinks), ``plans``

@@ -57,6 +57,9 @@ class PoissonParams:
 
 
 def _matches(df: DataFrame) -> DataFrame:
+    """Played matches only: staging turns unknown goals into 0, so a known result decides."""
+    if "match_result" in df.columns:
+        df = df.filter(F.col("match_result").isNotNull())
     return df.select("home_team_id", "away_team_id", "home_goals", "away_goals").dropna()
 
 

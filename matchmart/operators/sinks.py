@@ -12,6 +12,7 @@ All state lives under the shared folder given by ``spark.checkpoint.dir`` (see
 
 from __future__ import annotations
 
+import hashlib
 import time
 import uuid
 
@@ -22,6 +23,10 @@ from ..functions import columns as C
 from ..session import ensure_checkpoint_dir
 
 
+#: ``based_on`` of a write that replaces whatever is there.
+_ANY = object()
+
+
 # --- K01 / K02 / K05: views, ephemeral models, schema sync ------------------------------
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
@@ -36,10 +41,12 @@ def ephemeral(df: DataFrame, fan_out: int = 1) -> DataFrame:
 
 
 def sync_all_columns(target: DataFrame, batch: DataFrame) -> DataFrame:
-    """Align the target to the batch schema: new columns appear (null for
-    old rows), removed columns disappear."""
-    merged = target.unionByName(batch, allowMissingColumns=True)
-    return merged.select(*batch.columns)
+    """The target's rows in the batch's schema: new columns appear (null
+    for old rows), removed columns disappear, types follow the batch."""
+    have = dict(target.dtypes)
+    return target.select(*[
+        (F.col(f.name).cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in batch.schema.fields])
 
 
 # --- K07 / K08: keyed writes as DataFrame algebra -----------------------------------------
@@ -55,6 +62,14 @@ def dedupe_latest(df: DataFrame, key: list[str], order: list) -> DataFrame:
     return df.withColumn("_mm_rn", F.row_number().over(w)).filter("_mm_rn = 1").drop("_mm_rn")
 
 
+def with_known_key(batch: DataFrame, key: list[str]) -> DataFrame:
+    """``batch``, failing the job on a null key: no stored row could ever match
+    it, so every further delivery would add it again."""
+    kinds = {f.name: f.dataType for f in batch.schema.fields}
+    return batch.withColumns({
+        k: F.coalesce(F.col(k), F.raise_error(F.lit(f"null in key column {k}")).cast(kinds[k])) for k in key})
+
+
 def keyed_upsert(target: DataFrame, batch: DataFrame, key: list[str],
                  update_cols: list[str] | None = None) -> DataFrame:
     """``INSERT ... ON CONFLICT (key) DO UPDATE``.
@@ -63,21 +78,24 @@ def keyed_upsert(target: DataFrame, batch: DataFrame, key: list[str],
     ``update_cols`` only those columns are replaced on conflict, every other
     column keeps the target's value.  Target rows without a batch row pass
     through a left-anti join, so the target is shuffled once and never joined
-    to itself.
+    to itself.  A null in a key fails the job.
     """
+    batch = with_known_key(batch, key)
     keep = target.join(batch.select(*key), key, "left_anti")
     if update_cols is None:
         return keep.unionByName(batch.select(*target.columns))
     fixed = [c for c in target.columns if c not in update_cols and c not in key]
-    old = target.select(*key, *[F.col(c).alias(f"_mm_old_{c}") for c in fixed])
+    # The marker tells a stored null from a row that is not stored.
+    old = target.select(*key, F.lit(True).alias("_mm_stored"), *[F.col(c).alias(f"_mm_old_{c}") for c in fixed])
     upd = batch.join(old, key, "left")
-    upd = upd.select(*key, *[F.coalesce(F.col(f"_mm_old_{c}"), F.col(c)).alias(c) if c in fixed
-                             else F.col(c) for c in target.columns if c not in key])
+    upd = upd.select(*key, *[F.when(F.col("_mm_stored"), F.col(f"_mm_old_{c}")).otherwise(F.col(c)).alias(c)
+                             if c in fixed else F.col(c) for c in target.columns if c not in key])
     return keep.unionByName(upd.select(*target.columns))
 
 
 def insert_if_absent(target: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame:
-    """``ON CONFLICT DO NOTHING``: only new keys are added."""
+    """``ON CONFLICT DO NOTHING``: only new keys are added; a null key fails the job."""
+    batch = with_known_key(batch, key)
     new = batch.join(target.select(*key), key, "left_anti")
     return target.unionByName(new.select(*target.columns))
 
@@ -163,7 +181,7 @@ class TableStore:
 
     ``root`` defaults to ``<spark.checkpoint.dir>/tables``.  Each ``write``
     creates ``<root>/<name>/v<time>-<id>``; only after the write succeeded the
-    pointer ``<root>/<name>/_CURRENT`` is replaced (write temp + rename).
+    pointer ``<root>/<name>/_CURRENT`` is replaced by one overwriting rename.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
@@ -184,7 +202,7 @@ class TableStore:
         p = self._pointer(name)
         fs = self._fs(p)
         if not fs.exists(p):
-            return None
+            return None  # never committed: the pointer, once there, is only ever overwritten
         stream = fs.open(p)
         try:
             reader = self.spark.sparkContext._jvm.java.io.BufferedReader(
@@ -203,9 +221,12 @@ class TableStore:
         return reader.json(path) if fmt == "json" else reader.parquet(path)
 
     def write(self, df: DataFrame, name: str, partition_by: list[str] | None = None,
-              fmt: str = "parquet") -> str:
+              fmt: str = "parquet", based_on=_ANY) -> str:
         """Materialise a new version and switch the pointer to it.
 
+        ``based_on`` is the version (or None) that ``df`` was derived from; if
+        another job has switched the pointer since, nothing is switched.
+
         ``partition_by`` lays the files out by those columns (e.g. ``season``)
         so readers filtering on them prune whole directories.  ``fmt="json"``
         writes JSON lines (reports); the version name records the format.
@@ -224,39 +245,49 @@ class TableStore:
             out.write(bytearray(version.encode("utf-8")))
         finally:
             out.close()
+        if based_on is not _ANY and self.current(name) != based_on:
+            raise RuntimeError(f"table {name!r} was written by another job meanwhile")
+        # One rename that overwrites: a stop at any moment leaves the old or the new pointer.
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        overwrite = self.spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+        overwrite[0] = getattr(hadoop, "Options$Rename").OVERWRITE
         dst = self._pointer(name)
-        if fs.exists(dst):
-            fs.delete(dst, False)
-        fs.rename(tmp, dst)
+        hadoop.FileContext.getFileContext(dst.toUri(), self._conf).rename(
+            fs.makeQualified(tmp), fs.makeQualified(dst), overwrite)
         return path
 
+    def table_name(self, name: str) -> str:
+        return f"mm_{hashlib.md5(self.root.encode()).hexdigest()[:12]}_{name}"
+
     def register(self, name: str, analyze: bool = True) -> DataFrame:
-        """Expose the current version as catalog table ``name`` (external,
-        no data copied) and compute its statistics (row count and size) so
-        the optimizer and AQE plan joins with real sizes."""
+        """Expose the current version as an external catalog table (no data
+        copied) and compute its statistics (row count and size) so the
+        optimizer and AQE plan joins with real sizes.  The table's name carries
+        the store's root, so no other table of that name is touched."""
         path = self.current(name)
         if path is None:
             raise ValueError(f"no table {name!r}")
         fmt = "json" if path.rsplit("/", 1)[-1].startswith("j") else "parquet"
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self.spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{path}'")
+        table = self.table_name(name)
+        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self.spark.sql(f"CREATE TABLE {table} USING {fmt} LOCATION '{path}'")
         if analyze:
-            self.spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS")
-        return self.spark.table(name)
+            self.spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
+        return self.spark.table(table)
 
     # K04 / K07 in persistent form -----------------------------------------------------
 
     def merge_incremental(self, src: DataFrame, name: str, key: list[str], watermark: str,
                           lookback=None) -> str:
-        target = self.read(name)
-        return self.write(incremental_merge(src, target, key, watermark, lookback), name)
+        based_on, target = self.current(name), self.read(name)
+        return self.write(incremental_merge(src, target, key, watermark, lookback), name, based_on=based_on)
 
     def upsert(self, batch: DataFrame, name: str, key: list[str],
                update_cols: list[str] | None = None) -> str:
-        target = self.read(name)
-        merged = batch if target is None else keyed_upsert(target, batch, key, update_cols)
-        return self.write(merged, name)
+        based_on, target = self.current(name), self.read(name)
+        merged = with_known_key(batch, key) if target is None else keyed_upsert(target, batch, key, update_cols)
+        return self.write(merged, name, based_on=based_on)
 
     def snapshot(self, src: DataFrame, name: str, key: str, updated_at: str, run_ts) -> str:
-        prev = self.read(name)
-        return self.write(scd2_snapshot(prev, src, key, updated_at, run_ts), name)
+        based_on, prev = self.current(name), self.read(name)
+        return self.write(scd2_snapshot(prev, src, key, updated_at, run_ts), name, based_on=based_on)

@@ -18,6 +18,7 @@ from ..ml import poisson as MP
 from ..ml import train as MT
 from ..operators import quality as Q
 from ..operators import sinks as K
+from ..session import scratch_dir
 from ..sources import payloads as PL
 from ..sources import scan as SC
 from . import intermediate as I
@@ -104,8 +105,8 @@ def q_team_form_chunked(c: Context) -> DataFrame:
 
 @query("rolling_avg")
 def q_rolling_avg(c: Context) -> DataFrame:
-    """The rolling-average operator with the plain Window strategy."""
-    return I.team_form(c.stg_fixtures, strategy="window")
+    """The rolling-average operator; hot keys take the chunked window."""
+    return I.team_form(c.stg_fixtures, strategy="auto")
 
 
 @query("last_n_per_pair")
@@ -552,7 +553,7 @@ def q_mat_ephemeral(c: Context) -> DataFrame:
 def q_mat_table(c: Context) -> DataFrame:
     """dim_league rebuilt as a new table version, pointer switched, then
     registered in the catalog with statistics (ANALYZE) and read through it."""
-    store = K.TableStore(c.spark)
+    store = K.TableStore(c.spark, scratch_dir(c.spark, "tables"))
     store.write(c.dim_league, "dim_league")
     return store.register("dim_league", analyze=True)
 
@@ -574,7 +575,8 @@ def q_sync_all_columns(c: Context) -> DataFrame:
     """Target gains the batch's new column and loses the removed one."""
     t = c.stg_teams_football
     batch = t.drop("logo_url").withColumn("team_code_lower", F.lower("team_code"))
-    return K.sync_all_columns(t.filter(F.col("team_id") <= 20), batch.filter(F.col("team_id") > 20))
+    later = batch.filter(F.col("team_id") % 2 == 1)
+    return K.sync_all_columns(t.filter(F.col("team_id") % 2 == 0), later).unionByName(later)
 
 
 @query("scd2_snapshot")
@@ -597,7 +599,7 @@ def q_keyed_upsert(c: Context) -> DataFrame:
 
 @query("keyed_upsert_partial")
 def q_keyed_upsert_partial(c: Context) -> DataFrame:
-    """K07 (odds form): on conflict only prices and load time change."""
+    """K07 (odds form): on conflict names, prices and load time change, the ids stay."""
     o = c.raw.odds
     target = o.filter(F.col("loaded_at") < F.lit(FIRST_LOAD_BEFORE))
     batch = (o.filter(F.col("loaded_at") >= F.lit(REDELIVERY_FROM))
@@ -605,7 +607,8 @@ def q_keyed_upsert_partial(c: Context) -> DataFrame:
              .withColumn("odd_home", (F.col("odd_home") + F.lit(0.05)).cast("decimal(10,4)"))
              .withColumn("loaded_at", F.col("loaded_at") + F.expr("INTERVAL 1 DAY")))
     return K.keyed_upsert(target, batch, ["odds_id"],
-                          update_cols=["odd_home", "odd_draw", "odd_away", "loaded_at"])
+                          update_cols=["bookmaker_name", "market_name", "odd_home", "odd_draw", "odd_away",
+                                       "loaded_at"])
 
 
 @query("insert_if_absent")
@@ -625,7 +628,7 @@ UPCOMING_NOW = "2001-06-01 00:00:00"
 def q_scan_raw(c: Context) -> DataFrame:
     """Raw fixtures written once, then read back with the declared schema,
     a pushed-down filter and a pruned projection."""
-    store = K.TableStore(c.spark)
+    store = K.TableStore(c.spark, scratch_dir(c.spark, "tables"))
     path = store.write(c.raw.fixtures, "raw_fixtures")
     return SC.scan_raw(c.spark, path, "fixtures",
                        filters=[F.col("status").isin(*C.FINISHED_STATUSES)],
@@ -832,7 +835,7 @@ def q_metrics_by_group(c: Context) -> DataFrame:
 def q_eval_report(c: Context) -> DataFrame:
     """Evaluation report (overall + per league blocks, model versions,
     filters) written as a JSON table version and read back."""
-    return MM.save_report(MM.eval_report(_eval_rows(c)), K.TableStore(c.spark))
+    return MM.save_report(MM.eval_report(_eval_rows(c)), K.TableStore(c.spark, scratch_dir(c.spark, "tables")))
 
 
 @query("conditional_count")
@@ -859,7 +862,7 @@ def q_poisson_fit(c: Context) -> DataFrame:
 def q_model_params_io(c: Context) -> DataFrame:
     """Fitted parameters written as a table version and read back."""
     p = MP.fit_fallback(c.stg_fixtures)
-    store = K.TableStore(c.spark)
+    store = K.TableStore(c.spark, scratch_dir(c.spark, "tables"))
     t = p.teams.withColumns({"home_advantage": F.lit(p.home_advantage),
                              "intercept": F.lit(p.intercept)})
     store.write(t, "poisson_params")
@@ -890,8 +893,9 @@ def q_isotonic_calibration(c: Context) -> DataFrame:
 
 @query("kfold_accuracy")
 def q_kfold_accuracy(c: Context) -> DataFrame:
-    """Stratified 5-fold (no shuffle) accuracy, mean and population std."""
+    """Stratified 5-fold (no shuffle) accuracy over the training rows, mean and population std."""
     fm = MF.feature_matrix(SC.load_features(c.fct_match_features))
+    fm = MF.temporal_split(fm.checkpoint()).filter("is_train").drop("is_train")
     folded = MF.stratified_folds(fm).checkpoint()
     accs = []
     for f in range(5):
@@ -929,7 +933,7 @@ def q_predict_batch(c: Context) -> DataFrame:
     r = _trained(c)
     feats = MT.upcoming_features(c.raw.fixtures, c.team_form, c.stg_fixtures, c.stg_odds)
     batch = MT.predict_batch(feats, r.poisson, r.booster, r.model_version, PREDICTED_AT)
-    store = K.TableStore(c.spark)
+    store = K.TableStore(c.spark, scratch_dir(c.spark, "tables"))
     store.upsert(batch, "predictions", ["fixture_id"])
     return store.read("predictions")
 
@@ -971,10 +975,9 @@ def q_top_n_per_group(c: Context) -> DataFrame:
 @query("incremental_stream")
 def q_incremental_stream(c: Context) -> DataFrame:
     """ST1: prediction files arriving in two deliveries merged by a streaming
-    job (availableNow trigger, watermark de-duplication, keyed upsert)."""
+    job (availableNow trigger, newest row of each key wins, keyed upsert)."""
     from pyspark.sql import types as T
 
-    from ..session import scratch_dir
     from ..streaming.incremental import run_incremental_stream
     base = scratch_dir(c.spark, "stream")
     src, ckpt = f"{base}/incoming", f"{base}/_checkpoint"
@@ -995,6 +998,6 @@ def q_model_registry(c: Context) -> DataFrame:
     r = _trained(c)
     hybrid = r.metrics.filter(F.col("model") == "hybrid")
     gate = MM.champion_gate(hybrid, r.model_version)
-    store = K.TableStore(c.spark)
+    store = K.TableStore(c.spark, scratch_dir(c.spark, "tables"))
     MM.register_champion(gate, store, PREDICTED_AT)
     return MM.register_champion(gate, store, PREDICTED_AT)  # second run adds no row

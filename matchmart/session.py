@@ -63,6 +63,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return registered
     current = sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="matchmart-ckpt-")
     sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current

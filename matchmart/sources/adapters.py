@@ -78,7 +78,8 @@ def raw_fixtures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_odds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fixture x bookmaker 1..3 (fixture_id % 5 != 0) -> one 1X2 quote row.
+    """Fixture x bookmaker 1..3 -> one 1X2 quote row; every fifth fixture has no quote
+    (missing odds are what ``has_odds`` and ``null_default`` are about).
 
     The bookmaker fan-out is an ``explode`` of a literal array, not a join.
     """
@@ -153,7 +154,7 @@ def raw_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_teams_football(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cust = read_table(spark, sf_dir, "customer").filter(F.col("c_custkey") < N_TEAMS)
+    cust = read_table(spark, sf_dir, "customer")
     nation = read_table(spark, sf_dir, "nation")
     c = F.col("c_custkey")
     tid = (c + 1).cast("long")
@@ -164,7 +165,7 @@ def raw_teams_football(spark: SparkSession, sf_dir: str) -> DataFrame:
         _str("Team ", tid).alias("team_name"),
         F.when(c % 4 != 0, _str("T", tid)).alias("team_code"),
         F.col("n_name").alias("country"),
-        F.when(c % 9 != 0, 1880 + 3 * c).cast("long").alias("founded"),
+        F.when(c % 9 != 0, 1880 + 3 * (c % N_TEAMS)).cast("long").alias("founded"),
         (c % 13 == 0).alias("is_national"),
         F.lit("https://img.example/logo.png").alias("logo_url"),
         (c % 25).cast("long").alias("venue_id"),
@@ -177,7 +178,7 @@ def raw_teams_football(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fx = raw_fixtures(spark, sf_dir).filter(F.col("fixture_id") % 3 == 0)
+    fx = raw_fixtures(spark, sf_dir)
     f = F.col("fixture_id")
     x = (f * 7 % 50 + 1).cast("double")
     y = (f * 11 % 40 + 1).cast("double")
@@ -203,11 +204,11 @@ def raw_team_roster(spark: SparkSession, sf_dir: str, version: int = 1) -> DataF
     cust = read_table(spark, sf_dir, "customer")
     c = F.col("c_custkey")
     if version == 1:
-        rows = cust.filter(c < 500)
+        rows = cust.filter(c % 26 != 25)  # the others sign before the second load
         team = c % N_TEAMS + 1
         upd = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
     else:
-        rows = cust.filter((c < 520) & (c % 25 != 7))
+        rows = cust.filter(c % 25 != 7)  # those have left
         moved = c % 10 == 0
         team = F.when(moved, (c + 1) % N_TEAMS + 1).otherwise(c % N_TEAMS + 1)
         upd = F.when(moved, F.lit("2024-02-01 00:00:00")).otherwise(
@@ -239,7 +240,7 @@ def raw_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Legacy team table with padded names and missing countries."""
-    cust = read_table(spark, sf_dir, "customer").filter(F.col("c_custkey") < N_TEAMS)
+    cust = read_table(spark, sf_dir, "customer")
     nation = read_table(spark, sf_dir, "nation")
     c = F.col("c_custkey")
     tid = c + 1
@@ -249,7 +250,7 @@ def raw_teams(spark: SparkSession, sf_dir: str) -> DataFrame:
         _str("t", tid).alias("team_id"),
         F.when(c % 3 == 0, F.concat(F.lit("  "), name, F.lit(" "))).otherwise(name).alias("team_name"),
         F.when(c % 7 != 0, F.col("n_name")).alias("country"),
-        F.when(c % 9 != 0, 1880 + 3 * c).cast("long").alias("founded_year"),
+        F.when(c % 9 != 0, 1880 + 3 * (c % N_TEAMS)).cast("long").alias("founded_year"),
         F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("updated_at"),
     )
 

@@ -83,7 +83,7 @@ def build_fixture_payloads(raw_fixtures: DataFrame) -> DataFrame:
 def standing_id(league_id, season, rank) -> Column:
     """League * 10_000_000 + season * 1_000 + rank, in LONG."""
     return (F.col(league_id).cast("long") * 10_000_000 + F.col(season).cast("long") * 1_000
-            + F.col(rank).cast("long"))
+            + F.coalesce(F.col(rank).cast("long"), F.lit(0)))
 
 
 def odds_id(fixture_id, bookmaker_id) -> Column:
@@ -202,7 +202,8 @@ def flatten_odds(payloads: DataFrame, market: str = "match winner") -> DataFrame
     p = bets.select("fixture_id", "loaded_at", "bookmaker_id", "bookmaker_name",
                     price("Home").alias("h"), price("Draw").alias("d"), price("Away").alias("a"))
     p = p.filter(F.col("h").isNotNull() | F.col("d").isNotNull() | F.col("a").isNotNull())
-    num = {c: F.expr(f"try_cast({c} AS DOUBLE)") for c in ("h", "d", "a")}
+    # text -> double -> decimal: a price that does not fit counts as not a number
+    num = {c: F.expr(f"try_cast(try_cast({c} AS DOUBLE) AS DECIMAL(10,4))") for c in ("h", "d", "a")}
     bad = None
     for c in ("h", "d", "a"):
         cond = F.col(c).isNotNull() & num[c].isNull()
@@ -211,9 +212,9 @@ def flatten_odds(payloads: DataFrame, market: str = "match winner") -> DataFrame
     return p.select(
         odds_id("fixture_id", "bookmaker_id").alias("odds_id"), "fixture_id", "bookmaker_id",
         "bookmaker_name", F.lit("Match Winner").alias("market_name"),
-        num["h"].cast("decimal(10,4)").alias("odd_home"),
-        num["d"].cast("decimal(10,4)").alias("odd_draw"),
-        num["a"].cast("decimal(10,4)").alias("odd_away"), "loaded_at")
+        num["h"].alias("odd_home"),
+        num["d"].alias("odd_draw"),
+        num["a"].alias("odd_away"), "loaded_at")
 
 
 def build_odds_payloads(raw_odds: DataFrame) -> DataFrame:

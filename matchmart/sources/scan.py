@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,9 +50,14 @@ def scan_raw(spark: SparkSession, path: str, table: str, filters: list[Column] |
 
 
 def read_seed(spark: SparkSession, name: str = "competition_mapping") -> DataFrame:
-    """CSV seed with header, every column as text."""
-    return spark.read.csv(os.path.join(SEED_DIR, f"{name}.csv"), header=True,
-                          schema=SEED_COMPETITIONS, encoding="UTF-8")
+    """CSV seed with header, every column as text.
+
+    A seed is a few rows inside the package, so the driver parses it; executors
+    elsewhere could not open the file.
+    """
+    with open(os.path.join(SEED_DIR, f"{name}.csv"), encoding="UTF-8", newline="") as lines:
+        rows = [[x or None for x in row] for row in csv.reader(lines)][1:]
+    return spark.createDataFrame(rows, SEED_COMPETITIONS)
 
 
 def load_features(fct_match_features: DataFrame, league_id=None, season=None,

@@ -3,10 +3,10 @@
 New prediction files landing in a folder are picked up with
 ``readStream.parquet`` and ``trigger(availableNow=True)`` (process everything
 present, then stop -- the daily batch of the reference, but restartable from
-the checkpoint).  Each micro-batch is de-duplicated inside the watermark
-(``dropDuplicatesWithinWatermark``: a re-delivered row of the same fixture
-within the delay is dropped, later corrections still pass) and merged into the
-versioned table with the keyed upsert of ``operators.sinks``.  The stream's
+the checkpoint).  Each micro-batch is merged into the versioned table with the
+keyed upsert of ``operators.sinks``: of all rows of a key, stored or delivered,
+the one with the newest event time stays, so late rows are added, corrections
+replace, and an older row never overwrites a newer one.  The stream's
 offsets and the table versions both live under the shared checkpoint folder,
 so a lost executor or a restarted driver resumes without duplicates.
 """
@@ -21,16 +21,17 @@ from ..operators import sinks as K
 
 def run_incremental_stream(spark: SparkSession, source_dir: str, schema, store: K.TableStore,
                            table: str, key: list[str], event_time: str,
-                           checkpoint: str, watermark: str = "1 day") -> None:
+                           checkpoint: str) -> None:
     """Merge every file under ``source_dir`` into ``table`` and stop."""
-    # watermarks need a zoned TIMESTAMP; the session time zone is UTC
-    stream = (spark.readStream.schema(schema).parquet(source_dir)
-              .withColumn("_mm_event_ts", F.col(event_time).cast("timestamp"))
-              .withWatermark("_mm_event_ts", watermark)
-              .dropDuplicatesWithinWatermark(key))
+    stream = spark.readStream.schema(schema).parquet(source_dir)
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
-        latest = K.dedupe_latest(batch.drop("_mm_event_ts"), key, [F.col(event_time).desc()])
+        latest = K.dedupe_latest(batch, key, [F.col(event_time).desc()])
+        stored = store.read(table)
+        if stored is not None:
+            seen = stored.select(*key, F.col(event_time).alias("_mm_seen"))
+            latest = (latest.join(seen, key, "left")
+                      .filter(F.col("_mm_seen").isNull() | (F.col(event_time) >= F.col("_mm_seen"))).drop("_mm_seen"))
         store.upsert(latest, table, key)
 
     q = (stream.writeStream.foreachBatch(merge)

@@ -101,7 +101,7 @@ raw_teams_football AS (
     'Team ' || (c_custkey + 1)::VARCHAR AS team_name,
     CASE WHEN c_custkey % 4 <> 0 THEN 'T' || (c_custkey + 1)::VARCHAR END AS team_code,
     n_name AS country,
-    CASE WHEN c_custkey % 9 <> 0 THEN 1880 + 3 * c_custkey END::BIGINT AS founded,
+    CASE WHEN c_custkey % 9 <> 0 THEN 1880 + 3 * (c_custkey % 40) END::BIGINT AS founded,
     (c_custkey % 13 = 0) AS is_national,
     'https://img.example/logo.png' AS logo_url,
     (c_custkey % 25)::BIGINT AS venue_id,
@@ -111,7 +111,6 @@ raw_teams_football AS (
     (10000 + 500 * c_custkey)::BIGINT AS venue_capacity,
     TIMESTAMP '2024-01-01 00:00:00' AS updated_at
   FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
-  WHERE c_custkey < 40
 )"""
 
 RAW_PREDICTIONS = """
@@ -132,7 +131,7 @@ raw_predictions AS (
       (fixture_id * 13 % 45 + 1)::DOUBLE AS z,
       (fixture_id * 7 % 50 + 1)::DOUBLE + (fixture_id * 11 % 40 + 1)::DOUBLE
         + (fixture_id * 13 % 45 + 1)::DOUBLE AS s
-    FROM raw_fixtures WHERE fixture_id % 3 = 0
+    FROM raw_fixtures
   ) p
 )"""
 
@@ -154,10 +153,9 @@ raw_teams AS (
     CASE WHEN c_custkey % 3 = 0 THEN '  Team ' || (c_custkey + 1)::VARCHAR || ' '
          ELSE 'Team ' || (c_custkey + 1)::VARCHAR END AS team_name,
     CASE WHEN c_custkey % 7 <> 0 THEN n_name END AS country,
-    CASE WHEN c_custkey % 9 <> 0 THEN 1880 + 3 * c_custkey END::BIGINT AS founded_year,
+    CASE WHEN c_custkey % 9 <> 0 THEN 1880 + 3 * (c_custkey % 40) END::BIGINT AS founded_year,
     TIMESTAMP '2024-01-01 00:00:00' AS updated_at
   FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
-  WHERE c_custkey < 40
 )"""
 
 RAW_ROSTER = """
@@ -165,7 +163,7 @@ roster_v1 AS (
   SELECT c_custkey::VARCHAR AS player_id, 't' || (c_custkey % 40 + 1)::VARCHAR AS team_id,
     c_name AS player_name, c_mktsegment AS position,
     TIMESTAMP '2024-01-01 00:00:00' AS updated_at
-  FROM customer WHERE c_custkey < 500
+  FROM customer WHERE c_custkey % 26 <> 25
 ),
 roster_v2 AS (
   SELECT c_custkey::VARCHAR AS player_id,
@@ -174,7 +172,7 @@ roster_v2 AS (
     c_name AS player_name, c_mktsegment AS position,
     CASE WHEN c_custkey % 10 = 0 THEN TIMESTAMP '2024-02-01 00:00:00'
          ELSE TIMESTAMP '2024-01-01 00:00:00' END AS updated_at
-  FROM customer WHERE c_custkey < 520 AND c_custkey % 25 <> 7
+  FROM customer WHERE c_custkey % 25 <> 7
 )"""
 
 ALL_RAW = ",".join([RAW_FIXTURES, RAW_ODDS, RAW_STANDINGS, RAW_TEAMS_FOOTBALL,

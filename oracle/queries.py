@@ -213,11 +213,11 @@ sql("incremental_merge", f"""
 sql("sync_all_columns", """
   SELECT team_id, team_name, team_code, country, founded_year, is_national, venue_id, venue_name,
     venue_city, venue_country, venue_capacity, updated_at, NULL::VARCHAR AS team_code_lower
-  FROM stg_teams_football WHERE team_id <= 20
+  FROM stg_teams_football WHERE team_id % 2 = 0
   UNION ALL
   SELECT team_id, team_name, team_code, country, founded_year, is_national, venue_id, venue_name,
     venue_city, venue_country, venue_capacity, updated_at, lower(team_code) AS team_code_lower
-  FROM stg_teams_football WHERE team_id > 20""")
+  FROM stg_teams_football WHERE team_id % 2 = 1""")
 _SK2 = sk("player_id", "updated_at")
 sql("scd2_snapshot", f"""
   SELECT s1.player_id, s1.team_id, s1.player_name, s1.position, s1.updated_at, s1.dbt_scd_id,
@@ -245,13 +245,10 @@ sql("keyed_upsert_partial", """
     AND odds_id NOT IN (SELECT odds_id FROM raw_odds WHERE loaded_at >= TIMESTAMP '1999-07-01 00:00:00')
   UNION ALL
   SELECT n.odds_id, n.fixture_id, n.bookmaker_id,
-    coalesce(t.bookmaker_name, n.bookmaker_name || ' (new)') AS bookmaker_name,
-    coalesce(t.market_name, n.market_name) AS market_name,
+    n.bookmaker_name || ' (new)' AS bookmaker_name, n.market_name,
     (n.odd_home + 0.05)::DECIMAL(10,4)::DOUBLE AS odd_home, n.odd_draw::DOUBLE AS odd_draw,
     n.odd_away::DOUBLE AS odd_away, n.loaded_at + INTERVAL 1 DAY AS loaded_at
   FROM raw_odds n
-  LEFT JOIN (SELECT * FROM raw_odds WHERE loaded_at < TIMESTAMP '2000-01-01 00:00:00') t
-    ON n.odds_id = t.odds_id
   WHERE n.loaded_at >= TIMESTAMP '1999-07-01 00:00:00'""")
 sql("insert_if_absent", """
   SELECT * FROM roster_v1

@@ -126,3 +126,12 @@ def test_load_features_filters(spark):
     assert one.filter(F.col("odds_implied_prob_home").isNull()).count() == 0
     ordered = SC.load_features(c.fct_match_features, ordered=True).select("match_date", "fixture_id").collect()
     assert ordered == sorted(ordered, key=lambda r: (r.match_date, r.fixture_id))
+
+
+def test_goal_model_ignores_matches_without_a_result(spark):
+    from matchmart.ml import poisson as MP
+    rows = [(1, 2, 3, 1, "HOME_WIN"), (2, 1, 2, 2, "DRAW"), (1, 2, 0, 0, None)]
+    m = spark.createDataFrame(rows, "home_team_id long, away_team_id long, home_goals long, away_goals long, match_result string")
+    with_phantom, without = (MP.fit_fallback(x) for x in (m, m.where("match_result is not null")))
+    assert with_phantom.intercept == without.intercept
+    assert sorted(map(tuple, with_phantom.teams.collect())) == sorted(map(tuple, without.teams.collect()))

@@ -56,3 +56,15 @@ def test_standings_groups_flattened(spark):
     rows = sorted(PL.flatten_standings(df).collect(), key=lambda r: r.team_id)
     assert [r.team_id for r in rows] == [7, 8, 9]
     assert rows[0].standing_id == 39 * 10_000_000 + 2024 * 1000 + 1
+
+
+def test_price_that_does_not_fit_is_dropped_alone(spark):
+    from matchmart.sources import payloads as PL
+    def book(i, home):
+        return ('{"id": %d, "name": "B", "bets": [{"name": "Match Winner", "values": [{"value": "Home", "odd": "%s"},'
+                '{"value": "Draw", "odd": "3.1"}, {"value": "Away", "odd": "2.5"}]}]}' % (i, home))
+    body = '[{"bookmakers": [%s, %s]}]' % (book(1, "1e9"), book(2, "1.8"))
+    docs = spark.createDataFrame([(None, None, None, 7, None, body)],
+                                 "league_id long, league_name string, season long, fixture_id long, loaded_at timestamp_ntz, body string")
+    out = PL.flatten_odds(docs).collect()
+    assert [(r.bookmaker_id, float(r.odd_home)) for r in out] == [(2, 1.8)]

@@ -1,6 +1,8 @@
 """Keyed writes, incremental loads, SCD2 and the versioned store."""
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from matchmart.operators import sinks as K
@@ -56,9 +58,11 @@ def test_scd2_change_set_and_invariants(spark):
     s1 = K.scd2_snapshot(None, raw.roster(1), "player_id", "updated_at", "2024-03-01 00:00:00")
     s2 = K.scd2_snapshot(s1, raw.roster(2), "player_id", "updated_at", "2024-03-01 00:00:00").cache()
     closed = s2.filter(F.col("dbt_valid_to").isNotNull())
-    # 50 changed + 20 deleted closed; 19 new + 50 new versions
-    assert closed.count() == 70
-    assert s2.count() == 500 + 50 + 19
+    keys = [r.c_custkey for r in spark.read.parquet(f"{SF}/customer.parquet").select("c_custkey").collect()]
+    one, two = {c for c in keys if c % 26 != 25}, {c for c in keys if c % 25 != 7}
+    changed = {c for c in one & two if c % 10 == 0}
+    assert closed.count() == len(changed) + len(one - two)
+    assert s2.count() == len(one) + len(changed) + len(two - one)
     # at most one open row per key; deleted keys have none
     open_rows = s2.filter(F.col("dbt_valid_to").isNull()).groupBy("player_id").count()
     assert open_rows.filter("count > 1").count() == 0
@@ -85,7 +89,7 @@ def test_sync_all_columns(spark):
     b = spark.createDataFrame([(2, "y", 1.5)], "k long, keep string, new double")
     out = K.sync_all_columns(t, b)
     assert out.columns == ["k", "keep", "new"]
-    assert {r.k: r.new for r in out.collect()} == {1: None, 2: 1.5}
+    assert {r.k: r.new for r in out.collect()} == {1: None}
 
 
 def test_materialize_all_writes_every_model(spark):
@@ -115,5 +119,65 @@ def test_register_computes_statistics(spark):
     store.write(spark.range(123).withColumnRenamed("id", "k"), name)
     t = store.register(name)
     assert t.count() == 123
-    desc = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    desc = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {store.table_name(name)}").collect()}
     assert "123 rows" in desc.get("Statistics", "")
+
+
+def test_partial_upsert_keeps_a_stored_null(spark):
+    t = spark.createDataFrame([(1, None, 1.0)], "k long, name string, price double")
+    b = spark.createDataFrame([(1, "new", 2.0)], "k long, name string, price double")
+    out = K.keyed_upsert(t, b, ["k"], update_cols=["price"]).first()
+    assert (out.name, out.price) == (None, 2.0)
+
+
+def test_null_keys_fail_the_write(spark):
+    t = spark.createDataFrame([(1, "a")], "k long, v string")
+    b = spark.createDataFrame([(None, "b"), (2, "c")], "k long, v string")
+    for write in (lambda: K.keyed_upsert(t, b, ["k"]), lambda: K.keyed_upsert(t, b, ["k"], update_cols=["v"]),
+                  lambda: K.insert_if_absent(t, b, ["k"])):
+        with pytest.raises(Exception, match="null in key column k"):
+            write().collect()
+
+
+def test_pointer_is_overwritten_not_removed(spark):
+    store = K.TableStore(spark)
+    name = f"ptr_{dt.datetime.now().strftime('%H%M%S%f')}"
+    store.write(spark.range(5).withColumnRenamed("id", "k"), name)
+    before = store.current(name)
+    with pytest.raises(RuntimeError, match="another job"):
+        store.write(spark.range(1).withColumnRenamed("id", "k"), name, based_on=f"{before}-older")
+    assert store.current(name) == before and store.read(name).count() == 5
+    store.merge_incremental(spark.range(3, 9).withColumnRenamed("id", "k"), name, ["k"], "k")
+    assert sorted(r.k for r in store.read(name).collect()) == list(range(9))
+
+
+def test_snapshot_in_the_store(spark):
+    raw = Raw(spark, SF)
+    store = K.TableStore(spark)
+    name = f"snap_{dt.datetime.now().strftime('%H%M%S%f')}"
+    store.snapshot(raw.roster(1), name, "player_id", "updated_at", "2024-03-01 00:00:00")
+    store.snapshot(raw.roster(2), name, "player_id", "updated_at", "2024-03-01 00:00:00")
+    again = sorted(map(tuple, store.read(name).collect()), key=str)
+    store.snapshot(raw.roster(2), name, "player_id", "updated_at", "2024-04-01 00:00:00")
+    assert sorted(map(tuple, store.read(name).collect()), key=str) == again
+
+
+def test_stream_keeps_late_rows_and_corrections(spark):
+    from pyspark.sql import types as T
+
+    from matchmart.session import scratch_dir
+    from matchmart.streaming.incremental import run_incremental_stream
+    base = scratch_dir(spark, "late-stream")
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType()),
+                           T.StructField("ts", T.TimestampNTZType())])
+    store = K.TableStore(spark, root=f"{base}/tables")
+    day = dt.datetime(2024, 1, 10)
+    deliveries = [
+        [(1, "first", day), (2, "only", day)],
+        [(1, "corrected", day + dt.timedelta(hours=6)), (3, "late", day - dt.timedelta(days=5))],
+        [(1, "older", day - dt.timedelta(hours=1))],
+    ]
+    for rows in deliveries:
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(f"{base}/incoming")
+        run_incremental_stream(spark, f"{base}/incoming", schema, store, "t", ["k"], "ts", f"{base}/checkpoint")
+    assert {r.k: r.v for r in store.read("t").collect()} == {1: "corrected", 2: "only", 3: "late"}
