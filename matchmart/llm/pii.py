@@ -354,9 +354,16 @@ def _label_rows(batches):
 
 
 def labelled_by_rules(docs: DataFrame, limit: int = MAX_DOCS, chars: int = 20_000) -> DataFrame:
-    """A small labelled table: ``limit`` documents of at most ``chars`` characters that hold a digit or an @."""
-    sample = (docs.where(F.col("text").rlike("[0-9@]") & (F.length("text") <= chars)).select("doc_id", "text")
-              .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(limit))
+    """A small labelled table: ``limit`` documents of at most ``chars`` characters that hold a digit or an @.
+
+    The doc_ids are chosen first, so no task gathers candidate texts; rows that
+    share a chosen doc_id give one text, rows without doc_id none.
+    """
+    fit = docs.where(F.col("text").rlike("[0-9@]") & (F.length("text") <= chars)).select("doc_id", "text")
+    chosen = (fit.where("doc_id is not null").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+              .distinct())
+    # At most ``limit`` numbers are broadcast.
+    sample = fit.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
     return sample.select("text").mapInArrow(_label_rows, "text string, spans string")
 
 
@@ -367,6 +374,7 @@ def _parsed(spans: str) -> list[Span]:
 def train_table(labelled: DataFrame, limit: int = MAX_DOCS) -> Field:
     """A field from a small table (text, spans as ``kind:start:end``, comma-joined)."""
     rows = labelled.where("text is not null").select("text", "spans").limit(limit).collect()
+    rows.sort()  # the order of arrival must not change the weights
     return train([(r["text"], _parsed(r["spans"] or "")) for r in rows])
 
 

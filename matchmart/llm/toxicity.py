@@ -13,7 +13,8 @@ by the hash of the doc_id.  That sample is broadcast as a list of ids; scoring
 reads every whole text in one pass, without a shuffle.
 
 Edge cases: null texts are empty, and empty texts score the intercept alone;
-a doc_id with several labels is toxic if one of them says so; null labels are
+a doc_id with several labels is toxic if one of them says so, one with several
+texts is learned from one of them; null labels are
 left out; without labels of both kinds every score is the share of toxic
 labels (0 without labels); other columns are ignored.
 """
@@ -131,11 +132,13 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     sample = (labels.where("toxic").orderBy(order, "doc_id").limit(MAX_TOXIC)
               .unionByName(labels.where("not toxic").orderBy(order, "doc_id").limit(MAX_OTHER)))
     # At most MAX_TOXIC + MAX_OTHER rows of two small columns.
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    texts = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+             .groupBy("doc_id", "toxic").agg(F.min("text").alias("text")))
     rows, toxic = [], []
-    for r in texts.mapInArrow(_feature_rows, "doc_id long, toxic boolean, buckets binary").toLocalIterator():
-        rows.append(np.frombuffer(r["buckets"], np.int32))
-        toxic.append(r["toxic"])
+    found = texts.mapInArrow(_feature_rows, "doc_id long, toxic boolean, buckets binary").toLocalIterator()
+    for _, buckets, is_toxic in sorted((r["doc_id"], bytes(r["buckets"]), r["toxic"]) for r in found):
+        rows.append(np.frombuffer(buckets, np.int32))
+        toxic.append(is_toxic)
     return fit(rows, np.array(toxic, bool), total.get(True, 0) / max(1, sum(total.values())))
 
 
