@@ -94,15 +94,16 @@ def fit(rows: list[np.ndarray], toxic: np.ndarray, share: float) -> Model:
     share = min(max(share, 1e-6), 1 - 1e-6)
     if not toxic.any() or toxic.all():
         return Model(none, none, float(np.log(share / (1 - share))))
-    count = np.array([len(x) for x in rows])
-    bucket = np.concatenate(rows).astype(np.int64)
-    row = np.repeat(np.arange(len(rows)), count)
-    is_toxic = toxic[row]
-    p = SMOOTHING + np.bincount(bucket[is_toxic], minlength=size)
-    q = SMOOTHING + np.bincount(bucket[~is_toxic], minlength=size)
+    p, q = np.full(size, SMOOTHING), np.full(size, SMOOTHING)
+    for own, is_toxic in zip(rows, toxic):
+        (p if is_toxic else q)[own] += 1  # a bucket is listed once per document
     ratio = np.log(p / toxic.sum()) - np.log(q / (~toxic).sum())
     # A ratio counts only beyond its own sampling error, else long texts drown in chance.
     ratio = np.sign(ratio) * np.maximum(0, np.abs(ratio) - ERRORS * np.sqrt(1 / p + 1 / q))
+    # Features without a ratio are zero in every row.
+    rows = [own[ratio[own] != 0] for own in rows]
+    bucket = np.concatenate(rows).astype(np.int64)
+    row = np.repeat(np.arange(len(rows)), [len(own) for own in rows])
     norm = np.sqrt(np.bincount(row, ratio[bucket] ** 2, len(rows)))
     value = (ratio[bucket] / np.maximum(norm, 1e-9)[row]).astype(np.float32)
     # Both classes weigh the same while training.
