@@ -712,9 +712,6 @@ def q_league_filter(c: Context) -> DataFrame:
 # Output precision of floating-point model outputs compared with
 # the oracle (exp/log differ in the last bit between engines).
 ML_DIGITS = 10
-# Trees per class in the registered queries (library default: 300, the
-# reference's setting; lowered here only to keep the local query set fast).
-QUERY_TREES = 20
 PREDICTED_AT = "2001-08-02 00:00:00"
 
 _TRAINED: dict = {}
@@ -723,7 +720,7 @@ _TRAINED: dict = {}
 def _trained(c: Context) -> MT.TrainResult:
     key = (c.spark.sparkContext.applicationId, c.sf_dir)
     if key not in _TRAINED:
-        _TRAINED[key] = MT.train(c.fct_match_features, n_trees=QUERY_TREES)
+        _TRAINED[key] = MT.train(c.fct_match_features)
     return _TRAINED[key]
 
 
@@ -897,10 +894,10 @@ def q_kfold_accuracy(c: Context) -> DataFrame:
     fm = MF.feature_matrix(SC.load_features(c.fct_match_features))
     fm = MF.temporal_split(fm.checkpoint()).filter("is_train").drop("is_train")
     folded = MF.stratified_folds(fm).checkpoint()
+    models = MB.at_once(c.spark, lambda f: MB.fit_booster(folded.filter(F.col("fold") != f)), range(5))
     accs = []
-    for f in range(5):
-        tr, te = folded.filter(F.col("fold") != f), folded.filter(F.col("fold") == f)
-        model = MB.fit_booster(tr, n_trees=QUERY_TREES)
+    for f, model in enumerate(models):
+        te = folded.filter(F.col("fold") == f)
         pred = MH.decide(MB.predict_booster(model, te), prefix="gb")
         acc = pred.agg(F.avg((C.encode_target("predicted_result") == F.col("label")).cast("double"))
                        .alias("accuracy")).withColumn("fold", F.lit(f))
