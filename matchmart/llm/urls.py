@@ -125,11 +125,18 @@ def judge(pages: DataFrame, labelled: DataFrame, rules: Sequence[tuple[str, str,
                     F.when(F.col("given").isNull(), F.col("mined_confidence")).alias("mined_confidence")))
 
 
+def document_number() -> Column:
+    """The doc_id that a page's url names: the path part after a two-letter language, else null."""
+    return F.expr("try_cast(nullif(regexp_extract(path, '^/[a-z]{2}/([0-9]+)(?:[./]|$)', 1), '') as bigint)")
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages; a page is labelled by the row of ``labels`` with its number, blocked if of low quality or toxic."""
+    """All pages; a page is labelled by the row of ``labels`` of the document its url names, blocked if of low quality
+    or toxic."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     labels = (spark.read.parquet(f"{sf_dir}/labels.parquet")
-              .select(F.col("doc_id").alias("page_id"),
+              .select("doc_id",
                       (F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False)))
                       .alias("blocked")))
-    return judge(pages, pages.join(labels, "page_id").select("url", "blocked"))
+    named = with_parts(pages).select("url", document_number().alias("doc_id"))
+    return judge(pages, named.join(labels, "doc_id").select("url", "blocked"))

@@ -44,3 +44,15 @@ def test_pruned_to_the_shortest_rule(spark):
 def test_empty(spark):
     none = spark.createDataFrame([], "url string, blocked boolean")
     assert urls.judge(pages(spark, []), none).collect() == []
+
+
+def test_labels_follow_the_document_in_the_url(spark, tmp_path):
+    # Document numbers run against the page numbers; the blocked ones are all on one host.
+    n = 200
+    rows = [(i, f"http://{'bad' if i % 4 == 0 else 'good'}.site.io/en/{n - 1 - i}{['', '/', '.html'][i % 3]}?id=1#top")
+            for i in range(n)] + [(n, "http://bad.site.io/other/7"), (n + 1, f"http://good.site.io/en/{'9' * 30}"), (n + 2, None)]
+    pages(spark, rows).select("page_id", "url").write.parquet(f"{tmp_path}/pages.parquet")
+    labels = [(n - 1 - i, 0 if i % 4 == 0 else 1, 0) for i in range(n)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    out = {r.page_id: r.verdict for r in urls.op7_url_filter(spark, str(tmp_path)).collect()}
+    assert out == {i: "block" if u and "//bad." in u else "allow" for i, u in rows}
