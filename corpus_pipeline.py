@@ -30,7 +30,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pii.redacted(docs, pii.train_table(pii.labelled_by_rules(docs)))
+    return pii.redacted(docs, pii.train_table(pii.labelled_by_hand(spark)))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,9 +14,9 @@ tokens of such a token (or a ``+``) form the chains; the others are outside any
 span.  Added spans that touch a base span are dropped, and so are those of a
 kind whose marks they lack.
 
-The query has no labelled table, so it labels a bounded sample of documents, by
-the hash of the doc_id, with the base rules: the field then also marks what it
-takes for such data in forms that the rules do not know.
+The query and the pipeline train on the hand-labelled texts of ``pii_labelled``,
+which hold what the rules merge or refuse (cards side by side, a phone before an
+ip) and forms outside them; nothing that the rules miss is taken as outside.
 
 Edge cases: null texts are empty; rows are independent and never merged; the
 rules run in time linear in the text, so very long texts and very long runs of
@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from matchmart.llm import pii_labelled
 from matchmart.llm import textops as T
 
 # The contract's kinds, in its order.
@@ -345,26 +346,9 @@ def spans_of(docs: DataFrame, field: Field) -> DataFrame:
     return rows.mapInArrow(_find(field), f"doc {kind}, spans {_FOUND}")
 
 
-def _label_rows(batches):
-    for batch in batches:
-        texts = batch.column("text").to_pylist()
-        found = [_joined(base_spans(t)) for t in texts]
-        yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array(found, pa.string())],
-                                         names=["text", "spans"])
-
-
-def labelled_by_rules(docs: DataFrame, limit: int = MAX_DOCS, chars: int = 20_000) -> DataFrame:
-    """A small labelled table: ``limit`` documents of at most ``chars`` characters that hold a digit or an @.
-
-    The doc_ids are chosen first, so no task gathers candidate texts; rows that
-    share a chosen doc_id give one text, rows without doc_id none.
-    """
-    fit = docs.where(F.col("text").rlike("[0-9@]") & (F.length("text") <= chars)).select("doc_id", "text")
-    chosen = (fit.where("doc_id is not null").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-              .distinct())
-    # At most ``limit`` numbers are broadcast.
-    sample = fit.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
-    return sample.select("text").mapInArrow(_label_rows, "text string, spans string")
+def labelled_by_hand(spark: SparkSession) -> DataFrame:
+    """The labelled table (text, spans) that comes with the package."""
+    return spark.createDataFrame(pii_labelled.rows(), "text string, spans string")
 
 
 def _parsed(spans: str) -> list[Span]:
@@ -405,9 +389,9 @@ def redacted(docs: DataFrame, field: Field) -> DataFrame:
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents, with a field trained on a sample that the rules have labelled."""
+    """All documents, with a field trained on the hand-labelled texts."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    field = train_table(labelled_by_rules(docs))
+    field = train_table(labelled_by_hand(spark))
     found = spans_of(docs, field)
     names = F.array(*[F.lit(k) for k in KINDS])
 

@@ -125,3 +125,29 @@ def test_without_labels(make_docs):
     assert P.spans_of(make_docs([(1, "12 34 a@b")]), field).first().spans == []
     assert P.spans_of(make_docs([]), field).collect() == []
     assert P.redacted(make_docs([]), field).collect() == []
+
+
+def test_spans_beside_each_other_are_added(spark, make_docs, tmp_path):
+    """Cards side by side and a phone before an ip, which the rules merge and refuse."""
+    import corpus_pipeline
+
+    rng = random.Random(6)
+    rows, want = [], {}
+    for i in range(60):
+        ip = ".".join(str(rng.randrange(100, 256)) for _ in range(4))
+        phone = f"+1 ({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}"
+        parts, kinds = (([card(rng), card(rng)], (2, 2)), ([phone, ip], (3, 1)))[i % 2]
+        text, spans = "the word of 12 Haus. ", []
+        for kind, part in zip(kinds, parts):
+            spans.append((kind, len(text), len(text) + len(part)))
+            text += part + " "
+        rows.append((i, text + "and so on"))
+        want[i] = P._joined(spans)
+    rows += [(100 + i, f"order {rng.randrange(10**9)} of 2020, {i} items at 10.5, version 3.{i}.2") for i in range(40)]
+    docs = make_docs(rows)
+    docs.select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r.doc_id: r for r in P.op3_pii(spark, str(tmp_path)).collect()}
+    assert all(out[i].spans == spans for i, spans in want.items())
+    assert all(out[i].n_added == 0 and out[i].spans == "" for i in range(100, 140))
+    clean = {r.doc_id: r.text for r in corpus_pipeline.pii_stage(spark, docs, str(tmp_path)).collect()}
+    assert all(clean[i].endswith(("[card] [card] and so on", "[phone] [ip] and so on")[i % 2]) for i in want)
