@@ -9,8 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchmart.llm import (decontaminate, languages, near, packing, pii, quality, substrings, token_counts,
-                            toxicity, urls)
+from matchmart.llm import (clusters, decontaminate, languages, near, packing, pii, quality, substrings,
+                            token_counts, toxicity, urls)
 
 _SHIPPED: set[str] = set()
 
@@ -49,6 +49,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": decontaminate.op8_decontamination,
         "op9_quality_rules": quality.op9_quality_rules,
         "op10_near_dedup": near.op10_near_dedup,
+        "op12_centroid_clustering": clusters.op12_centroid_clustering,
     }
 
 
@@ -56,4 +57,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_substring_dedup": substrings.OP2_SQL,
         "op9_quality_rules": quality.OP9_SQL,
+        "op12_centroid_clustering": clusters.OP12_SQL,
     }
