@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from matchmart.llm import (clusters, decontaminate, languages, near, packing, pii, quality, substrings,
-                            token_counts, toxicity, urls)
+                            token_counts, toxicity, urls, warc)
 
 _SHIPPED: set[str] = set()
 
@@ -50,6 +50,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_quality_rules": quality.op9_quality_rules,
         "op10_near_dedup": near.op10_near_dedup,
         "op12_centroid_clustering": clusters.op12_centroid_clustering,
+        "op13_warc": warc.op13_warc,
     }
 
 
@@ -58,4 +59,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_substring_dedup": substrings.OP2_SQL,
         "op9_quality_rules": quality.OP9_SQL,
         "op12_centroid_clustering": clusters.OP12_SQL,
+        "op13_warc": warc.OP13_SQL,
     }
