@@ -9,8 +9,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchmart.llm import (clusters, decontaminate, languages, near, packing, pii, quality, substrings,
-                            token_counts, toxicity, urls, warc)
+from matchmart.llm import (align, clusters, decontaminate, languages, near, packing, pii, quality,
+                            substrings, token_counts, toxicity, urls, warc)
 
 _SHIPPED: set[str] = set()
 
@@ -49,6 +49,7 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": decontaminate.op8_decontamination,
         "op9_quality_rules": quality.op9_quality_rules,
         "op10_near_dedup": near.op10_near_dedup,
+        "op11_token_alignment": align.op11_token_alignment,
         "op12_centroid_clustering": clusters.op12_centroid_clustering,
         "op13_warc": warc.op13_warc,
     }
