@@ -53,8 +53,9 @@ from matchmart.session import scratch_dir
 VOCABULARY_A = "byte_bpe_50k.json"
 VOCABULARY_B = "piece_bpe_32k.model"
 WORK = 2048
-SPANS = 500_000
-SPAN_TOKENS = 8_000_000
+CHUNK_BYTES = 400_000
+SPANS = 250_000
+SPAN_TOKENS = 4_000_000
 _PAD = np.iinfo(np.int64).max
 _SPACE_PIECE = "▁"
 
@@ -78,6 +79,8 @@ def _byte_of_letter() -> dict[str, int]:
 @lru_cache(2)
 def tokenizer_a(path: str):
     """The tokenizer and the bytes of each of its ids."""
+    import os
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
     own = Tokenizer.from_file(path)
     own.encode_special_tokens = True
@@ -181,6 +184,18 @@ def _joined(ids: np.ndarray, separators: np.ndarray) -> tuple[bytes, np.ndarray]
     return rows[np.arange(6)[None, :] <= n[:, None]].tobytes(), np.cumsum(n + 1)
 
 
+class _Spans(SpanCache):
+    """A memory of spans whose unknown spans are encoded all at once; ``encode`` maps spans to ids."""
+
+    def _add(self, keys: np.ndarray, spans: list[bytes]) -> None:
+        whole, found = self.encode, iter(self.encode(spans))
+        self.encode = lambda _: next(found)
+        try:
+            super()._add(keys, spans)
+        finally:
+            self.encode = whole
+
+
 class Aligner:
     """Aligns chunks of rows inside one worker."""
 
@@ -192,15 +207,19 @@ class Aligner:
         lone_space = own_b.piece_to_id(_SPACE_PIECE)
 
         # A span whose tokens do not give its bytes again gets none; its document then has none.
-        def encode_a(span: bytes) -> list[int]:
-            ids = own_a.encode(span.decode("utf-8"), add_special_tokens=False).ids
-            return ids if b"".join([bytes_a[i] for i in ids]) == span else []
-
-        def encode_b(span: bytes) -> list[int]:
-            ids = own_b.encode(span[1:].decode("utf-8")) if len(span) > 1 else [lone_space]
-            return ids if b"".join([bytes_b[i] for i in ids]) == span else []
-
-        self.caches = SpanCache(encode_a, SPANS), SpanCache(encode_b, SPANS)
+        def encode_a(spans: list[bytes]) -> Iterator[list[int]]:
+            encoded = own_a.encode_batch_fast([x.decode("utf-8") for x in spans], add_special_tokens=False)
+            for span, e in zip(spans, encoded):
+                ids = e.ids
+                yield ids if b"".join([bytes_a[i] for i in ids]) == span else []
+
+        def encode_b(spans: list[bytes]) -> Iterator[list[int]]:
+            encoded = own_b.encode([x[1:].decode("utf-8") for x in spans], num_threads=1)
+            for span, ids in zip(spans, encoded):
+                ids = ids or [lone_space]
+                yield ids if b"".join([bytes_b[i] for i in ids]) == span else []
+
+        self.caches = _Spans(encode_a, SPANS), _Spans(encode_b, SPANS)
         self.size = tuple(np.array([len(x) for x in table], np.int64) for table in (bytes_a, bytes_b))
         self.pairs = suffix_pairs(path_a, path_b)
 
@@ -270,7 +289,7 @@ def aligned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", detail:
         own = aligner(path_a, path_b)
         for batch in batches:
             data, off = T.utf8(batch.column("text"))
-            for x, y in T.row_chunks(off):
+            for x, y in T.row_chunks(off, CHUNK_BYTES):
                 c = own.chunk(data, off[x:y + 1])
                 columns = [batch.column("doc_id").slice(x, y - x), *(pa.array(c[n]) for n in ("n_a", "n_b", "n_groups")),
                            pa.array(c["digest"]), T.lists(c["links"].astype(np.int32), c["n_groups"])]
