@@ -1,119 +1,485 @@
-"""Three-class boosted model, calibration and importances.
+"""Three-class boosted trees on gradient histograms, calibration, importances.
 
-Spark's gradient-boosted trees are binary, so the 3-class model is one
-``GBTClassifier`` per class (one-vs-rest) whose positive-class probabilities
-are normalised to sum to one.  Training and scoring are distributed by Spark
-ML; nothing is collected except the fitted trees.  Numbers differ from the
-reference's booster (different library) and are not claimed equal.
+One softmax model: every round grows one tree per class from the gradients of
+all three classes, and several models (the folds of a cross-validation) advance
+together.  A tree level of all models and classes is one Spark job:
+
+* the features are cut into at most ``MAX_BINS`` bins once, at quantiles, and a
+  row keeps its bin numbers, label, fold and scores;
+* each task adds up the gradients and hessians of its rows by (tree, node,
+  feature, bin); the sums are combined in a reduction tree over the executors,
+  and one array, whose size depends on trees, nodes, features and bins but not
+  on the rows, reaches the driver, which chooses the splits;
+* of two siblings only the one with fewer rows is counted, the other is the
+  parent minus it; the last level needs no pass, its leaves follow from the sums.
+
+Scores are renewed once a round.  They are cached, and every ``CHECKPOINT_ROUNDS``
+rounds written to the shared checkpoint folder, so a lost executor costs the
+rounds since then.  Gradients are added as integers (``1 / UNIT``), so sums do
+not depend on the order or number of tasks: the same rows give the same trees.
+
+A fitted model is two small tables (:class:`Booster`), tree nodes and calibration
+steps, so it can be stored, read in another session and scored there.  They hold at most trees x 2 ** (depth + 1) rows, which is what scoring ships.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from collections.abc import Iterator
+from dataclasses import dataclass, field, replace
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from ..sources.scan import FEATURE_COLUMNS
 
-# The reference's booster settings (trees, depth, rate, row
-# sample, column sample, min rows per leaf, seed).
+# The reference's booster settings (trees, depth, rate, row sample,
+# column sample, least hessian per child, least gain, L1, L2, seed).
 N_TREES = 300
 MAX_DEPTH = 6
 LEARNING_RATE = 0.05
 SUBSAMPLE = 0.8
-COLSAMPLE = "0.8"
-MIN_CHILD = 3
+COLSAMPLE = 0.8
+MIN_CHILD_WEIGHT = 3.0
+GAMMA = 0.1
+ALPHA = 0.1
+LAMBDA = 1.0
 SEED = 42
+CLASSES = 3
 SIDES = ("home", "draw", "away")
 
+MAX_BINS = 64
+EDGE_ROWS = 100_000
+CHUNK_ROWS = 50_000
+PART_ROWS = 8_000
+CHECKPOINT_ROUNDS = 20
+UNIT = 1 << 30
+_LEAST_GAIN = 1e-6
+
+_CHUNK = "n int, bins binary, label binary, fold binary, row_key binary"
+NODE_SCHEMA = ("model int, round int, class int, node int, feature string, threshold double, weight double, "
+               "gain double, cover double")
+STEP_SCHEMA = "class int, boundary double, probability double"
+
+
+@dataclass(frozen=True)
+class Settings:
+    n_trees: int = N_TREES
+    max_depth: int = MAX_DEPTH
+    learning_rate: float = LEARNING_RATE
+    subsample: float = SUBSAMPLE
+    colsample: float = COLSAMPLE
+    min_child_weight: float = MIN_CHILD_WEIGHT
+    gamma: float = GAMMA
+    alpha: float = ALPHA
+    reg_lambda: float = LAMBDA
+    max_bins: int = MAX_BINS
+    seed: int = SEED
+
 
 @dataclass
-class OvRBooster:
-    models: list = field(default_factory=list)      # one per class 0, 1, 2
+class Booster:
+    """A fitted model: node rows (``NODE_SCHEMA``; leaves have no feature) and calibration steps."""
+    nodes: pd.DataFrame
     features: list = field(default_factory=lambda: list(FEATURE_COLUMNS))
-    calibrators: list | None = None
-
-
-def _assemble(df: DataFrame, features: list[str]) -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
-    filled = df.fillna(0.0, subset=features)  # missing features scored as 0
-    return VectorAssembler(inputCols=features, outputCol="features",
-                           handleInvalid="keep").transform(filled)
-
-
-def at_once(spark: SparkSession, fit: Callable, items: Iterable) -> list:
-    """``fit(item)`` of every item, in order, from one driver thread each (fits are many short jobs)."""
-    from pyspark import inheritable_thread_target
-    items = list(items)
-    with ThreadPoolExecutor(len(items)) as pool:
-        return list(pool.map(lambda item: inheritable_thread_target(spark)(fit)(item), items))
-
-
-def fit_booster(train: DataFrame, features: list[str] | None = None, n_trees: int = N_TREES,
-                max_depth: int = MAX_DEPTH, learning_rate: float = LEARNING_RATE,
-                seed: int = SEED) -> OvRBooster:
-    """One GBT per class on ``label`` (0/1/2); the three fits run at the same time."""
-    from pyspark.ml.classification import GBTClassifier
-    feats = features or list(FEATURE_COLUMNS)
-    data = _assemble(train, feats).select("features", "label").persist()
-
-    def fit(c: int):
-        d = data.withColumn("y", (F.col("label") == c).cast("double"))
-        gbt = GBTClassifier(featuresCol="features", labelCol="y", maxIter=n_trees,
-                            maxDepth=max_depth, stepSize=learning_rate,
-                            subsamplingRate=SUBSAMPLE, featureSubsetStrategy=COLSAMPLE,
-                            minInstancesPerNode=MIN_CHILD, seed=seed)
-        return gbt.fit(d)
-
-    models = at_once(train.sparkSession, fit, range(3))
-    data.unpersist()
-    return OvRBooster(models, feats)
-
-
-def predict_booster(model: OvRBooster, df: DataFrame, prefix: str = "gb") -> DataFrame:
-    """Normalised one-vs-rest probabilities ``{prefix}_{home,draw,away}_prob``."""
-    from pyspark.ml.functions import vector_to_array
-    x = _assemble(df, model.features)
-    for c, m in enumerate(model.models):
-        x = m.setPredictionCol(f"_pred{c}").setProbabilityCol(f"_prob{c}") \
-             .setRawPredictionCol(f"_raw{c}").transform(x)
-        x = x.withColumn(f"_s{c}", vector_to_array(F.col(f"_prob{c}"))[1]) \
-             .drop(f"_pred{c}", f"_prob{c}", f"_raw{c}")
-    if model.calibrators:
-        for c, iso in enumerate(model.calibrators):
-            x = iso.setFeaturesCol(f"_s{c}").setPredictionCol(f"_k{c}").transform(x) \
-                .withColumn(f"_s{c}", F.col(f"_k{c}")).drop(f"_k{c}")
-    tot = F.col("_s0") + F.col("_s1") + F.col("_s2")
-    out = x.withColumns({
-        f"{prefix}_{s}_prob": F.when(tot > 0, F.col(f"_s{c}") / tot).otherwise(F.lit(1.0 / 3.0))
-        for c, s in enumerate(SIDES)})
-    return out.drop("features", "_s0", "_s1", "_s2")
-
-
-def calibrate(model: OvRBooster, holdout: DataFrame) -> OvRBooster:
-    """Per-class isotonic regression of the raw one-vs-rest scores on a
-    held-out slice (the last part of the training period, not the test set)."""
+    steps: pd.DataFrame | None = None
+
+    def raw(self) -> Booster:
+        return replace(self, steps=None)
+
+
+# --- binning ------------------------------------------------------------------------------------
+
+def bin_edges(rows: DataFrame, features: list[str], max_bins: int = MAX_BINS, row_key: str = "fixture_id",
+              edge_rows: int = EDGE_ROWS) -> list[np.ndarray]:
+    """Rising cut values per feature (at most ``max_bins - 1``); a value's bin is the number of edges below it.
+
+    They are quantiles of about ``edge_rows`` rows, drawn by a hash of their key, or of all rows
+    where there are no more; so they do not depend on how the rows are dealt."""
+    share = min(1.0, edge_rows / max(rows.count(), 1))
+    drawn = rows.where(F.pmod(F.xxhash64(row_key, F.lit("edges")), F.lit(1 << 30)) < int(share * (1 << 30)))
+    sample = drawn.select(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features]).toPandas()
+    shares = np.arange(1, max_bins) / max_bins
+    return [np.unique(np.quantile(sample[c], shares, method="inverted_cdf")) if len(sample) else np.zeros(0)
+            for c in features]
+
+
+def _chunks(rows: DataFrame, features: list[str], edges: list[np.ndarray], row_key: str, fold: str | None) -> DataFrame:
+    """Rows as blocks of bins, labels, folds and row keys, ``CHUNK_ROWS`` at most in one."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for whole in frames:
+            for a in range(0, len(whole), CHUNK_ROWS):
+                f = whole.iloc[a:a + CHUNK_ROWS]
+                bins = np.stack([np.searchsorted(e, f[c].to_numpy(float), "left") for c, e in zip(features, edges)], 1)
+                yield pd.DataFrame({"n": [len(f)], "bins": [bins.astype(np.uint8).tobytes()],
+                                    "label": [f["label"].to_numpy(np.int8).tobytes()],
+                                    "fold": [f["fold"].to_numpy(np.int16).tobytes()],
+                                    "row_key": [f["row_key"].to_numpy(np.int64).tobytes()]})
+    # Thousands of short jobs follow: no more tasks than their rows are worth.
+    parts = max(1, -(-rows.count() // PART_ROWS))
+    return rows.select(
+        *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features],
+        F.col("label").cast("int").alias("label"), (F.col(fold) if fold else F.lit(-1)).cast("int").alias("fold"),
+        F.xxhash64(row_key).alias("row_key")).repartition(parts, "row_key").mapInPandas(run, _CHUNK)
+
+
+# --- rows inside a task -----------------------------------------------------------------------
+
+class _Block:
+    """A block of rows: bins [n, features], label, fold, key, scores [n, models, classes]."""
+
+    def __init__(self, bins, label, fold, key, scores):
+        self.bins, self.label, self.fold, self.key, self.scores = bins, label, fold, key, scores
+
+    @classmethod
+    def of(cls, row, n_features: int, models: int) -> _Block:
+        return cls(np.frombuffer(row.bins, np.uint8).reshape(row.n, n_features), np.frombuffer(row.label, np.int8),
+                   np.frombuffer(row.fold, np.int16), np.frombuffer(row.row_key, np.int64),
+                   np.full((row.n, models, CLASSES), 0.5))
+
+
+def _leaf_of(bins: np.ndarray, split: np.ndarray, depth: int) -> np.ndarray:
+    """The heap node each row reaches; ``split`` [nodes, 2] holds feature (-1: none) and bin."""
+    at, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
+    for _ in range(depth):
+        feature, cut = split[at, 0], split[at, 1]
+        right = bins[rows, np.maximum(feature, 0)] > cut
+        at = np.where(feature >= 0, 2 * at + 1 + right, at)
+    return at
+
+
+def _drawn(key: np.ndarray, seed: int, tree: int, share: float) -> np.ndarray:
+    """Which rows a tree sees: by their key, the same on every attempt."""
+    if share >= 1.0:
+        return np.ones(len(key), bool)
+    x = key.astype(np.uint64) ^ np.uint64((seed * 0x9E3779B97F4A7C15 + tree * 0xD1B54A32D192ED03) % 2**64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (x ^ (x >> np.uint64(31))) < np.uint64(int(share * 2**64))
+
+
+def gradients(scores: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Softmax gradients and hessians per class, as integers in 1 / UNIT."""
+    e = np.exp(scores - scores.max(-1, keepdims=True))
+    p = e / e.sum(-1, keepdims=True)
+    g = p - (label[:, None] == np.arange(CLASSES))
+    return np.rint(g * UNIT).astype(np.int64), np.rint(np.maximum(2 * p * (1 - p), 1e-16) * UNIT).astype(np.int64)
+
+
+def _histograms(block: _Block, splits: np.ndarray, slots: np.ndarray, columns: np.ndarray, round_: int, depth: int,
+                bins: int, width: int, s: Settings) -> np.ndarray:
+    """[trees, width, columns, bins, 3] sums (gradient, hessian, rows) of one block.
+
+    ``slots`` [trees, nodes] gives the place of each node that is counted, -1 for others; ``columns``
+    [trees, columns] the features a tree may use.
+    """
+    trees = len(splits)
+    out = np.zeros((trees, width, columns.shape[1], bins, 3), np.int64)
+    offset = np.arange(columns.shape[1]) * bins
+    for m in range(trees // CLASSES):
+        mine = np.flatnonzero(block.fold != m)
+        g, h = gradients(block.scores[mine, m], block.label[mine])
+        for c in range(CLASSES):
+            t = m * CLASSES + c
+            if slots[t].max() < 0:
+                continue
+            seen = _drawn(block.key[mine], s.seed, round_ * CLASSES + c, s.subsample)
+            rows = mine[seen]
+            slot = slots[t][_leaf_of(block.bins[rows], splits[t], depth)]
+            keep = slot >= 0
+            rows, slot = rows[keep], slot[keep]
+            cell = (slot[:, None] * (columns.shape[1] * bins) + offset + block.bins[rows][:, columns[t]]).ravel()
+            size = width * columns.shape[1] * bins
+            for k, weight in enumerate((g[seen, c][keep], h[seen, c][keep], None)):
+                # Sums of integers below 2**53 are exact in the doubles that bincount adds.
+                w = None if weight is None else np.repeat(weight, columns.shape[1]).astype(float)
+                out[t, ..., k] = np.bincount(cell, w, size).reshape(width, columns.shape[1], bins)
+    return out
+
+
+def _renewed(block: _Block, splits: np.ndarray, weights: np.ndarray, depth: int) -> _Block:
+    """The block with the scores after one more round."""
+    scores = block.scores.copy()
+    for t in range(len(splits)):
+        scores[:, t // CLASSES, t % CLASSES] += weights[t][_leaf_of(block.bins, splits[t], depth)]
+    return _Block(block.bins, block.label, block.fold, block.key, scores)
+
+
+# --- splits on the driver ---------------------------------------------------------------------
+
+def _shrunk(g: np.ndarray, alpha: float) -> np.ndarray:
+    return np.sign(g) * np.maximum(np.abs(g) - alpha, 0.0)
+
+
+def best_splits(hist: np.ndarray, columns: np.ndarray, s: Settings):
+    """Per node of ``hist`` [nodes, columns, bins, 3]: gain, feature, bin (first best in column, bin order), weight
+    and hessian; a gain under the least allowed is -inf."""
+    g, h = hist[..., 0] / UNIT, hist[..., 1] / UNIT
+    total_g, total_h = g[:, 0].sum(-1), h[:, 0].sum(-1)
+    left_g, left_h = np.cumsum(g, -1)[..., :-1], np.cumsum(h, -1)[..., :-1]
+    right_g, right_h = total_g[:, None, None] - left_g, total_h[:, None, None] - left_h
+
+    def part(x, y):
+        return _shrunk(x, s.alpha) ** 2 / (y + s.reg_lambda)
+
+    gain = part(left_g, left_h) + part(right_g, right_h) - part(total_g, total_h)[:, None, None]
+    gain[(left_h < s.min_child_weight) | (right_h < s.min_child_weight)] = -np.inf
+    gain[gain < max(s.gamma, _LEAST_GAIN)] = -np.inf
+    flat = gain.reshape(len(hist), -1)
+    at = flat.argmax(1)
+    best = flat[np.arange(len(hist)), at]
+    column, cut = np.divmod(at, gain.shape[-1])
+    weight = -_shrunk(total_g, s.alpha) / (total_h + s.reg_lambda) * s.learning_rate
+    return best, columns[column], cut, weight, total_h
+
+
+def tree_columns(n_features: int, trees: int, round_: int, s: Settings) -> np.ndarray:
+    """The features each tree of a round may use: the same share of them for every tree, by the seed."""
+    k = max(1, int(s.colsample * n_features))
+    draws = [np.random.default_rng([s.seed, round_, t % CLASSES]).permutation(n_features)[:k] for t in range(trees)]
+    return np.sort(np.array(draws), 1)
+
+
+def _grow(state, n_features: int, bins: int, models: int, round_: int, s: Settings):
+    """One tree per model and class; returns splits, leaf weights, gains and hessians by heap node."""
+    trees, size = models * CLASSES, 2 ** (s.max_depth + 1) - 1
+    splits = np.full((trees, size, 2), -1, np.int64)
+    weights, gains, covers = np.zeros((trees, size)), np.zeros((trees, size)), np.zeros((trees, size))
+    columns = tree_columns(n_features, trees, round_, s)
+    parents: dict[tuple[int, int], np.ndarray] = {}
+    level = [(t, 0, -1) for t in range(trees)]  # (tree, node counted, its sibling)
+    for depth in range(s.max_depth):
+        if not level:
+            break
+        slots = np.full((trees, size), -1, np.int64)
+        width = 0
+        for t in range(trees):
+            nodes = [n for tt, n, _ in level if tt == t]
+            slots[t, nodes] = np.arange(len(nodes))
+            width = max(width, len(nodes))
+        hist = _summed(state, (splits, slots, columns, round_, depth, bins, width, s))
+        children: dict[tuple[int, int], np.ndarray] = {}
+        for t, n, sibling in level:
+            children[t, n] = hist[t, slots[t, n]]
+            if sibling >= 0:
+                children[t, sibling] = parents[t, (n - 1) // 2] - children[t, n]
+        parents, level = {}, []
+        for t in range(trees):
+            nodes = sorted(n for tt, n in children if tt == t)
+            if not nodes:
+                continue
+            found = best_splits(np.stack([children[t, n] for n in nodes]), columns[t], s)
+            for n, gain, feature, cut, weight, cover in zip(nodes, *found):
+                weights[t, n], covers[t, n] = weight, cover
+                if not np.isfinite(gain):
+                    continue
+                splits[t, n], gains[t, n] = (feature, cut), gain
+                cell = children[t, n][int(np.searchsorted(columns[t], feature)), :, :]
+                left, right = cell[:cut + 1].sum(0), cell[cut + 1:].sum(0)
+                for child, part in ((2 * n + 1, left), (2 * n + 2, right)):
+                    weights[t, child] = float(-_shrunk(part[0] / UNIT, s.alpha) / (part[1] / UNIT + s.reg_lambda)
+                                              * s.learning_rate)
+                    covers[t, child] = part[1] / UNIT
+                parents[t, n] = children[t, n]
+                small = 2 * n + 1 if left[2] <= right[2] else 2 * n + 2
+                level.append((t, small, 4 * n + 3 - small))
+    return splits, weights, gains, covers
+
+
+def _summed(state, task) -> np.ndarray:
+    splits, slots, columns, round_, depth, bins, width, s = task
+
+    def run(blocks):
+        total = None
+        for block in blocks:
+            own = _histograms(block, splits, slots, columns, round_, depth, bins, width, s)
+            total = own if total is None else total + own
+        if total is not None:
+            yield total
+
+    # Few partitions are added on the driver at once, many in a tree over the executors.
+    parts = state.getNumPartitions()
+    return state.mapPartitions(run).treeReduce(np.add, 1 if parts <= 32 else 2 if parts <= 1024 else 3)
+
+
+# --- fitting ------------------------------------------------------------------------------------
+
+def fit_boosters(train: DataFrame, features: list[str] | None = None, fold: str | None = None, models: int = 1,
+                 row_key: str = "fixture_id", settings: Settings = Settings()):
+    """``models`` boosters on ``label`` (0, 1, 2), advanced together; with ``fold`` (0 to models - 1),
+    model m is fitted without the rows of fold m.  Returns the node table and the last scores (an RDD of blocks)."""
+    feats, s = features or list(FEATURE_COLUMNS), settings
+    if not 2 <= s.max_bins <= 256:
+        raise ValueError("max_bins must be 2 to 256")
+    ship_package(train.sparkSession)
+    edges = bin_edges(train, feats, s.max_bins, row_key)
+    bins = max([len(e) for e in edges], default=0) + 1
+    chunks = _chunks(train, feats, edges, row_key, fold).checkpoint()
+    n_features = len(feats)
+    state = chunks.rdd.map(lambda row: _Block.of(row, n_features, models))
+    if state.isEmpty():
+        raise ValueError("no rows to train on")
+    state, older, rows = state.persist(), [], []
+    for round_ in range(s.n_trees):
+        splits, weights, gains, covers = _grow(state, n_features, bins, models, round_, s)
+        rows += _node_rows(splits, weights, gains, covers, round_, feats, edges)
+        older.append(state)
+        depth = s.max_depth
+        state = state.map(lambda b, sp=splits, w=weights: _renewed(b, sp, w, depth)).persist()
+        if round_ % CHECKPOINT_ROUNDS == CHECKPOINT_ROUNDS - 1:
+            state.checkpoint()
+            state.count()
+        # The round before is still the parent of a state that no job has read yet.
+        while len(older) > 1:
+            older.pop(0).unpersist()
+    names = [x.split()[0] for x in NODE_SCHEMA.split(", ")]
+    return pd.DataFrame(rows, columns=names), state
+
+
+def _node_rows(splits, weights, gains, covers, round_, feats, edges) -> list[tuple]:
+    out = []
+    for t in range(len(splits)):
+        stack = [0]
+        while stack:
+            n = stack.pop()
+            f, cut = splits[t, n]
+            model, cls = divmod(t, CLASSES)
+            if f >= 0:
+                out.append((model, round_, cls, n, feats[f], float(edges[f][cut]), 0.0, float(gains[t, n]),
+                            float(covers[t, n])))
+                stack += [2 * n + 1, 2 * n + 2]
+            else:
+                out.append((model, round_, cls, n, None, None, float(weights[t, n]), 0.0, float(covers[t, n])))
+    return out
+
+
+def fit_booster(train: DataFrame, features: list[str] | None = None, settings: Settings = Settings()) -> Booster:
+    """One booster on all rows of ``train``."""
+    nodes, state = fit_boosters(train, features, settings=settings)
+    state.unpersist()
+    return Booster(nodes, features or list(FEATURE_COLUMNS))
+
+
+def fold_accuracy(folded: DataFrame, n_splits: int = 5, features: list[str] | None = None,
+                  settings: Settings = Settings()) -> DataFrame:
+    """The accuracy on each fold of the model fitted without it (``fold``, ``n``, ``accuracy``)."""
+    _, state = fit_boosters(folded, features, "fold", n_splits, settings=settings)
+
+    def run(blocks):
+        total = np.zeros((n_splits, 2), np.int64)
+        for b in blocks:
+            hit = b.scores[np.arange(len(b.fold)), b.fold].argmax(1) == b.label
+            total[:, 0] += np.bincount(b.fold, minlength=n_splits)
+            total[:, 1] += np.bincount(b.fold, hit, n_splits).astype(np.int64)
+        yield total
+
+    total = state.mapPartitions(run).treeReduce(np.add)
+    state.unpersist()
+    return folded.sparkSession.createDataFrame(
+        [(i, int(n), float(hits) / float(n) if n else None) for i, (n, hits) in enumerate(total.tolist())],
+        "fold int, n long, accuracy double")
+
+
+# --- scoring ------------------------------------------------------------------------------------
+
+class Scorer:
+    """Scores raw feature values by the node table of one model."""
+
+    def __init__(self, model: Booster, depth: int = MAX_DEPTH):
+        nodes = model.nodes
+        tree = nodes["round"].to_numpy(np.int64) * CLASSES + nodes["class"].to_numpy(np.int64)
+        heap = nodes["node"].to_numpy(np.int64)
+        depth = max(depth, int(np.log2(heap.max(initial=0) + 1)))
+        trees, size = int(tree.max(initial=-1)) + 1, 2 ** (depth + 1) - 1
+        place = {name: i for i, name in enumerate(model.features)}
+        feature = nodes["feature"].map(place).fillna(-1).to_numpy(np.int64)
+        self.depth = depth
+        self.feature, self.threshold = np.full((trees, size), -1, np.int64), np.zeros((trees, size))
+        self.weight = np.zeros((trees, size))
+        self.feature[tree, heap] = feature
+        self.threshold[tree, heap] = np.nan_to_num(nodes["threshold"].to_numpy(float))
+        self.weight[tree, heap] = nodes["weight"].to_numpy(float)
+
+    def scores(self, x: np.ndarray) -> np.ndarray:
+        out, rows = np.full((len(x), CLASSES), 0.5), np.arange(len(x))
+        for t in range(len(self.feature)):
+            at = np.zeros(len(x), np.int64)
+            for _ in range(self.depth):
+                f = self.feature[t, at]
+                if f.max(initial=-1) < 0:
+                    break
+                right = x[rows, np.maximum(f, 0)] > self.threshold[t, at]
+                at = np.where(f >= 0, 2 * at + 1 + right, at)
+            out[:, t % CLASSES] += self.weight[t, at]
+        return out
+
+    def probabilities(self, x: np.ndarray) -> np.ndarray:
+        z = self.scores(x)
+        e = np.exp(z - z.max(1, keepdims=True))
+        return e / e.sum(1, keepdims=True)
+
+
+def predict_booster(model: Booster, df: DataFrame, prefix: str = "gb") -> DataFrame:
+    """Class probabilities ``{prefix}_{home,draw,away}_prob``; missing features count as 0.
+
+    Calibrated models replace each probability by its isotonic step function and
+    divide by the sum (1/3 each when that is 0)."""
+    ship_package(df.sparkSession)
+    # A few tables of trees x nodes, whatever the data.
+    shipped = df.sparkSession.sparkContext.broadcast(Scorer(model))
+
+    @F.pandas_udf("array<double>")
+    def score(*columns: pd.Series) -> pd.Series:
+        x = np.stack([c.fillna(0.0).to_numpy(float) for c in columns], 1)
+        return pd.Series(list(shipped.value.probabilities(x)))
+
+    out = df.withColumn("_mm_p", score(*[F.col(c).cast("double") for c in model.features]))
+    p = [F.col("_mm_p")[c] for c in range(CLASSES)]
+    if model.steps is not None:
+        p = [_step_column(model.steps[model.steps["class"] == c], p[c]) for c in range(CLASSES)]
+        out = out.withColumns({f"_mm_{c}": p[c] for c in range(CLASSES)})
+        p = [F.col(f"_mm_{c}") for c in range(CLASSES)]
+    total = p[0] + p[1] + p[2]
+    return out.withColumns({f"{prefix}_{s}_prob": F.when(total > 0, p[c] / total).otherwise(F.lit(1.0 / 3.0))
+                            for c, s in enumerate(SIDES)}).drop("_mm_p", *[f"_mm_{c}" for c in range(CLASSES)])
+
+
+def _step_column(steps: pd.DataFrame, score):
+    """Linear between the boundaries, constant beyond them."""
+    x, y = steps["boundary"].to_numpy(float), steps["probability"].to_numpy(float)
+
+    @F.pandas_udf("double")
+    def calibrated(s: pd.Series) -> pd.Series:
+        return pd.Series(np.interp(s.to_numpy(float), x, y))
+
+    return calibrated(score)
+
+
+def calibrate(model: Booster, holdout: DataFrame) -> Booster:
+    """Per-class isotonic regression of the probabilities on a held-out
+    slice (the last part of the training period, not the test set)."""
     from pyspark.ml.regression import IsotonicRegression
-    from pyspark.ml.functions import vector_to_array
-    x = _assemble(holdout, model.features)
-    cals = []
-    for c, m in enumerate(model.models):
-        s = m.setProbabilityCol("_p").setPredictionCol("_q").setRawPredictionCol("_r").transform(x)
-        s = s.select(vector_to_array("_p")[1].alias("score"),
-                     (F.col("label") == c).cast("double").alias("y"))
-        cals.append(IsotonicRegression(featuresCol="score", labelCol="y", isotonic=True).fit(s))
-    return OvRBooster(model.models, model.features, cals)
-
-
-def feature_importance(model: OvRBooster, spark) -> DataFrame:
-    """Mean importance over the three class models, ranked."""
-    k = len(model.features)
-    rows = []
-    for i, name in enumerate(model.features):
-        vals = [float(m.featureImportances[i]) if i < k else 0.0 for m in model.models]
-        rows.append((name, sum(vals) / len(vals)))
-    df = spark.createDataFrame(rows, "feature string, importance double")
-    return df.orderBy(F.col("importance").desc(), F.col("feature"))
+    scored = predict_booster(model.raw(), holdout, "raw").select("label", *[f"raw_{x}_prob" for x in SIDES]).checkpoint()
+    parts = []
+    for c, side in enumerate(SIDES):
+        fit = IsotonicRegression(featuresCol=f"raw_{side}_prob", labelCol="y", isotonic=True).fit(
+            scored.withColumn("y", (F.col("label") == c).cast("double")))
+        parts.append(pd.DataFrame({"class": c, "boundary": list(fit.boundaries), "probability": list(fit.predictions)}))
+    return replace(model, steps=pd.concat(parts, ignore_index=True))
+
+
+def node_table(spark: SparkSession, model: Booster) -> DataFrame:
+    rows = model.nodes.astype(object).where(model.nodes.notna(), None).values.tolist()
+    return spark.createDataFrame(rows, NODE_SCHEMA)
+
+
+def feature_importance(model: Booster, spark: SparkSession) -> DataFrame:
+    """Mean gain of a feature's splits over all trees, as a share of all features' sum, ranked."""
+    names = spark.createDataFrame([(f,) for f in model.features], "feature string")
+    gain = node_table(spark, model).where("feature is not null").groupBy("feature").agg(F.avg("gain").alias("gain"))
+    total = gain.agg(F.sum("gain")).first()[0] or 1.0
+    return names.join(gain, "feature", "left").select(
+        "feature", F.coalesce(F.col("gain") / F.lit(total), F.lit(0.0)).alias("importance")).orderBy(
+        F.col("importance").desc(), F.col("feature"))

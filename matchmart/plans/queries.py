@@ -18,7 +18,7 @@ from ..ml import poisson as MP
 from ..ml import train as MT
 from ..operators import quality as Q
 from ..operators import sinks as K
-from ..session import scratch_dir
+from ..session import ensure_checkpoint_dir, scratch_dir
 from ..sources import payloads as PL
 from ..sources import scan as SC
 from . import intermediate as I
@@ -714,14 +714,26 @@ def q_league_filter(c: Context) -> DataFrame:
 ML_DIGITS = 10
 PREDICTED_AT = "2001-08-02 00:00:00"
 
-_TRAINED: dict = {}
+# The match tables that the feature fact is derived from.
+MODEL_INPUTS = ("nation", "customer", "supplier", "part", "orders", "lineitem")
+
+
+def _inputs_digest(c: Context) -> str:
+    """A digest of the input files' names, sizes and times (their content is not read)."""
+    files = (c.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .load([f"{c.sf_dir}/{t}.parquet" for t in MODEL_INPUTS])
+             .agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("path", "length", F.col("modificationTime").cast("long")))).first())
+    return f"{files[0]}-{files[1] & (2**64 - 1):016x}"
 
 
 def _trained(c: Context) -> MT.TrainResult:
-    key = (c.spark.sparkContext.applicationId, c.sf_dir)
-    if key not in _TRAINED:
-        _TRAINED[key] = MT.train(c.fct_match_features)
-    return _TRAINED[key]
+    """The model of this data, from its tables in the store; trained first where there is none yet."""
+    store = K.TableStore(c.spark, f"{ensure_checkpoint_dir(c.spark)}/models/{_inputs_digest(c)}")
+    found = MT.load_model(store)
+    if found is None:
+        MT.save_model(store, MT.train(c.fct_match_features))
+        found = MT.load_model(store)
+    return found
 
 
 def _round(df: DataFrame, cols) -> DataFrame:
@@ -868,7 +880,7 @@ def q_model_params_io(c: Context) -> DataFrame:
 
 @query("boosted_classifier")
 def q_boosted_classifier(c: Context) -> DataFrame:
-    """Test-set probabilities of the one-vs-rest boosted model and hybrid."""
+    """Test-set probabilities of the three-class boosted model and hybrid."""
     r = _trained(c)
     return r.test_scored.select("fixture_id", "gb_home_prob", "gb_draw_prob", "gb_away_prob",
                                 "hybrid_home_prob", "hybrid_draw_prob", "hybrid_away_prob",
@@ -880,9 +892,8 @@ def q_isotonic_calibration(c: Context) -> DataFrame:
     """Test-period booster probabilities before and after the per-class
     isotonic calibration (fitted on the last slice of the training period)."""
     r = _trained(c)
-    raw = MB.OvRBooster(r.booster.models, r.booster.features, None)
     test = r.test_scored.select("fixture_id", *r.booster.features, "label")
-    before = MB.predict_booster(raw, test, prefix="raw").select(
+    before = MB.predict_booster(r.booster.raw(), test, prefix="raw").select(
         "fixture_id", "raw_home_prob", "raw_draw_prob", "raw_away_prob")
     after = r.test_scored.select("fixture_id", "gb_home_prob", "gb_draw_prob", "gb_away_prob")
     return before.join(after, "fixture_id")
@@ -894,24 +905,14 @@ def q_kfold_accuracy(c: Context) -> DataFrame:
     fm = MF.feature_matrix(SC.load_features(c.fct_match_features))
     fm = MF.temporal_split(fm.checkpoint()).filter("is_train").drop("is_train")
     folded = MF.stratified_folds(fm).checkpoint()
-    models = MB.at_once(c.spark, lambda f: MB.fit_booster(folded.filter(F.col("fold") != f)), range(5))
-    accs = []
-    for f, model in enumerate(models):
-        te = folded.filter(F.col("fold") == f)
-        pred = MH.decide(MB.predict_booster(model, te), prefix="gb")
-        acc = pred.agg(F.avg((C.encode_target("predicted_result") == F.col("label")).cast("double"))
-                       .alias("accuracy")).withColumn("fold", F.lit(f))
-        accs.append(acc)
-    from functools import reduce
-    allf = reduce(DataFrame.unionByName, accs)
-    return allf.agg(F.avg("accuracy").alias("cv_accuracy_mean"),
-                    F.stddev_pop("accuracy").alias("cv_accuracy_std"),
-                    F.count(F.lit(1)).alias("folds"))
+    return MB.fold_accuracy(folded).agg(F.avg("accuracy").alias("cv_accuracy_mean"),
+                                        F.stddev_pop("accuracy").alias("cv_accuracy_std"),
+                                        F.count(F.lit(1)).alias("folds"))
 
 
 @query("feature_importance")
 def q_feature_importance(c: Context) -> DataFrame:
-    """Mean importance of each feature over the class models."""
+    """Share of the mean split gain of each feature over all trees."""
     return MB.feature_importance(_trained(c).booster, c.spark)
 
 

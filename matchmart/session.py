@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -42,6 +43,8 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold",
                 str(AQE_BROADCAST_BYTES))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # the many short jobs of the booster wait 40 ms each on a TCP acknowledgement otherwise
+        .config("spark.python.unix.domain.socket.enabled", "true")
         .config("spark.driver.memory", os.environ.get("MATCHMART_DRIVER_MEM", "16g"))
     )
     spark = builder.getOrCreate()
@@ -75,3 +78,28 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark)
     path = os.path.join(base, f"{name}-{os.urandom(6).hex()}")
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the session's Python workers, once per application.
+
+    Spark's own file server carries the archive, so workers need neither the
+    repository nor a shared folder.
+    """
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(package)
+    archive = os.path.join(tempfile.mkdtemp(prefix="matchmart-py-"), "matchmart_py.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, root))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)

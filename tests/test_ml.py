@@ -2,7 +2,6 @@
 import math
 
 import pandas as pd
-import pytest
 from pyspark.sql import functions as F
 
 from matchmart.ml import features as MF
@@ -136,29 +135,3 @@ def test_goal_model_ignores_matches_without_a_result(spark):
     with_phantom, without = (MP.fit_fallback(x) for x in (m, m.where("match_result is not null")))
     assert with_phantom.intercept == without.intercept
     assert sorted(map(tuple, with_phantom.teams.collect())) == sorted(map(tuple, without.teams.collect()))
-
-
-def test_registered_queries_fit_the_whole_booster(spark, monkeypatch):
-    """Every registered model has the reference's number of trees; only the fit itself is replaced here."""
-    from types import SimpleNamespace
-
-    from matchmart.ml import boosting as MB
-    from matchmart.plans import queries as Q
-
-    seen = []
-
-    class Stop(Exception):
-        pass
-
-    def fit(train, features=None, n_trees=MB.N_TREES, **other):
-        seen.append(n_trees)
-        raise Stop
-
-    monkeypatch.setattr(MB, "fit_booster", fit)
-    monkeypatch.setattr(Q, "_TRAINED", {})
-    for key in ("boosted_classifier", "kfold_accuracy"):
-        before = len(seen)
-        with pytest.raises(Stop):
-            Q.registry()[key](spark, "/root/testdata/sf0.001").collect()
-        assert len(seen) > before
-    assert set(seen) == {300}
