@@ -57,6 +57,7 @@ CHUNK_BYTES = 400_000
 SPANS = 250_000
 SPAN_TOKENS = 4_000_000
 _PAD = np.iinfo(np.int64).max
+_SLICE = 500  # rows of an Arrow batch that are converted at a time
 _SPACE_PIECE = "▁"
 
 _ROWS = "doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, links array<int>"
@@ -287,17 +288,19 @@ def aligned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", detail:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = aligner(path_a, path_b)
-        for batch in batches:
-            data, off = T.utf8(batch.column("text"))
-            for x, y in T.row_chunks(off, CHUNK_BYTES):
-                c = own.chunk(data, off[x:y + 1])
-                columns = [batch.column("doc_id").slice(x, y - x), *(pa.array(c[n]) for n in ("n_a", "n_b", "n_groups")),
-                           pa.array(c["digest"]), T.lists(c["links"].astype(np.int32), c["n_groups"])]
-                if detail:
-                    columns += [T.lists(c[v].astype(kind), c[n]) for v, n, kind in (
-                        ("a", "n_a", np.int32), ("b", "n_b", np.int32), ("over_a", "n_over", np.int32),
-                        ("over_b", "n_over", np.int32), ("over_bytes", "n_over", np.int32), ("closes", "n_over", bool))]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+        for whole in batches:
+            for batch in (whole.slice(a, _SLICE) for a in range(0, whole.num_rows, _SLICE)):
+                data, off = T.utf8(batch.column("text"))
+                for x, y in T.row_chunks(off, CHUNK_BYTES):
+                    c = own.chunk(data, off[x:y + 1])
+                    columns = [batch.column("doc_id").slice(x, y - x),
+                               *(pa.array(c[n]) for n in ("n_a", "n_b", "n_groups")),
+                               pa.array(c["digest"]), T.lists(c["links"].astype(np.int32), c["n_groups"])]
+                    if detail:
+                        columns += [T.lists(c[v].astype(kind), c[n]) for v, n, kind in (
+                            ("a", "n_a", np.int32), ("b", "n_b", np.int32), ("over_a", "n_over", np.int32),
+                            ("over_b", "n_over", np.int32), ("over_bytes", "n_over", np.int32), ("closes", "n_over", bool))]
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
 
