@@ -18,6 +18,7 @@ from ..ml import poisson as MP
 from ..ml import train as MT
 from ..operators import quality as Q
 from ..operators import sinks as K
+from ..operators.manifest import ManifestStore
 from ..session import ensure_checkpoint_dir, scratch_dir
 from ..sources import payloads as PL
 from ..sources import scan as SC
@@ -534,6 +535,8 @@ def q_row_count_deviation(c: Context) -> DataFrame:
 FIRST_LOAD_BEFORE = "2000-01-01 00:00:00"
 REDELIVERY_FROM = "1999-07-01 00:00:00"
 SNAPSHOT_RUN_TS = "2024-03-01 00:00:00"
+# Fixture ids per part of a stored table: ids grow with time, so a delivery touches the last parts.
+ID_WIDTH = 1 << 16
 
 
 @query("mat_view")
@@ -562,12 +565,12 @@ def q_mat_table(c: Context) -> DataFrame:
 def q_incremental_merge(c: Context) -> DataFrame:
     """First load, then a re-scored delivery merged past the watermark
     (30-day look-back) replacing rows by fixture_id."""
-    p = c.raw.predictions
-    first = K.incremental_merge(p.filter(F.col("predicted_at") < F.lit(FIRST_LOAD_BEFORE)),
-                                None, ["fixture_id"], "predicted_at")
-    rescored = p.withColumn("model_version", F.lit("v-next"))
-    return K.incremental_merge(rescored, first, ["fixture_id"], "predicted_at",
-                               lookback="30 days")
+    p, store = c.raw.predictions, ManifestStore(c.spark)
+    store.merge_incremental(p.filter(F.col("predicted_at") < F.lit(FIRST_LOAD_BEFORE)), "predictions",
+                            ["fixture_id"], "predicted_at", width=ID_WIDTH)
+    store.merge_incremental(p.withColumn("model_version", F.lit("v-next")), "predictions", ["fixture_id"],
+                            "predicted_at", lookback="30 days")
+    return store.read("predictions")
 
 
 @query("sync_all_columns")
@@ -582,8 +585,10 @@ def q_sync_all_columns(c: Context) -> DataFrame:
 @query("scd2_snapshot")
 def q_scd2_snapshot(c: Context) -> DataFrame:
     """Type-2 roster history after two loads (hard deletes closed)."""
-    s1 = K.scd2_snapshot(None, c.raw.roster(1), "player_id", "updated_at", SNAPSHOT_RUN_TS)
-    return K.scd2_snapshot(s1, c.raw.roster(2), "player_id", "updated_at", SNAPSHOT_RUN_TS)
+    store = ManifestStore(c.spark)
+    store.snapshot(c.raw.roster(1), "roster", "player_id", "updated_at", SNAPSHOT_RUN_TS)
+    store.snapshot(c.raw.roster(2), "roster", "player_id", "updated_at", SNAPSHOT_RUN_TS)
+    return store.read("roster")
 
 
 @query("keyed_upsert")
@@ -594,7 +599,10 @@ def q_keyed_upsert(c: Context) -> DataFrame:
     batch = fx.filter(F.col("match_date") >= F.lit(REDELIVERY_FROM)).withColumn(
         "loaded_at", F.col("loaded_at") + F.expr("INTERVAL 7 DAYS"))
     batch = K.dedupe_latest(batch, ["fixture_id"], [F.col("loaded_at").desc()])
-    return K.keyed_upsert(target, batch, ["fixture_id"])
+    store = ManifestStore(c.spark)
+    store.upsert(target, "fixtures", ["fixture_id"], width=ID_WIDTH)
+    store.upsert(batch, "fixtures", ["fixture_id"])
+    return store.read("fixtures")
 
 
 @query("keyed_upsert_partial")
@@ -606,15 +614,20 @@ def q_keyed_upsert_partial(c: Context) -> DataFrame:
              .withColumn("bookmaker_name", F.concat(F.col("bookmaker_name"), F.lit(" (new)")))
              .withColumn("odd_home", (F.col("odd_home") + F.lit(0.05)).cast("decimal(10,4)"))
              .withColumn("loaded_at", F.col("loaded_at") + F.expr("INTERVAL 1 DAY")))
-    return K.keyed_upsert(target, batch, ["odds_id"],
-                          update_cols=["bookmaker_name", "market_name", "odd_home", "odd_draw", "odd_away",
-                                       "loaded_at"])
+    store = ManifestStore(c.spark)
+    store.upsert(target, "odds", ["odds_id"])
+    store.upsert(batch, "odds", ["odds_id"], update_cols=["bookmaker_name", "market_name", "odd_home", "odd_draw",
+                                                          "odd_away", "loaded_at"])
+    return store.read("odds")
 
 
 @query("insert_if_absent")
 def q_insert_if_absent(c: Context) -> DataFrame:
     """The second roster load adds only unseen players."""
-    return K.insert_if_absent(c.raw.roster(1), c.raw.roster(2), ["player_id"])
+    store = ManifestStore(c.spark)
+    store.insert_if_absent(c.raw.roster(1), "roster", ["player_id"])
+    store.insert_if_absent(c.raw.roster(2), "roster", ["player_id"])
+    return store.read("roster")
 
 
 # --- sources ---------------------------------------------------------------------------------
@@ -982,7 +995,7 @@ def q_incremental_stream(c: Context) -> DataFrame:
     p = c.raw.predictions
     p.filter(F.col("predicted_at") < F.lit(FIRST_LOAD_BEFORE)).write.parquet(f"{src}/part=1")
     p.filter(F.col("predicted_at") >= F.lit(FIRST_LOAD_BEFORE)).write.parquet(f"{src}/part=2")
-    store = K.TableStore(c.spark, root=f"{base}/tables")
+    store = ManifestStore(c.spark, f"{base}/tables")
     schema = T.StructType(p.schema.fields + [T.StructField("part", T.IntegerType())])
     run_incremental_stream(c.spark, src, schema, store, "predictions",
                            ["fixture_id"], "predicted_at", ckpt)

@@ -3,12 +3,13 @@ any registered query; top-n queries are limited before their shuffle."""
 import pytest
 
 import __spark_entry__ as E
+from matchmart.plans.queries import registry
 
 SMALL = "/root/testdata/sf0.001"
 SKIP = {"boosted_classifier", "isotonic_calibration", "kfold_accuracy", "feature_importance",
         "feature_ranking", "predict_batch", "incremental_stream", "mat_table", "scan_raw",
         "model_params_io", "poisson_fit", "temporal_split", "model_registry"}
-KEYS = [k for k in E.queries() if k not in SKIP]
+KEYS = [k for k in registry() if k not in SKIP]
 
 
 def _plan(spark, key):

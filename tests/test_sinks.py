@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from matchmart.operators import sinks as K
+from matchmart.operators.manifest import ManifestStore
 from matchmart.sources.adapters import Raw
 
 SF = "/root/testdata/sf0.01"
@@ -170,7 +171,7 @@ def test_stream_keeps_late_rows_and_corrections(spark):
     base = scratch_dir(spark, "late-stream")
     schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType()),
                            T.StructField("ts", T.TimestampNTZType())])
-    store = K.TableStore(spark, root=f"{base}/tables")
+    store = ManifestStore(spark, f"{base}/tables")
     day = dt.datetime(2024, 1, 10)
     deliveries = [
         [(1, "first", day), (2, "only", day)],
