@@ -1,9 +1,9 @@
 """Feature matrix, temporal split and stratified folds.
 
 No operator here sorts the whole fact table or numbers it with an unpartitioned
-window.  Row positions in (date, id) order come from histograms: counts per
-day (one row per day), then counts per id bucket inside a single day, then a
-``row_number`` inside one bucket whose size is bounded by the bucket width.
+window.  Row positions in (kick-off, id) order come from ranges: the narrow
+(kick-off, id) rows are dealt by Spark's range partitioning (borders from a sample),
+rows are counted per range, and an exact position needs the rows of one range only.
 """
 
 from __future__ import annotations
@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..sources.scan import FEATURE_COLUMNS, TARGET_COLUMN
 
-ID_BUCKET = 1 << 16  # ids per bucket in the last histogram level
-
 
 def feature_matrix(df: DataFrame, features: list[str] | None = None,
                    vector: bool = False) -> DataFrame:
@@ -31,79 +29,61 @@ def feature_matrix(df: DataFrame, features: list[str] | None = None,
     return out
 
 
-def _kth_in_order(df: DataFrame, k: int, day_col: str, id_col: str, daily: DataFrame | None = None):
-    """(day, id) of the k-th row (1-based) in (day, id) order, or None.
+def _ranged(keys: DataFrame, order: list[str]) -> DataFrame:
+    """``keys`` in ranges of ``order`` (``_range`` rises with it), written once to the shared folder."""
+    return keys.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).checkpoint()
 
-    ``df`` should be a narrow (day, id) frame; it is scanned once per level.
-    """
-    if k <= 0:
-        return None
-    if daily is None:
-        daily = df.groupBy(F.to_date(day_col).alias("_d")).count()
-    w = Window.orderBy("_d").rowsBetween(Window.unboundedPreceding, 0)  # one row per day
-    daily = daily.withColumn("_cum", F.sum("count").over(w))
-    cut = daily.filter(F.col("_cum") >= k).orderBy("_d").select("_d", "_cum", "count").first()
-    if cut is None:
+
+def kth_in_order(keys: DataFrame, fraction: float, order: list[str]):
+    """The row at position ``int(n * fraction)`` (1-based) by ``order``, or None.
+
+    One pass deals the narrow rows to ranges; the exact position is looked for
+    inside the one range that holds it (a range is one shuffle partition)."""
+    ranged = _ranged(keys.select(*order), order)
+    counts = sorted((r["_range"], r["count"]) for r in ranged.groupBy("_range").count().collect())
+    rest = int(sum(n for _, n in counts) * fraction)
+    if rest <= 0:
         return None
-    day, rest = cut["_d"], k - (cut["_cum"] - cut["count"])
-    in_day = df.filter(F.to_date(day_col) == F.lit(day))
-    buckets = in_day.groupBy(F.floor(F.col(id_col) / ID_BUCKET).alias("_b")).count()
-    wb = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)  # ids of one day
-    buckets = buckets.withColumn("_cum", F.sum("count").over(wb))
-    bcut = buckets.filter(F.col("_cum") >= rest).orderBy("_b").first()
-    rest2 = rest - (bcut["_cum"] - bcut["count"])
-    in_bucket = in_day.filter(F.floor(F.col(id_col) / ID_BUCKET) == F.lit(bcut["_b"]))
-    wr = Window.orderBy(id_col)  # at most ID_BUCKET rows
-    row = (in_bucket.select(id_col).withColumn("_r", F.row_number().over(wr))
-           .filter(F.col("_r") == rest2).first())
-    return day, row[id_col]
+    for number, n in counts:
+        if rest <= n:
+            break
+        rest -= n
+    first = ranged.where(F.col("_range") == number).orderBy(*order).limit(rest)
+    return first.agg(F.max(F.struct(*order)).alias("x")).first()["x"]
 
 
 def temporal_split(df: DataFrame, train_fraction: float = 0.8, day_col: str = "match_date",
                    id_col: str = "fixture_id") -> DataFrame:
-    """Add ``is_train``: the first ``int(n * fraction)`` rows in (date, id)
-    order are training rows, the rest test rows.
+    """Add ``is_train``: the first ``int(n * fraction)`` rows in (kick-off,
+    id) order are training rows, the rest test rows.
 
-    Only the narrow (day, id) projection is materialised (persisted, 16 bytes
-    a row) for the histogram passes; the upstream plan runs once for them and
-    the flag itself is a lazy column expression on ``df``.
+    Only the narrow (kick-off, id) projection is read for the cut; the flag
+    itself is a lazy column expression on ``df``.
     """
-    from pyspark import StorageLevel
-    keys = df.select(F.col(day_col), F.col(id_col)).persist(StorageLevel.MEMORY_AND_DISK)
-    daily = keys.groupBy(F.to_date(day_col).alias("_d")).count().persist()
-    n = daily.agg(F.sum("count")).first()[0] or 0
-    k = int(n * train_fraction)
-    cut = _kth_in_order(keys, k, day_col, id_col, daily)
-    keys.unpersist()
-    daily.unpersist()
+    cut = kth_in_order(df, train_fraction, [day_col, id_col])
     if cut is None:
         return df.withColumn("is_train", F.lit(False))
-    day, last_id = cut
-    d = F.to_date(day_col)
-    return df.withColumn("is_train", (d < F.lit(day)) | ((d == F.lit(day)) & (F.col(id_col) <= F.lit(last_id))))
+    kind = df.schema[day_col].dataType
+    when = F.lit(cut[day_col].isoformat(sep=" ") if hasattr(cut[day_col], "hour") else str(cut[day_col])).cast(kind)
+    t = F.col(day_col)
+    return df.withColumn("is_train", (t < when) | ((t == when) & (F.col(id_col) <= F.lit(cut[id_col]))))
 
 
 def class_positions(df: DataFrame, label: str = "label", day_col: str = "match_date",
                     id_col: str = "fixture_id") -> DataFrame:
-    """0-based position of each row inside its class in (date, id) order.
-
-    Two histogram levels give exact offsets: counts per (class, day) -- one
-    row per class and day -- and counts per (class, day, id bucket); the final
-    ``row_number`` runs inside one (class, day, id bucket), which holds at most
-    ``ID_BUCKET`` rows because ids are unique.  No window sees a whole class.
-    """
-    x = df.withColumns({"_d": F.to_date(day_col), "_b": F.floor(F.col(id_col) / ID_BUCKET)})
-    cells = x.groupBy(label, "_d", "_b").count()
-    days = cells.groupBy(label, "_d").agg(F.sum("count").alias("n_day"))
-    w_day = Window.partitionBy(label).orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
-    days = days.withColumn("_off_d", F.coalesce(F.sum("n_day").over(w_day), F.lit(0))).drop("n_day")
-    w_b = Window.partitionBy(label, "_d").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    cells = cells.withColumn("_off_b", F.coalesce(F.sum("count").over(w_b), F.lit(0))).drop("count")
-    offsets = cells.join(days, [label, "_d"]).select(
-        label, "_d", "_b", (F.col("_off_d") + F.col("_off_b")).alias("_off"))
-    rn = F.row_number().over(Window.partitionBy(label, "_d", "_b").orderBy(id_col)) - 1
-    return (x.join(offsets, [label, "_d", "_b"]).withColumn("_pos", F.col("_off") + rn)
-            .drop("_off", "_d", "_b"))
+    """0-based position of each row inside its class in (kick-off, id) order.
+
+    The narrow rows are dealt to ranges of (class, kick-off, id); a row's
+    position is the rows of its class in earlier ranges plus its place inside its
+    range.  No window sees a whole class."""
+    ranged = _ranged(df.select(label, day_col, id_col), [label, day_col, id_col])
+    cells = ranged.groupBy(label, "_range").count()  # one row per range and class
+    before = Window.partitionBy(label).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.select(label, "_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_off"))
+    inside = F.row_number().over(Window.partitionBy(label, "_range").orderBy(day_col, id_col)) - 1
+    places = (ranged.withColumn("_in", inside).join(cells, [label, "_range"])
+              .select(id_col, (F.col("_off") + F.col("_in")).alias("_pos")))
+    return df.join(places, id_col)
 
 
 def stratified_folds(df: DataFrame, n_splits: int = 5, label: str = "label") -> DataFrame:

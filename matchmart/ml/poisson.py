@@ -7,42 +7,43 @@ Fitting (M03) never touches match rows inside the loop.  The matches are
 first reduced to one row per ordered (home, away) pair with the number of
 meetings and goal sums -- the sufficient statistics of the likelihood -- with
 map-side partial aggregation, so a hot pair costs one partial row per map
-task.  The pair table has at most teams^2 rows whatever the number of matches.
-The maximum-likelihood point is found on that table by Spark ML's Poisson GLM
-(IRLS); for designs too wide for its solver, by the classical multiplicative
-score-equation updates (Maher 1982): with ``A = exp(att)``,
-``D = exp(-def)``, ``H = exp(h)``, ``K = exp(c)``
-
-    A_i <- scored_i   / sum over i's meetings of K * H^[i at home] * D_opp
-    D_j <- conceded_j / sum over j's meetings of K * H^[opp at home] * A_opp
-    H   <- home goals / sum K * A_home * D_away
-    K   <- all goals  / sum (K H A_home D_away + K A_away D_home) / K
-
-followed by re-centring so that sum(att) = 0 (the reference's constraint) and
+task.  The maximum-likelihood point is found by Newton's method.  A Newton step
+solves ``H x = g`` by preconditioned conjugate gradients, and ``H`` is never formed:
+its product with a vector is one pass over the cached pair blocks, summed up by
+(team, side) in a reduction tree.  So one solver serves any number of teams; driver
+and tasks hold a few vectors of two numbers a team.  A step is halved until
+the likelihood does not fall.
+
+The result is re-centred so that sum(att) = 0 (the reference's constraint) and
 sum(def) = 0 (fixes the remaining shift between intercept and defence; only
-expected goals are identified, so compare those, not raw parameters).  Each
-update is a join of the pair table with the team table plus a ``groupBy``;
-lineage is cut with a reliable ``checkpoint()`` every few iterations.
+expected goals are identified, so compare those, not raw parameters).  It says
+whether the gradient came below the tolerance; without that the last iterate is
+returned with ``converged = False``, never another estimate.  A team that never
+scored or never conceded has no finite optimum: its parameter stops at
+``log(EPS)`` below the others.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+import pickle
+from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship_package
+
 # Fixed values
 MAX_GOALS = 7              # score grid 0..6
 FALLBACK_HOME_ADV = 0.25
 MIN_LEAGUE_AVG = 0.5
 MIN_TEAM_AVG = 0.1
 EPS = 1e-6                 # floor for a team that never scored / conceded
-# team tables up to this many rows are broadcast (checked with a count)
-BROADCAST_TEAMS_MAX = 200_000
-# the GLM normal-equation solver takes at most 4096 features (2 * (T - 1) + 1)
-GLR_MAX_TEAMS = 2048
+PAIRS_PER_PART = 50_000
 
 
 @dataclass
@@ -63,10 +64,6 @@ def _matches(df: DataFrame) -> DataFrame:
     return df.select("home_team_id", "away_team_id", "home_goals", "away_goals").dropna()
 
 
-def _maybe_broadcast(df: DataFrame, n_rows: int) -> DataFrame:
-    return F.broadcast(df) if n_rows <= BROADCAST_TEAMS_MAX else df
-
-
 # --- M04 closed-form fallback ------------------------------------------------------------------
 
 def fit_fallback(matches: DataFrame) -> PoissonParams:
@@ -98,142 +95,154 @@ def pair_table(matches: DataFrame) -> DataFrame:
         F.sum("away_goals").cast("double").alias("ag"))
 
 
-def _teams(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("home_team_id", "away_team_id")).alias("team_id")).distinct()
-
-
-def _team_index(teams: DataFrame) -> DataFrame:
-    """Dense 0-based index per team.  Only called for at most GLR_MAX_TEAMS
-    teams, so the single ordered window sees a bounded table."""
-    return teams.withColumn("i", (F.dense_rank().over(Window.orderBy("team_id")) - 1).cast("double"))
-
-
-def fit_mle(matches: DataFrame, max_iter: int = 50, tol: float = 1e-10) -> PoissonParams:
-    """Maximum-likelihood fit.
-
-    Up to ``GLR_MAX_TEAMS`` teams this is Spark ML's Poisson GLM (log link,
-    IRLS) on the pair table: two rows per ordered pair (the home side scoring
-    ``hg`` and the away side scoring ``ag`` over ``n`` meetings) with offset
-    ``log(n)``, one-hot attack and defence indicators (sparse, reference
-    category dropped) and a home flag -- the same likelihood as one row per
-    match.  Larger designs use the multiplicative updates (``fit_iterative``).
-    Falls back to M04 when the fit does not converge.
-    """
-    pairs = pair_table(matches).checkpoint()
-    n_teams = _teams(pairs).count()
-    if n_teams < 2:
-        return fit_fallback(matches)
-    if n_teams > GLR_MAX_TEAMS:
-        return fit_iterative(matches, max_iter=max(max_iter, 200))
-    idx = _team_index(_teams(pairs)).checkpoint()
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import OneHotEncoder, VectorAssembler
-    from pyspark.ml.regression import GeneralizedLinearRegression
-
-    rows = pairs.select(F.explode(F.array(
-        F.struct(F.col("home_team_id").alias("s"), F.col("away_team_id").alias("c"),
-                 F.lit(1.0).alias("home"), F.col("hg").alias("y"), F.col("n")),
-        F.struct(F.col("away_team_id").alias("s"), F.col("home_team_id").alias("c"),
-                 F.lit(0.0).alias("home"), F.col("ag").alias("y"), F.col("n")))).alias("x")).select("x.*")
-    ib = _maybe_broadcast(idx, n_teams)
-    rows = (rows.join(ib.select(F.col("team_id").alias("s"), F.col("i").alias("si")), "s")
-            .join(ib.select(F.col("team_id").alias("c"), F.col("i").alias("ci")), "c")
-            .withColumn("off", F.log(F.col("n").cast("double"))))
-    pipe = Pipeline(stages=[
-        OneHotEncoder(inputCols=["si", "ci"], outputCols=["att_v", "def_v"], dropLast=True),
-        VectorAssembler(inputCols=["att_v", "def_v", "home"], outputCol="features"),
-        GeneralizedLinearRegression(family="poisson", link="log", maxIter=max_iter, tol=tol,
-                                    regParam=0.0, offsetCol="off", labelCol="y")])
-    model = pipe.fit(rows)
-    glm = model.stages[-1]
-    coef = glm.coefficients.toArray().tolist()
-    k = n_teams - 1
-    # coefficient j <-> team index j (the dropped last index has 0)
-    att = coef[:k] + [0.0]
-    dfn = [-x for x in coef[k:2 * k]] + [0.0]
-    home = coef[2 * k]
-    ma, md = sum(att) / n_teams, sum(dfn) / n_teams
-    intercept = glm.intercept + ma - md
+def _blocks(pairs: DataFrame, teams: np.ndarray):
+    """The pair rows as cached arrays (home place, away place, meetings, home goals, away goals)."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            place = [np.searchsorted(teams, f[c].to_numpy()).astype(np.int64) for c in ("home_team_id", "away_team_id")]
+            goals = [f[c].to_numpy(float) for c in ("n", "hg", "ag")]
+            yield pd.DataFrame({"block": [pickle.dumps((*place, *goals))]})
+
+    parts = max(1, -(-pairs.count() // PAIRS_PER_PART))
+    blocks = pairs.repartition(parts, "home_team_id", "away_team_id").mapInPandas(run, "block binary").checkpoint()
+    return blocks.rdd.map(lambda r: pickle.loads(r.block)).persist()
+
+
+def _summed(blocks, run) -> np.ndarray:
+    """The sum of ``run(block)`` over all blocks."""
+    def part(own):
+        total = None
+        for block in own:
+            value = run(block)
+            total = value if total is None else total + value
+        if total is not None:
+            yield total
+    n = blocks.getNumPartitions()
+    return blocks.mapPartitions(part).treeReduce(np.add, 1 if n <= 32 else 2 if n <= 1024 else 3)
+
+
+def _side_sums(t: int, home: np.ndarray, away: np.ndarray, vh: np.ndarray, va: np.ndarray) -> np.ndarray:
+    """X' v: by attack, by defence (negative), home side, both sides."""
+    attack = np.bincount(home, vh, t) + np.bincount(away, va, t)
+    defence = np.bincount(away, vh, t) + np.bincount(home, va, t)
+    return np.concatenate([attack, -defence, [vh.sum(), vh.sum() + va.sum()]])
+
+
+def _lines(t: int, x: np.ndarray, home: np.ndarray, away: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """X x for the home and the away side of each pair; x is attack, defence, home advantage, intercept."""
+    return x[2 * t + 1] + x[2 * t] + x[home] - x[t + away], x[2 * t + 1] + x[away] - x[t + home]
+
+
+def _likelihood_pass(t: int, x: np.ndarray):
+    """Log-likelihood, gradient and the diagonal of H, as one vector."""
+    def run(block):
+        home, away, n, hg, ag = block
+        lh, la = _lines(t, x, home, away)
+        mh, ma = n * np.exp(lh), n * np.exp(la)
+        value = (hg * lh - mh + ag * la - ma).sum()
+        diagonal = _side_sums(t, home, away, mh, ma)
+        diagonal[t:2 * t] *= -1
+        return np.concatenate([[value], _side_sums(t, home, away, hg - mh, ag - ma), diagonal])
+    return run
+
+
+def _product_pass(t: int, x: np.ndarray, v: np.ndarray):
+    """H v at the point x."""
+    def run(block):
+        home, away, n, _, _ = block
+        lh, la = _lines(t, x, home, away)
+        vh, va = _lines(t, v, home, away)
+        return _side_sums(t, home, away, n * np.exp(lh) * vh, n * np.exp(la) * va)
+    return run
+
+
+def _conjugate_gradients(blocks, t: int, x: np.ndarray, g: np.ndarray, diagonal: np.ndarray, tol: float,
+                         max_iter: int) -> np.ndarray:
+    """The step that solves H step = g to a relative residual of ``tol``, preconditioned by the diagonal."""
+    scale = 1.0 / np.maximum(diagonal, 1e-12)
+    step, rest = np.zeros_like(g), g.copy()
+    z = scale * rest
+    towards, rho, goal = z.copy(), rest @ z, tol * np.sqrt(g @ (scale * g))
+    for _ in range(max_iter):
+        if np.sqrt(max(rho, 0.0)) <= goal:
+            break
+        product = _summed(blocks, _product_pass(t, x, towards))
+        curve = towards @ product
+        if curve <= 0:  # a direction that changes no expected goal
+            break
+        a = rho / curve
+        step += a * towards
+        rest -= a * product
+        z = scale * rest
+        rho, old = rest @ z, rho
+        towards = z + (rho / old) * towards
+    return step
+
+
+def fit_mle(matches: DataFrame, max_iter: int = 60, tol: float = 1e-9) -> PoissonParams:
+    """Maximum-likelihood fit by Newton steps with conjugate gradients (see the module).
+
+    ``converged``: no expected goal sum of a team differs from the observed one by more
+    than ``tol`` times all goals.  With fewer than two teams there is nothing to fit and
+    the closed form (M04) is returned with ``method`` "fallback" and ``converged = False``."""
+    ship_package(matches.sparkSession)
     spark = matches.sparkSession
-    coef_df = spark.createDataFrame(
-        [(float(i), a - ma, d - md) for i, (a, d) in enumerate(zip(att, dfn))],
-        "i double, attack double, defence double")
-    teams = idx.join(coef_df, "i").select("team_id", "attack", "defence")
-    iters = glm.summary.numIterations if glm.hasSummary else 0
-    if not all(math.isfinite(x) for x in coef + [glm.intercept]):
-        return fit_fallback(matches)
-    return PoissonParams(teams.checkpoint(), home, intercept, True, iters, "mle-irls")
-
-
-def fit_iterative(matches: DataFrame, max_iter: int = 500, tol: float = 1e-8) -> PoissonParams:
-    """Multiplicative score-equation updates (any number of teams).
-
-    Each iteration runs three small passes over the pair table: attack given
-    defence, defence given the new attack, then home advantage and intercept in
-    closed form; parameters are re-centred and the team table checkpointed
-    (reliable checkpoint) to keep the lineage flat.
-    """
     pairs = pair_table(matches).checkpoint()
-    totals = pairs.agg(F.sum("hg").alias("hg"), F.sum("ag").alias("ag"),
-                       F.sum("n").alias("n")).first()
-    hg_tot, ag_tot = float(totals["hg"] or 0.0), float(totals["ag"] or 0.0)
-    if hg_tot + ag_tot == 0:
-        return fit_fallback(matches)
-    side = pairs.select(F.explode(F.array(
-        F.struct(F.col("home_team_id").alias("team_id"), F.col("hg").alias("gf"), F.col("ag").alias("ga")),
-        F.struct(F.col("away_team_id").alias("team_id"), F.col("ag").alias("gf"), F.col("hg").alias("ga"))
-    )).alias("x")).select("x.*")
-    teams = (side.groupBy("team_id").agg(F.sum("gf").alias("gf"), F.sum("ga").alias("ga"))
-             .withColumns({"A": F.lit(1.0), "D": F.lit(1.0)}).checkpoint())
-    n_teams = teams.count()
-    H, K = math.exp(0.25), (hg_tot + ag_tot) / (2.0 * float(totals["n"]))
-    n = F.col("n")
-
-    def attach(t: DataFrame) -> DataFrame:
-        tb = _maybe_broadcast(t.select("team_id", "A", "D"), n_teams)
-        return (pairs.join(tb.select(F.col("team_id").alias("home_team_id"), F.col("A").alias("Ah"),
-                                     F.col("D").alias("Dh")), "home_team_id")
-                .join(tb.select(F.col("team_id").alias("away_team_id"), F.col("A").alias("Aa"),
-                                F.col("D").alias("Da")), "away_team_id"))
-
-    def exposure(t: DataFrame, home_expr, away_expr, name) -> DataFrame:
-        x = attach(t).select(F.explode(F.array(
-            F.struct(F.col("home_team_id").alias("team_id"), home_expr.alias("e")),
-            F.struct(F.col("away_team_id").alias("team_id"), away_expr.alias("e")))).alias("x"))
-        return x.select("x.*").groupBy("team_id").agg(F.sum("e").alias(name))
-
-    converged, it = False, 0
-    for it in range(1, max_iter + 1):
-        kk, hh = F.lit(K), F.lit(H)
-        # attack of i: home vs j -> K H D_j, away vs j -> K D_j
-        ea = exposure(teams, n * kk * hh * F.col("Da"), n * kk * F.col("Dh"), "ea")
-        t1 = (teams.join(ea, "team_id").withColumn("A0", F.col("A"))
-              .withColumn("A", F.greatest(F.col("gf") / F.col("ea"), F.lit(EPS))).drop("ea")
-              .checkpoint())
-        # defence of j: home vs i (i away) -> K A_i, away vs i (i home) -> K H A_i
-        ed = exposure(t1, n * kk * F.col("Aa"), n * kk * hh * F.col("Ah"), "ed")
-        t2 = (t1.join(ed, "team_id").withColumn("D0", F.col("D"))
-              .withColumn("D", F.greatest(F.col("ga") / F.col("ed"), F.lit(EPS))).drop("ed"))
-        g = t2.agg(F.avg(F.log("A")).alias("la"), F.avg(F.log("D")).alias("ld"),
-                   F.max(F.greatest(F.abs(F.log(F.col("A") / F.col("A0"))),
-                                    F.abs(F.log(F.col("D") / F.col("D0"))))).alias("m")).first()
-        t2 = t2.select("team_id", "gf", "ga", (F.col("A") / F.lit(math.exp(g["la"]))).alias("A"),
-                       (F.col("D") / F.lit(math.exp(g["ld"]))).alias("D")).checkpoint()
-        K = K * math.exp(g["la"] + g["ld"])
-        s = attach(t2).agg(F.sum(n * F.col("Ah") * F.col("Da")).alias("hd"),
-                           F.sum(n * F.col("Aa") * F.col("Dh")).alias("ad")).first()
-        # closed form given A, D: home goals fix K*H, away goals fix K
-        K_new = ag_tot / s["ad"]
-        H_new = hg_tot / (K_new * s["hd"])
-        delta = max(g["m"] or 0.0, abs(math.log(H_new / H)), abs(math.log(K_new / K)))
-        teams, H, K = t2, H_new, K_new
-        if delta < tol:
+    ids = pairs.select(F.explode(F.array("home_team_id", "away_team_id")).alias("team_id")).distinct()
+    # Two numbers a team are what every step holds; the ids are no larger.
+    teams = np.sort(ids.toPandas()["team_id"].to_numpy())
+    t = len(teams)
+    if t < 2:
+        return replace(fit_fallback(matches), converged=False)
+    blocks = _blocks(pairs, teams)
+    sums = _summed(blocks, lambda b: np.array([b[2].sum(), b[3].sum(), b[4].sum()]))
+    goals = float(sums[1] + sums[2])
+    x = np.zeros(2 * t + 2)
+    x[2 * t + 1] = math.log(max(goals, EPS) / (2 * sums[0]))
+    converged, iterations, lowest = False, 0, math.log(EPS)
+    state = _summed(blocks, _likelihood_pass(t, x))
+    for iterations in range(1, max_iter + 1):
+        value, g, diagonal = state[0], state[1:2 * t + 3], state[2 * t + 3:]
+        # A parameter at its floor is held there.
+        held = np.zeros(len(g), bool)
+        held[:t] = (x[:t] <= lowest) & (g[:t] < 0)
+        held[t:2 * t] = (-x[t:2 * t] <= lowest) & (g[t:2 * t] > 0)
+        g = np.where(held, 0.0, g)
+        size = np.abs(g).max()
+        if size <= tol * max(goals, 1.0):
             converged = True
             break
-    if not converged:
-        return fit_fallback(matches)
-    out = teams.select("team_id", F.log("A").alias("attack"), (-F.log("D")).alias("defence"))
-    return PoissonParams(out, math.log(H), math.log(K), True, it, "mle-iterative")
+        # Loose at first, tight near the end: the error then shrinks quadratically.
+        inner = min(0.1, math.sqrt(size / max(goals, 1.0)))
+        step = _conjugate_gradients(blocks, t, x, g, diagonal, max(inner, 1e-8), 200)
+        step = np.clip(np.where(held, 0.0, step), -2.0, 2.0)
+        for _ in range(30):
+            trial = x + step
+            trial[:t] = np.maximum(trial[:t], lowest)
+            trial[t:2 * t] = np.minimum(trial[t:2 * t], -lowest)
+            state = _summed(blocks, _likelihood_pass(t, trial))
+            if state[0] >= value - 1e-12 * abs(value):
+                break
+            step = step / 2
+        x = trial
+    blocks.unpersist()
+    ma, md = x[:t].mean(), x[t:2 * t].mean()
+    table = spark.createDataFrame(pd.DataFrame({"team_id": teams, "attack": x[:t] - ma, "defence": x[t:2 * t] - md}))
+    return PoissonParams(table.checkpoint(), float(x[2 * t]), float(x[2 * t + 1] + ma - md), converged, iterations,
+                         "mle-newton-cg")
+
+
+def goal_balance(matches: DataFrame, params: PoissonParams) -> DataFrame:
+    """M03 check: goals scored and conceded per team, observed and expected (equal at the optimum)."""
+    m = expected_goals(_matches(matches), params)
+    side = m.select(F.explode(F.array(
+        F.struct(F.col("home_team_id").alias("team_id"), F.col("home_goals").alias("gf"), F.col("away_goals").alias("ga"),
+                 F.col("expected_home_goals").alias("ef"), F.col("expected_away_goals").alias("ea")),
+        F.struct(F.col("away_team_id").alias("team_id"), F.col("away_goals").alias("gf"), F.col("home_goals").alias("ga"),
+                 F.col("expected_away_goals").alias("ef"), F.col("expected_home_goals").alias("ea")))).alias("x"))
+    return side.select("x.*").groupBy("team_id").agg(
+        F.sum("gf").cast("long").alias("scored"), F.sum("ga").cast("long").alias("conceded"),
+        F.round(F.sum("ef"), 3).alias("expected_scored"), F.round(F.sum("ea"), 3).alias("expected_conceded"))
 
 
 # --- M05 / M06 prediction ----------------------------------------------------------------------

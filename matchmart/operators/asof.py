@@ -1,15 +1,15 @@
 """As-of join: for every probe row, the latest data row of the same key whose
 timestamp is strictly before the probe's (SURVEY D08: last known form).
 
-Skew-safe formulation, no per-key task: the timeline of each key is cut into
-days.  (1) Per (key, day) the last data row of the day (``max_by``, partial
-aggregation).  (2) On that small per-day table -- one row per key and day --
-the last data row of any *earlier* day is a running ``last(ignorenulls)``.
-(3) Inside the probe's own day, the last earlier data row comes from a window
-over (key, day).  The data side is first reduced to the last row per (key,
-timestamp), so that window holds at most one data row per distinct timestamp
-of the day plus the day's probes.  The answer is the
-same-day hit, else the earlier-days hit.
+Skew-safe formulation, no per-key and no per-day task: data and probes are one
+timeline per key, ordered by (timestamp, probes first, tie column, probe key), and
+cut into chunks: a day, or the ranges of a day that has more rows than
+``spark.matchmart.hotKeyRows`` (``windows.with_ranges``; the probes of one timestamp
+are cut by their keys as well).  (1) Per chunk the last data row (``max_by``,
+partial aggregation); (2) on that small table, one row per key and chunk, the last
+data row of any *earlier* chunk is a running ``last(ignorenulls)``; (3) inside a
+chunk the last earlier data row comes from a window over (key, chunk).  The answer
+is the hit in the chunk, else the one carried across its border.
 """
 
 from __future__ import annotations
@@ -19,10 +19,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .windows import _hot_limit, with_ranges
+
 
 def asof_join(probes: DataFrame, data: DataFrame, by: Sequence[str], probe_ts: str,
               data_ts: str, value_cols: Sequence[str], probe_key: Sequence[str],
-              tie_col: str | None = None, prefix: str = "") -> DataFrame:
+              tie_col: str | None = None, prefix: str = "", hot_key_rows: int | None = None) -> DataFrame:
     """Attach ``value_cols`` of the latest ``data`` row with ``data_ts <
     probe_ts`` (same ``by`` key) to each probe.  ``probe_key`` identifies a
     probe row uniquely (deterministic under task retries); ``tie_col`` orders
@@ -34,35 +36,31 @@ def asof_join(probes: DataFrame, data: DataFrame, by: Sequence[str], probe_ts: s
     # only the last data row of each (key, timestamp) can ever be returned:
     # reduce the data side to it first (partial aggregation, map-side)
     d = data.select(*by, F.col(data_ts).alias("_t"), payload.alias("_v"))
-    if tie_col:
-        d = d.groupBy(*by, "_t").agg(F.max_by("_v", F.col(f"_v.{tie_col}")).alias("_v"))
-    else:
-        d = d.groupBy(*by, "_t").agg(F.max("_v").alias("_v"))
-    d = d.select(*by, "_t", F.to_date("_t").alias("_day"), "_v", F.lit(0).alias("_side"))
-    p = probes
-    p_keys = p.select(*by, *pk, F.col(probe_ts).alias("_t"), F.to_date(F.col(probe_ts)).alias("_day"),
-                      F.lit(None).cast(d.schema["_v"].dataType).alias("_v"), F.lit(1).alias("_side"))
-    # (1) last data row per (key, day); (2) running last over earlier days
-    per_day = d.groupBy(*by, "_day").agg(F.max_by("_v", F.struct("_t", *(
-        [F.col(f"_v.{tie_col}")] if tie_col else []))).alias("_last"))
-    w_days = Window.partitionBy(*by).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    probe_days = p_keys.select(*by, "_day").distinct()
-    # days with probes but no data need the last data day before them
-    days = (per_day.select(*by, "_day", "_last").unionByName(
-        probe_days.join(per_day.select(*by, "_day"), by + ["_day"], "left_anti")
-        .withColumn("_last", F.lit(None).cast(per_day.schema["_last"].dataType))))
-    days = days.withColumn("_before", F.last("_last", ignorenulls=True).over(w_days))
-    # (3) within the probe's day: data rows strictly earlier than the probe
-    both = d.unionByName(p_keys, allowMissingColumns=True)
-    # probes sort before data rows with the same timestamp: only strictly
-    # earlier data rows fall into a probe's frame
-    tie_order = [F.col(f"_v.{tie_col}").asc_nulls_first()] if tie_col else []
-    w_in = (Window.partitionBy(*by, "_day")
-            .orderBy(F.col("_t").asc(), F.col("_side").desc(), *tie_order)
-            .rowsBetween(Window.unboundedPreceding, -1))
-    same_day = both.withColumn("_prev", F.last("_v", ignorenulls=True).over(w_in)).filter(F.col("_side") == 1)
-    res = same_day.join(days.select(*by, "_day", "_before"), by + ["_day"], "left")
-    hit = F.coalesce(F.col("_prev"), F.col("_before"))
-    res = res.select(*by, *pk, *[hit[c].alias(f"{prefix}{c}") for c in value_cols],
+    last = F.max_by("_v", F.col(f"_v.{tie_col}")) if tie_col else F.max("_v")
+    d = d.groupBy(*by, "_t").agg(last.alias("_v"))
+    p_kinds = dict(probes.dtypes)
+    d = d.select(*by, "_t", F.lit(1).alias("_side"), *[F.lit(None).cast(p_kinds[c]).alias(c) for c in pk], "_v")
+    p = probes.select(*by, F.col(probe_ts).alias("_t"), F.lit(0).alias("_side"), *pk,
+                      F.lit(None).cast(d.schema["_v"].dataType).alias("_v"))
+    # a probe stands before data of its own timestamp: only strictly earlier data precede it
+    order = ["_t", "_side", *pk]
+    both = d.unionByName(p).withColumn("_day", F.to_date("_t"))
+    both = with_ranges(both, by, order, "_day", _hot_limit(both, hot_key_rows), "_range")
+    chunk = ["_day", "_range"]
+    # (1) and (2): the last data row of each chunk, carried over the borders
+    per_chunk = both.groupBy(*by, *chunk).agg(
+        F.max_by("_v", F.when(F.col("_side") == 1, F.col("_t"))).alias("_last"))
+    w_chunks = Window.partitionBy(*by).orderBy(*chunk).rowsBetween(Window.unboundedPreceding, -1)
+    carried = per_chunk.select(*by, *chunk, F.last("_last", ignorenulls=True).over(w_chunks).alias("_before"))
+    # (3) inside the chunk
+    w_in = (Window.partitionBy(*by, *chunk).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    inside = both.withColumn("_prev", F.last("_v", ignorenulls=True).over(w_in)).filter(F.col("_side") == 0)
+    same = [inside[c].eqNullSafe(carried[c]) for c in (*by, *chunk)]
+    on = same[0]
+    for s in same[1:]:
+        on = on & s
+    res = inside.join(carried, on, "left")
+    hit = F.coalesce(inside["_prev"], carried["_before"])
+    res = res.select(*[inside[c] for c in by + pk], *[hit[c].alias(f"{prefix}{c}") for c in value_cols],
                      hit["_ts"].alias(f"{prefix}asof_ts"))
-    return p.join(res, by + pk, "left")
+    return probes.join(res, by + pk, "left")

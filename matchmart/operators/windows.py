@@ -28,7 +28,9 @@ Three strategies compute the same rows:
     ``hot_key_rows`` (at most ``total / hot_key_rows`` keys, so the list is
     bounded and broadcast safely).  Without hot keys the plain window runs;
     otherwise hot keys take the chunked path and all other keys the plain
-    window, and the two results are unioned.
+    window, and the two results are unioned.  A day of a hot key above the
+    limit is cut further into ranges of the order columns (``with_ranges``), so
+    ids of any type and rows of one timestamp spread as well.
 
 Both strategies order ties by every order column given; callers always pass a
 unique last key (fixture id) so results are deterministic.
@@ -40,10 +42,11 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 _HALO = "_mm_halo"
 _REV = "_mm_rev"
+_DAY, _RANGE = "_mm_day", "_mm_range"
+_PER_RANGE = 32  # sampled rows per range
 # Rows per key above which a key counts as hot (one task handles fewer rows
 # comfortably).  Session conf ``spark.matchmart.hotKeyRows`` overrides it.
 HOT_KEY_ROWS = 2_000_000
@@ -55,15 +58,11 @@ def _hot_limit(df: DataFrame, hot_key_rows: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.matchmart.hotKeyRows", str(HOT_KEY_ROWS)))
 
 
-def hot_keys(df: DataFrame, partition_by: Sequence[str], hot_key_rows: int | None = None,
-             day: Column | None = None):
+def hot_keys(df: DataFrame, partition_by: Sequence[str], hot_key_rows: int | None = None):
     """Keys with more than ``hot_key_rows`` rows, or None when there are none.
 
     The result has at most ``rows / hot_key_rows`` entries (a proven bound), is
     collected once and returned as a small literal DataFrame for broadcasting.
-    With ``day``, the largest number of rows one hot key has on one day is
-    measured too (a second aggregate over the hot keys only) and
-    ``(keys_df, max_day_rows)`` is returned.
     """
     limit = _hot_limit(df, hot_key_rows)
     part = list(partition_by)
@@ -71,58 +70,45 @@ def hot_keys(df: DataFrame, partition_by: Sequence[str], hot_key_rows: int | Non
            .select(*part).collect())
     if not hot:
         return None
-    schema = df.select(*part).schema
-    keys = df.sparkSession.createDataFrame([tuple(r) for r in hot], schema)
-    if day is None:
-        return keys
-    per_day = (df.join(F.broadcast(keys), part, "left_semi")
-               .groupBy(*part, day.alias("_mm_day")).count())
-    return keys, int(per_day.agg(F.max("count")).first()[0] or 0)
+    return df.sparkSession.createDataFrame([tuple(r) for r in hot], df.select(*part).schema)
 
 
-def _refined_chunks(df: DataFrame, order_by: Sequence[str], max_day_rows: int, limit: int):
-    """Finer chunks when one day of a hot key exceeds ``limit`` rows.
+def with_ranges(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str], day: str, limit: int,
+                name: str = _RANGE) -> DataFrame:
+    """Add ``name``: 0, or for a (key, day) of more than ``limit`` rows the number of the row's range.
 
-    The chunk must stay non-decreasing along ``order_by``:
-
-    * all timestamps at midnight (date-only data) and a numeric last order
-      column: (day, floor(id / width)) -- inside a day the order is by id;
-    * otherwise: (floor(epoch micros / width)) time buckets shorter than a day.
-
-    Widths assume uniform spread and aim at ``limit`` rows per chunk; only the
-    performance, never the result, depends on that assumption.
+    The ranges follow the order columns whatever their types, ties on the first
+    ones included: their borders are every ``_PER_RANGE``-th row of a sample of
+    about ``_PER_RANGE`` rows a range, drawn by a hash, so a range has about
+    ``limit`` rows.  Only days above the limit have borders, about
+    rows / limit of them in all, which is what is broadcast.
     """
-    if max_day_rows <= limit:
-        return None
-    first, last = order_by[0], order_by[-1]
-    ts = F.col(first).cast("timestamp_ntz")
-    numeric_id = isinstance(df.schema[last].dataType, (T.LongType, T.IntegerType, T.ShortType))
-    r = df.agg(F.min(last).alias("lo") if numeric_id else F.lit(0).alias("lo"),
-               F.max(last).alias("hi") if numeric_id else F.lit(0).alias("hi"),
-               F.max((ts != F.date_trunc("day", ts).cast("timestamp_ntz")).cast("int")).alias("t")).first()
-    pieces = max(2, -(-max_day_rows // limit))
-    if not r["t"] and numeric_id:
-        width = max(1, (int(r["hi"]) - int(r["lo"]) + 1) // pieces)
-        return [F.to_date(ts), F.floor(F.col(last) / F.lit(width))]
-    # seconds on a zone-free wall-clock axis (day number and time-of-day
-    # fields of the NTZ value): monotone in the order whatever the session zone
-    secs = (F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("long") * 86_400
-            + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.floor(F.second(ts)))
-    width = max(1, 86_400 // pieces)
-    return [F.floor(secs / F.lit(width))]
+    part = [*partition_by, day]
+    place = F.struct(*order_by)
+    large = (df.groupBy(*part).count().filter(F.col("count") > limit)
+             .select(*part, F.ceil(F.col("count") / limit).alias("_mm_pieces"), F.col("count").alias("_mm_n")))
+    drawn = F.pmod(F.xxhash64(F.lit(11), *order_by), F.lit(1 << 30)) < F.least(
+        F.lit(1 << 30), F.ceil(F.col("_mm_pieces") * F.lit(float(_PER_RANGE << 30)) / F.col("_mm_n")))
+    borders = (df.join(F.broadcast(large), part).filter(drawn).groupBy(*part)
+               .agg(F.sort_array(F.collect_list(place)).alias("_mm_s"), F.first("_mm_pieces").alias("_mm_pieces"))
+               .select(*part, F.filter("_mm_s", lambda x, i: (i > 0) & (i % _PER_RANGE == 0)).alias("_mm_borders")))
+    passed = F.filter("_mm_borders", lambda b: b <= place)
+    return (df.join(F.broadcast(borders), part, "left")
+            .withColumn(name, F.coalesce(F.size(passed), F.lit(0))).drop("_mm_borders"))
 
 
 def _auto(df: DataFrame, partition_by, hot_key_rows, plain, chunked, order_by=None) -> DataFrame:
-    day = F.to_date(F.col(order_by[0])) if order_by else None
-    found = hot_keys(df, partition_by, hot_key_rows, day=day)
-    if found is None:
+    hot = hot_keys(df, partition_by, hot_key_rows)
+    if hot is None:
         return plain(df)
-    hot, max_day = found if isinstance(found, tuple) else (found, 0)
     hot_b = F.broadcast(hot)
     hot_df = df.join(hot_b, list(partition_by), "left_semi")
-    chunks = _refined_chunks(hot_df, order_by, max_day, _hot_limit(df, hot_key_rows)) if order_by else None
-    return plain(df.join(hot_b, list(partition_by), "left_anti")).unionByName(
-        chunked(hot_df, chunks))
+    rest = plain(df.join(hot_b, list(partition_by), "left_anti"))
+    if not order_by:
+        return rest.unionByName(chunked(hot_df))
+    ranged = with_ranges(hot_df.withColumn(_DAY, F.to_date(F.col(order_by[0]))), partition_by, order_by, _DAY,
+                         _hot_limit(df, hot_key_rows))
+    return rest.unionByName(chunked(ranged, [F.col(_DAY), F.col(_RANGE)]).drop(_DAY, _RANGE))
 
 
 def chunked_window(

@@ -880,6 +880,12 @@ def q_poisson_fit(c: Context) -> DataFrame:
                                 "intercept": F.lit(p.intercept), "method": F.lit(p.method)})
 
 
+@query("poisson_balance")
+def q_poisson_balance(c: Context) -> DataFrame:
+    """Goals per team, observed and expected by the maximum-likelihood fit (equal at the optimum)."""
+    return MP.goal_balance(c.stg_fixtures, MP.fit_mle(c.stg_fixtures))
+
+
 @query("model_params_io")
 def q_model_params_io(c: Context) -> DataFrame:
     """Fitted parameters written as a table version and read back."""
@@ -888,7 +894,7 @@ def q_model_params_io(c: Context) -> DataFrame:
     t = p.teams.withColumns({"home_advantage": F.lit(p.home_advantage),
                              "intercept": F.lit(p.intercept)})
     store.write(t, "poisson_params")
-    return store.read("poisson_params")
+    return _round(store.read("poisson_params"), ["attack", "defence", "home_advantage", "intercept"])
 
 
 @query("boosted_classifier")
@@ -938,6 +944,13 @@ def q_feature_ranking(c: Context) -> DataFrame:
         Window.orderBy(F.col("importance").desc(), F.col("feature"))))  # 16 rows
 
 
+@query("upcoming_features")
+def q_upcoming_features(c: Context) -> DataFrame:
+    """Features of not-yet-played fixtures; each team's last form strictly before kick-off (as-of join)."""
+    return MT.upcoming_features(c.raw.fixtures, c.team_form, c.stg_fixtures, c.stg_odds).select(
+        "fixture_id", "league_id", "season", "match_date", "home_team_id", "away_team_id", *SC.FEATURE_COLUMNS)
+
+
 @query("predict_batch")
 def q_predict_batch(c: Context) -> DataFrame:
     """Predictions for every not-yet-played fixture, upserted by fixture."""

@@ -357,3 +357,25 @@ sql("top_n_per_group", """SELECT league_id, season, team_id, points, goal_differ
     ORDER BY points DESC, goal_difference DESC, team_id ASC)::BIGINT AS position FROM latest_standings)
   WHERE position <= 3""")
 sql("incremental_stream", "SELECT * FROM raw_predictions")
+
+sql("model_params_io", f"""SELECT team_id, round(attack, {ML_D}) AS attack, round(defence, {ML_D}) AS defence,
+  round(home_advantage, {ML_D}) AS home_advantage, round(intercept, {ML_D}) AS intercept FROM pf_teams""")
+# At the maximum of the likelihood the expected goals of every team are the observed ones.
+sql("poisson_balance", """SELECT team_id, sum(gf)::BIGINT AS scored, sum(ga)::BIGINT AS conceded,
+  sum(gf)::DOUBLE AS expected_scored, sum(ga)::DOUBLE AS expected_conceded FROM pf_app GROUP BY team_id""")
+
+_FORM = ["avg_points_l5", "avg_goals_scored_l5", "avg_goals_conceded_l5", "win_rate_l5", "avg_points_l10"]
+_ODDS = [f for f in FEATS if f.startswith("odds_")]
+sql("upcoming_features", f"""SELECT u.fixture_id, u.league_id, u.season, u.match_date, u.home_team_id, u.away_team_id,
+  {", ".join(f"coalesce({s}.{c}, 0)::DOUBLE AS {s}_{c}" for s in ("home", "away") for c in _FORM)},
+  coalesce(h2h_home_wins, 0) AS h2h_home_wins, coalesce(h2h_draws, 0) AS h2h_draws,
+  coalesce(h2h_avg_goals, 0) AS h2h_avg_goals, {", ".join(_ODDS)}
+FROM upcoming u
+  ASOF LEFT JOIN last_form home ON u.home_team_id = home.team_id AND u.match_date > home.match_date
+  ASOF LEFT JOIN last_form away ON u.away_team_id = away.team_id AND u.match_date > away.match_date
+  LEFT JOIN odds_consensus o ON o.fixture_id = u.fixture_id
+  LEFT JOIN head_to_head ON [team_a_id, team_b_id] = list_sort([u.home_team_id, u.away_team_id])""",
+    """
+upcoming AS (SELECT * FROM raw_fixtures WHERE status NOT IN ('FT', 'AET', 'PEN', 'CANC', 'AWD', 'WO', 'ABD', 'PST')),
+last_form AS (SELECT * FROM team_form
+  QUALIFY row_number() OVER (PARTITION BY team_id, match_date ORDER BY fixture_id DESC) = 1)""")

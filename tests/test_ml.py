@@ -33,7 +33,7 @@ def test_poisson_mle_score_equations(spark):
     c = Context(spark, SF)
     fx = c.stg_fixtures.select("fixture_id", "home_team_id", "away_team_id", "home_goals", "away_goals")
     p = MP.fit_mle(fx)
-    assert p.method == "mle-irls"
+    assert p.converged
     t = p.teams.toPandas()
     assert abs(t.attack.sum()) < 1e-9
     eg = MP.expected_goals(fx, p).toPandas()
@@ -45,12 +45,67 @@ def test_poisson_mle_score_equations(spark):
     assert abs(eg.home_goals.sum() - eg.expected_home_goals.sum()) < 1e-6
 
 
-def test_iterative_fit_agrees_with_glm(spark):
+def _glm(fx):
+    """The same likelihood as one row per match and side, by Spark ML's IRLS."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+    from pyspark.ml.regression import GeneralizedLinearRegression
+    rows = fx.select("fixture_id", F.explode(F.array(
+        F.struct(F.col("home_team_id").alias("s"), F.col("away_team_id").alias("c"), F.lit(1.0).alias("home"),
+                 F.col("home_goals").cast("double").alias("y")),
+        F.struct(F.col("away_team_id").alias("s"), F.col("home_team_id").alias("c"), F.lit(0.0).alias("home"),
+                 F.col("away_goals").cast("double").alias("y")))).alias("x")).select("fixture_id", "x.*")
+    return Pipeline(stages=[
+        StringIndexer(inputCols=["s", "c"], outputCols=["si", "ci"]),
+        OneHotEncoder(inputCols=["si", "ci"], outputCols=["sv", "cv"]),
+        VectorAssembler(inputCols=["sv", "cv", "home"], outputCol="features"),
+        GeneralizedLinearRegression(family="poisson", link="log", maxIter=50, tol=1e-12, labelCol="y")]).fit(
+            rows).transform(rows).where("home = 1").select("fixture_id", "prediction")
+
+
+def test_newton_fit_equals_glm(spark):
     c = Context(spark, "/root/testdata/sf0.001")
-    fx = c.stg_fixtures.select("fixture_id", "home_team_id", "away_team_id", "home_goals", "away_goals")
-    a = MP.expected_goals(fx, MP.fit_mle(fx)).orderBy("fixture_id").toPandas()
-    b = MP.expected_goals(fx, MP.fit_iterative(fx, max_iter=300, tol=1e-8)).orderBy("fixture_id").toPandas()
-    assert (a.expected_home_goals - b.expected_home_goals).abs().max() < 1e-5
+    fx = c.stg_fixtures.select("fixture_id", "home_team_id", "away_team_id", "home_goals", "away_goals").cache()
+    p = MP.fit_mle(fx)
+    assert p.converged and p.method == "mle-newton-cg" and p.teams.count() == 40
+    both = MP.expected_goals(fx, p).join(_glm(fx), "fixture_id").toPandas()
+    assert (both.expected_home_goals - both.prediction).abs().max() < 1e-6
+
+
+def test_newton_fit_of_many_teams(spark):
+    """5,000 teams in leagues of 20; teams without a goal; a schedule in unconnected parts."""
+    import numpy as np
+    rng = np.random.default_rng(3)
+    rows, k = [], 0
+    for league in range(250):
+        strength = rng.normal(0, 0.4, (20, 2))
+        for r in range(1, 8):
+            for i in range(20):
+                j = (i + r) % 20
+                mu = [math.exp(0.35 + strength[i, 0] - strength[j, 1]), math.exp(0.1 + strength[j, 0] - strength[i, 1])]
+                goals = rng.poisson(mu)
+                if league == 0 and i == 0:
+                    goals[0] = 0
+                if league == 0 and j == 0:
+                    goals[1] = 0
+                rows.append((k, league * 20 + i, league * 20 + j, int(goals[0]), int(goals[1])))
+                k += 1
+    fx = spark.createDataFrame(pd.DataFrame(rows, columns=["fixture_id", "home_team_id", "away_team_id", "home_goals",
+                                                           "away_goals"]))
+    p = MP.fit_mle(fx)
+    assert p.converged and p.teams.count() == 5000
+    b = MP.goal_balance(fx, p).toPandas()
+    total = b.scored.sum()
+    assert (b.scored - b.expected_scored).abs().max() <= max(0.001, 2e-9 * total) + 1e-3
+    assert (b.conceded - b.expected_conceded).abs().max() <= 2e-3
+
+
+def test_fit_without_enough_iterations_says_so(spark):
+    c = Context(spark, "/root/testdata/sf0.001")
+    p = MP.fit_mle(c.stg_fixtures, max_iter=1)
+    assert not p.converged and p.method == "mle-newton-cg"
+    one = spark.createDataFrame([(1, 1, 2, 1)], "home_team_id long, away_team_id long, home_goals long, away_goals long")
+    assert not MP.fit_mle(one).converged
 
 
 def test_blend_normalised_and_missing_model(spark):
@@ -80,8 +135,18 @@ def test_temporal_split_is_first_80_percent(spark):
     assert out.is_train.tolist() == [True] * k + [False] * (137 - k)
 
 
+def test_split_follows_kick_off_times_inside_a_day(spark):
+    rows = [((i * 37) % 1000, f"2024-01-01 {i % 24:02d}:{i % 60:02d}:00") for i in range(1000)]
+    df = spark.createDataFrame(rows, "fixture_id long, d string").withColumn("match_date", F.col("d").cast("timestamp_ntz"))
+    for fraction in (0.0, 0.001, 0.5, 0.8, 1.0):
+        out = MF.temporal_split(df, fraction).toPandas().sort_values(["match_date", "fixture_id"])
+        k = int(1000 * fraction)
+        assert out.is_train.tolist() == [True] * k + [False] * (1000 - k)
+    assert MF.temporal_split(df.limit(0)).count() == 0
+
+
 def test_stratified_folds_match_round_robin_allocation(spark):
-    rows = [(i, f"2024-02-{1 + i % 28:02d}", float([0, 1, 2, 0, 0, 2][i % 6])) for i in range(203)]
+    rows = [(i, f"2024-02-{1 + i % 9:02d} {i * 7 % 24:02d}:00:00", float([0, 1, 2, 0, 0, 2][i % 6])) for i in range(203)]
     df = spark.createDataFrame(rows, "fixture_id long, d string, label double").withColumn(
         "match_date", F.to_timestamp("d"))
     out = MF.stratified_folds(df).toPandas()

@@ -141,3 +141,21 @@ def test_chunked_spreads_a_hot_key_over_tasks(spark):
         assert chunk_parts >= 6 and chunk_share < 0.35
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", prev)
+
+
+def test_hot_day_with_string_ids_spreads_over_ranges(spark):
+    """All rows of the hot key stand at one midnight and have text ids: ranges of the id, equal to the plain window."""
+    from matchmart.operators.windows import with_ranges
+    rnd = random.Random(12)
+    day = dt.datetime(2024, 1, 1)
+    rows = [("hot" if rnd.random() < 0.7 else f"k{rnd.randrange(5)}", day + dt.timedelta(days=rnd.choice([0, 0, 0, 1])),
+             f"m{rnd.random():.9f}", rnd.choice([None, rnd.randrange(10)])) for _ in range(2000)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, id string, v long")
+    specs = {"a": ("v", 7), "b": ("v", 2)}
+    w, a = (rolling_avg(df, specs, ["k"], ["ts", "id"], **o).orderBy("k", "id").toPandas()
+            for o in ({"strategy": "window"}, {"hot_key_rows": 100}))
+    for c in ("a", "b"):
+        assert w[c].fillna(-1).round(12).tolist() == a[c].fillna(-1).round(12).tolist()
+    ranged = with_ranges(df.where("k = 'hot'").withColumn("d", F.to_date("ts")), ["k"], ["ts", "id"], "d", 100, "r")
+    sizes = [r["count"] for r in ranged.groupBy("d", "r").count().collect()]
+    assert len(sizes) >= 8 and max(sizes) < 300
