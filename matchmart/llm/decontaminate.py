@@ -6,16 +6,25 @@ them on diagonals (text place minus item place) that lie within k of each
 other.  So the shared q-grams are counted in bands of 2 * (k + 1) diagonals that
 overlap by half, each band that reaches the bound becomes a region, and each
 region is verified by banded alignment of the whole item.  k is ``EDIT_RATE``
-times m.  Texts and items are compared in lower case, white space as a space.
+times m; q is small enough that every item of ``MIN_CHARS`` characters has a bound
+of at least one.  Texts and items are compared in lower case, white space as a space.
+
+Shorter items are searched verbatim, with no edits, where neither side goes on
+with a letter or digit, by one Aho-Corasick automaton a block.  A hit is a whole
+item: an excerpt of a long item is none.
 
 The items are the query set, held in blocks of about ``BLOCK_CHARS`` characters;
 each block is measured before it is sent to the tasks, and every text meets
-every block.  There is no shuffle: a task reads texts and returns hits.
-
-Edge cases: null texts, null items and null item_ids give no hit; items with
-fewer than ``MIN_CHARS`` characters are not searched, as they occur by chance;
-equal items are each reported; rows with a null doc_id report their hits under
-null; other columns are ignored; empty tables give no hits.
+every block.  There is no shuffle: a task reads texts and returns hits.  With
+several blocks each block's hits are written before the next block is read,
+so the driver holds one block.
+
+Edge cases: null texts, null and empty items and null item_ids give no hit;
+equal items, and items with the same least edits in a text, are each reported;
+of equally good places the first counts; rows with a null doc_id report their
+hits under null; repeated rows report theirs each; a very long text is one
+piece of work by itself, very long items are aligned few regions at a time; other
+columns are ignored; empty tables give no hits.
 """
 
 from __future__ import annotations
@@ -30,7 +39,7 @@ from pyspark.sql import functions as F
 
 from matchmart.llm import textops as T
 
-Q = 8
+Q = 7
 EDIT_RATE = 0.1
 MIN_CHARS = 24
 BLOCK_CHARS = 4_000_000
@@ -38,7 +47,8 @@ BLOCK_CHARS = 4_000_000
 _FILTER_BITS = 22
 _MAX_ROWS = 60_000
 _U = np.uint64
-_HITS = "doc_id long, item_id long, edits int, stop long"
+_CELLS = 2_000_000  # characters of items aligned at a time
+_HITS = "doc_id long, text_key binary, item_id long, edits int, stop long"
 
 
 def _grams(points: np.ndarray) -> np.ndarray:
@@ -54,8 +64,7 @@ class _Index:
         self.points, self.off = T.code_points(data, off)
         self.ids = np.array([i for i, _ in items], np.int64)
         self.length = np.diff(self.off)
-        budget = np.floor(EDIT_RATE * self.length).astype(np.int64)
-        self.k = np.minimum(budget, np.maximum(0, (self.length - Q) // Q))
+        self.k = np.floor(EDIT_RATE * self.length + 1e-9).astype(np.int64)
         self.bound = self.length - Q + 1 - self.k * Q
         h = _grams(self.points)
         item = np.searchsorted(self.off, np.arange(len(h)), "right") - 1
@@ -132,36 +141,82 @@ class _Index:
         return least, where
 
 
-def _search(index: _Index):
+class _Short:
+    """The items too short for q-grams, by their characters."""
+
+    def __init__(self, items: Sequence[tuple[int, str]]):
+        self.items: dict[str, list[int]] = {}
+        if items:
+            data, off = T.utf8(pc.utf8_lower(pa.array([t for _, t in items], pa.string())))
+            points, rows = T.code_points(data, off)
+            for i, (item_id, _) in enumerate(items):
+                text = points[rows[i]:rows[i + 1]].tobytes().decode("utf-32-le")
+                self.items.setdefault(text, []).append(item_id)
+        self.automaton = None
+
+    def hits(self, points: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int]]:
+        """Row, item_id and end of the first place of each item in each row."""
+        if self.automaton is None:
+            import ahocorasick
+            self.automaton = ahocorasick.Automaton()
+            for text in self.items:
+                self.automaton.add_word(text, text)
+            self.automaton.make_automaton()
+        out = []
+        for row in range(len(off) - 1):
+            text = points[off[row]:off[row + 1]].tobytes().decode("utf-32-le")
+            seen = set()
+            for last, item in self.automaton.iter(text):
+                first = last + 1 - len(item)
+                if item in seen or (first and text[first - 1].isalnum() and item[0].isalnum()) or (
+                        last + 1 < len(text) and text[last + 1].isalnum() and item[-1].isalnum()):
+                    continue
+                seen.add(item)
+                out += [(row, i, last + 1) for i in self.items[item]]
+        return out
+
+
+def _search(index: _Index, short: _Short):
     def run(batches):
         for batch in batches:
             data, off = T.utf8(pc.utf8_lower(batch.column("text")))
-            ids = batch.column("doc_id")
+            ids, keys = batch.column("doc_id"), batch.column("text_key")
             for lo, hi in T.row_chunks(off):
                 for a in range(lo, hi, _MAX_ROWS):
                     b = min(hi, a + _MAX_ROWS)
                     points, rows = T.code_points(data, off[a:b + 1])
+                    if short.items:
+                        found = short.hits(points, rows)
+                        if found:
+                            row, item, stop = (np.array(x, np.int64) for x in zip(*found))
+                            yield _hits(ids, keys, a + row, item, np.zeros(len(row), np.int32), stop)
+                    if not len(index.ids):
+                        continue
                     row, item, diagonal = index.regions(points, rows)
                     if not len(row):
                         continue
-                    parts = [index.aligned(points, rows, row[i:i + 256], item[i:i + 256], diagonal[i:i + 256])
-                             for i in range(0, len(row), 256)]
+                    step = int(max(1, min(256, _CELLS // index.length[item].max())))
+                    parts = [index.aligned(points, rows, row[i:i + step], item[i:i + step], diagonal[i:i + step])
+                             for i in range(0, len(row), step)]
                     edits, stop = (np.concatenate(x) for x in zip(*parts))
                     ok = np.flatnonzero(edits <= index.k[item])
                     order = ok[np.lexsort((stop[ok], edits[ok], item[ok], row[ok]))]
                     best = order[T.group_starts(row[order] * len(index.ids) + item[order])]
-                    yield pa.RecordBatch.from_arrays(
-                        [ids.take(pa.array(a + row[best])), pa.array(index.ids[item[best]]),
-                         pa.array(edits[best].astype(np.int32)), pa.array(stop[best])],
-                        names=["doc_id", "item_id", "edits", "stop"])
+                    yield _hits(ids, keys, a + row[best], index.ids[item[best]], edits[best].astype(np.int32), stop[best])
     return run
 
 
-def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """doc_id, item_id, edits (least) and stop (the place's end, in code points) of each item found in a text."""
-    docs = docs.select("doc_id", "text").where("text is not null")
-    items = items.select("item_id", "text").where(
-        (F.length("text") >= MIN_CHARS) & F.col("item_id").isNotNull())
+def _hits(ids: pa.Array, keys: pa.Array, row: np.ndarray, item: np.ndarray, edits: np.ndarray,
+          stop: np.ndarray) -> pa.RecordBatch:
+    row = pa.array(row)
+    return pa.RecordBatch.from_arrays(
+        [ids.take(row), keys.take(row), pa.array(item), pa.array(edits), pa.array(stop)],
+        names=["doc_id", "text_key", "item_id", "edits", "stop"])
+
+
+def _leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The columns of :func:`leaks` and ``text_key`` for rows that have it."""
+    items = items.select("item_id", "text").where((F.length("text") > 0) & F.col("item_id").isNotNull())
     chars = items.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
     blocks = -(-chars // BLOCK_CHARS)
     found = None
@@ -169,19 +224,29 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
         own = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block)
         rows = [(r["item_id"], r["text"]) for r in own.toLocalIterator()]
         if rows:
-            part = docs.mapInArrow(_search(_Index(rows)), _HITS)
+            long, short = ([r for r in rows if (len(r[1]) >= MIN_CHARS) == wanted] for wanted in (True, False))
+            part = docs.mapInArrow(_search(_Index(long), _Short(short)), _HITS)
+            part = part if blocks == 1 else part.checkpoint()
             found = part if found is None else found.unionByName(part)
     return docs.where("false").mapInArrow(_no_hits, _HITS) if found is None else found
 
 
+def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """doc_id, item_id, edits (least) and stop (the place's end, in code points) of each item found in a text."""
+    rows = docs.where("text is not null").select("doc_id", F.lit(None).cast("binary").alias("text_key"), "text")
+    return _leaks(rows, items).drop("text_key")
+
+
 def _no_hits(batches):
     return iter(())
 
 
 def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id has no leak; rows with a null doc_id stay."""
-    hit = leaks(docs, items).select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti")
+    """The rows of ``docs`` whose own text has no leak, whatever their doc_id (null and shared ones included)."""
+    key = F.unhex(F.sha2(F.col("text").cast("binary"), 256))
+    hit = (_leaks(docs.where("text is not null").select("doc_id", key.alias("text_key"), "text"), items)
+           .select(F.col("doc_id").alias("_hit_id"), F.col("text_key").alias("_hit_key")).distinct())
+    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["_hit_id"]) & (key == hit["_hit_key"]), "left_anti")
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,8 @@ Each language has a smoothed character 3-gram model (letters in lower case,
 everything else a space; one 3-gram around each letter, hashed to ``2**BITS``),
 counted over every training text.  A word's likelihood under a language is the
 product of its letters' 3-gram probabilities.  A document is a mixture: its
-language proportions are estimated by expectation-maximisation over its words.
+language proportions are estimated by expectation-maximisation over its words,
+until no proportion of the document moves by more than ``TOLERANCE``.
 The language set is chosen by penalised likelihood: the proportions of all
 languages order the candidates, each leading set of 1, 2, ... languages is
 fitted again, and the set with the greatest log-likelihood less
@@ -12,12 +13,16 @@ fitted again, and the set with the greatest log-likelihood less
 the one with the largest proportion in that set, its score that proportion.
 
 Training reads only text and lang of the documents outside the held-out third;
-the counts are one vector of fixed length per language.  Scoring is one pass
-without a shuffle.
+the counts are one vector of fixed length per language, ``COUNTED_AT_ONCE``
+languages at a time.  Scoring is one pass without a shuffle; a piece of work has
+at most ``CELLS`` words times languages, or one text.
 
 Edge cases: texts that are null or without a letter get ``und`` and score 0;
 null langs are not learned; without any learned language every text gets
-``und``; other columns are ignored.
+``und``; equal proportions go to the language that is first by name; repeated
+rows are each predicted (and each learned); a very long text is one piece of work
+(memory follows it); an empty table gives an empty result; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -36,9 +41,10 @@ from matchmart.llm.splits import held_out
 
 BITS = 15
 SMOOTHING = 0.5
-ROUNDS = 8
+TOLERANCE = 1e-3
 PENALTY = 4.0
-MAX_LANGUAGES = 1000
+COUNTED_AT_ONCE = 128
+CELLS = 8_000_000
 UNKNOWN = "und"
 
 _MAX_ROWS = 60_000
@@ -66,9 +72,9 @@ def _grams(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return (h >> np.uint64(64 - BITS)).astype(np.int64), word, row
 
 
-def _chunks(column: pa.Array):
+def _chunks(column: pa.Array, limit: int = T.CHUNK_BYTES):
     data, off = T.utf8(pc.utf8_lower(column))
-    for lo, hi in T.row_chunks(off):
+    for lo, hi in T.row_chunks(off, limit):
         for a in range(lo, hi, _MAX_ROWS):
             b = min(hi, a + _MAX_ROWS)
             yield a, b, _grams(data, off[a:b + 1])
@@ -77,35 +83,48 @@ def _chunks(column: pa.Array):
 def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """The languages, and the log-probability of each bucket under each of them."""
     known = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
-    langs = sorted(r["lang"] for r in known.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
-    if len(langs) > MAX_LANGUAGES:
-        raise ValueError(f"lang has more than {MAX_LANGUAGES} values; it does not look like a language column")
+    # The distinct values of lang: as many as there are languages.
+    langs = sorted(r["lang"] for r in known.select("lang").distinct().collect())
     size = 1 << BITS
 
-    def count(batch: pa.RecordBatch, vector: np.ndarray) -> None:
-        lang = pc.index_in(batch.column("lang"), pa.array(langs, pa.string())).to_numpy(zero_copy_only=False)
-        for a, b, (bucket, word, row) in _chunks(batch.column("text")):
-            own = np.repeat(lang[a + row], np.diff(np.append(word, len(bucket))))
-            vector += np.bincount(own * size + bucket, minlength=len(vector))
-
-    if not langs:
-        return [], np.zeros((size, 0), np.float32)
-    total = total_counts(known, len(langs) * size, count).reshape(len(langs), size) + SMOOTHING
-    return langs, np.log(total / total.sum(1, keepdims=True)).T.astype(np.float32)
-
-
-def _mixture(p: np.ndarray, row: np.ndarray, at: np.ndarray, n: np.ndarray, allowed: np.ndarray,
-             rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    def counter(some: list[str]):
+        def count(batch: pa.RecordBatch, vector: np.ndarray) -> None:
+            lang = pc.index_in(batch.column("lang"), pa.array(some, pa.string())).to_numpy(zero_copy_only=False)
+            for a, b, (bucket, word, row) in _chunks(batch.column("text")):
+                own = np.repeat(lang[a + row], np.diff(np.append(word, len(bucket))))
+                vector += np.bincount(own.astype(np.int64) * size + bucket, minlength=len(vector))
+        return count
+
+    logs = [np.zeros((size, 0), np.float32)]
+    for first in range(0, len(langs), COUNTED_AT_ONCE):
+        some = langs[first:first + COUNTED_AT_ONCE]
+        rows = known.where(F.col("lang").isin(some)) if len(langs) > COUNTED_AT_ONCE else known
+        total = total_counts(rows, len(some) * size, counter(some)).reshape(len(some), size) + SMOOTHING
+        logs.append(np.log(total / total.sum(1, keepdims=True)).T.astype(np.float32))
+    return langs, np.concatenate(logs, axis=1)
+
+
+def _mixture(p: np.ndarray, row: np.ndarray, at: np.ndarray, n: np.ndarray,
+             allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Proportions (documents x languages) and log-likelihood by expectation-maximisation.
 
     ``p`` are word likelihoods, ``row`` the words' document, ``at`` where each
     document's words begin, ``n`` how many they are, ``allowed`` its languages.
+    A document leaves the rounds when its proportions stand still.
     """
-    pi = allowed / allowed.sum(1, keepdims=True)
-    for _ in range(rounds):
-        part = p * pi[row]
+    pi = (allowed / allowed.sum(1, keepdims=True)).astype(float)
+    todo, words, own, own_at = np.arange(len(n)), p, row, at
+    while len(todo):
+        part = words * pi[todo][own]
         part /= part.sum(1, keepdims=True) + _FLOOR
-        pi = np.add.reduceat(part, at) / n[:, None]
+        new = np.add.reduceat(part, own_at) / n[todo, None]
+        moving = np.abs(new - pi[todo]).max(1) > TOLERANCE
+        pi[todo] = new
+        if moving.all():
+            continue
+        words, todo = words[moving[own]], todo[moving]
+        own = np.repeat(np.arange(len(todo)), n[todo])
+        own_at = np.concatenate([[0], np.cumsum(n[todo])])[:len(todo)].astype(np.int64)
     return pi, np.add.reduceat(np.log((p * pi[row]).sum(1) + _FLOOR), at)
 
 
@@ -118,7 +137,7 @@ def proportions(bucket: np.ndarray, word: np.ndarray, row: np.ndarray, logs: np.
     ll = np.add.reduceat(logs[bucket], word)
     p = np.exp(ll - ll.max(1, keepdims=True))
     k = logs.shape[1]
-    pi, _ = _mixture(p, of, at, n, np.ones((len(doc), k), np.float32), ROUNDS)
+    pi, _ = _mixture(p, of, at, n, np.ones((len(doc), k), np.float32))
     order = np.argsort(-pi, axis=1, kind="stable")
     rank = np.argsort(order, axis=1, kind="stable")
     chosen = (rank == 0).astype(np.float32)
@@ -132,7 +151,7 @@ def proportions(bucket: np.ndarray, word: np.ndarray, row: np.ndarray, logs: np.
         place = np.searchsorted(todo, of[take])
         own_n = n[todo]
         own_at = np.concatenate([[0], np.cumsum(own_n)[:-1]])
-        fit, value = _mixture(p[take], place, own_at, own_n, (rank[todo] < size).astype(np.float32), ROUNDS)
+        fit, value = _mixture(p[take], place, own_at, own_n, (rank[todo] < size).astype(np.float32))
         value = value - PENALTY * (size - 1) * np.log(own_n + 1)
         better = value > best[todo]
         best[todo] = np.maximum(best[todo], value)
@@ -150,7 +169,8 @@ def predict(docs: DataFrame, langs: list[str], logs: np.ndarray) -> DataFrame:
             best = np.full(batch.num_rows, UNKNOWN, object)
             score = np.zeros(batch.num_rows)
             others = [[] for _ in range(batch.num_rows)]
-            for a, _, (bucket, word, row) in _chunks(batch.column("text")):
+            # A word has two bytes at least with the space before it.
+            for a, _, (bucket, word, row) in _chunks(batch.column("text"), min(T.CHUNK_BYTES, 2 * CELLS // max(1, len(names)))):
                 if not len(row) or not len(names):
                     continue
                 doc, pi = proportions(bucket, word, row, logs)

@@ -10,7 +10,8 @@ their exact weighted Jaccard similarity, and linked at ``THRESHOLD``.
 Classes are the connected components of the links, found without listing the
 pairs of a bucket:
 
-1. texts with the same words are one node, the least doc_id stands for it;
+1. equal texts are one node, named by a 64-bit digest of the text; the row with
+   the least doc_id gives it its text;
 2. in each bucket every node is compared with the bucket's least node;
 3. buckets that still hold several components are settled in blocks: nodes
    outside the bucket's largest component meet all its other nodes, block by
@@ -20,16 +21,21 @@ pairs of a bucket:
 So every pair of different texts that shares a band is either compared or
 already connected.  Buckets have no size limit.
 
-Edge cases: null texts and texts without words have no shingles and stay alone;
-texts of fewer than five words have one shingle, all their words; rows that
-share a doc_id count as one document; rows with a null doc_id stay alone; only
-doc_id and text are read; an empty table gives an empty result.
+A row is told from others by its doc_id and its text, so rows that share a doc_id
+or have none are judged by their own texts.  The class_id is the least doc_id of
+the class, and of the rows with that doc_id the one with the least node stays.
+
+Edge cases: null texts and texts without words have no shingles, stay alone, and
+their doc_id is their class; texts of fewer than five words have one shingle, all
+their words; a null doc_id is larger than any other (the least long counts as null),
+so a class without any other has a null class_id; repeated rows with one doc_id and
+one text are one document; equal weights need no rule, as all links count; a
+very long text is one piece of work (memory follows it); only doc_id and text
+are read; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +52,7 @@ SAMPLES = BANDS * ROWS
 CELL_BITS = 18
 BLOCK, BLOCK_BYTES = 256, 4_000_000
 
+_NO_ID = -(1 << 63)
 _TABLE_BITS = 14
 _LEVELS = 17
 _MAX_ROWS = 60_000
@@ -165,17 +172,15 @@ def _sign(levels: np.ndarray):
     def run(batches):
         sampler = _Sampler(levels)
         for batch in batches:
-            ids = batch.column("doc_id")
             for lo, hi, data, off in _chunks(batch.column("text")):
                 row, h, count = _shingles(data, off)
                 own, keys = sampler.bands(row, h, count)
-                digest = [hashlib.blake2b(b" ".join(data[off[i]:off[i + 1]].tobytes().split()), digest_size=16).digest()
-                          for i in own]
+                bands = np.zeros(hi - lo, np.int64)
+                bands[own] = BANDS
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(lo, hi - lo).take(pa.array(own)), pa.array(digest, pa.binary()),
-                     pa.array(np.diff(off)[own], pa.int64()),
-                     T.lists(keys.reshape(-1).view(np.int64), np.full(len(own), BANDS))],
-                    names=["doc_id", "words", "size", "bands"])
+                    [batch.column("did").slice(lo, hi - lo), batch.column("node").slice(lo, hi - lo),
+                     pa.array(np.diff(off), pa.int64()), T.lists(keys.reshape(-1).view(np.int64), bands)],
+                    names=["did", "node", "size", "bands"])
     return run
 
 
@@ -253,7 +258,7 @@ def _settle(levels: np.ndarray, threshold: float):
 
 
 def _blocks(members: DataFrame) -> DataFrame:
-    """Members (bucket, node, size, root) dealt to pairs of blocks: (bucket, left, right, node, root, side, one_block).
+    """Members (bucket, node, rep, size, root) dealt to pairs of blocks, with left, right, side and one_block.
 
     Nodes of the bucket's largest component never meet each other.  A block has
     about ``BLOCK`` nodes and ``BLOCK_BYTES`` of text.
@@ -276,35 +281,49 @@ def _blocks(members: DataFrame) -> DataFrame:
     partner = F.explode(F.when(F.col("in_main"), rest).otherwise(everything))
     return dealt.withColumn("partner", partner).select(
         "bucket", F.least("block", "partner").alias("left"), F.greatest("block", "partner").alias("right"),
-        "node", "root", (F.col("block") < F.col("partner")).cast("int").alias("side"),
+        "node", "rep", "root", (F.col("block") < F.col("partner")).cast("int").alias("side"),
         (F.col("block") == F.col("partner")).alias("one_block"))
 
 
+def _keyed(docs: DataFrame, *columns: str) -> DataFrame:
+    """Columns of ``docs`` with ``did`` (the doc_id, never null) and ``node`` (the text's digest)."""
+    return docs.select(*columns, F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("did"),
+                       F.xxhash64(F.lit("near"), "text").alias("node"))
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id and class_id (the least doc_id of its class) of every row, in no order."""
+    """doc_id, node, class_id and kept (this document stands for its class) of every row, in no order."""
     docs = docs.select("doc_id", "text")
-    known = docs.where("doc_id is not null and text is not null")
+    known = _keyed(docs.where("text is not null"), "text")
     levels = idf_levels(docs)
-    signed = known.mapInArrow(_sign(levels), "doc_id long, words binary, size long, bands array<long>").checkpoint()
-
-    nodes = signed.groupBy("words").agg(F.min(F.struct("doc_id", "size", "bands")).alias("x")).select(
-        "words", F.col("x.doc_id").alias("node"), "x.size", "x.bands")
-    keys = nodes.select("node", "size", F.explode("bands").alias("bucket"))
-    buckets = (keys.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most"))
-               .where("least < most").select("bucket", "least"))
+    signed = known.mapInArrow(_sign(levels), "did long, node long, size long, bands array<long>").checkpoint()
+
+    nodes = (signed.where("bands is not null").groupBy("node")
+             .agg(F.min(F.when(F.col("did") != _NO_ID, F.col("did"))).alias("rep"), F.min(F.struct("size", "bands")).alias("x"))
+             .select("node", F.coalesce("rep", F.lit(_NO_ID)).alias("rep"), "x.size", "x.bands"))
+    keys = nodes.select("node", "rep", "size", F.explode("bands").alias("bucket"))
+    buckets = (keys.groupBy("bucket").agg(F.min(F.struct("node", "rep")).alias("least"), F.max("node").alias("most"))
+               .where("least.node < most").select("bucket", F.col("least.node").alias("least"),
+                                                  F.col("least.rep").alias("least_rep")))
     keys = keys.join(buckets, "bucket").distinct().checkpoint()
 
-    pairs = keys.where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
-    texts = known.join(keys.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    pairs = keys.where("node <> least").select(
+        F.col("node").alias("a"), F.col("rep").alias("a_rep"), F.col("least").alias("b"),
+        F.col("least_rep").alias("b_rep")).distinct()
+    # One text a node: the one of its least doc_id.
+    needed = keys.select("node", F.col("rep").alias("did")).distinct()
+    texts = known.join(needed, ["node", "did"], "left_semi").dropDuplicates(["node", "did"])
     links = (
-        pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-        .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-        .mapInArrow(_verify(levels, threshold), "a long, b long")
+        pairs.join(texts.select(F.col("node").alias("a"), F.col("did").alias("a_rep"), F.col("text").alias("text_a")),
+                   ["a", "a_rep"])
+        .join(texts.select(F.col("node").alias("b"), F.col("did").alias("b_rep"), F.col("text").alias("text_b")),
+              ["b", "b_rep"])
+        .select("a", "b", "text_a", "text_b").mapInArrow(_verify(levels, threshold), "a long, b long")
     )
     roots = components(links)
 
-    joined = keys.select("bucket", "node", "size").join(roots, "node", "left").select(
-        "bucket", "node", "size", F.coalesce("root", "node").alias("root"))
+    joined = keys.select("bucket", "node", "rep", "size").join(roots, "node", "left").select(
+        "bucket", "node", "rep", "size", F.coalesce("root", "node").alias("root"))
     open_buckets = (
         joined.groupBy("bucket")
         .agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"),
@@ -313,28 +332,42 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         .groupBy("n", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket"))
     members = joined.join(open_buckets, "bucket").checkpoint()
     more = (
-        _blocks(members).join(texts.withColumnRenamed("doc_id", "node"), "node")
+        _blocks(members).join(texts.withColumnRenamed("did", "rep"), ["node", "rep"])
         .groupBy("bucket", "left", "right").applyInArrow(_settle(levels, threshold), "a long, b long")
     )
     final = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 
-    by_words = nodes.select("words", "node").join(final, "node", "left").select(
-        "words", F.coalesce("root", "node").alias("class_id"))
-    placed = signed.select("doc_id", "words").join(by_words, "words").select("doc_id", "class_id")
-    # Rows that share a doc_id take its least class; rows without shingles stay alone.
-    placed = placed.groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
-    return (docs.select("doc_id").join(placed, "doc_id", "left")
-            .select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id")))
+    by_node = nodes.select("node", "rep").join(final, "node", "left").select(
+        "node", "rep", F.coalesce("root", "node").alias("root"))
+    # The least doc_id of the class, null ones last, and of several nodes with it the least.
+    first = by_node.groupBy("root").agg(F.min(F.struct((F.col("rep") == _NO_ID).alias("none"), "rep", "node")).alias("x")).select(
+        "root", F.col("x.rep").alias("class_did"), F.col("x.node").alias("class_node"))
+    placed = by_node.select("node", "root").join(first, "root").select("node", "class_did", "class_node")
+    own = signed.select("did", "node").join(placed, "node", "left")
+    doc_id = F.when(F.col("did") != _NO_ID, F.col("did"))
+    alone = F.col("class_node").isNull()
+    found = own.select(
+        doc_id.alias("doc_id"), "node", F.when(alone, doc_id).when(F.col("class_did") != _NO_ID, F.col("class_did")).alias("class_id"),
+        (alone | ((F.col("did") == F.col("class_did")) & (F.col("node") == F.col("class_node")))).alias("kept"))
+    return found.unionByName(docs.where("text is null").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.lit(None).cast("long").alias("node"),
+        F.col("doc_id").cast("long").alias("class_id"), F.lit(True).alias("kept")))
 
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` whose doc_id stands for its class, one row per doc_id; rows without doc_id stay."""
-    first = classes(docs, threshold).where("doc_id = class_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    """The rows of ``docs`` that stand for their class, each once; rows without a word all stay.
+
+    Of rows with one doc_id and one text that differ elsewhere the one with the least hash stays."""
+    found = classes(docs, threshold)
+    chosen = found.where("kept and node is not null").select(
+        F.coalesce("doc_id", F.lit(_NO_ID)).alias("did"), "node").distinct()
+    has_word = F.col("text").rlike("[^ \\t-\\r]")
+    keyed = _keyed(docs.where(has_word), F.struct("*").alias("whole")).join(chosen, ["did", "node"], "left_semi")
+    whole = F.col("whole")
+    kept = keyed.groupBy("did", "node").agg(F.min_by(whole, F.xxhash64(whole)).alias("whole"))
+    return kept.select("whole.*").unionByName(docs.where(~F.coalesce(has_word, F.lit(False))))
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of every document, and whether it is the one that stays."""
-    found = classes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return found.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+    return classes(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "class_id", "kept")

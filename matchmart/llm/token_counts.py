@@ -20,8 +20,11 @@ places of the text before any of them; an edit that begins inside an earlier one
 begins at that one's end; places beyond the text count as its end.
 
 Edge cases: a null text is an empty state; null starts or counts count as 0 and
-a null insertion as empty; edits for unknown doc_ids are ignored; rows that
-share a doc_id each get its edits; other columns are ignored.
+a null insertion as empty; edits that begin at the same place go by seq; edits
+for unknown or null doc_ids are ignored; in :func:`with_edits` rows that share a
+doc_id each get its edits, in :func:`with_redactions` each row its own; a very long
+text is one tree (memory follows it); an empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -277,33 +280,34 @@ def apply_edits(states: DataFrame, path: str | None = None) -> DataFrame:
         _apply(path or vocabulary_path()), _RESULT)
 
 
-def _finds(pattern: str, inserted: str):
+def _with_finds(pattern: str, inserted: str):
+    kind = pa.list_(pa.struct([("seq", pa.int64()), ("start", pa.int64()), ("removed", pa.int64()), ("inserted", pa.string())]))
+
     def run(batches):
         find = re.compile(pattern).finditer
         for batch in batches:
-            ids, seqs, starts, sizes = [], [], [], []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                for seq, m in enumerate(find(text)):
-                    ids.append(doc_id)
-                    seqs.append(seq)
-                    starts.append(m.start())
-                    sizes.append(m.end() - m.start())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(seqs, pa.int64()), pa.array(starts, pa.int64()),
-                 pa.array(sizes, pa.int64()), pa.array([inserted] * len(ids), pa.string())],
-                names=["doc_id", "seq", "start", "removed", "inserted"])
+            edits = [[{"seq": seq, "start": m.start(), "removed": m.end() - m.start(), "inserted": inserted}
+                      for seq, m in enumerate(find(text))] or None for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(edits, kind)], names=[*batch.schema.names, "edits"])
     return run
 
 
+def with_redactions(states: DataFrame, pattern: str = REDACTED, inserted: str = "[removed]") -> DataFrame:
+    """States with a column ``edits`` that replaces each match of ``pattern`` in their own text: the stand-in edits
+    of the query.  They never leave their row, so rows that share a doc_id, or have none, keep their own."""
+    return states.select("doc_id", "text", "chars", "tokens").mapInArrow(
+        _with_finds(pattern, inserted), f"{_STATE}, edits array<{_EDIT}>")
+
+
 def redactions(docs: DataFrame, pattern: str = REDACTED, inserted: str = "[removed]") -> DataFrame:
-    """A table of edits that replace each match of ``pattern``: the stand-in edits of the query."""
-    return (docs.select("doc_id", "text").where("doc_id is not null and text is not null")
-            .where(F.col("text").rlike(pattern))
-            .mapInArrow(_finds(pattern, inserted), "doc_id long, seq long, start long, removed long, inserted string"))
+    """The same edits as a table (doc_id, seq, start, removed, inserted), for :func:`with_edits`."""
+    found = docs.where("doc_id is not null and text is not null").select("doc_id", "text").mapInArrow(
+        _with_finds(pattern, inserted), f"doc_id long, text string, edits array<{_EDIT}>")
+    return found.select("doc_id", F.explode("edits").alias("e")).select("doc_id", "e.*")
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of all documents before and after the redaction of long numbers, keys and addresses."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    edited = apply_edits(with_edits(build_states(docs), redactions(docs)))
+    edited = apply_edits(with_redactions(build_states(docs)))
     return edited.select("doc_id", "n_tokens_before", "n_tokens", "n_edits", "n_leaves", "n_leaves_read", "chars_read")

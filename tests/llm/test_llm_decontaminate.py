@@ -59,7 +59,7 @@ def test_against_alignment(spark, make_docs):
 
 
 def test_edges_and_blocks(spark, make_docs, edge_rows, monkeypatch):
-    items = [(1, None), (None, "this item has no number but is long"), (2, "too short"), (3, "w0x0 w1x1 w2x2 w3x3 w4x4 w5x5"),
+    items = [(1, None), (None, "this item has no number but is long"), (2, "w9x9 w8x"), (3, "w0x0 w1x1 w2x2 w3x3 w4x4 w5x5"),
              (4, "w0x0 w1x1 w2x2 w3x3 w4x4 w5x5"), (5, "nothing like this is anywhere in here")]
     docs = make_docs(edge_rows)
     want = [(5, 3, 0), (5, 4, 0), (6, 3, 0), (6, 4, 0)]
@@ -70,6 +70,34 @@ def test_edges_and_blocks(spark, make_docs, edge_rows, monkeypatch):
     assert clean.columns == docs.columns and clean.count() == len(edge_rows) - 2
 
 
+def test_short_items_and_rows_without_a_doc_id(spark, make_docs):
+    items = [(1, "answer is forty two"), (2, "Ja"), (3, "é?"), (4, "answer is forty two"), (5, ""), (6, "ten chars ")]
+    rows = [(None, "Well, the ANSWER is\nforty two."), (None, "nothing"), (1, "the answer is forty twofold"), (1, "ja ja"),
+            (2, "jam"), (3, "so é? é?"), (None, None), (7, "ten chars  more")]
+    got = sorted((str(r.doc_id), r.item_id, r.edits, r.stop)
+                 for r in decontaminate.leaks(make_docs(rows), table(spark, items)).collect())
+    assert got == [("1", 2, 0, 2), ("3", 3, 0, 5), ("7", 6, 0, 10), ("None", 1, 0, 29), ("None", 4, 0, 29)]
+    clean = decontaminate.clean_documents(make_docs(rows), table(spark, items)).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in clean) == [
+        ("1", "the answer is forty twofold"), ("2", "jam"), ("None", "None"), ("None", "nothing")]
+
+
+def test_every_item_has_its_whole_budget(spark, make_docs):
+    """Items of 24 to 60 characters with exactly a tenth of their characters changed."""
+    rng = random.Random(5)
+    items, rows = [], []
+    for m in range(decontaminate.MIN_CHARS, 60):
+        item = "".join(rng.choice("abcdefghij") for _ in range(m))
+        k = m // 10
+        text = list(item)
+        for place in sorted(rng.sample(range(1, m - 1), k)):
+            text[place] = "z"
+        items.append((m, item))
+        rows.append((m, "zzzz " * 5 + "".join(text) + " zzzz" * 5))
+    found = {(r.doc_id, r.item_id): r.edits for r in decontaminate.leaks(make_docs(rows), table(spark, items)).collect()}
+    assert found == {(m, m): m // 10 for m, _ in items}
+
+
 def test_empty(spark, make_docs):
     items = [(5, "nothing like this is anywhere in here")]
     assert decontaminate.leaks(make_docs([]), table(spark, items)).collect() == []

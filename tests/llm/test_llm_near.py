@@ -113,3 +113,25 @@ def test_components(spark):
         root[y] = x
     got = {r.node: r.root for r in graph.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {x: top(x) for a, b in links if a != b for x in (a, b)}
+
+
+def test_rows_that_share_a_doc_id_are_judged_by_their_texts(make_docs):
+    long = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, long), (1, "something else entirely is said here"), (1, long), (2, long + " more"), (None, long),
+            (None, "no number on this one at all"), (None, "no number on this one at all")]
+    docs = make_docs(rows)
+    got = collections.Counter((r.doc_id, r.class_id, r.kept) for r in near.classes(docs).collect())
+    assert got == {(1, 1, True): 3, (2, 1, False): 1, (None, 1, False): 1, (None, None, True): 2}
+    kept = collections.Counter((r.doc_id, r.text) for r in near.one_of_each(docs).collect())
+    assert kept == {(1, long): 1, (1, rows[1][1]): 1, (None, rows[5][1]): 1}
+
+
+def test_links_found_among_all_similar_pairs(make_docs):
+    """Recall of the whole operator: of the pairs at 0.8 or more, how many end in one class."""
+    rows = near_rows(21, 40, 5, 90, 3)
+    rows = [(i, t) for i, (_, t) in enumerate(rows)]
+    docs = make_docs(rows)
+    want = brute(rows, near.idf_levels(docs))
+    got = {r.doc_id: r.class_id for r in near.classes(docs).collect()}
+    pairs = [(i, j) for i in want for j in want if i < j and want[i] == want[j]]
+    assert len(pairs) > 100 and sum(got[i] == got[j] for i, j in pairs) >= 0.99 * len(pairs)

@@ -75,3 +75,14 @@ def test_rows_that_share_a_doc_id_and_empty(spark, make_docs):
 def test_redactions(make_docs):
     found = C.redactions(make_docs([(1, "call 12345678 or me@x.y now"), (2, None), (3, "none")])).collect()
     assert sorted((r.doc_id, r.seq, r.start, r.removed) for r in found) == [(1, 0, 5, 8), (1, 1, 17, 6)]
+
+
+def test_redactions_stay_in_their_row(make_docs):
+    rows = [(1, "mail me at someone@example.org or call 123456789"), (1, "nothing to see here at all friends"),
+            (None, "key 0123456789abcdef0123"), (None, "none"), (2, None), (2, "")]
+    ours = C.encoding()
+    out = C.apply_edits(C.with_redactions(C.build_states(make_docs(rows)))).collect()
+    import re
+    want = sorted((str(d), re.sub(C.REDACTED, "[removed]", t or "")) for d, t in rows)
+    assert sorted((str(r.doc_id), r.text) for r in out) == want
+    assert all(r.n_tokens == len(ours.encode_ordinary(r.text)) for r in out)
