@@ -496,14 +496,21 @@ def q_dq_between(c: Context) -> DataFrame:
 
 @query("source_freshness")
 def q_source_freshness(c: Context) -> DataFrame:
-    """Q06: age of the newest load per source: pass / warn > 12 h / error > 24 h."""
-    from functools import reduce
-    parts = [Q.source_freshness(c.raw.fixtures, "fixtures", "loaded_at", FRESHNESS_NOW),
-             Q.source_freshness(c.raw.odds, "odds", "loaded_at", FRESHNESS_NOW),
-             Q.source_freshness(c.raw.standings, "standings", "loaded_at", FRESHNESS_NOW),
-             Q.source_freshness(c.raw.teams_football, "teams_football", "updated_at",
-                                FRESHNESS_NOW)]
-    return reduce(DataFrame.unionByName, parts)
+    """Q06: age of the newest load of each of the seven sources: pass / warn > 12 h / error > 24 h."""
+    from . import declared as D
+    raw = c.raw
+    return D.freshness({"raw_matches": raw.matches, "raw_teams": raw.teams, "raw_team_roster": raw.roster(1),
+                        "raw_fixtures": raw.fixtures, "raw_standings": raw.standings,
+                        "raw_teams_football": raw.teams_football, "raw_odds": raw.odds}, FRESHNESS_NOW)
+
+
+@query("dq_summary")
+def q_dq_summary(c: Context) -> DataFrame:
+    """Q01-Q05: the whole build, and every declared test on its written tables."""
+    from .build import materialize_all
+    root = scratch_dir(c.spark, "build")
+    materialize_all(c.spark, c.sf_dir, root=root)
+    return K.TableStore(c.spark, root).read("dq_summary").drop("run_ts")
 
 
 @query("assert_goals_non_negative")
@@ -698,6 +705,25 @@ def q_flatten_odds(c: Context) -> DataFrame:
     return PL.flatten_odds(PL.build_odds_payloads(c.raw.odds))
 
 
+@query("payload_rejects")
+def q_payload_rejects(c: Context) -> DataFrame:
+    """Documents that do not parse and prices that are no numbers, from payloads of which some are damaged."""
+    fx, st, tm, od = PL.damaged_payloads(c.raw)
+    from functools import reduce
+    return reduce(DataFrame.unionByName, [PL.split(p, kind)[1] for p, kind in (
+        (fx, "fixtures"), (st, "standings"), (tm, "teams"), (od, "odds"))])
+
+
+@query("payload_rows")
+def q_payload_rows(c: Context) -> DataFrame:
+    """The rows that the same payloads give, counted by source and season (damaged documents are left out)."""
+    fx, st, tm, od = (PL.split(p, k)[0] for p, k in zip(PL.damaged_payloads(c.raw), ("fixtures", "standings", "teams", "odds")))
+    none = F.lit(None).cast("long").alias("season")
+    parts = [fx.select(F.lit("fixtures").alias("kind"), "season"), st.select(F.lit("standings").alias("kind"), "season"),
+             tm.select(F.lit("teams").alias("kind"), none), od.select(F.lit("odds").alias("kind"), none)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3]).groupBy("kind", "season").count()
+
+
 @query("surrogate_int")
 def q_surrogate_int(c: Context) -> DataFrame:
     """Deterministic integer ids for standings and odds in LONG."""

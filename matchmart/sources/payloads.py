@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .schemas import FIXTURE_ITEM, ODDS_ITEM, STANDINGS_ITEM, TEAM_ITEM
 
@@ -23,9 +24,52 @@ PAGE_SIZE = 50  # items per generated document
 
 
 def _items(payloads: DataFrame, schema) -> DataFrame:
-    from pyspark.sql import types as T
-    parsed = F.from_json(F.col("body"), T.ArrayType(schema))
-    return payloads.select("*", F.posexplode(parsed).alias("_pos", "item"))
+    """One row per item; payloads of :func:`parsed` are not parsed again."""
+    items = F.col("items") if "items" in payloads.columns else F.from_json(F.col("body"), T.ArrayType(schema))
+    return payloads.select("*", F.posexplode(items).alias("_pos", "item"))
+
+
+# --- rows and rejects of one parse --------------------------------------------------------------
+
+def parsed(payloads: DataFrame, kind: str) -> DataFrame:
+    """Payloads with their ``items`` and the ``reason`` why a document is rejected (null when it is not)."""
+    out = payloads.withColumn("items", F.from_json(F.col("body"), T.ArrayType(_SCHEMAS[kind])))
+    return out.withColumn("reason", F.when(F.col("body").isNull(), "no document")
+                          .when(F.col("items").isNull(), "document does not parse"))
+
+
+def split(payloads: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of the documents, and the rejects: one per document that does not parse and per dropped price.
+
+    The parse runs once: its result is written to the shared checkpoint folder, and rows and
+    rejects are read from it."""
+    p = parsed(payloads, kind).checkpoint()
+    good = p.where("reason is null")
+    context = ["payload_seq", "league_id", "season", "fixture_id", "loaded_at"]
+    rejects = p.where("reason is not null").select(
+        F.lit(kind).alias("kind"), *context, F.lit(None).cast("long").alias("bookmaker_id"), "reason")
+    if kind == "odds":
+        priced = _prices(good)
+        bad = priced.where("bad").select(
+            F.lit(kind).alias("kind"), *[F.lit(None).cast("long").alias(c) for c in context[:3]], "fixture_id", "loaded_at",
+            "bookmaker_id", F.lit("price is not a number").alias("reason"))
+        rejects = rejects.unionByName(bad)
+    return _FLATTEN[kind](good), rejects
+
+
+def damaged_payloads(raw) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Payloads of all kinds, some cut off in the middle and some odds with a text for a price."""
+    def cut(payloads: DataFrame, where: Column) -> DataFrame:
+        half = F.substring("body", F.lit(1), F.floor(F.length("body") / 2).cast("int"))
+        return payloads.withColumn("body", F.when(where, half).otherwise(F.col("body")))
+
+    odds = build_odds_payloads(raw.odds)
+    no_number = F.regexp_replace("body", '"value":"Home","odd":"[^"]*"', '"value":"Home","odd":"n/a"')
+    odds = odds.withColumn("body", F.when(F.col("fixture_id") % 29 == 5, no_number).otherwise(F.col("body")))
+    return (cut(build_fixture_payloads(raw.fixtures), F.col("payload_seq") % 7 == 3),
+            cut(build_standings_payloads(raw.standings), (F.col("season") + F.col("league_id")) % 7 == 3),
+            cut(build_team_payloads(raw.teams_football, raw.fixtures), F.col("payload_seq") % 7 == 3),
+            cut(odds, F.col("fixture_id") % 23 == 7))
 
 
 # --- S05 fixtures -------------------------------------------------------------------------
@@ -188,6 +232,15 @@ def flatten_odds(payloads: DataFrame, market: str = "match winner") -> DataFrame
     home/draw/away.  A duplicate outcome label keeps its last value; rows with
     all three prices missing are dropped, and so are rows where a present price
     is not a number."""
+    p = _prices(payloads, market).where("not bad")
+    return p.select(
+        odds_id("fixture_id", "bookmaker_id").alias("odds_id"), "fixture_id", "bookmaker_id",
+        "bookmaker_name", F.lit("Match Winner").alias("market_name"),
+        F.col("num_h").alias("odd_home"), F.col("num_d").alias("odd_draw"), F.col("num_a").alias("odd_away"), "loaded_at")
+
+
+def _prices(payloads: DataFrame, market: str = "match winner") -> DataFrame:
+    """The three prices of each quote of the market, and ``bad``: one that is present is not a number."""
     it = _items(payloads, ODDS_ITEM)
     bm = it.select("fixture_id", "loaded_at", F.explode(F.col("item")["bookmakers"]).alias("bm"))
     bets = bm.select("fixture_id", "loaded_at", F.col("bm")["id"].alias("bookmaker_id"),
@@ -208,13 +261,7 @@ def flatten_odds(payloads: DataFrame, market: str = "match winner") -> DataFrame
     for c in ("h", "d", "a"):
         cond = F.col(c).isNotNull() & num[c].isNull()
         bad = cond if bad is None else (bad | cond)
-    p = p.filter(~bad)
-    return p.select(
-        odds_id("fixture_id", "bookmaker_id").alias("odds_id"), "fixture_id", "bookmaker_id",
-        "bookmaker_name", F.lit("Match Winner").alias("market_name"),
-        num["h"].alias("odd_home"),
-        num["d"].alias("odd_draw"),
-        num["a"].alias("odd_away"), "loaded_at")
+    return p.withColumns({**{f"num_{c}": num[c] for c in ("h", "d", "a")}, "bad": bad})
 
 
 def build_odds_payloads(raw_odds: DataFrame) -> DataFrame:
@@ -238,3 +285,7 @@ def build_odds_payloads(raw_odds: DataFrame) -> DataFrame:
                        F.lit(None).cast("string").alias("league_name"),
                        F.lit(None).cast("long").alias("season"), "fixture_id", "loaded_at",
                        body.alias("body"))
+
+
+_SCHEMAS = {"fixtures": FIXTURE_ITEM, "standings": STANDINGS_ITEM, "teams": TEAM_ITEM, "odds": ODDS_ITEM}
+_FLATTEN = {"fixtures": flatten_fixtures, "standings": flatten_standings, "teams": flatten_teams, "odds": flatten_odds}

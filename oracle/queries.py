@@ -182,7 +182,8 @@ def _fresh(src, table, col):
 sql("source_freshness", " UNION ALL ".join([
     _fresh("fixtures", "raw_fixtures", "loaded_at"), _fresh("odds", "raw_odds", "loaded_at"),
     _fresh("standings", "raw_standings", "loaded_at"),
-    _fresh("teams_football", "raw_teams_football", "updated_at")]))
+    _fresh("teams_football", "raw_teams_football", "updated_at"), _fresh("matches", "raw_matches", "loaded_at"),
+    _fresh("teams", "raw_teams", "updated_at"), _fresh("team_roster", "roster_v1", "updated_at")]))
 sql("assert_goals_non_negative", """SELECT match_id, home_goals, away_goals FROM match_facts_legacy
   WHERE home_goals < 0 OR away_goals < 0""")
 sql("assert_win_rate_0_1", "SELECT team_id, win_rate FROM season_stats WHERE win_rate < 0 OR win_rate > 1")
@@ -379,3 +380,60 @@ FROM upcoming u
 upcoming AS (SELECT * FROM raw_fixtures WHERE status NOT IN ('FT', 'AET', 'PEN', 'CANC', 'AWD', 'WO', 'ABD', 'PST')),
 last_form AS (SELECT * FROM team_form
   QUALIFY row_number() OVER (PARTITION BY team_id, match_date ORDER BY fixture_id DESC) = 1)""")
+
+
+# --- declared tests: one select per model and one per foreign key, from the same declarations -----------------
+
+def _declared() -> str:
+    from matchmart.plans.declared import MODELS
+    table = {"raw_team_roster": "roster_v1", "int_team_form": "team_form", "int_head_to_head": "head_to_head",
+             "int_match_features": "match_features", "fct_team_season_stats": "season_stats",
+             "fct_match_predictions": "match_facts_legacy"}
+    out = []
+    for model, d in MODELS.items():
+        for c in d.checks():
+            if c.kind == "not_null":
+                bad = f"SELECT count(*) FROM {{t}} WHERE {c.column} IS NULL"
+            elif c.kind == "unique":
+                bad = (f"SELECT count(*) FROM (SELECT {c.column} FROM {{t}} WHERE {c.column} IS NOT NULL "
+                       f"GROUP BY {c.column} HAVING count(*) > 1)")
+            elif c.kind == "between":
+                limits = [f"{c.column} {op} {v}" for op, v in (("<", c.min_value), (">", c.max_value)) if v is not None]
+                bad = f"SELECT count(*) FROM {{t}} WHERE {' OR '.join(limits)}"
+            elif c.kind == "accepted_values":
+                bad = f"SELECT count(*) FROM {{t}} WHERE {c.column} NOT IN {c.values}"
+            else:
+                parent = table.get(c.parent, c.parent)
+                bad = (f"SELECT count(*) FROM {{t}} x WHERE x.{c.column} IS NOT NULL AND NOT EXISTS "
+                       f"(SELECT 1 FROM {parent} p WHERE p.{c.parent_column} = x.{c.column})")
+            out.append(f"SELECT '{model}' AS model, '{c.column}' AS \"column\", '{c.kind}' AS \"check\", "
+                       f"({bad.format(t=table.get(model, model))})::BIGINT AS failures")
+    return "SELECT *, CASE failures WHEN 0 THEN 'pass' ELSE 'fail' END AS status FROM (" + " UNION ALL ".join(out) + ")"
+
+
+sql("dq_summary", _declared())
+
+_DAMAGED = """
+docs AS (
+  SELECT DISTINCT 'fixtures' AS kind, fixture_id // 50 AS payload_seq, league_id, season, NULL::BIGINT AS fixture_id,
+    max(loaded_at) OVER (PARTITION BY league_id, season, fixture_id // 50) AS loaded_at, (fixture_id // 50) % 7 = 3 AS cut
+  FROM raw_fixtures
+  UNION ALL SELECT DISTINCT 'standings', NULL, league_id, season, NULL, updated_at, (season + league_id) % 7 = 3
+  FROM raw_standings
+  UNION ALL SELECT DISTINCT 'teams', season * 100 + league_id, league_id, season, NULL, TIMESTAMP '2024-01-01',
+    (season * 100 + league_id) % 7 = 3
+  FROM raw_fixtures
+  UNION ALL SELECT DISTINCT 'odds', NULL, NULL, NULL, fixture_id, loaded_at, fixture_id % 23 = 7 FROM raw_odds
+)"""
+sql("payload_rejects", """SELECT * EXCLUDE (cut), NULL::BIGINT AS bookmaker_id, 'document does not parse' AS reason
+  FROM docs WHERE cut
+  UNION ALL SELECT 'odds', NULL, NULL, NULL, fixture_id, loaded_at, bookmaker_id, 'price is not a number'
+  FROM raw_odds WHERE fixture_id % 29 = 5 AND fixture_id % 23 <> 7 AND market_name = 'Match Winner'""", _DAMAGED)
+sql("payload_rows", """
+  SELECT 'fixtures' AS kind, season, count(*) AS count FROM raw_fixtures WHERE (fixture_id // 50) % 7 <> 3 GROUP BY season
+  UNION ALL SELECT 'standings', season, count(*) FROM raw_standings WHERE (season + league_id) % 7 <> 3 GROUP BY season
+  UNION ALL SELECT 'teams', NULL, count(DISTINCT team_id) FROM raw_teams_football t JOIN
+    (SELECT unnest([home_team_id, away_team_id]) AS team_id, season * 100 + league_id AS doc FROM raw_fixtures) f
+    USING (team_id) WHERE doc % 7 <> 3
+  UNION ALL SELECT 'odds', NULL, count(*) FROM raw_odds
+    WHERE fixture_id % 23 <> 7 AND fixture_id % 29 <> 5 AND market_name = 'Match Winner'""")

@@ -68,3 +68,27 @@ def test_price_that_does_not_fit_is_dropped_alone(spark):
                                  "league_id long, league_name string, season long, fixture_id long, loaded_at timestamp_ntz, body string")
     out = PL.flatten_odds(docs).collect()
     assert [(r.bookmaker_id, float(r.odd_home)) for r in out] == [(2, 1.8)]
+
+
+def test_rows_and_rejects_of_one_parse(spark):
+    from matchmart.sources import payloads as PL
+    schema = ("payload_seq long, league_id long, league_name string, season long, fixture_id long, "
+              "loaded_at timestamp_ntz, body string")
+    import datetime as dt
+    t = dt.datetime(2024, 1, 1)
+
+    def quote(book, home):
+        return ('{"id": %d, "name": "B", "bets": [{"name": "Match Winner", "values": [{"value": "Home", "odd": "%s"}, '
+                '{"value": "Draw", "odd": "3.0"}, {"value": "Away", "odd": "4.0"}]}]}' % (book, home))
+    bodies = {1: '[{"bookmakers": [%s, %s]}]' % (quote(1, "1.5"), quote(2, "n/a")), 2: '[{"bookmakers": [', 3: None,
+              4: "not json", 5: "[]"}
+    p = spark.createDataFrame([(None, None, None, None, f, t, b) for f, b in bodies.items()], schema)
+    rows, rejects = PL.split(p, "odds")
+    assert [(r.fixture_id, r.bookmaker_id) for r in rows.collect()] == [(1, 1)]
+    assert sorted((r.fixture_id, r.bookmaker_id, r.reason) for r in rejects.collect()) == [
+        (1, 2, "price is not a number"), (2, None, "document does not parse"), (3, None, "no document"),
+        (4, None, "document does not parse")]
+    fx = p.where("fixture_id in (2, 4, 5)")
+    for kind in ("fixtures", "standings", "teams"):
+        rows, rejects = PL.split(fx, kind)
+        assert rows.count() == 0 and sorted(r.fixture_id for r in rejects.collect()) == [2, 4]
