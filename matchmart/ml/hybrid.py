@@ -20,13 +20,16 @@ SIDES = ("home", "draw", "away")
 
 
 def blend(df: DataFrame, poisson_weight: float = POISSON_WEIGHT, gb_weight: float = GB_WEIGHT,
-          poisson_prefix: str = "poisson", gb_prefix: str = "gb",
+          poisson_prefix: str | None = "poisson", gb_prefix: str = "gb",
           out_prefix: str = "hybrid") -> DataFrame:
     """``w_p * poisson + w_g * gb`` normalised per row (zero sum -> 1).
 
     A missing model (all three probabilities null) counts as 1/3 each; the
-    weights must sum to 1.
+    weights must sum to 1.  Without a goal model (``poisson_prefix=None``) the
+    booster's probabilities are the result as they are.
     """
+    if poisson_prefix is None:
+        return df.withColumns({f"{out_prefix}_{s}_prob": F.col(f"{gb_prefix}_{s}_prob") for s in SIDES})
     if abs(poisson_weight + gb_weight - 1.0) > 1e-6:
         raise ValueError("poisson_weight + gb_weight must equal 1.0")
 

@@ -45,11 +45,15 @@ def metric_columns(actual: str = "actual_result", predicted: str = "predicted_re
     ]
 
 
-def evaluation_rows(predictions: DataFrame, features: DataFrame, league_id=None,
+def evaluation_rows(predictions: DataFrame, features: DataFrame | None = None, league_id=None,
                     since=None) -> DataFrame:
-    """Predictions joined to finished fixtures (the evaluation input)."""
-    f = features.select("fixture_id", "match_date", F.col("match_result").alias("actual_result"))
-    j = predictions.join(f, "fixture_id", "inner").filter(F.col("actual_result").isNotNull())
+    """Predictions joined to finished fixtures (the evaluation input); without ``features`` the
+    predictions are the fact that has their dates and results already, and nothing is joined."""
+    j = predictions
+    if features is not None:
+        f = features.select("fixture_id", "match_date", F.col("match_result").alias("actual_result"))
+        j = predictions.join(f, "fixture_id", "inner")
+    j = j.filter(F.col("actual_result").isNotNull())
     if league_id is not None:
         j = j.filter(F.col("league_id") == F.lit(league_id))
     if since is not None:

@@ -35,6 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import Lookup
 from ..session import ship_package
 
 # Fixed values
@@ -249,12 +250,10 @@ def goal_balance(matches: DataFrame, params: PoissonParams) -> DataFrame:
 
 def expected_goals(fixtures: DataFrame, params: PoissonParams) -> DataFrame:
     """mu_home / mu_away per fixture; unknown teams get 0.0 parameters."""
-    t = params.teams.select("team_id", "attack", "defence")
-    home = t.select(F.col("team_id").alias("home_team_id"), F.col("attack").alias("_ha"),
-                    F.col("defence").alias("_hd"))
-    away = t.select(F.col("team_id").alias("away_team_id"), F.col("attack").alias("_aa"),
-                    F.col("defence").alias("_ad"))
-    j = fixtures.join(home, "home_team_id", "left").join(away, "away_team_id", "left")
+    teams = Lookup(params.teams.select("team_id", "attack", "defence"))
+    spread = "fixture_id" if "fixture_id" in fixtures.columns else "away_team_id"
+    j = teams.join(fixtures, {"home_team_id": "team_id"}, {"_ha": "attack", "_hd": "defence"}, spread)
+    j = teams.join(j, {"away_team_id": "team_id"}, {"_aa": "attack", "_ad": "defence"}, spread)
     z = {c: F.coalesce(F.col(c), F.lit(0.0)) for c in ("_ha", "_hd", "_aa", "_ad")}
     c, h = F.lit(params.intercept), F.lit(params.home_advantage)
     return j.withColumns({

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators.asof import asof_join
+from ..operators.joins import Lookup
 from ..operators.sinks import TableStore
 from ..plans import intermediate as I
 from ..sources.scan import FEATURE_COLUMNS, load_features
@@ -159,8 +160,8 @@ def upcoming_features(raw_fixtures: DataFrame, team_form: DataFrame, stg_fixture
     out = (fx.join(piv, "fixture_id", "left").join(odds, "fixture_id", "left")
            .withColumns({"_a": C.pair_low("home_team_id", "away_team_id"),
                          "_b": C.pair_high("home_team_id", "away_team_id")}))
-    out = out.join(h2h, (F.col("_a") == h2h.team_a_id) & (F.col("_b") == h2h.team_b_id), "left") \
-        .drop("_a", "_b", "team_a_id", "team_b_id")
+    out = Lookup(h2h).join(out, {"_a": "team_a_id", "_b": "team_b_id"},
+                           {c: c for c in ("h2h_home_wins", "h2h_draws", "h2h_avg_goals")}, "fixture_id").drop("_a", "_b")
     return out.fillna(0.0, subset=[c for c in FEATURE_COLUMNS if not c.startswith("odds_")])
 
 

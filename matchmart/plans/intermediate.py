@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..operators.joins import Lookup
 from ..operators.windows import rolling_avg, top_n
 
 FORM_METRICS = [("avg_points", "points"), ("avg_goals_scored", "goals_scored"),
@@ -138,10 +139,12 @@ def match_features(stg_fixtures: DataFrame, stg_odds: DataFrame,
     f = stg_fixtures.withColumns({
         "_pair_a": C.pair_low("home_team_id", "away_team_id"),
         "_pair_b": C.pair_high("home_team_id", "away_team_id")})
-    j = (f.join(fb, "fixture_id", "left")
-         .join(odds, "fixture_id", "left")
-         .join(h2h, (F.col("_pair_a") == h2h.team_a_id) & (F.col("_pair_b") == h2h.team_b_id), "left")
-         .join(venue, ["venue_name", "home_team_id"], "left"))
+    j = f.join(fb, "fixture_id", "left").join(odds, "fixture_id", "left")
+    # Pair and venue tables are aggregates of the fixtures: measured, then broadcast or salted.
+    j = Lookup(h2h).join(j, {"_pair_a": "team_a_id", "_pair_b": "team_b_id"},
+                         {c: c for c in h2h.columns if not c.startswith("team_")}, "fixture_id")
+    j = Lookup(venue).join(j, {"venue_name": "venue_name", "home_team_id": "home_team_id"},
+                           {c: c for c in venue.columns if c.startswith("venue_") and c != "venue_name"}, "fixture_id")
 
     def z(c):
         return F.coalesce(F.col(c), F.lit(0))

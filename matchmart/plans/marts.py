@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..operators.joins import Lookup
 from ..operators.windows import top_n
 from . import intermediate as I
 
@@ -171,14 +172,11 @@ def fct_standings(stg_standings: DataFrame, dim_team_fb: DataFrame,
 def role_playing_dims(features: DataFrame, dim_team_fb: DataFrame,
                       dim_lg: DataFrame) -> DataFrame:
     """The team dimension joined twice (home, away) plus the league."""
-    ht = dim_team_fb.select(F.col("team_id").alias("home_team_id"),
-                            F.col("team_sk").alias("home_team_sk"))
-    at = dim_team_fb.select(F.col("team_id").alias("away_team_id"),
-                            F.col("team_sk").alias("away_team_sk"))
-    dl = dim_lg.select("league_id", "league_type")
-    return (features.join(ht, "home_team_id", "left")
-            .join(at, "away_team_id", "left")
-            .join(dl, "league_id", "left"))
+    team = Lookup(dim_team_fb.select("team_id", "team_sk"))
+    league = Lookup(dim_lg.select("league_id", "league_type"))
+    j = team.join(features, {"home_team_id": "team_id"}, {"home_team_sk": "team_sk"}, "fixture_id")
+    j = team.join(j, {"away_team_id": "team_id"}, {"away_team_sk": "team_sk"}, "fixture_id")
+    return league.join(j, {"league_id": "league_id"}, {"league_type": "league_type"}, "fixture_id")
 
 
 def fct_match_features(features: DataFrame, dim_team_fb: DataFrame, dim_lg: DataFrame,

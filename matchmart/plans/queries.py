@@ -18,6 +18,7 @@ from ..ml import poisson as MP
 from ..ml import train as MT
 from ..operators import quality as Q
 from ..operators import sinks as K
+from ..operators.joins import Lookup
 from ..operators.manifest import ManifestStore
 from ..session import ensure_checkpoint_dir, scratch_dir
 from ..sources import payloads as PL
@@ -262,7 +263,8 @@ def q_join_normalized_pair(c: Context) -> DataFrame:
     h = I2.head_to_head(c.stg_fixtures)
     f = c.stg_fixtures.withColumns({"team_a_id": C.pair_low("home_team_id", "away_team_id"),
                                     "team_b_id": C.pair_high("home_team_id", "away_team_id")})
-    return f.join(h, ["team_a_id", "team_b_id"], "left").select(
+    return Lookup(h).join(f, {"team_a_id": "team_a_id", "team_b_id": "team_b_id"},
+                          {c: c for c in ("h2h_total_matches", "h2h_avg_goals")}, "fixture_id").select(
         "fixture_id", "team_a_id", "team_b_id", "h2h_total_matches", "h2h_avg_goals")
 
 
@@ -831,6 +833,14 @@ def q_hybrid_blend(c: Context) -> DataFrame:
                       "predicted_result", "confidence_score")
 
 
+@query("booster_only_blend")
+def q_booster_only_blend(c: Context) -> DataFrame:
+    """M10 without a goal model: the booster's probabilities decide alone."""
+    p = c.raw.predictions.select("fixture_id", *[f"gb_{s}_prob" for s in MH.SIDES])
+    return MH.decide(MH.blend(p, poisson_prefix=None)).select(
+        "fixture_id", "hybrid_home_prob", "hybrid_draw_prob", "hybrid_away_prob", "predicted_result", "confidence_score")
+
+
 @query("fct_predictions")
 def q_fct_predictions(c: Context) -> DataFrame:
     """Prediction fact (SQL tie rule, three-valued correctness)."""
@@ -838,8 +848,7 @@ def q_fct_predictions(c: Context) -> DataFrame:
 
 
 def _eval_rows(c: Context) -> DataFrame:
-    fp = MH.fct_predictions(c.raw.predictions, c.stg_fixtures)
-    return MM.evaluation_rows(fp.drop("match_date", "actual_result"), c.stg_fixtures)
+    return MM.evaluation_rows(MH.fct_predictions(c.raw.predictions, c.stg_fixtures))
 
 
 @query("classification_metrics")

@@ -437,3 +437,8 @@ sql("payload_rows", """
     USING (team_id) WHERE doc % 7 <> 3
   UNION ALL SELECT 'odds', NULL, count(*) FROM raw_odds
     WHERE fixture_id % 23 <> 7 AND fixture_id % 29 <> 5 AND market_name = 'Match Winner'""")
+
+sql("booster_only_blend", """SELECT fixture_id, gb_home_prob AS hybrid_home_prob, gb_draw_prob AS hybrid_draw_prob,
+  gb_away_prob AS hybrid_away_prob, ['HOME_WIN', 'DRAW', 'AWAY_WIN'][list_position([gb_home_prob, gb_draw_prob,
+  gb_away_prob], greatest(gb_home_prob, gb_draw_prob, gb_away_prob))] AS predicted_result,
+  greatest(gb_home_prob, gb_draw_prob, gb_away_prob) AS confidence_score FROM raw_predictions""")
