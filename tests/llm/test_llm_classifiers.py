@@ -1,7 +1,12 @@
+import math
 import random
 import zlib
 
+import numpy as np
+import pyarrow as pa
+
 from matchmart.llm import languages, toxicity
+from matchmart.llm import textops as T
 
 
 def out_of(doc_id):
@@ -78,3 +83,94 @@ def test_language_edges(make_docs, edge_rows):
     none = make_docs(edge_rows)
     assert {r.lang_pred for r in languages.predict(none, *languages.train(none)).collect()} == {"und"}
     assert languages.predict(make_docs([]), *languages.train(make_docs([]))).collect() == []
+
+
+def plain_mixture(text, logs):
+    """The chosen languages' proportions of one text, by expectation-maximisation in plain loops."""
+    data, off = T.utf8(pa.array([text.lower()]))
+    bucket, word, _ = languages._grams(data, off)
+    ends = [*word[1:].tolist(), len(bucket)]
+    likelihood = [logs[bucket[a:b]].sum(0).astype(float) for a, b in zip(word.tolist(), ends)]
+    p = [[math.exp(x - max(w)) for x in w] for w in likelihood]
+    k, n = logs.shape[1], len(p)
+
+    def em(allowed):
+        pi = [1 / len(allowed) if j in allowed else 0.0 for j in range(k)]
+        while True:
+            new = [0.0] * k
+            for w in p:
+                total = sum(a * b for a, b in zip(w, pi)) + 1e-9
+                new = [x + a * b / total / n for x, a, b in zip(new, w, pi)]
+            moved, pi = max(abs(a - b) for a, b in zip(new, pi)), new
+            if moved <= languages.TOLERANCE:
+                return pi, sum(math.log(sum(a * b for a, b in zip(w, pi)) + 1e-9) for w in p)
+
+    order = sorted(range(k), key=lambda j: (-em(range(k))[0][j], j))
+    best, chosen = sum(math.log(w[order[0]] + 1e-9) for w in p), [float(j == order[0]) for j in range(k)]
+    for size in range(2, k + 1):
+        pi, value = em(order[:size])
+        value -= languages.PENALTY * (size - 1) * math.log(n + 1)
+        if value > best:
+            best, chosen = value, pi
+    return chosen
+
+
+def test_language_equals_plain_mixture(make_docs):
+    rows, text = language_rows(300)
+    langs, logs = languages.train(make_docs(rows))
+    rng = random.Random(3)
+    mixed = [(5000 + i, " ".join(text(rng.choice(["aa", "bb", "cc"]), rng.randrange(2, 30)) for _ in range(3)), None)
+             for i in range(40)]
+    out = {r.doc_id: r for r in languages.predict(make_docs(rows[:40] + mixed), langs, logs).collect()}
+    several = 0
+    for d, t, _ in rows[:40] + mixed:
+        want = plain_mixture(t, logs)
+        top = max(range(len(langs)), key=lambda j: want[j])
+        assert out[d].lang_pred == langs[top] and abs(out[d].score - want[top]) < 1e-3
+        assert out[d].languages == [langs[j] for j in range(len(langs)) if want[j] > 0]
+        several += len(out[d].languages) > 1
+    assert several > 10
+
+
+def plain_toxicity(texts, toxic, others):
+    """The scores of ``others`` by a dense classifier over the distinct n-grams of each text."""
+    def grams(t):
+        points = np.frombuffer("".join(" " if c in "\t\n\x0b\x0c\r" else c for c in t.lower()).encode("utf-32-le"), np.uint32)
+        return {int(T.window_hashes(points[i:i + n].astype(np.uint64), n, 1)[0] >> np.uint64(64 - toxicity.BITS))
+                for n in toxicity.ORDERS for i in range(len(points) - n + 1)}
+    sets = [grams(t) for t in texts]
+    columns = sorted(set().union(*sets))
+    place = {c: i for i, c in enumerate(columns)}
+
+    def dense(own):
+        x = np.zeros(len(columns))
+        x[[place[g] for g in own if g in place]] = 1
+        return x
+    x, y = np.array([dense(s) for s in sets]), np.array(toxic, bool)
+    p, q = x[y].sum(0) + 1, x[~y].sum(0) + 1
+    r = np.log(p / y.sum()) - np.log(q / (~y).sum())
+    r = np.sign(r) * np.maximum(0, abs(r) - toxicity.ERRORS * np.sqrt(1 / p + 1 / q))
+
+    def unit(x):
+        x = x * r
+        return x / max(np.linalg.norm(x), 1e-9)
+    x = np.array([unit(row) for row in x])
+    share = np.where(y, 0.5 / y.sum(), 0.5 / (~y).sum())
+    w, b, w_old, b_old = np.zeros(len(columns)), 0.0, np.zeros(len(columns)), 0.0
+    ahead, b_ahead = w, b
+    for t in range(toxicity.STEPS):
+        error = share * (1 / (1 + np.exp(-(x @ ahead + b_ahead))) - y)
+        w, b = ahead - 2.0 * (x.T @ error + toxicity.RIDGE * ahead), b_ahead - 2.0 * error.sum()
+        ahead, b_ahead = w + t / (t + 3) * (w - w_old), b + t / (t + 3) * (b - b_old)
+        w_old, b_old = w, b
+    return [1 / (1 + math.exp(-(unit(dense(grams(t))) @ w + b))) for t in others]
+
+
+def test_toxicity_equals_a_plain_classifier(spark, make_docs):
+    rows, labels = toxic_rows(150, seed=4)
+    docs, table = make_docs(rows), spark.createDataFrame(labels, "doc_id long, toxic int")
+    out = {r.doc_id: r.score for r in toxicity.score(docs, toxicity.train(docs, table)).collect()}
+    known = [(t, y) for (d, t), (_, y) in zip(rows, labels) if not out_of(d)]
+    held = [(d, t) for d, t in rows if out_of(d)]
+    want = plain_toxicity([t for t, _ in known], [y for _, y in known], [t for _, t in held])
+    assert max(abs(out[d] - s) for (d, _), s in zip(held, want)) < 1e-3

@@ -1,3 +1,6 @@
+import collections
+import itertools
+import random
 import re
 
 from matchmart.llm import urls
@@ -56,3 +59,28 @@ def test_labels_follow_the_document_in_the_url(spark, tmp_path):
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     out = {r.page_id: r.verdict for r in urls.op7_url_filter(spark, str(tmp_path)).collect()}
     assert out == {i: "block" if u and "//bad." in u else "allow" for i, u in rows}
+
+
+def test_mined_verdicts_equal_counting_all_token_sets(spark):
+    """Rules worked out by counting every set of tokens of every labelled url."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(400):
+        host = rng.choice(["bad", "good", "fine"])
+        part = rng.choice(["ads", "en", "buy"])
+        tail = rng.choice(["x", "y", "z", "w"])
+        rows.append((i, f"http://{host}.site/{part}/{tail}", rng.random() < (0.95 if (host, part) == ("bad", "ads") or
+                                                                           (part, tail) == ("buy", "z") else 0.1)))
+    labelled, least = rows[:300], 8
+    tokens = {u: {*(f"h:{x}" for x in u.split("/")[2].split(".")), *(f"p:{x}" for x in u.split("/")[3:])} for _, u, _ in rows}
+    seen, bad = collections.Counter(), collections.Counter()
+    for _, u, blocked in labelled:
+        for n in range(1, len(tokens[u]) + 1):
+            for s in itertools.combinations(sorted(tokens[u]), n):
+                seen[s] += 1
+                bad[s] += blocked
+    rules = [set(s) for s in seen if bad[s] >= least and bad[s] / seen[s] >= urls.MIN_CONFIDENCE]
+    table = spark.createDataFrame([(u, b) for _, u, b in labelled], "url string, blocked boolean")
+    out = {r.page_id: r.verdict for r in urls.judge(pages(spark, [r[:2] for r in rows]), table, (), min_pages=least).collect()}
+    want = {i: "block" if any(r <= tokens[u] for r in rules) else "allow" for i, u, _ in rows}
+    assert out == want and 20 < list(want.values()).count("block") < 200
