@@ -6,8 +6,8 @@ them on diagonals (text place minus item place) that lie within k of each
 other.  So the shared q-grams are counted in bands of 2 * (k + 1) diagonals that
 overlap by half, each band that reaches the bound becomes a region, and each
 region is verified by banded alignment of the whole item.  k is ``EDIT_RATE``
-times m; q is small enough that every item of ``MIN_CHARS`` characters has a bound
-of at least one.  Texts and items are compared in lower case, white space as a space.
+times m; q is ``Q``, or ``Q_LESS`` for the few lengths (30 and 31) whose bound would
+not reach one with it, and these have an index of their own.  Texts and items are compared in lower case, white space as a space.
 
 Shorter items are searched verbatim, with no edits, where neither side goes on
 with a letter or digit, by one Aho-Corasick automaton a block.  A hit is a whole
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from matchmart.llm import textops as T
 
-Q = 7
+Q, Q_LESS = 8, 7
 EDIT_RATE = 0.1
 MIN_CHARS = 24
 BLOCK_CHARS = 4_000_000
@@ -51,25 +51,31 @@ _CELLS = 2_000_000  # characters of items aligned at a time
 _HITS = "doc_id long, text_key binary, item_id long, edits int, stop long"
 
 
-def _grams(points: np.ndarray) -> np.ndarray:
-    return T.window_hashes(points.astype(np.uint64), Q)
+def _grams(points: np.ndarray, q: int) -> np.ndarray:
+    return T.window_hashes(points.astype(np.uint64), q)
+
+
+def _edits(length):
+    """The edit budget of items of a length."""
+    return np.floor(EDIT_RATE * np.asarray(length) + 1e-9).astype(np.int64)
 
 
 class _Index:
     """The q-grams of a block of items."""
 
-    def __init__(self, items: Sequence[tuple[int, str]]):
+    def __init__(self, items: Sequence[tuple[int, str]], q: int):
+        self.q = q
         lowered = pc.utf8_lower(pa.array([t for _, t in items], pa.string()))
         data, off = T.utf8(lowered)
         self.points, self.off = T.code_points(data, off)
         self.ids = np.array([i for i, _ in items], np.int64)
         self.length = np.diff(self.off)
-        self.k = np.floor(EDIT_RATE * self.length + 1e-9).astype(np.int64)
-        self.bound = self.length - Q + 1 - self.k * Q
-        h = _grams(self.points)
+        self.k = _edits(self.length)
+        self.bound = self.length - q + 1 - self.k * q
+        h = _grams(self.points, q)
         item = np.searchsorted(self.off, np.arange(len(h)), "right") - 1
         place = np.arange(len(h)) - self.off[item]
-        ok = place + Q <= self.length[item]
+        ok = place + q <= self.length[item]
         h, item, place = h[ok], item[ok], place[ok]
         order = np.argsort(h, kind="stable")
         self.item, self.place = item[order], place[order]
@@ -84,13 +90,13 @@ class _Index:
 
     def regions(self, points: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Row, item and first diagonal of each band that reaches the item's bound."""
-        h = _grams(points)
+        h = _grams(points, self.q)
         some = np.flatnonzero(self.seen[self._cell(h)])
         p = np.minimum(np.searchsorted(self.h, h[some]), len(self.h) - 1)
         ok = self.h[p] == h[some]
         some, p = some[ok], p[ok]
         row = np.searchsorted(off, some, "right") - 1
-        ok = some + Q <= off[row + 1]
+        ok = some + self.q <= off[row + 1]
         some, p, row = some[ok], p[ok], row[ok]
         n = self.first[p + 1] - self.first[p]
         entry = np.repeat(self.first[p] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
@@ -176,7 +182,7 @@ class _Short:
         return out
 
 
-def _search(index: _Index, short: _Short):
+def _search(indexes: Sequence[_Index], short: _Short):
     def run(batches):
         for batch in batches:
             data, off = T.utf8(pc.utf8_lower(batch.column("text")))
@@ -190,19 +196,18 @@ def _search(index: _Index, short: _Short):
                         if found:
                             row, item, stop = (np.array(x, np.int64) for x in zip(*found))
                             yield _hits(ids, keys, a + row, item, np.zeros(len(row), np.int32), stop)
-                    if not len(index.ids):
-                        continue
-                    row, item, diagonal = index.regions(points, rows)
-                    if not len(row):
-                        continue
-                    step = int(max(1, min(256, _CELLS // index.length[item].max())))
-                    parts = [index.aligned(points, rows, row[i:i + step], item[i:i + step], diagonal[i:i + step])
-                             for i in range(0, len(row), step)]
-                    edits, stop = (np.concatenate(x) for x in zip(*parts))
-                    ok = np.flatnonzero(edits <= index.k[item])
-                    order = ok[np.lexsort((stop[ok], edits[ok], item[ok], row[ok]))]
-                    best = order[T.group_starts(row[order] * len(index.ids) + item[order])]
-                    yield _hits(ids, keys, a + row[best], index.ids[item[best]], edits[best].astype(np.int32), stop[best])
+                    for index in indexes:
+                        row, item, diagonal = index.regions(points, rows)
+                        if not len(row):
+                            continue
+                        step = int(max(1, min(256, _CELLS // index.length[item].max())))
+                        parts = [index.aligned(points, rows, row[i:i + step], item[i:i + step], diagonal[i:i + step])
+                                 for i in range(0, len(row), step)]
+                        edits, stop = (np.concatenate(x) for x in zip(*parts))
+                        ok = np.flatnonzero(edits <= index.k[item])
+                        order = ok[np.lexsort((stop[ok], edits[ok], item[ok], row[ok]))]
+                        best = order[T.group_starts(row[order] * len(index.ids) + item[order])]
+                        yield _hits(ids, keys, a + row[best], index.ids[item[best]], edits[best].astype(np.int32), stop[best])
     return run
 
 
@@ -224,8 +229,12 @@ def _leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
         own = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block)
         rows = [(r["item_id"], r["text"]) for r in own.toLocalIterator()]
         if rows:
-            long, short = ([r for r in rows if (len(r[1]) >= MIN_CHARS) == wanted] for wanted in (True, False))
-            part = docs.mapInArrow(_search(_Index(long), _Short(short)), _HITS)
+            by_q: dict[int, list] = {0: [], Q: [], Q_LESS: []}
+            for r in rows:
+                m = len(r[1].lower())
+                by_q[0 if m < MIN_CHARS else Q if Q * (int(_edits(m)) + 1) <= m else Q_LESS].append(r)
+            indexes = [_Index(by_q[q], q) for q in (Q, Q_LESS) if by_q[q]]
+            part = docs.mapInArrow(_search(indexes, _Short(by_q[0])), _HITS)
             part = part if blocks == 1 else part.checkpoint()
             found = part if found is None else found.unionByName(part)
     return docs.where("false").mapInArrow(_no_hits, _HITS) if found is None else found
