@@ -1,11 +1,18 @@
 """Near-duplicate documents by improved consistent weighted sampling (operator 10).
 
 A document is the weighted set of its 5-word shingles, each weighing its count
-times an inverse document frequency.  Document frequencies come from all rows,
-in a table of 2**18 hashed cells of fixed size; the idf is 1 + ln(N / df) / ln N,
-in sixteenths.  ``SAMPLES`` improved consistent weighted samples (Ioffe 2010)
-make ``BANDS`` band keys.  Two documents that agree in a band are compared by
-their exact weighted Jaccard similarity, and linked at ``THRESHOLD``.
+times an inverse document frequency.  The document frequency df is exact: the
+number of documents that hold the shingle.  The idf is 1 + ln(N / df) / ln N over
+the table's N rows, in sixteenths.  ``SAMPLES`` improved consistent weighted
+samples (Ioffe 2010) make ``BANDS`` band keys.  Two documents that agree in a band
+are compared by their exact weighted Jaccard similarity, and linked at
+``THRESHOLD``.
+
+Shingles are counted in two exchanges.  Documents are dealt to chunks of about
+``CHUNK_BYTES`` of text; a chunk sends its distinct shingles, each with the number
+of its documents that hold it, to ranges of the hash (one range for each
+``RANGE_BYTES`` of text), which add them up and send each chunk the levels of its
+own shingles back.  A document keeps its levels, one byte a shingle, compressed.
 
 Classes are the connected components of the links, found without listing the
 pairs of a bucket:
@@ -36,20 +43,22 @@ are read; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchmart.llm import textops as T
-from matchmart.llm.counting import total_counts
 from matchmart.llm.graph import components
 
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 16, 4
 SAMPLES = BANDS * ROWS
-CELL_BITS = 18
+CHUNK_BYTES, RANGE_BYTES = 8_000_000, 32_000_000
 BLOCK, BLOCK_BYTES = 256, 4_000_000
 
 _NO_ID = -(1 << 63)
@@ -86,10 +95,6 @@ def _shingles(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return (both >> _U(48)).astype(np.int64), both & _LOW, count
 
 
-def _cells(h: np.ndarray) -> np.ndarray:
-    return (h >> _U(48 - CELL_BITS)).astype(np.int64)
-
-
 def _chunks(column: pa.Array):
     data, off = T.utf8(column)
     for a, b in T.row_chunks(off):
@@ -98,20 +103,64 @@ def _chunks(column: pa.Array):
             yield lo, hi, data, off[lo:hi + 1]
 
 
-def idf_levels(docs: DataFrame) -> np.ndarray:
-    """The idf of each cell in sixteenths over 1, from all texts; the last entry of the counts is their number."""
-    size = 1 << CELL_BITS
+def _sub_chunks(column: pa.ChunkedArray) -> list[tuple]:
+    """First row, row after the last, offsets, and (row, hash, count) of the shingles, of each part of a column."""
+    return [(lo, hi, off, *_shingles(data, off)) for lo, hi, data, off in _chunks(column)]
+
+
+def _pieces(ranges: int):
+    """The distinct shingles of a chunk by range of the hash: the first, the steps from each to the next
+    (4 bytes, or 8 where one does not fit), and in how many of the chunk's documents each is."""
+    def run(group: pa.Table) -> pa.Table:
+        parts = _sub_chunks(group.column("text"))
+        keys, docs = np.unique(np.concatenate([p[4] for p in parts]), return_counts=True)
+        of = ((keys >> _U(16)) * _U(ranges)) >> _U(32)
+        at = T.group_starts(of)
+        steps = np.diff(keys, prepend=keys[:1])
+        steps[at] = 0
+        docs = docs.astype(np.uint32)
+        cut = list(zip(at.tolist(), np.append(at[1:], len(keys)).tolist()))
+        width = [np.uint32 if steps[a:b].max() < 1 << 32 else np.uint64 for a, b in cut]
+        return pa.table({
+            "chunk": pa.array([group.column("chunk")[0].as_py()] * len(at), pa.int64()),
+            "range": pa.array(of[at].astype(np.int64)),
+            "first": pa.array(keys[at].astype(np.int64)),
+            "steps": pa.array([steps[a:b].astype(w).tobytes() for (a, b), w in zip(cut, width)], pa.binary()),
+            "docs": pa.array([docs[a:b].tobytes() for a, b in cut], pa.binary())})
+    return run
+
+
+def _levels(n_docs: int):
+    """The idf levels of the shingles of one range, for each chunk that holds some of them."""
+    def run(group: pa.Table) -> pa.Table:
+        keys, docs = [], []
+        for first, steps, n in zip(*(group.column(c).to_pylist() for c in ("first", "steps", "docs"))):
+            docs.append(np.frombuffer(n, np.uint32))
+            width = np.uint32 if len(steps) == len(n) else np.uint64
+            keys.append(np.cumsum(np.frombuffer(steps, width), dtype=np.uint64) + _U(first))
+        ends = np.cumsum([len(k) for k in keys])
+        keys, docs = np.concatenate(keys), np.concatenate(docs).astype(np.int64)
+        order = np.argsort(keys, kind="stable")
+        at = T.group_starts(keys[order])
+        df = np.add.reduceat(docs[order], at)
+        value = np.empty(len(keys), np.uint8)
+        value[order] = np.repeat(idf_level(df, n_docs), np.diff(np.append(at, len(keys))))
+        return pa.table({"chunk": group.column("chunk"), "range": group.column("range"),
+                         "levels": pa.array([zlib.compress(x.tobytes(), 1) for x in np.split(value, ends[:-1])],
+                                            pa.binary())})
+    return run
+
 
-    def count(batch: pa.RecordBatch, vector: np.ndarray) -> None:
-        for lo, hi, data, off in _chunks(batch.column(0)):
-            _, h, _ = _shingles(data, off)
-            vector[:size] += np.bincount(_cells(h), minlength=size)
-        vector[size] += batch.num_rows
+def idf_level(df: np.ndarray, n_docs: int) -> np.ndarray:
+    """The idf in sixteenths over 1."""
+    n = max(2, n_docs)
+    level = np.log(n / np.clip(df, 1, n)) / np.log(n)
+    return np.rint(level * (_LEVELS - 1)).astype(np.uint8)
 
-    total = total_counts(docs.select("text"), size + 1, count)
-    n = max(2, int(total[size]))
-    level = np.log(n / np.clip(total[:size], 1, n)) / np.log(n)
-    return np.clip(np.rint(level * (_LEVELS - 1)), 0, _LEVELS - 1).astype(np.uint8)
+
+def _unpacked(column) -> np.ndarray:
+    """The levels of all rows of a column of compressed ones."""
+    return np.frombuffer(b"".join(map(zlib.decompress, column.to_pylist())), np.uint8)
 
 
 def _weight(count: np.ndarray, level: np.ndarray) -> np.ndarray:
@@ -132,15 +181,15 @@ def _draws(log_weight: np.ndarray) -> np.ndarray:
 class _Sampler:
     """Consistent weighted samples; tables of the usual weights are kept."""
 
-    def __init__(self, levels: np.ndarray):
-        self.levels = levels
+    def __init__(self):
         usual = np.array([_weight(c, lv) for c in (1, 2) for lv in range(_LEVELS)])
         self.tables = _draws(np.log(usual)).reshape(-1)
 
-    def bands(self, row: np.ndarray, h: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def bands(self, row: np.ndarray, h: np.ndarray, count: np.ndarray,
+              level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The rows that have shingles, and their band keys."""
         at = T.group_starts(row)
-        level = self.levels[_cells(h)].astype(np.int64)
+        level = level.astype(np.int64)
         slot = ((np.minimum(count, 2) - 1) * _LEVELS + level) << _TABLE_BITS
         rare = np.flatnonzero(count > 2)
         low = T.mix(h) & _U(0xFFFFFFFF)
@@ -168,29 +217,54 @@ class _Sampler:
         return (order << _U(32)) | ((t.astype(np.int64).astype(np.uint64) * _U(0x9E3779B1)) & _U(0xFFFFFFFF))
 
 
-def _sign(levels: np.ndarray):
-    def run(batches):
-        sampler = _Sampler(levels)
-        for batch in batches:
-            for lo, hi, data, off in _chunks(batch.column("text")):
-                row, h, count = _shingles(data, off)
-                own, keys = sampler.bands(row, h, count)
-                bands = np.zeros(hi - lo, np.int64)
-                bands[own] = BANDS
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("did").slice(lo, hi - lo), batch.column("node").slice(lo, hi - lo),
-                     pa.array(np.diff(off), pa.int64()), T.lists(keys.reshape(-1).view(np.int64), bands)],
-                    names=["did", "node", "size", "bands"])
-    return run
-
-
-def _similar(levels: np.ndarray, data_a, off_a, data_b, off_b) -> np.ndarray:
-    """The weighted Jaccard similarity of each row of the one chunk to the same row of the other."""
-    rows = len(off_a) - 1
+@functools.cache
+def _sampler() -> _Sampler:
+    return _Sampler()
+
+
+def _sign(texts: pa.Table, found: pa.Table) -> pa.Table:
+    """Band keys and levels of the documents of one chunk, from their texts and the levels of its shingles."""
+    parts = _sub_chunks(texts.column("text"))
+    keys = np.unique(np.concatenate([p[4] for p in parts]))
+    known = _unpacked(found.sort_by("range").column("levels"))
+    sizes, bands, counts, packed = [], [], [], []
+    for lo, hi, off, row, h, count in parts:
+        level = known[np.searchsorted(keys, h)]
+        own, value = _sampler().bands(row, h, count, level)
+        n = np.zeros(hi - lo, np.int64)
+        n[own] = BANDS
+        first = np.searchsorted(row, np.arange(hi - lo + 1))
+        sizes.append(np.diff(off))
+        bands.append(value.reshape(-1).view(np.int64))
+        counts.append(n)
+        packed += [zlib.compress(level[a:b].tobytes(), 1) for a, b in zip(first[:-1], first[1:])]
+    return pa.table({"did": texts.column("did"), "node": texts.column("node"),
+                     "size": pa.array(np.concatenate(sizes), pa.int64()),
+                     "bands": T.lists(np.concatenate(bands), np.concatenate(counts)),
+                     "levels": pa.array(packed, pa.binary())})
+
+
+def signatures(docs: DataFrame) -> DataFrame:
+    """did, node, size, bands (null without a word) and idf levels of every document with a text, each once."""
+    n_docs, n_bytes = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    chunks, ranges = -(-n_bytes // CHUNK_BYTES) or 1, -(-n_bytes // RANGE_BYTES) or 1
+    texts = (_keyed(docs.where("text is not null"), "text")
+             .withColumn("chunk", F.pmod(F.xxhash64("did", "node"), F.lit(chunks)))
+             .repartition("chunk").dropDuplicates(["chunk", "node", "did"]))
+    levels = (
+        texts.groupBy("chunk").applyInArrow(_pieces(ranges), "chunk long, range long, first long, steps binary, docs binary")
+        .groupBy("range").applyInArrow(_levels(n_docs), "chunk long, range long, levels binary"))
+    return texts.groupBy("chunk").cogroup(levels.groupBy("chunk")).applyInArrow(
+        _sign, "did long, node long, size long, bands array<long>, levels binary")
+
+
+def _similar(*sides: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+    """The weighted Jaccard similarity of each row of the one side (bytes, offsets, levels) to the same row of the other."""
+    rows = len(sides[0][1]) - 1
     sums, keys, weights = [], [], []
-    for data, off in ((data_a, off_a), (data_b, off_b)):
+    for data, off, level in sides:
         row, h, count = _shingles(data, off)
-        w = _weight(count, levels[_cells(h)].astype(np.float64))
+        w = _weight(count, level.astype(np.float64))
         sums.append(np.bincount(row, w, rows))
         keys.append((row.astype(np.uint64) << _U(48)) | h)
         weights.append(w)
@@ -203,7 +277,7 @@ def _similar(levels: np.ndarray, data_a, off_a, data_b, off_b) -> np.ndarray:
     return shared / np.maximum(sums[0] + sums[1] - shared, 1e-9)
 
 
-def _verify(levels: np.ndarray, threshold: float):
+def _verify(threshold: float):
     def run(batches):
         for batch in batches:
             data_a, off_a = T.utf8(batch.column("text_a"))
@@ -212,7 +286,8 @@ def _verify(levels: np.ndarray, threshold: float):
                 keep = []
                 for a in range(lo, hi, _MAX_ROWS):
                     b = min(hi, a + _MAX_ROWS)
-                    s = _similar(levels, data_a, off_a[a:b + 1], data_b, off_b[a:b + 1])
+                    s = _similar((data_a, off_a[a:b + 1], _unpacked(batch.column("levels_a").slice(a, b - a))),
+                                 (data_b, off_b[a:b + 1], _unpacked(batch.column("levels_b").slice(a, b - a))))
                     keep.append(a + np.flatnonzero(s >= threshold))
                 keep = pa.array(np.concatenate(keep))
                 yield pa.RecordBatch.from_arrays([batch.column("a").take(keep), batch.column("b").take(keep)],
@@ -220,7 +295,7 @@ def _verify(levels: np.ndarray, threshold: float):
     return run
 
 
-def _settle(levels: np.ndarray, threshold: float):
+def _settle(threshold: float):
     """Links between the components of one pair of blocks, until no two differ that a link joins."""
     def run(group: pa.Table) -> pa.Table:
         group = group.sort_by([("node", "ascending")])
@@ -229,7 +304,7 @@ def _settle(levels: np.ndarray, threshold: float):
         one_block = bool(group.column("one_block")[0].as_py())
         data, off = T.utf8(group.column("text"))
         row, h, count = _shingles(data, off)
-        w = _weight(count, levels[_cells(h)].astype(np.float64))
+        w = _weight(count, _unpacked(group.column("levels")).astype(np.float64))
         first = np.searchsorted(row, np.arange(len(node) + 1))
         total = np.bincount(row, w, len(node))
         _, comp = np.unique(group.column("root").to_numpy(), return_inverse=True)
@@ -295,8 +370,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, node, class_id and kept (this document stands for its class) of every row, in no order."""
     docs = docs.select("doc_id", "text")
     known = _keyed(docs.where("text is not null"), "text")
-    levels = idf_levels(docs)
-    signed = known.mapInArrow(_sign(levels), "did long, node long, size long, bands array<long>").checkpoint()
+    signed = signatures(docs).checkpoint()
 
     nodes = (signed.where("bands is not null").groupBy("node")
              .agg(F.min(F.when(F.col("did") != _NO_ID, F.col("did"))).alias("rep"), F.min(F.struct("size", "bands")).alias("x"))
@@ -312,13 +386,16 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         F.col("least_rep").alias("b_rep")).distinct()
     # One text a node: the one of its least doc_id.
     needed = keys.select("node", F.col("rep").alias("did")).distinct()
-    texts = known.join(needed, ["node", "did"], "left_semi").dropDuplicates(["node", "did"])
+    levels = signed.select("node", "did", "levels").join(needed, ["node", "did"], "left_semi")
+    texts = known.join(levels, ["node", "did"]).dropDuplicates(["node", "did"])
     links = (
-        pairs.join(texts.select(F.col("node").alias("a"), F.col("did").alias("a_rep"), F.col("text").alias("text_a")),
+        pairs.join(texts.select(F.col("node").alias("a"), F.col("did").alias("a_rep"), F.col("text").alias("text_a"),
+                               F.col("levels").alias("levels_a")),
                    ["a", "a_rep"])
-        .join(texts.select(F.col("node").alias("b"), F.col("did").alias("b_rep"), F.col("text").alias("text_b")),
+        .join(texts.select(F.col("node").alias("b"), F.col("did").alias("b_rep"), F.col("text").alias("text_b"),
+                               F.col("levels").alias("levels_b")),
               ["b", "b_rep"])
-        .select("a", "b", "text_a", "text_b").mapInArrow(_verify(levels, threshold), "a long, b long")
+        .select("a", "b", "text_a", "text_b", "levels_a", "levels_b").mapInArrow(_verify(threshold), "a long, b long")
     )
     roots = components(links)
 
@@ -333,7 +410,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     members = joined.join(open_buckets, "bucket").checkpoint()
     more = (
         _blocks(members).join(texts.withColumnRenamed("did", "rep"), ["node", "rep"])
-        .groupBy("bucket", "left", "right").applyInArrow(_settle(levels, threshold), "a long, b long")
+        .groupBy("bucket", "left", "right").applyInArrow(_settle(threshold), "a long, b long")
     )
     final = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 
@@ -343,7 +420,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     first = by_node.groupBy("root").agg(F.min(F.struct((F.col("rep") == _NO_ID).alias("none"), "rep", "node")).alias("x")).select(
         "root", F.col("x.rep").alias("class_did"), F.col("x.node").alias("class_node"))
     placed = by_node.select("node", "root").join(first, "root").select("node", "class_did", "class_node")
-    own = signed.select("did", "node").join(placed, "node", "left")
+    own = known.select("did", "node").join(placed, "node", "left")
     doc_id = F.when(F.col("did") != _NO_ID, F.col("did"))
     alone = F.col("class_node").isNull()
     found = own.select(

@@ -1,5 +1,8 @@
 import collections
+import math
 import random
+import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -9,14 +12,18 @@ from matchmart.llm import graph, near
 from matchmart.llm import textops as T
 
 
-def brute(rows, levels, threshold=0.8):
-    """Classes by comparing all pairs of rows by their exact weighted similarity."""
-    rows = [r for r in rows if r[0] is not None and r[1]]
-    sets = []
-    for doc_id, text in rows:
-        data, off = T.utf8(pa.array([text]))
-        _, h, count = near._shingles(data, off)
-        sets.append((doc_id, dict(zip(h.tolist(), near._weight(count, levels[near._cells(h)].astype(float))))))
+def shingles(text):
+    words = re.findall(r"[^ \t-\r]+", text)
+    return collections.Counter(tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))) if words else {}
+
+
+def brute(rows, threshold=0.8):
+    """Classes by comparing all pairs of rows by their exact weighted similarity, from the words themselves."""
+    n = max(2, len(rows))
+    rows = [(d, shingles(t)) for d, t in rows if d is not None and t]
+    df = collections.Counter(g for _, own in rows for g in own)
+    sets = [(d, {g: c * (1 + round(16 * math.log(n / df[g]) / math.log(n)) / 16) for g, c in own.items()})
+            for d, own in rows]
     root = {d: d for d, _ in sets}
 
     def top(x):
@@ -59,7 +66,7 @@ def test_against_all_pairs(make_docs, monkeypatch, block):
     rows = [(i, t) for i, (_, t) in enumerate(rows)]
     docs = make_docs(rows)
     got = {r.doc_id: r.class_id for r in near.classes(docs).collect()}
-    assert got == brute(rows, near.idf_levels(docs))
+    assert got == brute(rows)
 
 
 def test_edges(make_docs, edge_rows):
@@ -76,11 +83,13 @@ def test_edges(make_docs, edge_rows):
 def test_empty(make_docs):
     assert near.classes(make_docs([])).collect() == []
     assert near.one_of_each(make_docs([])).collect() == []
+    no_words = make_docs([(1, ""), (2, " \n"), (3, "")])
+    assert sorted((r.doc_id, r.class_id, r.kept) for r in near.classes(no_words).collect()) == [
+        (1, 1, True), (2, 2, True), (3, 3, True)]
 
 
 def test_samples_collide_as_often_as_similar():
-    levels = np.zeros(1 << near.CELL_BITS, np.uint8)
-    sampler = near._Sampler(levels)
+    sampler = near._Sampler()
     rng = random.Random(9)
     hits, share = 0, 0.0
     for _ in range(60):
@@ -88,7 +97,7 @@ def test_samples_collide_as_often_as_similar():
         other = words[:rng.randrange(150, 200)] + [str(rng.random())] + words[:3] * 3
         data, off = T.utf8(pa.array([" ".join(words), " ".join(other)]))
         row, h, count = near._shingles(data, off)
-        _, bands = sampler.bands(row, h, count)
+        _, bands = sampler.bands(row, h, count, np.zeros(len(h), np.uint8))
         hits += (bands[0] == bands[1]).mean()
         a = dict(zip(h[row == 0].tolist(), count[row == 0]))
         b = dict(zip(h[row == 1].tolist(), count[row == 1]))
@@ -131,7 +140,36 @@ def test_links_found_among_all_similar_pairs(make_docs):
     rows = near_rows(21, 40, 5, 90, 3)
     rows = [(i, t) for i, (_, t) in enumerate(rows)]
     docs = make_docs(rows)
-    want = brute(rows, near.idf_levels(docs))
+    want = brute(rows)
     got = {r.doc_id: r.class_id for r in near.classes(docs).collect()}
     pairs = [(i, j) for i in want for j in want if i < j and want[i] == want[j]]
     assert len(pairs) > 100 and sum(got[i] == got[j] for i, j in pairs) >= 0.99 * len(pairs)
+
+
+def test_levels_are_exact_in_any_number_of_chunks(make_docs, monkeypatch):
+    """Each document's levels against document frequencies counted from the words, in one chunk and in many."""
+    rng = random.Random(8)
+    shared = " ".join(f"s{i}" for i in range(30))
+    rows = [(i, " ".join(f"w{rng.randrange(40)}" for _ in range(rng.randrange(40))) + (" " + shared) * (i % 3 == 0))
+            for i in range(300)] + [(300, None), (7, "one text"), (7, "one text"), (None, "one text")]
+    df = collections.Counter(g for _, t in {r for r in rows if r[1]} for g in shingles(t))
+    want = {(d, t): sorted(round(16 * math.log(len(rows) / df[g]) / math.log(len(rows))) for g in shingles(t))
+            for d, t in rows if t}
+    docs = make_docs(rows)
+    for chunk, part in ((8_000_000, 32_000_000), (900, 300)):
+        monkeypatch.setattr(near, "CHUNK_BYTES", chunk)
+        monkeypatch.setattr(near, "RANGE_BYTES", part)
+        signed = near.signatures(docs)
+        named = signed.join(near._keyed(docs.where("text is not null"), "text").distinct(), ["did", "node"]).collect()
+        got = {(None if r.did == near._NO_ID else r.did, r.text): sorted(zlib.decompress(r.levels)) for r in named if r.text}
+        assert got == want and len(named) == len({r for r in rows if r[1] is not None})
+
+
+def test_weights_do_not_follow_the_size_of_the_table(make_docs):
+    """Two texts that share a very common passage and nothing else stay apart, however many others there are."""
+    passage = " ".join(f"p{i}" for i in range(84))
+    for others in (20, 600):
+        rows = [(i, f"{passage} " + " ".join(f"own{i}x{j}" for j in range(20))) for i in range(others // 3)]
+        rows += [(1000 + i, " ".join(f"o{i}x{j}" for j in range(12))) for i in range(others)]
+        found = {r.doc_id: r.class_id for r in near.classes(make_docs(rows)).collect()}
+        assert found == brute(rows)

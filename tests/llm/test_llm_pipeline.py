@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 
 import corpus_pipeline
-from matchmart.llm import near, packing, pii, quality
+from matchmart.llm import packing, pii, quality
 from test_llm_near import brute as brute_classes
 
 SF = "/root/testdata/sf0.001"
@@ -29,7 +29,7 @@ def test_stages_against_brute_force(spark, tmp_path):
     rows = {r.doc_id: r for r in tables[0].collect()}
     assert sorted(rows) == good and all(rows[d] == source[d] for d in good)
 
-    classes = brute_classes([(d, rows[d].text) for d in good], near.idf_levels(tables[0]))
+    classes = brute_classes([(d, rows[d].text) for d in good])
     alone = sorted(d for d in good if classes[d] == d)
     assert sorted(r.doc_id for r in tables[1].collect()) == alone
 
