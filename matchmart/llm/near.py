@@ -58,7 +58,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 16, 4
 SAMPLES = BANDS * ROWS
-CHUNK_BYTES, RANGE_BYTES = 8_000_000, 32_000_000
+CHUNK_BYTES, RANGE_BYTES = 4_000_000, 8_000_000
 BLOCK, BLOCK_BYTES = 256, 4_000_000
 
 _NO_ID = -(1 << 63)
@@ -139,10 +139,10 @@ def _levels(n_docs: int):
             width = np.uint32 if len(steps) == len(n) else np.uint64
             keys.append(np.cumsum(np.frombuffer(steps, width), dtype=np.uint64) + _U(first))
         ends = np.cumsum([len(k) for k in keys])
-        keys, docs = np.concatenate(keys), np.concatenate(docs).astype(np.int64)
+        keys, docs = np.concatenate(keys), np.concatenate(docs)
         order = np.argsort(keys, kind="stable")
         at = T.group_starts(keys[order])
-        df = np.add.reduceat(docs[order], at)
+        df = np.add.reduceat(docs[order], at, dtype=np.int64)
         value = np.empty(len(keys), np.uint8)
         value[order] = np.repeat(idf_level(df, n_docs), np.diff(np.append(at, len(keys))))
         return pa.table({"chunk": group.column("chunk"), "range": group.column("range"),

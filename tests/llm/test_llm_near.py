@@ -156,7 +156,7 @@ def test_levels_are_exact_in_any_number_of_chunks(make_docs, monkeypatch):
     want = {(d, t): sorted(round(16 * math.log(len(rows) / df[g]) / math.log(len(rows))) for g in shingles(t))
             for d, t in rows if t}
     docs = make_docs(rows)
-    for chunk, part in ((8_000_000, 32_000_000), (900, 300)):
+    for chunk, part in ((4_000_000, 8_000_000), (900, 300)):
         monkeypatch.setattr(near, "CHUNK_BYTES", chunk)
         monkeypatch.setattr(near, "RANGE_BYTES", part)
         signed = near.signatures(docs)
