@@ -58,7 +58,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 16, 4
 SAMPLES = BANDS * ROWS
-CHUNK_BYTES, RANGE_BYTES = 4_000_000, 8_000_000
+CHUNK_BYTES, RANGE_BYTES = 8_000_000, 8_000_000
 BLOCK, BLOCK_BYTES = 256, 4_000_000
 
 _NO_ID = -(1 << 63)
