@@ -10,7 +10,7 @@ together.  A tree level of all models and classes is one Spark job:
   feature, bin); the sums are combined in a reduction tree over the executors,
   and one array, whose size depends on trees, nodes, features and bins but not
   on the rows, reaches the driver, which chooses the splits;
-* of two siblings only the one with fewer rows is counted, the other is the
+* of two siblings only the lighter one (hessian, so about its rows) is counted, the other is the
   parent minus it; the last level needs no pass, its leaves follow from the sums.
 
 Scores are renewed once a round.  They are cached, and every ``CHECKPOINT_ROUNDS``
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -54,6 +55,7 @@ MAX_BINS = 64
 EDGE_ROWS = 100_000
 CHUNK_ROWS = 50_000
 PART_ROWS = 8_000
+TASK_ROWS = 100_000
 CHECKPOINT_ROUNDS = 20
 UNIT = 1 << 30
 _LEAST_GAIN = 1e-6
@@ -106,6 +108,13 @@ def bin_edges(rows: DataFrame, features: list[str], max_bins: int = MAX_BINS, ro
             for c in features]
 
 
+def _parts(rows: int, cores: int) -> int:
+    """Thousands of short jobs follow: no more tasks than the rows are worth, and whole waves of the
+    cores (a part has ``TASK_ROWS`` rows at most, about 30 bytes a row and 24 for each model)."""
+    waves = max(1, -(-rows // (cores * TASK_ROWS)))
+    return max(1, min(-(-rows // PART_ROWS), cores * waves))
+
+
 def _chunks(rows: DataFrame, features: list[str], edges: list[np.ndarray], row_key: str, fold: str | None) -> DataFrame:
     """Rows as blocks of bins, labels, folds and row keys, ``CHUNK_ROWS`` at most in one."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -113,12 +122,11 @@ def _chunks(rows: DataFrame, features: list[str], edges: list[np.ndarray], row_k
             for a in range(0, len(whole), CHUNK_ROWS):
                 f = whole.iloc[a:a + CHUNK_ROWS]
                 bins = np.stack([np.searchsorted(e, f[c].to_numpy(float), "left") for c, e in zip(features, edges)], 1)
-                yield pd.DataFrame({"n": [len(f)], "bins": [bins.astype(np.uint8).tobytes()],
+                yield pd.DataFrame({"n": [len(f)], "bins": [bins.T.astype(np.uint8, "C").tobytes()],
                                     "label": [f["label"].to_numpy(np.int8).tobytes()],
                                     "fold": [f["fold"].to_numpy(np.int16).tobytes()],
                                     "row_key": [f["row_key"].to_numpy(np.int64).tobytes()]})
-    # Thousands of short jobs follow: no more tasks than their rows are worth.
-    parts = max(1, -(-rows.count() // PART_ROWS))
+    parts = _parts(rows.count(), rows.sparkSession.sparkContext.defaultParallelism)
     return rows.select(
         *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features],
         F.col("label").cast("int").alias("label"), (F.col(fold) if fold else F.lit(-1)).cast("int").alias("fold"),
@@ -128,25 +136,26 @@ def _chunks(rows: DataFrame, features: list[str], edges: list[np.ndarray], row_k
 # --- rows inside a task -----------------------------------------------------------------------
 
 class _Block:
-    """A block of rows: bins [n, features], label, fold, key, scores [n, models, classes]."""
+    """A block of rows: bins [features, n], label, fold, key, scores [n, models, classes]."""
 
     def __init__(self, bins, label, fold, key, scores):
         self.bins, self.label, self.fold, self.key, self.scores = bins, label, fold, key, scores
 
     @classmethod
     def of(cls, row, n_features: int, models: int) -> _Block:
-        return cls(np.frombuffer(row.bins, np.uint8).reshape(row.n, n_features), np.frombuffer(row.label, np.int8),
+        return cls(np.frombuffer(row.bins, np.uint8).reshape(n_features, row.n), np.frombuffer(row.label, np.int8),
                    np.frombuffer(row.fold, np.int16), np.frombuffer(row.row_key, np.int64),
                    np.full((row.n, models, CLASSES), 0.5))
 
 
-def _leaf_of(bins: np.ndarray, split: np.ndarray, depth: int) -> np.ndarray:
-    """The heap node each row reaches; ``split`` [nodes, 2] holds feature (-1: none) and bin."""
-    at, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
+def _leaf_of(bins: np.ndarray, rows: np.ndarray, split: np.ndarray, depth: int) -> np.ndarray:
+    """The heap node each of ``rows`` reaches; ``split`` [nodes, 2] holds feature (-1: none) and bin."""
+    feature, cut = np.ascontiguousarray(split[:, 0]), np.ascontiguousarray(split[:, 1])
+    flat, start, inner = bins.ravel(), np.maximum(feature, 0) * bins.shape[1], feature >= 0
+    at = np.zeros(len(rows), np.int64)
     for _ in range(depth):
-        feature, cut = split[at, 0], split[at, 1]
-        right = bins[rows, np.maximum(feature, 0)] > cut
-        at = np.where(feature >= 0, 2 * at + 1 + right, at)
+        right = flat[start[at] + rows] > cut[at]
+        at = np.where(inner[at], 2 * at + 1 + right, at)
     return at
 
 
@@ -160,50 +169,56 @@ def _drawn(key: np.ndarray, seed: int, tree: int, share: float) -> np.ndarray:
     return (x ^ (x >> np.uint64(31))) < np.uint64(int(share * 2**64))
 
 
-def gradients(scores: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Softmax gradients and hessians per class, as integers in 1 / UNIT."""
-    e = np.exp(scores - scores.max(-1, keepdims=True))
-    p = e / e.sum(-1, keepdims=True)
-    g = p - (label[:, None] == np.arange(CLASSES))
-    return np.rint(g * UNIT).astype(np.int64), np.rint(np.maximum(2 * p * (1 - p), 1e-16) * UNIT).astype(np.int64)
+def probabilities(scores: np.ndarray) -> np.ndarray:
+    """The softmax of the scores [rows, classes], as [classes, rows]."""
+    z = np.ascontiguousarray(scores.T)
+    e = np.exp(z - z.max(0))
+    return e / (e[0] + e[1] + e[2])
+
+
+def gradients(p: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradients and hessians of a class from its probabilities and its rows (``own``), as whole numbers of 1 / UNIT."""
+    return np.rint((p - own) * UNIT), np.rint(np.maximum(2 * p * (1 - p), 1e-16) * UNIT)
 
 
 def _histograms(block: _Block, splits: np.ndarray, slots: np.ndarray, columns: np.ndarray, round_: int, depth: int,
                 bins: int, width: int, s: Settings) -> np.ndarray:
-    """[trees, width, columns, bins, 3] sums (gradient, hessian, rows) of one block.
+    """[trees, width, columns, bins, 2] sums (gradient, hessian) of one block.
 
     ``slots`` [trees, nodes] gives the place of each node that is counted, -1 for others; ``columns``
     [trees, columns] the features a tree may use.
     """
-    trees = len(splits)
-    out = np.zeros((trees, width, columns.shape[1], bins, 3), np.int64)
-    offset = np.arange(columns.shape[1]) * bins
+    trees, used = columns.shape
+    out = np.zeros((trees, width, used, bins, 2), np.int64)
+    drawn = [_drawn(block.key, s.seed, round_ * CLASSES + c, s.subsample) for c in range(CLASSES)]
     for m in range(trees // CLASSES):
-        mine = np.flatnonzero(block.fold != m)
-        g, h = gradients(block.scores[mine, m], block.label[mine])
+        if slots[m * CLASSES:(m + 1) * CLASSES].max() < 0:
+            continue
+        p = probabilities(block.scores[:, m])
+        mine = block.fold != m
         for c in range(CLASSES):
             t = m * CLASSES + c
             if slots[t].max() < 0:
                 continue
-            seen = _drawn(block.key[mine], s.seed, round_ * CLASSES + c, s.subsample)
-            rows = mine[seen]
-            slot = slots[t][_leaf_of(block.bins[rows], splits[t], depth)]
-            keep = slot >= 0
-            rows, slot = rows[keep], slot[keep]
-            cell = (slot[:, None] * (columns.shape[1] * bins) + offset + block.bins[rows][:, columns[t]]).ravel()
-            size = width * columns.shape[1] * bins
-            for k, weight in enumerate((g[seen, c][keep], h[seen, c][keep], None)):
-                # Sums of integers below 2**53 are exact in the doubles that bincount adds.
-                w = None if weight is None else np.repeat(weight, columns.shape[1]).astype(float)
-                out[t, ..., k] = np.bincount(cell, w, size).reshape(width, columns.shape[1], bins)
+            rows = np.flatnonzero(drawn[c] & mine)
+            slot = slots[t][_leaf_of(block.bins, rows, splits[t], depth)]
+            if depth:
+                keep = np.flatnonzero(slot >= 0)
+                rows, slot = rows[keep], slot[keep]
+            first, weights = slot * bins, gradients(p[c][rows], block.label[rows] == c)
+            for j, column in enumerate(columns[t]):
+                cell = first + block.bins[column][rows]
+                for k, weight in enumerate(weights):
+                    # Sums of integers below 2**53 are exact in the doubles that bincount adds.
+                    out[t, :, j, :, k] = np.bincount(cell, weight, width * bins).reshape(width, bins)
     return out
 
 
 def _renewed(block: _Block, splits: np.ndarray, weights: np.ndarray, depth: int) -> _Block:
     """The block with the scores after one more round."""
-    scores = block.scores.copy()
+    scores, rows = block.scores.copy(), np.arange(len(block.label))
     for t in range(len(splits)):
-        scores[:, t // CLASSES, t % CLASSES] += weights[t][_leaf_of(block.bins, splits[t], depth)]
+        scores[:, t // CLASSES, t % CLASSES] += weights[t][_leaf_of(block.bins, rows, splits[t], depth)]
     return _Block(block.bins, block.label, block.fold, block.key, scores)
 
 
@@ -214,7 +229,7 @@ def _shrunk(g: np.ndarray, alpha: float) -> np.ndarray:
 
 
 def best_splits(hist: np.ndarray, columns: np.ndarray, s: Settings):
-    """Per node of ``hist`` [nodes, columns, bins, 3]: gain, feature, bin (first best in column, bin order), weight
+    """Per node of ``hist`` [nodes, columns, bins, 2]: gain, feature, bin (first best in column, bin order), weight
     and hessian; a gain under the least allowed is -inf."""
     g, h = hist[..., 0] / UNIT, hist[..., 1] / UNIT
     total_g, total_h = g[:, 0].sum(-1), h[:, 0].sum(-1)
@@ -283,7 +298,7 @@ def _grow(state, n_features: int, bins: int, models: int, round_: int, s: Settin
                                               * s.learning_rate)
                     covers[t, child] = part[1] / UNIT
                 parents[t, n] = children[t, n]
-                small = 2 * n + 1 if left[2] <= right[2] else 2 * n + 2
+                small = 2 * n + 1 if left[1] <= right[1] else 2 * n + 2
                 level.append((t, small, 4 * n + 3 - small))
     return splits, weights, gains, covers
 
@@ -300,8 +315,8 @@ def _summed(state, task) -> np.ndarray:
             yield total
 
     # Few partitions are added on the driver at once, many in a tree over the executors.
-    parts = state.getNumPartitions()
-    return state.mapPartitions(run).treeReduce(np.add, 1 if parts <= 32 else 2 if parts <= 1024 else 3)
+    sums, parts = state.mapPartitions(run), state.getNumPartitions()
+    return reduce(np.add, sums.collect()) if parts <= 32 else sums.treeReduce(np.add, 2 if parts <= 1024 else 3)
 
 
 # --- fitting ------------------------------------------------------------------------------------

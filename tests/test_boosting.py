@@ -140,6 +140,49 @@ def test_calibration_is_the_isotonic_fit(spark, frame, table):
     assert all(abs(r.s - 1) < 1e-9 for r in out.collect())
 
 
+def test_tasks_fill_whole_waves_of_the_cores(spark):
+    """Thousands of jobs follow, so a level is not dealt to more tasks than cores, unless the rows need more waves."""
+    assert [B._parts(n, 6) for n in (0, 5_000, 20_000, 48_000, 278_000, 600_000, 600_001)] == [1, 1, 3, 6, 6, 6, 12]
+    rows = spark.range(40_000).selectExpr("id as fixture_id", "double(id % 97) as x0", "double(id % 3) as label")
+    nodes, state = B.fit_boosters(rows, ["x0"], settings=B.Settings(n_trees=1, max_depth=1))
+    assert state.getNumPartitions() == spark.sparkContext.defaultParallelism == 4
+    assert state.map(lambda b: len(b.label)).sum() == 40_000 and len(nodes) >= 3
+
+
+def test_level_sums_equal_a_plain_count():
+    rng = np.random.default_rng(5)
+    n, features, bins, depth = 700, 4, 8, 2
+    s = B.Settings(max_depth=3, subsample=0.7)
+    block = B._Block(rng.integers(0, bins, (features, n)).astype(np.uint8), rng.integers(0, 3, n).astype(np.int8),
+                     (np.arange(n) % 2).astype(np.int16), rng.integers(0, 2**62, n), rng.normal(size=(n, 2, 3)))
+    splits = np.full((6, 15, 2), -1, np.int64)
+    splits[:, :3] = [(0, 3), (1, 2), (2, 5)]
+    splits[4, 1] = -1  # a leaf above the level
+    slots = np.full((6, 15), -1, np.int64)
+    slots[:, [3, 6]] = (0, 1)
+    slots[5] = -1  # a tree that is done
+    columns = np.array([[0, 2, 3]] * 3 + [[1, 2, 3]] * 3)
+    got = B._histograms(block, splits, slots, columns, 4, depth, bins, 2, s)
+    want = np.zeros(got.shape, np.int64)
+    assert want.shape == (6, 2, 3, bins, 2)
+    for t in range(5):
+        m, c = divmod(t, 3)
+        seen = B._drawn(block.key, s.seed, 4 * 3 + c, s.subsample)
+        for r in np.flatnonzero(seen & (block.fold != m)):
+            node = 0
+            for _ in range(depth):
+                f, cut = splits[t, node]
+                node = node if f < 0 else 2 * node + 1 + int(block.bins[f, r] > cut)
+            if slots[t, node] < 0:
+                continue
+            e = np.exp(block.scores[r, m] - block.scores[r, m].max())
+            p = (e / (e[0] + e[1] + e[2]))[c]
+            for j, f in enumerate(columns[t]):
+                want[t, slots[t, node], j, block.bins[f, r]] += (
+                    round((p - (block.label[r] == c)) * B.UNIT), round(2 * p * (1 - p) * B.UNIT))
+    assert np.abs(got - want).max() <= 2 and np.abs(want).max() > B.UNIT
+
+
 def test_stored_model_scores_the_same_in_another_session(spark):
     from matchmart.ml import train as MT
     from matchmart.operators.sinks import TableStore
