@@ -370,6 +370,13 @@ def _node_rows(splits, weights, gains, covers, round_, feats, edges) -> list[tup
     return out
 
 
+def as_grown(nodes: pd.DataFrame) -> pd.DataFrame:
+    """A node table in the order of its fit, which a stored table does not keep: by round, model and class,
+    a node before its children, the right one first."""
+    path = nodes["node"].map(lambda n: bin(int(n) + 1)[3:].translate({48: "b", 49: "a"}))
+    return nodes.assign(_path=path).sort_values(["round", "model", "class", "_path"], ignore_index=True).drop(columns="_path")
+
+
 def fit_booster(train: DataFrame, features: list[str] | None = None, settings: Settings = Settings()) -> Booster:
     """One booster on all rows of ``train``."""
     nodes, state = fit_boosters(train, features, settings=settings)

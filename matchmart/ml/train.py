@@ -117,7 +117,7 @@ def load_model(store: TableStore, name: str = "model") -> TrainResult | None:
     if scalars is None:
         return None
     r = scalars.first()
-    nodes = pd.DataFrame(store.read(f"{name}_nodes").collect(), columns=[x.split()[0] for x in B.NODE_SCHEMA.split(", ")])
+    nodes = B.as_grown(pd.DataFrame(store.read(f"{name}_nodes").collect(), columns=[x.split()[0] for x in B.NODE_SCHEMA.split(", ")]))
     steps = None
     if r.calibrated:
         steps = pd.DataFrame(store.read(f"{name}_steps").collect(), columns=["class", "boundary", "probability"]) \

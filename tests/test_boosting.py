@@ -206,6 +206,12 @@ def test_stored_model_scores_the_same_in_another_session(spark):
     assert MT.load_model(TableStore(other, root), "absent") is None
 
 
+def test_stored_nodes_get_the_order_of_their_fit_back(spark, table):
+    nodes = B.fit_booster(table, FEATURES, B.Settings(n_trees=3, max_depth=3)).nodes
+    for seed in range(3):
+        pd.testing.assert_frame_equal(B.as_grown(nodes.sample(frac=1, random_state=seed)), nodes)
+
+
 def test_registered_queries_fit_the_whole_booster(spark, monkeypatch):
     """Every registered model has the reference's settings; the fit itself is tested above."""
     from matchmart.plans import queries as Q
