@@ -13,9 +13,9 @@ together.  A tree level of all models and classes is one Spark job:
 * of two siblings only the lighter one (hessian, so about its rows) is counted, the other is the
   parent minus it; the last level needs no pass, its leaves follow from the sums.
 
-Scores are renewed once a round.  They are cached, and every ``CHECKPOINT_ROUNDS``
-rounds written to the shared checkpoint folder, so a lost executor costs the
-rounds since then.  Gradients are added as integers (``1 / UNIT``), so sums do
+Scores are cached once in ``SCORE_ROUNDS`` rounds; a level job adds the trees since
+then on the fly.  Every ``CHECKPOINT_ROUNDS`` rounds they are written to the shared
+checkpoint folder, so a lost executor costs the rounds since then.  Gradients are added as integers (``1 / UNIT``), so sums do
 not depend on the order or number of tasks: the same rows give the same trees.
 
 A fitted model is two small tables (:class:`Booster`), tree nodes and calibration
@@ -56,6 +56,7 @@ EDGE_ROWS = 100_000
 CHUNK_ROWS = 50_000
 PART_ROWS = 8_000
 TASK_ROWS = 100_000
+SCORE_ROUNDS = 2
 CHECKPOINT_ROUNDS = 20
 UNIT = 1 << 30
 _LEAST_GAIN = 1e-6
@@ -148,17 +149,39 @@ class _Block:
                    np.full((row.n, models, CLASSES), 0.5))
 
 
-def _leaf_of(bins: np.ndarray, rows: np.ndarray, split: np.ndarray, depth: int) -> np.ndarray:
-    """The heap node each of ``rows`` reaches; ``split`` [nodes, 2] holds feature (-1: none) and bin."""
-    feature, cut = np.ascontiguousarray(split[:, 0]), np.ascontiguousarray(split[:, 1])
-    flat, start, inner = bins.ravel(), np.maximum(feature, 0) * bins.shape[1], feature >= 0
-    at = np.zeros(len(rows), np.int64)
-    for _ in range(depth):
-        right = flat[start[at] + rows] > cut[at]
-        at = np.where(inner[at], 2 * at + 1 + right, at)
+def _places(bins: np.ndarray, split: np.ndarray, depth: int) -> np.ndarray:
+    """The place of each row among the ``2 ** depth`` nodes of a level; ``split`` [nodes, 2] holds feature (-1: none)
+    and bin by heap node.  A row that ended in a leaf above takes the left way below it, where no node is."""
+    at = np.zeros(bins.shape[1], np.uint8 if depth <= 8 else np.int64)
+    for level in range(depth):
+        right = np.zeros(bins.shape[1], bool)
+        for place, (feature, cut) in enumerate(split[2 ** level - 1:2 ** (level + 1) - 1].tolist()):
+            if feature >= 0:  # comparing whole columns of bytes is quicker than looking up each row's node
+                own = bins[feature] > cut
+                own &= at == place
+                right |= own
+        at += at
+        at += right
     return at
 
 
+def _reached(split: np.ndarray, depth: int) -> np.ndarray:
+    """Which places of a level have a node: those below no leaf."""
+    at = np.ones(1, bool)
+    for level in range(depth):
+        at = np.repeat(at & (split[2 ** level - 1:2 ** (level + 1) - 1, 0] >= 0), 2)
+    return at
+
+
+def _leaf_weights(split: np.ndarray, weights: np.ndarray, depth: int) -> np.ndarray:
+    """The weight by place at ``depth``; a leaf above hands its weight down."""
+    own = weights.copy()
+    for n in range(2 ** depth - 1):
+        if split[n, 0] < 0:
+            own[2 * n + 1] = own[2 * n + 2] = own[n]
+    return own[2 ** depth - 1:2 ** (depth + 1) - 1]
+
+
 def _drawn(key: np.ndarray, seed: int, tree: int, share: float) -> np.ndarray:
     """Which rows a tree sees: by their key, the same on every attempt."""
     if share >= 1.0:
@@ -200,25 +223,28 @@ def _histograms(block: _Block, splits: np.ndarray, slots: np.ndarray, columns: n
             t = m * CLASSES + c
             if slots[t].max() < 0:
                 continue
-            rows = np.flatnonzero(drawn[c] & mine)
-            slot = slots[t][_leaf_of(block.bins, rows, splits[t], depth)]
-            if depth:
-                keep = np.flatnonzero(slot >= 0)
-                rows, slot = rows[keep], slot[keep]
-            first, weights = slot * bins, gradients(p[c][rows], block.label[rows] == c)
+            level = np.where(_reached(splits[t], depth), slots[t][2 ** depth - 1:2 ** (depth + 1) - 1], -1)
+            place = _places(block.bins, splits[t], depth)
+            rows = np.flatnonzero((level >= 0).take(place) & drawn[c] & mine)
+            first = (level * bins).take(place.take(rows))
+            weights = gradients(p[c].take(rows), block.label.take(rows) == c)
             for j, column in enumerate(columns[t]):
-                cell = first + block.bins[column][rows]
+                cell = first + block.bins[column].take(rows)
                 for k, weight in enumerate(weights):
                     # Sums of integers below 2**53 are exact in the doubles that bincount adds.
                     out[t, :, j, :, k] = np.bincount(cell, weight, width * bins).reshape(width, bins)
     return out
 
 
-def _renewed(block: _Block, splits: np.ndarray, weights: np.ndarray, depth: int) -> _Block:
-    """The block with the scores after one more round."""
-    scores, rows = block.scores.copy(), np.arange(len(block.label))
-    for t in range(len(splits)):
-        scores[:, t // CLASSES, t % CLASSES] += weights[t][_leaf_of(block.bins, rows, splits[t], depth)]
+def _renewed(block: _Block, rounds, depth: int) -> _Block:
+    """The block with the scores after some more ``rounds`` (splits and weights of each)."""
+    if not rounds:
+        return block
+    scores = block.scores.copy()
+    for splits, weights in rounds:
+        for t in range(len(splits)):
+            step = _leaf_weights(splits[t], weights[t], depth)
+            scores[:, t // CLASSES, t % CLASSES] += step.take(_places(block.bins, splits[t], depth))
     return _Block(block.bins, block.label, block.fold, block.key, scores)
 
 
@@ -230,7 +256,7 @@ def _shrunk(g: np.ndarray, alpha: float) -> np.ndarray:
 
 def best_splits(hist: np.ndarray, columns: np.ndarray, s: Settings):
     """Per node of ``hist`` [nodes, columns, bins, 2]: gain, feature, bin (first best in column, bin order), weight
-    and hessian; a gain under the least allowed is -inf."""
+    and hessian; a gain under the least allowed is -inf.  ``columns`` are those of all nodes, or a row for each."""
     g, h = hist[..., 0] / UNIT, hist[..., 1] / UNIT
     total_g, total_h = g[:, 0].sum(-1), h[:, 0].sum(-1)
     left_g, left_h = np.cumsum(g, -1)[..., :-1], np.cumsum(h, -1)[..., :-1]
@@ -247,7 +273,7 @@ def best_splits(hist: np.ndarray, columns: np.ndarray, s: Settings):
     best = flat[np.arange(len(hist)), at]
     column, cut = np.divmod(at, gain.shape[-1])
     weight = -_shrunk(total_g, s.alpha) / (total_h + s.reg_lambda) * s.learning_rate
-    return best, columns[column], cut, weight, total_h
+    return best, columns[column] if columns.ndim == 1 else columns[np.arange(len(hist)), column], cut, weight, total_h
 
 
 def tree_columns(n_features: int, trees: int, round_: int, s: Settings) -> np.ndarray:
@@ -257,66 +283,64 @@ def tree_columns(n_features: int, trees: int, round_: int, s: Settings) -> np.nd
     return np.sort(np.array(draws), 1)
 
 
-def _grow(state, n_features: int, bins: int, models: int, round_: int, s: Settings):
-    """One tree per model and class; returns splits, leaf weights, gains and hessians by heap node."""
+def _grow(state, n_features: int, bins: np.ndarray, models: int, round_: int, s: Settings, rounds=()):
+    """One tree per model and class; returns splits, leaf weights, gains and hessians by heap node.
+
+    ``bins``: of each feature; ``rounds``: the trees whose weights are not in the scores of ``state`` yet."""
     trees, size = models * CLASSES, 2 ** (s.max_depth + 1) - 1
     splits = np.full((trees, size, 2), -1, np.int64)
     weights, gains, covers = np.zeros((trees, size)), np.zeros((trees, size)), np.zeros((trees, size))
     columns = tree_columns(n_features, trees, round_, s)
-    parents: dict[tuple[int, int], np.ndarray] = {}
-    level = [(t, 0, -1) for t in range(trees)]  # (tree, node counted, its sibling)
+    # What is counted (tree, node), and for its sibling the sums of their parent.
+    tree, node, parents = np.arange(trees), np.zeros(trees, np.int64), None
     for depth in range(s.max_depth):
-        if not level:
+        if not len(tree):
             break
+        held = np.bincount(tree, minlength=trees)
+        slot = np.arange(len(tree)) - (np.cumsum(held) - held)[tree]  # they are in the order of the trees
         slots = np.full((trees, size), -1, np.int64)
-        width = 0
-        for t in range(trees):
-            nodes = [n for tt, n, _ in level if tt == t]
-            slots[t, nodes] = np.arange(len(nodes))
-            width = max(width, len(nodes))
-        hist = _summed(state, (splits, slots, columns, round_, depth, bins, width, s))
-        children: dict[tuple[int, int], np.ndarray] = {}
-        for t, n, sibling in level:
-            children[t, n] = hist[t, slots[t, n]]
-            if sibling >= 0:
-                children[t, sibling] = parents[t, (n - 1) // 2] - children[t, n]
-        parents, level = {}, []
-        for t in range(trees):
-            nodes = sorted(n for tt, n in children if tt == t)
-            if not nodes:
-                continue
-            found = best_splits(np.stack([children[t, n] for n in nodes]), columns[t], s)
-            for n, gain, feature, cut, weight, cover in zip(nodes, *found):
-                weights[t, n], covers[t, n] = weight, cover
-                if not np.isfinite(gain):
-                    continue
-                splits[t, n], gains[t, n] = (feature, cut), gain
-                cell = children[t, n][int(np.searchsorted(columns[t], feature)), :, :]
-                left, right = cell[:cut + 1].sum(0), cell[cut + 1:].sum(0)
-                for child, part in ((2 * n + 1, left), (2 * n + 2, right)):
-                    weights[t, child] = float(-_shrunk(part[0] / UNIT, s.alpha) / (part[1] / UNIT + s.reg_lambda)
-                                              * s.learning_rate)
-                    covers[t, child] = part[1] / UNIT
-                parents[t, n] = children[t, n]
-                small = 2 * n + 1 if left[1] <= right[1] else 2 * n + 2
-                level.append((t, small, 4 * n + 3 - small))
+        slots[tree, node] = slot
+        hist = _summed(state, (splits, slots, columns, round_, depth, bins, int(held.max()), s, rounds))[tree, slot]
+        if parents is not None:
+            hist = np.concatenate([hist, parents - hist])
+            tree, node = np.tile(tree, 2), np.concatenate([node, ((node - 1) ^ 1) + 1])
+        gain, feature, cut, weight, cover = best_splits(hist, columns[tree], s)
+        weights[tree, node], covers[tree, node] = weight, cover
+        found = np.flatnonzero(np.isfinite(gain))
+        found = found[np.lexsort((node[found], tree[found]))]
+        tree, node, feature, cut, hist = tree[found], node[found], feature[found], cut[found], hist[found]
+        splits[tree, node, 0], splits[tree, node, 1], gains[tree, node] = feature, cut, gain[found]
+        at = np.arange(len(found))
+        cells = np.cumsum(hist[at, (columns[tree] == feature[:, None]).argmax(1)], 1)
+        left = cells[at, cut]
+        right = cells[:, -1] - left
+        for child, part in ((2 * node + 1, left), (2 * node + 2, right)):
+            weights[tree, child] = (-_shrunk(part[:, 0] / UNIT, s.alpha) / (part[:, 1] / UNIT + s.reg_lambda)
+                                    * s.learning_rate)
+            covers[tree, child] = part[:, 1] / UNIT
+        node, parents = np.where(left[:, 1] <= right[:, 1], 2 * node + 1, 2 * node + 2), hist
     return splits, weights, gains, covers
 
 
 def _summed(state, task) -> np.ndarray:
-    splits, slots, columns, round_, depth, bins, width, s = task
+    splits, slots, columns, round_, depth, bins, width, s, rounds = task
+    most = int(bins.max())
+    used = np.arange(most) < bins[columns][..., None]  # a column with fewer bins sends no more
 
     def run(blocks):
         total = None
         for block in blocks:
-            own = _histograms(block, splits, slots, columns, round_, depth, bins, width, s)
+            own = _histograms(_renewed(block, rounds, s.max_depth), splits, slots, columns, round_, depth, most, width, s)
             total = own if total is None else total + own
         if total is not None:
-            yield total
+            yield total.swapaxes(1, 2).swapaxes(2, 3)[used]
 
     # Few partitions are added on the driver at once, many in a tree over the executors.
     sums, parts = state.mapPartitions(run), state.getNumPartitions()
-    return reduce(np.add, sums.collect()) if parts <= 32 else sums.treeReduce(np.add, 2 if parts <= 1024 else 3)
+    sent = reduce(np.add, sums.collect()) if parts <= 32 else sums.treeReduce(np.add, 2 if parts <= 1024 else 3)
+    total = np.zeros((*used.shape, width, 2), np.int64)
+    total[used] = sent
+    return total.transpose(0, 3, 1, 2, 4)
 
 
 # --- fitting ------------------------------------------------------------------------------------
@@ -330,19 +354,21 @@ def fit_boosters(train: DataFrame, features: list[str] | None = None, fold: str
         raise ValueError("max_bins must be 2 to 256")
     ship_package(train.sparkSession)
     edges = bin_edges(train, feats, s.max_bins, row_key)
-    bins = max([len(e) for e in edges], default=0) + 1
+    bins = np.array([len(e) + 1 for e in edges])
     chunks = _chunks(train, feats, edges, row_key, fold).checkpoint()
     n_features = len(feats)
     state = chunks.rdd.map(lambda row: _Block.of(row, n_features, models))
     if state.isEmpty():
         raise ValueError("no rows to train on")
-    state, older, rows = state.persist(), [], []
+    state, older, rows, rounds, depth = state.persist(), [], [], [], s.max_depth
     for round_ in range(s.n_trees):
-        splits, weights, gains, covers = _grow(state, n_features, bins, models, round_, s)
+        splits, weights, gains, covers = _grow(state, n_features, bins, models, round_, s, rounds)
         rows += _node_rows(splits, weights, gains, covers, round_, feats, edges)
+        rounds = [*rounds, (splits, weights)]
+        if len(rounds) < SCORE_ROUNDS and round_ < s.n_trees - 1:
+            continue
         older.append(state)
-        depth = s.max_depth
-        state = state.map(lambda b, sp=splits, w=weights: _renewed(b, sp, w, depth)).persist()
+        state, rounds = state.map(lambda b, r=tuple(rounds): _renewed(b, r, depth)).persist(), []
         if round_ % CHECKPOINT_ROUNDS == CHECKPOINT_ROUNDS - 1:
             state.checkpoint()
             state.count()
@@ -356,17 +382,16 @@ def fit_boosters(train: DataFrame, features: list[str] | None = None, fold: str
 def _node_rows(splits, weights, gains, covers, round_, feats, edges) -> list[tuple]:
     out = []
     for t in range(len(splits)):
-        stack = [0]
+        stack, split, weight, gain, cover = [0], *[x[t].tolist() for x in (splits, weights, gains, covers)]
         while stack:
             n = stack.pop()
-            f, cut = splits[t, n]
+            f, cut = split[n]
             model, cls = divmod(t, CLASSES)
             if f >= 0:
-                out.append((model, round_, cls, n, feats[f], float(edges[f][cut]), 0.0, float(gains[t, n]),
-                            float(covers[t, n])))
+                out.append((model, round_, cls, n, feats[f], float(edges[f][cut]), 0.0, gain[n], cover[n]))
                 stack += [2 * n + 1, 2 * n + 2]
             else:
-                out.append((model, round_, cls, n, None, None, float(weights[t, n]), 0.0, float(covers[t, n])))
+                out.append((model, round_, cls, n, None, None, weight[n], 0.0, cover[n]))
     return out
 
 

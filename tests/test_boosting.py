@@ -231,3 +231,78 @@ def test_registered_queries_fit_the_whole_booster(spark, monkeypatch):
         with pytest.raises(Stop):
             Q.registry()[name](spark, "/root/testdata/sf0.001").collect()
     assert seen == [(300, 6, 1), (300, 6, 5)]
+
+
+def test_places_follow_the_splits_row_by_row():
+    rng = np.random.default_rng(9)
+    bins = rng.integers(0, 8, (3, 200)).astype(np.uint8)
+    for depth in (0, 1, 3, 9):
+        split = np.full((2 ** (depth + 1) - 1, 2), -1, np.int64)
+        split[:2 ** depth - 1] = np.stack([rng.integers(-1, 3, 2 ** depth - 1), rng.integers(0, 7, 2 ** depth - 1)], 1)
+        for n in range(1, len(split)):  # there is no node below a leaf
+            if split[(n - 1) // 2, 0] < 0:
+                split[n] = -1
+        weights = rng.normal(size=len(split))
+        place, reached = B._places(bins, split, depth), B._reached(split, depth)
+        at_leaf = B._leaf_weights(split, weights, depth)
+        for r in range(200):
+            node = 0
+            for _ in range(depth):
+                f, cut = split[node]
+                node = 2 * node + 1 + int(bins[f, r] > cut) if f >= 0 else node
+            last = node >= 2 ** depth - 1
+            assert reached[place[r]] == last and at_leaf[place[r]] == weights[node]
+            assert not last or place[r] == node - (2 ** depth - 1)
+
+
+@pytest.mark.parametrize("rounds", [1, 3])
+def test_trees_do_not_depend_on_when_scores_are_cached(spark, table, monkeypatch, rounds):
+    """A level job adds the trees that are not in the cached scores yet, so not every round writes its scores."""
+    s = B.Settings(n_trees=7, max_depth=3, learning_rate=0.3)
+    usual = B.fit_booster(table, FEATURES, s).nodes
+    usual_folds = B.fold_accuracy(table, 5, FEATURES, s).collect()
+    monkeypatch.setattr(B, "SCORE_ROUNDS", rounds)
+    pd.testing.assert_frame_equal(B.fit_booster(table, FEATURES, s).nodes, usual)
+    assert B.fold_accuracy(table, 5, FEATURES, s).collect() == usual_folds
+
+
+def test_columns_send_their_own_bins_only(table):
+    """A column with few values sends few sums to the driver, beside one with many."""
+    sent = []
+
+    class State:
+        def getNumPartitions(self):
+            return 1
+
+        def mapPartitions(self, run):
+            n = 50
+            block = B._Block(np.zeros((2, n), np.uint8), np.zeros(n, np.int8), np.full(n, -1, np.int16),
+                             np.arange(n), np.full((n, 1, 3), 0.5))
+            sent.extend(run([block]))
+            return self
+
+        def collect(self):
+            return sent
+
+    slots = np.zeros((3, 1), np.int64)
+    task = (np.full((3, 1, 2), -1), slots, np.array([[0, 1]] * 3), 0, 0, np.array([2, 64]), 1, B.Settings(subsample=1.0), ())
+    got = B._summed(State(), task)
+    assert got.shape == (3, 1, 2, 64, 2) and sent[0].size == 3 * (2 + 64) * 2
+    assert (got[:, 0, :, 0, 1] > 0).all() and not got[:, 0, :, 1:].any()
+
+
+def test_training_reads_features_that_are_written_once(spark, monkeypatch):
+    """The features are joined, cut and counted several times; their build is not in those plans."""
+    from matchmart.ml import train as MT
+    from matchmart.plans.context import Context
+
+    class Stop(Exception):
+        pass
+
+    def split(df, *a):
+        raise Stop(df._jdf.queryExecution().optimizedPlan().toString())
+
+    monkeypatch.setattr(MT.FE, "temporal_split", split)
+    with pytest.raises(Stop) as found:
+        MT.train(Context(spark, "/root/testdata/sf0.001").fct_match_features)
+    assert "parquet" not in str(found.value) and "LogicalRDD" in str(found.value)
