@@ -57,7 +57,10 @@ def score(df: DataFrame, poisson: PO.PoissonParams, booster: B.Booster) -> DataF
 
 def train(fct_match_features: DataFrame, settings: B.Settings = B.Settings(),
           model_version: str | None = None, calibrate: bool = True) -> TrainResult:
-    feats = load_features(fct_match_features)
+    # Read several times below: written once.
+    feats = load_features(fct_match_features).select(
+        "fixture_id", "match_date", "home_team_id", "away_team_id", "home_goals", "away_goals", "league_id",
+        *FEATURE_COLUMNS, "match_result").checkpoint()
     fm = FE.feature_matrix(feats).join(
         feats.select("fixture_id", "home_team_id", "away_team_id", "home_goals", "away_goals",
                      "league_id", "match_result"), "fixture_id")
