@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package
 from ..sources.scan import FEATURE_COLUMNS
+from . import gang
 
 # The reference's booster settings (trees, depth, rate, row sample,
 # column sample, least hessian per child, least gain, L1, L2, seed).
@@ -116,7 +117,7 @@ def _parts(rows: int, cores: int) -> int:
     return max(1, min(-(-rows // PART_ROWS), cores * waves))
 
 
-def _chunks(rows: DataFrame, features: list[str], edges: list[np.ndarray], row_key: str, fold: str | None) -> DataFrame:
+def _chunks(rows: DataFrame, features: list[str], edges: list[np.ndarray], row_key: str, fold: str | None, parts: int) -> DataFrame:
     """Rows as blocks of bins, labels, folds and row keys, ``CHUNK_ROWS`` at most in one."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for whole in frames:
@@ -127,7 +128,6 @@ def _chunks(rows: DataFrame, features: list[str], edges: list[np.ndarray], row_k
                                     "label": [f["label"].to_numpy(np.int8).tobytes()],
                                     "fold": [f["fold"].to_numpy(np.int16).tobytes()],
                                     "row_key": [f["row_key"].to_numpy(np.int64).tobytes()]})
-    parts = _parts(rows.count(), rows.sparkSession.sparkContext.defaultParallelism)
     return rows.select(
         *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features],
         F.col("label").cast("int").alias("label"), (F.col(fold) if fold else F.lit(-1)).cast("int").alias("fold"),
@@ -283,14 +283,13 @@ def tree_columns(n_features: int, trees: int, round_: int, s: Settings) -> np.nd
     return np.sort(np.array(draws), 1)
 
 
-def _grow(state, n_features: int, bins: np.ndarray, models: int, round_: int, s: Settings, rounds=()):
-    """One tree per model and class; returns splits, leaf weights, gains and hessians by heap node.
-
-    ``bins``: of each feature; ``rounds``: the trees whose weights are not in the scores of ``state`` yet."""
-    trees, size = models * CLASSES, 2 ** (s.max_depth + 1) - 1
+def growth(trees: int, columns: np.ndarray, s: Settings):
+    """Grows trees side by side: a generator that asks for the sums of a level (splits and slots by tree and heap
+    node, depth, most nodes counted in a tree), is sent them as [trees, nodes, columns, bins, 2], and returns
+    splits, leaf weights, gains and hessians by heap node.  ``columns``: those of each tree."""
+    size = 2 ** (s.max_depth + 1) - 1
     splits = np.full((trees, size, 2), -1, np.int64)
     weights, gains, covers = np.zeros((trees, size)), np.zeros((trees, size)), np.zeros((trees, size))
-    columns = tree_columns(n_features, trees, round_, s)
     # What is counted (tree, node), and for its sibling the sums of their parent.
     tree, node, parents = np.arange(trees), np.zeros(trees, np.int64), None
     for depth in range(s.max_depth):
@@ -300,7 +299,7 @@ def _grow(state, n_features: int, bins: np.ndarray, models: int, round_: int, s:
         slot = np.arange(len(tree)) - (np.cumsum(held) - held)[tree]  # they are in the order of the trees
         slots = np.full((trees, size), -1, np.int64)
         slots[tree, node] = slot
-        hist = _summed(state, (splits, slots, columns, round_, depth, bins, int(held.max()), s, rounds))[tree, slot]
+        hist = (yield splits, slots, depth, int(held.max()))[tree, slot]
         if parents is not None:
             hist = np.concatenate([hist, parents - hist])
             tree, node = np.tile(tree, 2), np.concatenate([node, ((node - 1) ^ 1) + 1])
@@ -322,6 +321,21 @@ def _grow(state, n_features: int, bins: np.ndarray, models: int, round_: int, s:
     return splits, weights, gains, covers
 
 
+def _grow(state, n_features: int, bins: np.ndarray, models: int, round_: int, s: Settings, rounds=()):
+    """One tree per model and class; returns splits, leaf weights, gains and hessians by heap node.
+
+    ``bins``: of each feature; ``rounds``: the trees whose weights are not in the scores of ``state`` yet."""
+    columns = tree_columns(n_features, models * CLASSES, round_, s)
+    grower = growth(models * CLASSES, columns, s)
+    try:
+        asked = next(grower)
+        while True:
+            splits, slots, depth, width = asked
+            asked = grower.send(_summed(state, (splits, slots, columns, round_, depth, bins, width, s, rounds)))
+    except StopIteration as end:
+        return end.value
+
+
 def _summed(state, task) -> np.ndarray:
     splits, slots, columns, round_, depth, bins, width, s, rounds = task
     most = int(bins.max())
@@ -355,15 +369,22 @@ def fit_boosters(train: DataFrame, features: list[str] | None = None, fold: str
     ship_package(train.sparkSession)
     edges = bin_edges(train, feats, s.max_bins, row_key)
     bins = np.array([len(e) + 1 for e in edges])
-    chunks = _chunks(train, feats, edges, row_key, fold).checkpoint()
-    n_features = len(feats)
-    state = chunks.rdd.map(lambda row: _Block.of(row, n_features, models))
-    if state.isEmpty():
+    n_features, n, cores = len(feats), train.count(), train.sparkSession.sparkContext.defaultParallelism
+    if not n:
         raise ValueError("no rows to train on")
+    parts = _parts(n, cores)
+    root = gang.folder(train.sparkSession, min(parts, cores)) if n <= cores * gang.TASK_ROWS else None
+    if root:
+        # A session may deal to more parts than asked for; a stage whose tasks meet needs a core for each.
+        chunks = _chunks(train, feats, edges, row_key, fold, min(parts, cores)).coalesce(cores).checkpoint()
+        trees, state = gang.fit(chunks, n_features, bins, models, s, root)
+        return _node_frame([_node_rows(*t, round_, feats, edges) for round_, t in enumerate(trees)]), state
+    chunks = _chunks(train, feats, edges, row_key, fold, parts).checkpoint()
+    state = chunks.rdd.map(lambda row: _Block.of(row, n_features, models))
     state, older, rows, rounds, depth = state.persist(), [], [], [], s.max_depth
     for round_ in range(s.n_trees):
         splits, weights, gains, covers = _grow(state, n_features, bins, models, round_, s, rounds)
-        rows += _node_rows(splits, weights, gains, covers, round_, feats, edges)
+        rows.append(_node_rows(splits, weights, gains, covers, round_, feats, edges))
         rounds = [*rounds, (splits, weights)]
         if len(rounds) < SCORE_ROUNDS and round_ < s.n_trees - 1:
             continue
@@ -375,8 +396,11 @@ def fit_boosters(train: DataFrame, features: list[str] | None = None, fold: str
         # The round before is still the parent of a state that no job has read yet.
         while len(older) > 1:
             older.pop(0).unpersist()
-    names = [x.split()[0] for x in NODE_SCHEMA.split(", ")]
-    return pd.DataFrame(rows, columns=names), state
+    return _node_frame(rows), state
+
+
+def _node_frame(rounds: list[list[tuple]]) -> pd.DataFrame:
+    return pd.DataFrame([row for rows in rounds for row in rows], columns=[x.split()[0] for x in NODE_SCHEMA.split(", ")])
 
 
 def _node_rows(splits, weights, gains, covers, round_, feats, edges) -> list[tuple]:
