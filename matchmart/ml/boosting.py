@@ -60,6 +60,7 @@ TASK_ROWS = 100_000
 SCORE_ROUNDS = 2
 CHECKPOINT_ROUNDS = 20
 UNIT = 1 << 30
+_COMPARED_LEVELS = 3
 _LEAST_GAIN = 1e-6
 
 _CHUNK = "n int, bins binary, label binary, fold binary, row_key binary"
@@ -224,7 +225,7 @@ def _histograms(block: _Block, splits: np.ndarray, slots: np.ndarray, columns: n
             if slots[t].max() < 0:
                 continue
             level = np.where(_reached(splits[t], depth), slots[t][2 ** depth - 1:2 ** (depth + 1) - 1], -1)
-            place = _places(block.bins, splits[t], depth)
+            place = _places(block.bins, splits[t], depth).astype(np.int64)  # a byte is slow to look up by
             rows = np.flatnonzero((level >= 0).take(place) & drawn[c] & mine)
             first = (level * bins).take(place.take(rows))
             weights = gradients(p[c].take(rows), block.label.take(rows) == c)
@@ -244,7 +245,7 @@ def _renewed(block: _Block, rounds, depth: int) -> _Block:
     for splits, weights in rounds:
         for t in range(len(splits)):
             step = _leaf_weights(splits[t], weights[t], depth)
-            scores[:, t // CLASSES, t % CLASSES] += step.take(_places(block.bins, splits[t], depth))
+            scores[:, t // CLASSES, t % CLASSES] += step.take(_places(block.bins, splits[t], depth).astype(np.int64))
     return _Block(block.bins, block.label, block.fold, block.key, scores)
 
 
@@ -456,7 +457,9 @@ def fold_accuracy(folded: DataFrame, n_splits: int = 5, features: list[str] | No
 # --- scoring ------------------------------------------------------------------------------------
 
 class Scorer:
-    """Scores raw feature values by the node table of one model."""
+    """Scores raw feature values by the node table of one model.
+
+    A feature's thresholds in the model cut its values into bins once; a tree then compares whole columns of bins."""
 
     def __init__(self, model: Booster, depth: int = MAX_DEPTH):
         nodes = model.nodes
@@ -466,25 +469,40 @@ class Scorer:
         trees, size = int(tree.max(initial=-1)) + 1, 2 ** (depth + 1) - 1
         place = {name: i for i, name in enumerate(model.features)}
         feature = nodes["feature"].map(place).fillna(-1).to_numpy(np.int64)
+        threshold = nodes["threshold"].to_numpy(float)
         self.depth = depth
-        self.feature, self.threshold = np.full((trees, size), -1, np.int64), np.zeros((trees, size))
-        self.weight = np.zeros((trees, size))
-        self.feature[tree, heap] = feature
-        self.threshold[tree, heap] = np.nan_to_num(nodes["threshold"].to_numpy(float))
-        self.weight[tree, heap] = nodes["weight"].to_numpy(float)
+        self.cuts = [np.unique(threshold[feature == f]) for f in range(len(model.features))]
+        cut = np.zeros(len(nodes), np.int64)
+        for f, cuts in enumerate(self.cuts):
+            cut[feature == f] = np.searchsorted(cuts, threshold[feature == f])
+        self.splits, weight = np.full((trees, size, 2), -1, np.int64), np.zeros((trees, size))
+        self.splits[tree, heap, 0], self.splits[tree, heap, 1] = feature, cut
+        weight[tree, heap] = nodes["weight"].to_numpy(float)
+        self.weight = np.array([_leaf_weights(t, w, depth) for t, w in zip(self.splits, weight)]).reshape(trees, 2 ** depth)
 
     def scores(self, x: np.ndarray) -> np.ndarray:
-        out, rows = np.full((len(x), CLASSES), 0.5), np.arange(len(x))
-        for t in range(len(self.feature)):
-            at = np.zeros(len(x), np.int64)
-            for _ in range(self.depth):
-                f = self.feature[t, at]
-                if f.max(initial=-1) < 0:
-                    break
-                right = x[rows, np.maximum(f, 0)] > self.threshold[t, at]
-                at = np.where(f >= 0, 2 * at + 1 + right, at)
-            out[:, t % CLASSES] += self.weight[t, at]
-        return out
+        out = np.full((CLASSES, len(x)), 0.5)
+        kind = np.min_scalar_type(max(map(len, self.cuts), default=0))
+        # A value that is no number is above no threshold.
+        bins = np.array([np.where(np.isnan(column), 0, np.searchsorted(cuts, column, "left"))
+                         for cuts, column in zip(self.cuts, x.T)], kind).reshape(len(self.cuts), len(x))
+        rows, flat = np.arange(len(x)), bins.ravel()
+        for t, (split, weight) in enumerate(zip(self.splits, self.weight)):
+            out[t % CLASSES] += weight.take(self._leaves(bins, flat, rows, split))
+        return out.T
+
+    def _leaves(self, bins: np.ndarray, flat: np.ndarray, rows: np.ndarray, split: np.ndarray) -> np.ndarray:
+        """The place of each row below the last level.  Of the upper levels whole columns are compared; further down,
+        where a batch has few rows for each node, each row looks its node up."""
+        upper = min(self.depth, _COMPARED_LEVELS)
+        at = _places(bins, split, upper).astype(np.int64)
+        for level in range(upper, self.depth):
+            feature, cut = split[2 ** level - 1:2 ** (level + 1) - 1].T
+            start, cut = np.maximum(feature, 0) * len(rows), np.where(feature >= 0, cut, np.iinfo(np.int64).max)
+            right = flat.take(start.take(at) + rows) > cut.take(at)
+            at += at
+            at += right
+        return at
 
     def probabilities(self, x: np.ndarray) -> np.ndarray:
         z = self.scores(x)

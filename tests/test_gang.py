@@ -185,3 +185,32 @@ def test_columns_counted_together_hold_few_cells():
         assert sorted(c for g in groups for c in g) == list(range(8))
         assert all(np.prod(bins[g]) <= G.CELLS for g in groups if len(g) > 1)
     assert len(G.column_groups(bins, 10**6)) < 6
+
+
+def test_scores_walk_the_trees_row_by_row():
+    rng = np.random.default_rng(4)
+    rows = []
+    for tree in range(9):
+        stack = [0]
+        while stack:
+            n = stack.pop()
+            if n < 15 and rng.random() < 0.8:
+                rows.append((0, tree // 3, tree % 3, n, FEATURES[rng.integers(0, 4)], float(rng.integers(-3, 4)) / 2, 0.0, 1.0, 1.0))
+                stack += [2 * n + 1, 2 * n + 2]
+            else:
+                rows.append((0, tree // 3, tree % 3, n, None, None, rng.normal(), 0.0, 1.0))
+    nodes = pd.DataFrame(rows, columns=[x.split()[0] for x in B.NODE_SCHEMA.split(", ")])
+    x = rng.integers(-4, 5, (300, 5)) / 2
+    x[rng.random(x.shape) < 0.05] = np.nan
+    x[0], x[1] = np.inf, -np.inf
+    scorer = B.Scorer(B.Booster(nodes, FEATURES))
+    want = np.full((300, 3), 0.5)
+    for (tree, c), own in nodes.groupby(["round", "class"], sort=True):
+        at = own.set_index("node")
+        for r in range(300):
+            n = 0
+            while isinstance(at.at[n, "feature"], str):
+                n = 2 * n + 1 + int(x[r, FEATURES.index(at.at[n, "feature"])] > at.at[n, "threshold"])
+            want[r, c] += at.at[n, "weight"]
+    assert np.array_equal(scorer.scores(x), want)
+    assert scorer.scores(x[:0]).shape == (0, 3) and all(len(c) <= 7 for c in scorer.cuts)
