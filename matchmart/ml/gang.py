@@ -124,8 +124,7 @@ class Rows:
         order = np.argsort(whole[2], kind="stable")
         self.bins, self.label, self.fold, self.key = [np.ascontiguousarray(x[..., order]) for x in whole]
         del whole
-        borders = np.flatnonzero(np.diff(self.fold, prepend=np.iinfo(np.int16).min)).tolist()
-        self.spans = [(a, z, int(self.fold[a])) for a, z in zip(borders, [*borders[1:], len(order)])]
+        self.span = [np.searchsorted(self.fold, [m, m + 1]).tolist() for m in range(models)]
         self.n, self.models, self.trees, self.s = len(self.label), models, models * B.CLASSES, s
         self.widths = bins
         each = limit // (self.trees * 2)
@@ -143,9 +142,12 @@ class Rows:
                 joint += self.bins[c]
 
     def slices(self, rows: int = COUNT_ROWS, without: int | None = None, only: int | None = None) -> Iterator[slice]:
-        for a, z, fold in self.spans:
-            if fold != without and only in (None, fold):
-                yield from (slice(x, min(x + rows, z)) for x in range(a, z, rows))
+        """All rows, those without a fold or those of one."""
+        if without is not None:
+            ranges = [(0, self.span[without][0]), (self.span[without][1], self.n)]
+        else:
+            ranges = [(0, self.n) if only is None else self.span[only]]
+        return (slice(x, min(x + rows, z)) for a, z in ranges for x in range(a, z, rows))
 
     def begin(self, round_: int) -> None:
         """The gradients of a round, from its scores."""
