@@ -2,7 +2,8 @@
 
 One softmax model: every round grows one tree per class from the gradients of
 all three classes, and several models (the folds of a cross-validation) advance
-together.  A tree level of all models and classes is one Spark job:
+together.  ``gang`` grows them in one stage; where that cannot run, a tree level of
+all models and classes is one Spark job:
 
 * the features are cut into at most ``MAX_BINS`` bins once, at quantiles, and a
   row keeps its bin numbers, label, fold and scores;
